@@ -87,8 +87,117 @@ FROM ids a CROSS JOIN ids b LEFT JOIN conf c ON c.target = a.i AND c.prediction
 """
 
 
+
+# ------------------------------------------------------------------- E4 / J
+def _grid_values() -> str:
+    from textlab.plans.queries import GRID, TASK
+    rows = ",\n    ".join(
+        f"('{TASK}', '{p['model']}', CAST({p['lr']!r} AS DOUBLE), "
+        f"{p['num_epochs']}, {p['seed']}, {p['config_no']})" for p in GRID)
+    return (f"g(task, model, lr, num_epochs, seed, config_no) AS (VALUES\n    {rows})")
+
+
+RUN = "task, model, lr, num_epochs, seed"
+CFG = "task, model, lr, num_epochs"
+
+
+def _runs(split: str) -> str:
+    off = "((g.config_no * 5 + g.seed) % 54)"
+    if split == "test":
+        off = f"(({off} + 27) % 54)"
+    return f"""{_grid_values()},
+runs_{split} AS (
+  SELECT g.task, g.model, g.lr, CAST(g.num_epochs AS INTEGER) AS num_epochs,
+         CAST(g.seed AS INTEGER) AS seed, e.vec_id, e.label AS target,
+         CAST(list_position(l, list_max(l)) - 1 AS INTEGER) AS prediction
+  FROM embeddings e CROSS JOIN g,
+       LATERAL (SELECT list_slice(e.embedding, {off} + 1, {off} + 10) AS l)
+)"""
+
+
+def _val_rep() -> str:
+    return f"""WITH {_runs('validation')},
+conf AS (SELECT {RUN}, target, prediction, COUNT(*) AS n
+         FROM runs_validation GROUP BY ALL),
+{report_ctes('conf', RUN.split(', '))}"""
+
+
+RUN_METRICS = f"""{_val_rep()}
+SELECT {RUN}, metric, class_name, ROUND(value, {R}) AS value FROM rep
+"""
+
+_CFG_SUMMARY = f"""cs AS (
+  SELECT {CFG},
+         AVG(CASE WHEN metric = 'accuracy' THEN value END) AS mean_accuracy,
+         STDDEV_POP(CASE WHEN metric = 'accuracy' THEN value END) AS std_accuracy,
+         AVG(CASE WHEN metric = 'f1' THEN value END) AS mean_f1,
+         STDDEV_POP(CASE WHEN metric = 'f1' THEN value END) AS std_f1,
+         CAST(COUNT(DISTINCT seed) AS BIGINT) AS n_seeds
+  FROM rep WHERE class_name = 'macro' AND metric IN ('accuracy', 'f1')
+  GROUP BY {CFG}),
+best AS (
+  SELECT task, model, lr, num_epochs, mean_f1 FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY task, model
+                                 ORDER BY ROUND(mean_f1, 9) DESC, lr, num_epochs) AS rn
+    FROM cs) WHERE rn = 1)"""
+
+CONFIG_SUMMARY = f"""{_val_rep()},
+{_CFG_SUMMARY}
+SELECT {CFG}, n_seeds, ROUND(mean_accuracy, {R}) AS mean_accuracy,
+       ROUND(std_accuracy, {R}) AS std_accuracy, ROUND(mean_f1, {R}) AS mean_f1,
+       ROUND(std_f1, {R}) AS std_f1
+FROM cs
+"""
+
+BEST_CONFIG = f"""{_val_rep()},
+{_CFG_SUMMARY}
+SELECT task, model, lr, num_epochs, ROUND(mean_f1, {R}) AS mean_f1 FROM best
+"""
+
+
+def _test_summary() -> str:
+    test_runs = _runs("test").split(",\nruns_test AS", 1)[1]
+    return f"""{_val_rep()},
+{_CFG_SUMMARY},
+runs_test AS {test_runs},
+tconf AS (SELECT {RUN}, target, prediction, COUNT(*) AS n
+          FROM runs_test r SEMI JOIN best b USING ({CFG}) GROUP BY ALL),
+{report_ctes('tconf', RUN.split(', ')).replace('t AS (', 'tt AS (', 1)
+   .replace('FROM t FULL OUTER JOIN p', 'FROM tt t FULL OUTER JOIN pp p')
+   .replace('p AS (', 'pp AS (', 1)
+   .replace('pc0 AS', 'tpc0 AS').replace('FROM pc0', 'FROM tpc0')
+   .replace('pc AS', 'tpc AS').replace('FROM pc)', 'FROM tpc)')
+   .replace('pcm AS', 'tpcm AS').replace('FROM pcm', 'FROM tpcm')
+   .replace('sm AS', 'tsm AS').replace('FROM sm', 'FROM tsm')
+   .replace('rep AS', 'trep AS')},
+ss AS (
+  SELECT {CFG}, CAST(COUNT(DISTINCT seed) AS BIGINT) AS n_seeds,
+         CASE WHEN metric = 'f1' THEN 'F1'
+              ELSE upper(substr(metric, 1, 1)) || lower(substr(metric, 2)) END AS metric,
+         upper(substr(class_name, 1, 1)) || lower(substr(class_name, 2)) AS class_name,
+         AVG(value) AS mean, STDDEV_SAMP(value) AS std
+  FROM trep WHERE metric IN ('accuracy', 'f1')
+  GROUP BY {CFG}, metric, class_name)"""
+
+
+SEED_SUMMARY = f"""{_test_summary()}
+SELECT {CFG}, n_seeds, metric, class_name, ROUND(mean, {R}) AS mean,
+       ROUND(std, {R}) AS std FROM ss
+"""
+
+LEADERBOARD = f"""{_test_summary()}
+SELECT task, model, lr, num_epochs, ROUND(mean, {R}) AS mean, ROUND(std, {R}) AS std,
+       CAST(RANK() OVER (PARTITION BY task ORDER BY mean DESC) AS INTEGER) AS rank
+FROM ss WHERE metric = 'F1' AND class_name = 'Macro'
+"""
+
 def all_sql() -> dict[str, str]:
     return {
         "clf_report": CLF_REPORT,
         "confusion_matrix": CONFUSION_MATRIX,
+        "run_metrics": RUN_METRICS,
+        "config_summary": CONFIG_SUMMARY,
+        "best_config": BEST_CONFIG,
+        "seed_summary": SEED_SUMMARY,
+        "leaderboard": LEADERBOARD,
     }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textlab.functions.arrays import argmax, as_double_array
 from textlab.operators import clf_metrics as cm
+from textlab.operators import experiments as ex
 from textlab.sources.tables import table
 
 ROUND = 6
@@ -45,7 +46,88 @@ def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return cm.dense_confusion(conf, range(10)).select("target", "prediction", "n")
 
 
+
+# ------------------------------------------------------------------- E4 / J
+# The experiment grid (learning rates x epochs x seeds as in
+# the reference's classification scripts) and two embedding "models".
+TASK = "topics"
+MODELS = ("emb-head", "emb-tail")
+LRS = (1e-5, 2e-5, 3e-5, 4e-5, 5e-5)
+EPOCHS = (3, 4, 5)
+SEEDS = (0, 1, 2, 3, 4)
+GRID = ex.grid_points(model=MODELS, lr=LRS, num_epochs=EPOCHS, seed=SEEDS)
+
+
+def run_predictions(spark: SparkSession, sf: str, split: str) -> DataFrame:
+    """Every grid point's predictions on ``embeddings`` in one job: run
+    (config c, seed s) reads the 10 logits at offset (5c+s) mod 54
+    (validation) or that offset + 27 mod 54 (test).  The grid is a literal
+    array, exploded onto each row (narrow)."""
+    emb = table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    g = F.explode(ex.grid_column(GRID)).alias("g")
+    runs = emb.select("vec_id", "embedding", "label", g)
+    off = (F.col("g.config_no") * 5 + F.col("g.seed")) % 54
+    if split == "test":
+        off = (off + 27) % 54
+    return runs.select(
+        F.lit(TASK).alias("task"), "g.model", "g.lr", "g.num_epochs", "g.seed",
+        "vec_id", F.col("label").alias("target"),
+        argmax(F.slice("embedding", off + 1, 10)).alias("prediction"))
+
+
+def _run_metrics(spark: SparkSession, sf: str, split: str) -> DataFrame:
+    preds = run_predictions(spark, sf, split)
+    return cm.classification_report(cm.confusion(preds, ex.RUN), ex.RUN)
+
+
+def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """E4 + F4 + I: validation metric vector of every run."""
+    return _run_metrics(spark, sf, "validation").select(
+        *ex.RUN, "metric", "class_name", _r())
+
+
+def _config_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return ex.config_summary(_run_metrics(spark, sf, "validation"))
+
+
+def config_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean / population std over seeds per configuration."""
+    s = _config_summary(spark, sf)
+    return s.select(*ex.CFG, "n_seeds", _r("mean_accuracy"), _r("std_accuracy"),
+                    _r("mean_f1"), _r("std_f1"))
+
+
+def best_config(spark: SparkSession, sf: str) -> DataFrame:
+    """Best configuration per task and model."""
+    b = ex.best_config(_config_summary(spark, sf))
+    return b.select("task", "model", "lr", "num_epochs", _r("mean_f1"))
+
+
+def _seed_summary(spark: SparkSession, sf: str) -> DataFrame:
+    best = ex.best_config(_config_summary(spark, sf))
+    test = ex.restrict_to(run_predictions(spark, sf, "test"), best)   # J3 / F5
+    metrics = cm.classification_report(cm.confusion(test, ex.RUN), ex.RUN)
+    return ex.seed_summary(metrics)
+
+
+def seed_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Test summary of the best configuration."""
+    return _seed_summary(spark, sf).select(
+        *ex.CFG, "n_seeds", "metric", "class_name", _r("mean"), _r("std"))
+
+
+def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
+    """Macro F1 per task x model, ranked."""
+    return ex.leaderboard(_seed_summary(spark, sf)).select(
+        "task", "model", "lr", "num_epochs", _r("mean"), _r("std"), "rank")
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
+    "run_metrics": run_metrics,
+    "config_summary": config_summary,
+    "best_config": best_config,
+    "seed_summary": seed_summary,
+    "leaderboard": leaderboard,
 }
