@@ -191,6 +191,67 @@ SELECT task, model, lr, num_epochs, ROUND(mean, {R}) AS mean, ROUND(std, {R}) AS
 FROM ss WHERE metric = 'F1' AND class_name = 'Macro'
 """
 
+
+# ------------------------------------------------------- P1, A2-A4, C, E1-E3
+SPLIT_FRACTION = """
+WITH x AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY doc_id) - 1 AS position,
+                  COUNT(*) OVER () AS n FROM documents)
+SELECT doc_id, CAST(position AS BIGINT) AS position, 'train' AS split FROM x
+WHERE position < round_even(90 * n / 100.0, 0)
+UNION ALL
+SELECT doc_id, CAST(position AS BIGINT) AS position, 'validation' AS split FROM x
+WHERE position >= n + round_even(-10 * n / 100.0, 0)
+"""
+
+_TAIL = """
+tail AS (SELECT doc_id FROM documents ORDER BY doc_id DESC LIMIT 500),
+parts AS (SELECT d.*, CASE WHEN t.doc_id IS NULL THEN 'train' ELSE 'validation' END AS split
+          FROM documents d LEFT JOIN tail t USING (doc_id))"""
+
+SPLIT_TAIL = f"""WITH {_TAIL}
+SELECT doc_id, split FROM parts
+"""
+
+_CLASSES = """
+classes AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY source) - 1 AS INTEGER) AS class_id,
+                   source AS class_name
+            FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL))"""
+
+LABEL_CLASSES = f"""WITH {_CLASSES}
+SELECT class_id, class_name FROM classes
+"""
+
+LABEL_ENCODE = f"""WITH {_CLASSES}, {_TAIL}
+SELECT p.doc_id, p.source, c.class_id AS label_id, p.split
+FROM parts p LEFT JOIN classes c ON p.source = c.class_name
+"""
+
+
+def _shuffled() -> str:
+    from textlab.plans.queries import BATCH_EPOCHS, BATCH_SEEDS, BATCH_SIZE
+    se = ", ".join(f"({s}, {e})" for s in BATCH_SEEDS for e in BATCH_EPOCHS)
+    return f"""
+WITH se(seed, epoch) AS (VALUES {se}),
+x AS (SELECT d.doc_id, CAST(se.seed AS INTEGER) AS seed, CAST(se.epoch AS INTEGER) AS epoch,
+             ('0x' || substr(md5(CAST(se.seed AS VARCHAR) || ':' || CAST(se.epoch AS VARCHAR)
+                                 || ':' || CAST(d.doc_id AS VARCHAR)), 1, 15))::BIGINT AS h
+      FROM documents d CROSS JOIN se),
+y AS (SELECT doc_id, seed, epoch,
+             ROW_NUMBER() OVER (PARTITION BY seed, epoch ORDER BY h, doc_id) - 1 AS position
+      FROM x)
+SELECT doc_id, seed, epoch, CAST(position AS BIGINT) AS position,
+       CAST(position // {BATCH_SIZE} AS BIGINT) AS batch_id FROM y
+"""
+
+
+def _eval_batches() -> str:
+    from textlab.plans.queries import BATCH_SIZE
+    return f"""
+WITH y AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY doc_id) - 1 AS position FROM documents)
+SELECT doc_id, CAST(position AS BIGINT) AS position,
+       CAST(position // {BATCH_SIZE} AS BIGINT) AS batch_id FROM y
+"""
+
 def all_sql() -> dict[str, str]:
     return {
         "clf_report": CLF_REPORT,
@@ -200,4 +261,10 @@ def all_sql() -> dict[str, str]:
         "best_config": BEST_CONFIG,
         "seed_summary": SEED_SUMMARY,
         "leaderboard": LEADERBOARD,
+        "split_fraction": SPLIT_FRACTION,
+        "split_tail": SPLIT_TAIL,
+        "label_classes": LABEL_CLASSES,
+        "label_encode": LABEL_ENCODE,
+        "shuffled_batches": _shuffled(),
+        "eval_batches": _eval_batches(),
     }

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from textlab.functions.arrays import argmax, as_double_array
 from textlab.operators import clf_metrics as cm
+from textlab.operators import batching as bt
 from textlab.operators import experiments as ex
+from textlab.operators import labels as lb
+from textlab.operators import positions as pos
 from textlab.sources.tables import table
 
 ROUND = 6
@@ -122,6 +125,63 @@ def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
         "task", "model", "lr", "num_epochs", _r("mean"), _r("std"), "rank")
 
 
+
+# ------------------------------------------------------- P1, A2-A4, C, E1-E3
+def split_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 + A3 (P1): first 90 % / last 10 % of ``documents`` by doc_id."""
+    docs = table(spark, sf, "documents", ["doc_id"])
+    return pos.split_fraction(docs, "doc_id", 90.0).select("doc_id", "position", "split")
+
+
+def split_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: the last 500 documents by doc_id are validation, the rest train."""
+    docs = table(spark, sf, "documents", ["doc_id"])
+    head, tail = pos.split_tail(docs, "doc_id", 500)
+    return (head.withColumn("split", F.lit("train"))
+            .unionByName(tail.withColumn("split", F.lit("validation"))))
+
+
+def label_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 + C4: class table fitted on ``documents.source``."""
+    docs = table(spark, sf, "documents", ["source"])
+    return lb.fit_labels(docs, "source")
+
+
+def label_encode(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 fitted on all rows *before* the last-500 cut (as the reference
+    does), then C2 on both parts (A4)."""
+    docs = table(spark, sf, "documents", ["doc_id", "source"])
+    classes = lb.fit_labels(docs, "source")
+    head, tail = pos.split_tail(docs, "doc_id", 500)
+    parts = (head.withColumn("split", F.lit("train"))
+             .unionByName(tail.withColumn("split", F.lit("validation"))))
+    return lb.apply_labels(parts, classes, "source", "label_id").select(
+        "doc_id", "source", "label_id", "split")
+
+
+# Seeds and epochs of the batching query, batch size 8 as in
+# the reference's classification scripts.
+BATCH_SEEDS = (0, 1)
+BATCH_EPOCHS = (0, 1)
+BATCH_SIZE = 8
+
+
+def shuffled_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """E1 + E2: per seed and epoch a reproducible permutation of the
+    documents, cut into batches of 8."""
+    docs = table(spark, sf, "documents", ["doc_id"])
+    return bt.shuffled_batches(docs, "doc_id", BATCH_SEEDS, BATCH_EPOCHS,
+                               BATCH_SIZE).select("doc_id", "seed", "epoch",
+                                                  "position", "batch_id")
+
+
+def eval_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Order-preserving evaluation batches."""
+    docs = table(spark, sf, "documents", ["doc_id"])
+    return bt.eval_batches(docs, "doc_id", BATCH_SIZE).select(
+        "doc_id", "position", "batch_id")
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -130,4 +190,10 @@ REGISTRY = {
     "best_config": best_config,
     "seed_summary": seed_summary,
     "leaderboard": leaderboard,
+    "split_fraction": split_fraction,
+    "split_tail": split_tail,
+    "label_classes": label_classes,
+    "label_encode": label_encode,
+    "shuffled_batches": shuffled_batches,
+    "eval_batches": eval_batches,
 }
