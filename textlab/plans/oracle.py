@@ -252,6 +252,236 @@ SELECT doc_id, CAST(position AS BIGINT) AS position,
        CAST(position // {BATCH_SIZE} AS BIGINT) AS batch_id FROM y
 """
 
+
+# ------------------------------------------------------------ D, F3, G, H, J6
+def _qa_consts():
+    from textlab.functions.text import WORD_CLASS, WS_CLASS
+    from textlab.plans import queries as q
+    return WORD_CLASS, WS_CLASS, q
+
+
+def _qa_base() -> str:
+    """CTEs: ex (id, question, context, a_start, a_text), tokens, windows."""
+    W, S, q = _qa_consts()
+    tok = f"[{W}]+|[{S}]+|[^{W}{S}]"
+    return f"""
+u AS (SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn, text AS context FROM conversations
+      WHERE role = 'assistant'),
+ex0 AS (SELECT CAST(u.conv_id AS VARCHAR) || '-' || CAST(u.turn AS VARCHAR) AS id,
+               regexp_replace(question, '^[{S}]+', '') AS question, context
+        FROM u JOIN a USING (conv_id, turn)),
+ew AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+       FROM (SELECT id, regexp_extract_all(context, '[{W}]+') AS ws FROM ex0)),
+lw AS (SELECT id, w FROM (SELECT id, w, ROW_NUMBER() OVER
+          (PARTITION BY id ORDER BY length(w) DESC, i) AS rn FROM ew) WHERE rn = 1),
+ex AS (SELECT ex0.id, ex0.question, ex0.context,
+              CAST(strpos(ex0.context, lw.w) - 1 AS INTEGER) AS a_start, lw.w AS a_text
+       FROM ex0 LEFT JOIN lw USING (id)),
+rt AS (SELECT id, kind, unnest(ts) AS t, generate_subscripts(ts, 1) AS i
+       FROM (SELECT id, 'q' AS kind, regexp_extract_all(question, '{tok}') AS ts FROM ex
+             UNION ALL
+             SELECT id, 'c' AS kind, regexp_extract_all(context, '{tok}') AS ts FROM ex)),
+rto AS (SELECT id, kind, t, i,
+               COALESCE(SUM(length(t)) OVER (PARTITION BY id, kind ORDER BY i
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
+        FROM rt),
+tk AS (SELECT id, kind, t, CAST(st AS INTEGER) AS st, CAST(st + length(t) AS INTEGER) AS en,
+              ROW_NUMBER() OVER (PARTITION BY id, kind ORDER BY i) - 1 AS k
+       FROM rto WHERE NOT regexp_full_match(t, '[{S}]+')),
+nq AS (SELECT ex.id, CAST(COUNT(tk.t) AS INTEGER) AS n_q FROM ex
+       LEFT JOIN tk ON tk.id = ex.id AND tk.kind = 'q' GROUP BY ex.id),
+nc AS (SELECT ex.id, CAST(COUNT(tk.t) AS INTEGER) AS n_ctx FROM ex
+       LEFT JOIN tk ON tk.id = ex.id AND tk.kind = 'c' GROUP BY ex.id),
+prep AS (SELECT ex.*, n_q, n_ctx, {q.QA_MAX_LENGTH} - n_q - 3 AS budget
+         FROM ex JOIN nq USING (id) JOIN nc USING (id)),
+quar AS (SELECT id AS example_id,
+                CASE WHEN budget <= {q.QA_STRIDE} THEN 'question too long'
+                     WHEN a_text IS NOT NULL AND length(a_text) = 0 THEN 'empty answer text'
+                END AS reason FROM prep),
+okp AS (SELECT * FROM prep WHERE budget > {q.QA_STRIDE}
+        AND NOT (a_text IS NOT NULL AND length(a_text) = 0)),
+win0 AS (SELECT okp.*, budget - {q.QA_STRIDE} AS step,
+                CAST(ceil(greatest(0, n_ctx - budget) / (budget - {q.QA_STRIDE}))
+                     * (budget - {q.QA_STRIDE}) AS INTEGER) AS last_start FROM okp),
+win AS (SELECT id AS example_id, n_q, n_ctx, budget, a_start, a_text,
+               CAST(unnest(range(0, last_start + 1, step)) AS INTEGER) AS w_start,
+               CAST(generate_subscripts(range(0, last_start + 1, step), 1) - 1 AS INTEGER)
+                 AS window_idx
+        FROM win0),
+wf AS (SELECT *, CAST(least(budget, n_ctx - w_start) AS INTEGER) AS w_len,
+              n_q + 2 AS ctx_lo, n_q + 2 + least(budget, n_ctx - w_start) - 1 AS ctx_hi,
+              n_q + least(budget, n_ctx - w_start) + 3 AS seq_len FROM win),
+wt AS (SELECT wf.example_id, wf.window_idx, tk.k - wf.w_start AS j, tk.t, tk.st, tk.en
+       FROM wf JOIN tk ON tk.id = wf.example_id AND tk.kind = 'c'
+        AND tk.k >= wf.w_start AND tk.k < wf.w_start + wf.w_len),
+wagg AS (SELECT wf.example_id, wf.window_idx,
+                MIN(wt.st) FILTER (WHERE wt.j = 0) AS first_st,
+                MAX(wt.en) FILTER (WHERE wt.j = wf.w_len - 1) AS last_en,
+                COUNT(wt.j) AS n_offsets,
+                COUNT(wt.j) FILTER (WHERE wt.st <= wf.a_start) AS n_le,
+                COUNT(wt.j) FILTER (WHERE wt.en < wf.a_start + length(wf.a_text)) AS n_lt
+         FROM wf LEFT JOIN wt USING (example_id, window_idx)
+         GROUP BY wf.example_id, wf.window_idx)"""
+
+
+def _qa_features() -> str:
+    return f"""WITH {_qa_base()}
+SELECT example_id, window_idx, n_q, n_ctx, w_start, w_len, CAST(ctx_lo AS INTEGER) AS ctx_lo,
+       CAST(ctx_hi AS INTEGER) AS ctx_hi, CAST(seq_len AS INTEGER) AS seq_len, first_st,
+       last_en, CAST(n_offsets AS INTEGER) AS n_offsets
+FROM wf JOIN wagg USING (example_id, window_idx)
+"""
+
+
+def _qa_labels() -> str:
+    return f"""WITH {_qa_base()}
+SELECT example_id, window_idx,
+       CAST(CASE WHEN ok THEN ctx_lo + n_le - 1 ELSE 0 END AS INTEGER) AS start_position,
+       CAST(CASE WHEN ok THEN ctx_lo + n_lt ELSE 0 END AS INTEGER) AS end_position
+FROM (SELECT wf.*, wagg.n_le, wagg.n_lt,
+             COALESCE(a_text IS NOT NULL AND first_st <= a_start
+                      AND last_en >= a_start + length(a_text), FALSE) AS ok
+      FROM wf JOIN wagg USING (example_id, window_idx))
+"""
+
+
+def _qa_quarantine() -> str:
+    return f"""WITH {_qa_base()}
+SELECT example_id, reason FROM quar WHERE reason IS NOT NULL
+"""
+
+
+def _qa_examples() -> str:
+    return f"""WITH {_qa_base()}
+SELECT id, question, a_start AS answer_start, a_text AS answer_text FROM ex
+"""
+
+
+def _span_validation() -> str:
+    return f"""WITH {_qa_base()}
+SELECT id, a_start AS stored_start,
+       CASE WHEN strpos(context, a_text) > 0 THEN CAST(strpos(context, a_text) - 1 AS INTEGER)
+       END AS found_start,
+       CASE WHEN a_text IS NULL THEN 'no_answer'
+            WHEN substring(context, a_start + 1, length(a_text)) = a_text THEN 'ok'
+            WHEN strpos(context, a_text) > 0 THEN 'repairable'
+            ELSE 'missing' END AS status
+FROM ex
+"""
+
+
+def _qa_pred_ctes(seeds) -> str:
+    W, S, q = _qa_consts()
+    sv = ", ".join(f"({s})" for s in seeds)
+    return f"""{_qa_base()},
+seeds(seed) AS (VALUES {sv}),
+qw AS (SELECT id, list_distinct(list(lower(t))) AS qwords FROM tk
+       WHERE kind = 'q' AND regexp_full_match(t, '[{W}]+') GROUP BY id),
+wm AS (SELECT wt.*, CASE WHEN list_contains(COALESCE(qw.qwords, []), lower(wt.t))
+                         THEN 1 ELSE 0 END AS m,
+              CASE WHEN regexp_full_match(wt.t, '[{W}]+') THEN 1 ELSE 0 END AS wd
+       FROM wt LEFT JOIN qw ON qw.id = wt.example_id),
+wm2 AS (SELECT *, COALESCE(LEAD(m) OVER (PARTITION BY example_id, window_idx ORDER BY j), 0) AS m_next,
+               COALESCE(LAG(m) OVER (PARTITION BY example_id, window_idx ORDER BY j), 0) AS m_prev
+        FROM wm),
+pos AS (SELECT wf.example_id, wf.window_idx, wf.ctx_lo, wf.ctx_hi,
+               CAST(unnest(range(0, wf.seq_len)) AS INTEGER) AS i FROM wf),
+lg AS (SELECT p.example_id, p.window_idx, s.seed, p.i, w.st, w.en,
+              CASE WHEN p.i >= p.ctx_lo AND p.i <= p.ctx_hi
+                     THEN CAST(4 * w.m + 2 * w.m_next + w.wd AS DOUBLE)
+                          + ((w.j + s.seed) % 3) * 0.5
+                   WHEN p.i = 0 THEN 0.0 ELSE -1.0 END AS sl,
+              CASE WHEN p.i >= p.ctx_lo AND p.i <= p.ctx_hi
+                     THEN CAST(4 * w.m + 2 * w.m_prev + w.wd AS DOUBLE)
+                          + ((w.j + 2 * s.seed) % 3) * 0.5
+                   WHEN p.i = 0 THEN 0.0 ELSE -1.0 END AS el
+       FROM pos p CROSS JOIN seeds s
+       LEFT JOIN wm2 w ON w.example_id = p.example_id AND w.window_idx = p.window_idx
+                      AND w.j = p.i - p.ctx_lo),
+st AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY example_id, window_idx, seed
+                                                   ORDER BY sl DESC, i) - 1 AS r FROM lg)
+       WHERE r < {q.QA_N_BEST}),
+et AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY example_id, window_idx, seed
+                                                   ORDER BY el DESC, i) - 1 AS r FROM lg)
+       WHERE r < {q.QA_N_BEST}),
+cand AS (SELECT s.example_id, s.seed, s.window_idx, s.r AS si, e.r AS ei, s.sl + e.el AS score,
+                s.st AS cst, e.en AS cen
+         FROM st s JOIN et e USING (example_id, window_idx, seed)
+         WHERE s.st IS NOT NULL AND e.en IS NOT NULL AND e.i >= s.i
+           AND e.i - s.i + 1 <= {q.QA_MAX_ANSWER}),
+best AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY example_id, seed
+                          ORDER BY score DESC, window_idx, si, ei) AS rn FROM cand) WHERE rn = 1),
+nulls AS (SELECT example_id, seed, MAX(sl + el) AS null_score FROM lg WHERE i = 0
+          GROUP BY example_id, seed),
+pred AS (SELECT s.seed, ex.id AS example_id,
+                CASE WHEN b.score IS NULL THEN ''
+                     ELSE substring(ex.context, b.cst + 1, b.cen - b.cst) END AS prediction_text,
+                COALESCE(b.score, 0.0) AS score, n.null_score
+         FROM ex CROSS JOIN seeds s
+         LEFT JOIN best b ON b.example_id = ex.id AND b.seed = s.seed
+         LEFT JOIN nulls n ON n.example_id = ex.id AND n.seed = s.seed)"""
+
+
+def _qa_predictions() -> str:
+    return f"""WITH {_qa_pred_ctes((0,))}
+SELECT example_id, prediction_text, ROUND(score, {R}) AS score,
+       ROUND(null_score, {R}) AS null_score FROM pred
+"""
+
+
+def _norm(x: str) -> str:
+    W, S, _ = _qa_consts()
+    art = f"(^|[^{W}])(a|an|the)([^{W}]|$)"
+    y = f"regexp_replace(lower({x}), '[!-/:-@\\[-`{{-~]', '', 'g')"
+    y = f"regexp_replace(regexp_replace({y}, '{art}', '\\1 \\3', 'g'), '{art}', '\\1 \\3', 'g')"
+    return (f"array_to_string(list_filter(regexp_split_to_array({y}, '[{S}]+'), "
+            f"lambda z: z <> ''), ' ')")
+
+
+def _toks(x: str) -> str:
+    _, S, _ = _qa_consts()
+    return f"list_filter(regexp_split_to_array({x}, '[{S}]+'), lambda z: z <> '')"
+
+
+def _qa_score_ctes(lowercase: bool) -> str:
+    from textlab.plans import queries as q
+    pt = "lower(prediction_text)" if lowercase else "prediction_text"
+    gt = "lower(a_text)" if lowercase else "a_text"
+    return f"""{_qa_pred_ctes(q.QA_SEEDS)},
+sc0 AS (SELECT p.seed, p.example_id, {_norm(pt)} AS pn,
+               CASE WHEN ex.a_text IS NULL THEN NULL ELSE {_norm(gt)} END AS gn
+        FROM pred p JOIN ex ON ex.id = p.example_id),
+sc1 AS (SELECT *, {_toks('pn')} AS pt, {_toks('gn')} AS gtk FROM sc0),
+sc2 AS (SELECT *, COALESCE(list_sum(list_transform(list_distinct(pt), lambda t:
+                    least(len(list_filter(pt, lambda x: x = t)),
+                          len(list_filter(gtk, lambda x: x = t))))), 0) AS common FROM sc1),
+sc AS (SELECT seed, example_id,
+              CASE WHEN gn IS NULL THEN 0.0 WHEN pn = gn THEN 1.0 ELSE 0.0 END AS em,
+              CASE WHEN gn IS NULL OR common = 0 THEN 0.0
+                   ELSE (2 * (common / len(pt)) * (common / len(gtk)))
+                        / ((common / len(pt)) + (common / len(gtk))) END AS f1
+       FROM sc2),
+scores AS (SELECT seed, AVG(em) * 100 AS exact_match, AVG(f1) * 100 AS f1,
+                  CAST(COUNT(*) AS BIGINT) AS n FROM sc GROUP BY seed)"""
+
+
+def _qa_scores(lowercase: bool) -> str:
+    return f"""WITH {_qa_score_ctes(lowercase)}
+SELECT seed, ROUND(exact_match, {R}) AS exact_match, ROUND(f1, {R}) AS f1, n FROM scores
+"""
+
+
+def _qa_summary() -> str:
+    return f"""WITH {_qa_score_ctes(False)},
+lng AS (SELECT seed, 'exact_match' AS metric, exact_match AS value FROM scores
+        UNION ALL SELECT seed, 'f1' AS metric, f1 AS value FROM scores)
+SELECT 'conversations' AS task, 'overlap' AS model, metric, ROUND(AVG(value), {R}) AS mean,
+       ROUND(MEDIAN(value), {R}) AS median, ROUND(STDDEV_SAMP(value), {R}) AS std,
+       CAST(COUNT(value) AS BIGINT) AS n_seeds
+FROM lng GROUP BY metric
+"""
+
 def all_sql() -> dict[str, str]:
     return {
         "clf_report": CLF_REPORT,
@@ -267,4 +497,13 @@ def all_sql() -> dict[str, str]:
         "label_encode": LABEL_ENCODE,
         "shuffled_batches": _shuffled(),
         "eval_batches": _eval_batches(),
+        "qa_examples": _qa_examples(),
+        "qa_features": _qa_features(),
+        "qa_labels": _qa_labels(),
+        "qa_quarantine": _qa_quarantine(),
+        "span_validation": _span_validation(),
+        "qa_predictions": _qa_predictions(),
+        "qa_scores": _qa_scores(False),
+        "qa_scores_lower": _qa_scores(True),
+        "qa_summary": _qa_summary(),
     }

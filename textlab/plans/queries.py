@@ -17,6 +17,10 @@ from textlab.operators import batching as bt
 from textlab.operators import experiments as ex
 from textlab.operators import labels as lb
 from textlab.operators import positions as pos
+from textlab.operators import qa
+from textlab.operators import qa_metrics as qm
+from textlab.operators import textprep as tp
+from textlab.functions.text import words
 from textlab.sources.tables import table
 
 ROUND = 6
@@ -182,6 +186,126 @@ def eval_batches(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "position", "batch_id")
 
 
+
+# ------------------------------------------------------------ D, F3, G, H, J6
+# QA window length, overlap, n-best and answer length as in the
+# reference's QA scripts; seeds of the QA runs.
+QA_MAX_LENGTH = 384
+QA_STRIDE = 128
+QA_N_BEST = 20
+QA_MAX_ANSWER = 30
+QA_SEEDS = (0, 1, 2, 3, 4)
+
+
+def qa_examples_df(spark: SparkSession, sf: str) -> DataFrame:
+    """QA examples from ``conversations``: a user turn is the question, the
+    next assistant turn of the same conversation the context; the gold
+    answer is the context's longest word (first one on ties) at its first
+    occurrence.  A context without words has no answer.  The pairing is an
+    equi-join on (conv_id, turn), so a very long conversation is spread
+    over partitions by turn."""
+    conv = table(spark, sf, "conversations", ["conv_id", "turn", "role", "text"])
+    u = conv.where(F.col("role") == "user").select("conv_id", "turn",
+                                                    F.col("text").alias("question"))
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("context"))
+    ex = u.join(a, ["conv_id", "turn"])
+    longest = F.array_max(F.transform(words("context"), lambda w, i: F.struct(
+        F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"]
+    answers = F.when(longest.isNull(), F.struct(
+        F.array().cast("array<int>").alias("answer_start"),
+        F.array().cast("array<string>").alias("text"))).otherwise(F.struct(
+            F.array((F.position(longest, F.col("context")) - 1).cast("int")).alias("answer_start"),
+            F.array(longest).alias("text")))
+    return ex.select(F.concat_ws("-", F.col("conv_id").cast("string"),
+                                 F.col("turn").cast("string")).alias("id"),
+                     "question", "context", answers.alias("answers"))
+
+
+def _qa_windows(spark: SparkSession, sf: str) -> DataFrame:
+    prep = tp.prepare_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH, QA_STRIDE)
+    return tp.window_offsets(tp.windows(prep, QA_STRIDE))
+
+
+def qa_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """D1 + B4: examples with the left-stripped question and first answer."""
+    ex = qa_examples_df(spark, sf)
+    from textlab.functions.text import strip_left
+    return ex.select("id", strip_left("question").alias("question"),
+                     F.get(F.col("answers.answer_start"), 0).alias("answer_start"),
+                     F.get(F.col("answers.text"), 0).alias("answer_text"))
+
+
+def qa_features(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per window with its token ranges."""
+    w = _qa_windows(spark, sf)
+    return w.select("example_id", "window_idx", "n_q", "n_ctx", "w_start", "w_len",
+                    "ctx_lo", "ctx_hi", "seq_len",
+                    F.get(F.col("ctx_st"), 0).alias("first_st"),
+                    F.get(F.col("ctx_en"), F.col("w_len") - 1).alias("last_en"),
+                    F.size(F.filter("offsets", lambda o: o.isNotNull())).alias("n_offsets"))
+
+
+def qa_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Start / end token labels of the training features."""
+    w = tp.label_spans(_qa_windows(spark, sf), QA_MAX_LENGTH)
+    return w.select("example_id", "window_idx", "start_position", "end_position")
+
+
+def qa_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Q2 / Q3: examples that cannot be featurised."""
+    prep = tp.prepare_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH, QA_STRIDE)
+    return tp.quarantine_qa(prep, QA_STRIDE)
+
+
+def span_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored answer offsets checked against the context."""
+    return tp.validate_spans(qa_examples_df(spark, sf))
+
+
+def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS) -> DataFrame:
+    w = _qa_windows(spark, sf)
+    w = w.select("*", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
+    scored = qa.overlap_logits(w, F.col("seed"))
+    return qa.best_answers(scored, qa_examples_df(spark, sf), QA_N_BEST, QA_MAX_ANSWER,
+                           key_values={"seed": list(seeds)})
+
+
+def qa_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 + G1-G10 for seed 0."""
+    p = _qa_predictions(spark, sf, (0,))
+    return p.select("example_id", "prediction_text", _r("score"), _r("null_score"))
+
+
+def _qa_scores(spark: SparkSession, sf: str, lowercase=False, first_gold_only=False):
+    p = _qa_predictions(spark, sf)
+    return qm.squad_scores(p, qa_examples_df(spark, sf), lowercase, first_gold_only,
+                           keys=["seed"])
+
+
+def qa_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """H1-H5 per seed (exact match and F1 x 100)."""
+    return _qa_scores(spark, sf).select("seed", _r("exact_match"), _r("f1"), "n")
+
+
+def qa_scores_lower(spark: SparkSession, sf: str) -> DataFrame:
+    """H with D12 lower-casing and only the first gold text."""
+    return _qa_scores(spark, sf, True, True).select("seed", _r("exact_match"), _r("f1"), "n")
+
+
+def qa_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean / median / sample std over seeds of EM and F1."""
+    s = _qa_scores(spark, sf)
+    long = s.select("seed", F.explode(F.array(
+        F.struct(F.lit("exact_match").alias("metric"), F.col("exact_match").alias("value")),
+        F.struct(F.lit("f1").alias("metric"), F.col("f1").alias("value")))).alias("m")
+    ).select(F.lit("conversations").alias("task"), F.lit("overlap").alias("model"),
+             "seed", "m.metric", "m.value")
+    out = ex.qa_summary(long)
+    return out.select("task", "model", "metric", _r("mean"), _r("median"), _r("std"),
+                      "n_seeds")
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -196,4 +320,13 @@ REGISTRY = {
     "label_encode": label_encode,
     "shuffled_batches": shuffled_batches,
     "eval_batches": eval_batches,
+    "qa_examples": qa_examples,
+    "qa_features": qa_features,
+    "qa_labels": qa_labels,
+    "qa_quarantine": qa_quarantine,
+    "span_validation": span_validation,
+    "qa_predictions": qa_predictions,
+    "qa_scores": qa_scores,
+    "qa_scores_lower": qa_scores_lower,
+    "qa_summary": qa_summary,
 }
