@@ -32,3 +32,16 @@ def top_k_indices(values, k: int) -> Column:
     keyed = F.transform(v, lambda x, i: F.struct((-x.cast("double")).alias("k"),
                                                   i.alias("i")))
     return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["i"])
+
+
+def evaluate_once(df):
+    """Plan barrier: columns computed above this point are referenced, not
+    re-inlined, by later projections.
+
+    Catalyst collapses adjacent projections and would copy an expensive
+    column (e.g. a per-row word set) into a higher-order function's lambda,
+    evaluating it once per array element.  A one-element ``explode`` is a
+    Generate node, which projections are not collapsed through; it costs
+    one row copy.
+    """
+    return df.withColumn("_once", F.explode(F.array(F.lit(0)))).drop("_once")

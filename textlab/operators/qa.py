@@ -14,25 +14,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlab.functions.arrays import top_k_indices
+from textlab.functions.arrays import evaluate_once, top_k_indices
 from textlab.functions.text import WORD_CLASS
 
 
-def overlap_logits(w: DataFrame, seed: Column | int = 0) -> DataFrame:
+def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFrame:
     """F3 default scorer (no model needed): question/context word overlap.
 
     For context token j of the window, m_j = 1 when its lower-cased text is
     a question word.  start = 4 m_j + 2 m_{j+1} + [word] + 0.5 ((j+seed) mod 3),
     end = 4 m_j + 2 m_{j-1} + [word] + 0.5 ((j+2 seed) mod 3); the CLS
     position scores 0 and the question / separator positions -1.
+
+    With ``seeds`` the windows are expanded to one row per seed (a literal
+    list, narrow explode) after the seed-independent arrays are built.
     """
-    seed = F.lit(seed) if isinstance(seed, int) else seed
-    q_words = F.array_distinct(F.transform(
-        F.filter("q_tok.tok", lambda t: t.rlike(f"^[{WORD_CLASS}]+$")), lambda t: F.lower(t)))
+    word_re = f"^[{WORD_CLASS}]+$"
+    w = evaluate_once(w.withColumn("_qw", F.array_distinct(F.transform(
+        F.filter("q_tok.tok", lambda t: t.rlike(word_re)), lambda t: F.lower(t)))))
     w = w.withColumn("_m", F.transform(
-        "ctx_tok", lambda t: F.when(F.array_contains(q_words, F.lower(t)), 1).otherwise(0)))
+        "ctx_tok", lambda t: F.when(F.array_contains(F.col("_qw"), F.lower(t)), 1).otherwise(0)))
     w = w.withColumn("_wd", F.transform(
-        "ctx_tok", lambda t: F.when(t.rlike(f"^[{WORD_CLASS}]+$"), 1).otherwise(0)))
+        "ctx_tok", lambda t: F.when(t.rlike(word_re), 1).otherwise(0)))
+    if seeds is not None:
+        w = w.withColumn("seed", F.explode(F.array(*[F.lit(int(x)) for x in seeds])))
+        seed = F.col("seed")
+    else:
+        seed = F.lit(0)
 
     def logit(i, kind):
         j = i - F.col("ctx_lo")
@@ -51,7 +59,7 @@ def overlap_logits(w: DataFrame, seed: Column | int = 0) -> DataFrame:
     pos = F.sequence(F.lit(0), F.col("seq_len") - 1)
     return (w.withColumn("start_logits", F.transform(pos, lambda i: logit(i, "start")))
             .withColumn("end_logits", F.transform(pos, lambda i: logit(i, "end")))
-            .drop("_m", "_wd"))
+            .drop("_qw", "_m", "_wd"))
 
 
 def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
@@ -64,9 +72,14 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     of a stable descending sort over (window, start rank, end rank).
     Also G8's per-window null score (CLS start + CLS end logit)."""
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
-    s_top = top_k_indices(sl, n_best)
-    e_top = top_k_indices(el, n_best)
-    n_off = F.size(off)
+    # materialise the top-k lists and sizes once per row: lambdas below
+    # would otherwise re-evaluate them for every element
+    w = evaluate_once(w.select(*keys, "example_id", "window_idx", "start_logits",
+                               "end_logits", "offsets",
+                               top_k_indices(sl, n_best).alias("_s_top"),
+                               top_k_indices(el, n_best).alias("_e_top"),
+                               F.size(off).alias("_n_off")))
+    s_top, e_top, n_off = F.col("_s_top"), F.col("_e_top"), F.col("_n_off")
 
     def pair(s, si, e, ei):
         return F.struct((F.get(sl, s) + F.get(el, e)).alias("score"),

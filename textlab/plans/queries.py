@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.functions.arrays import argmax, as_double_array
+from textlab.functions.arrays import argmax, as_double_array, evaluate_once
 from textlab.operators import clf_metrics as cm
 from textlab.operators import batching as bt
 from textlab.operators import experiments as ex
@@ -210,8 +210,10 @@ def qa_examples_df(spark: SparkSession, sf: str) -> DataFrame:
     a = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("context"))
     ex = u.join(a, ["conv_id", "turn"])
-    longest = F.array_max(F.transform(words("context"), lambda w, i: F.struct(
-        F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"]
+    ex = ex.withColumn("_lw", F.array_max(F.transform(words("context"), lambda w, i: F.struct(
+        F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"])
+    ex = evaluate_once(ex)
+    longest = F.col("_lw")
     answers = F.when(longest.isNull(), F.struct(
         F.array().cast("array<int>").alias("answer_start"),
         F.array().cast("array<string>").alias("text"))).otherwise(F.struct(
@@ -264,9 +266,7 @@ def span_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS) -> DataFrame:
-    w = _qa_windows(spark, sf)
-    w = w.select("*", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
-    scored = qa.overlap_logits(w, F.col("seed"))
+    scored = qa.overlap_logits(_qa_windows(spark, sf), seeds)
     return qa.best_answers(scored, qa_examples_df(spark, sf), QA_N_BEST, QA_MAX_ANSWER,
                            key_values={"seed": list(seeds)})
 
