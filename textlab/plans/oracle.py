@@ -482,6 +482,192 @@ SELECT 'conversations' AS task, 'overlap' AS model, metric, ROUND(AVG(value), {R
 FROM lng GROUP BY metric
 """
 
+
+# ------------------------------------------------------- D15, D4, K, B, F1, J11
+def _tokens_sql(x: str) -> str:
+    W, S, _ = _qa_consts()
+    tok = f"[{W}]+|[{S}]+|[^{W}{S}]"
+    return (f"list_filter(regexp_extract_all({x}, '{tok}'), "
+            f"lambda t: NOT regexp_full_match(t, '[{S}]+'))")
+
+
+def _vocab_ctes() -> str:
+    from textlab.plans.queries import VOCAB_SIZE
+    return f"""
+ft AS (SELECT unnest({_tokens_sql('text')}) AS token FROM documents),
+freq AS (SELECT token, COUNT(*) AS n FROM ft GROUP BY token
+         ORDER BY n DESC, token LIMIT {VOCAB_SIZE}),
+vocab AS (SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3))
+                 sp(token, token_id)
+          UNION ALL
+          SELECT token, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, token) - 1 + 4 AS INTEGER)
+          FROM freq)"""
+
+
+def _vocabulary() -> str:
+    return f"""WITH {_vocab_ctes()}
+SELECT CAST(token_id AS INTEGER) AS token_id, token FROM vocab
+"""
+
+
+def _encode_docs() -> str:
+    from textlab.plans.queries import ENCODE_MAX_LENGTH as L
+    return f"""WITH {_vocab_ctes()},
+dt AS (SELECT doc_id, {_tokens_sql('text')} AS toks FROM documents),
+kept AS (SELECT doc_id, unnest(toks[1:{L - 2}]) AS token FROM dt),
+kid AS (SELECT k.doc_id, COALESCE(v.token_id, 1) AS id FROM kept k LEFT JOIN vocab v USING (token)),
+agg AS (SELECT doc_id, COUNT(*) AS nk, SUM(id) AS s, COUNT(*) FILTER (WHERE id = 1) AS nu
+        FROM kid GROUP BY doc_id)
+SELECT dt.doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, len(toks) > {L - 2} AS truncated,
+       CAST(COALESCE(nu, 0) AS INTEGER) AS n_unk,
+       CAST(COALESCE(nk, 0) + 2 AS INTEGER) AS n_attention,
+       CAST(COALESCE(s, 0) + 2 + 3 AS BIGINT) AS ids_sum, {L} AS length
+FROM dt LEFT JOIN agg USING (doc_id)
+"""
+
+
+def _corpus_stats() -> str:
+    return f"""
+SELECT source, CAST(COUNT(*) AS BIGINT) AS n_docs,
+       CAST(SUM(len({_tokens_sql('text')})) AS BIGINT) AS n_tokens,
+       CAST(SUM(octet_length(encode(text))) AS BIGINT) AS n_bytes
+FROM documents GROUP BY ROLLUP (source)
+"""
+
+
+def _corpus_sources() -> str:
+    return f"""
+WITH c AS (SELECT source, text FROM documents
+           UNION ALL SELECT 'conversations' AS source, text FROM conversations
+           UNION ALL SELECT 'benchmark' AS source, text FROM benchmark)
+SELECT source, CAST(COUNT(*) AS BIGINT) AS n_docs,
+       CAST(SUM(len({_tokens_sql('text')})) AS BIGINT) AS n_tokens,
+       CAST(SUM(octet_length(encode(text))) AS BIGINT) AS n_bytes
+FROM c GROUP BY ROLLUP (source)
+"""
+
+
+_LABEL_SETS = """
+ls AS (SELECT d.doc_id,
+              list_filter([d.lang, CASE WHEN l.quality = 1 THEN 'quality' END,
+                           CASE WHEN l.toxic = 1 THEN 'toxic' END], lambda x: x IS NOT NULL) AS labels,
+              list_filter([CASE WHEN d.n_chars >= 1000 THEN d.lang ELSE 'en' END,
+                           CASE WHEN d.n_chars > 3000 THEN 'quality' END,
+                           CASE WHEN contains(d.text, '!') THEN 'toxic' END],
+                          lambda x: x IS NOT NULL) AS predicted
+       FROM documents d JOIN labels l USING (doc_id))"""
+
+
+def _multilabel_report() -> str:
+    return f"""WITH {_LABEL_SETS},
+t AS (SELECT DISTINCT doc_id, unnest(labels) AS label FROM ls),
+p AS (SELECT DISTINCT doc_id, unnest(predicted) AS label FROM ls),
+j AS (SELECT COALESCE(t.label, p.label) AS label,
+             CASE WHEN t.doc_id IS NOT NULL THEN 1 ELSE 0 END AS it,
+             CASE WHEN p.doc_id IS NOT NULL THEN 1 ELSE 0 END AS ip
+      FROM t FULL OUTER JOIN p ON t.doc_id = p.doc_id AND t.label = p.label),
+per AS (SELECT label, CAST(SUM(it * ip) AS DOUBLE) AS tp, CAST(SUM((1 - it) * ip) AS DOUBLE) AS fp,
+               CAST(SUM(it * (1 - ip)) AS DOUBLE) AS fn FROM j GROUP BY label),
+pm AS (SELECT label, tp, fp, fn, COALESCE(tp / NULLIF(tp + fp, 0), 0) AS precision,
+              COALESCE(tp / NULLIF(tp + fn, 0), 0) AS recall,
+              COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) AS f1 FROM per),
+sm AS (SELECT AVG(precision) AS ap, AVG(recall) AS ar, AVG(f1) AS af,
+              SUM(tp) AS stp, SUM(fp) AS sfp, SUM(fn) AS sfn FROM pm)
+SELECT 'precision' AS metric, label AS class_name, ROUND(precision, {R}) AS value FROM pm
+UNION ALL SELECT 'recall', label, ROUND(recall, {R}) FROM pm
+UNION ALL SELECT 'f1', label, ROUND(f1, {R}) FROM pm
+UNION ALL SELECT 'precision', 'macro', ROUND(ap, {R}) FROM sm
+UNION ALL SELECT 'recall', 'macro', ROUND(ar, {R}) FROM sm
+UNION ALL SELECT 'f1', 'macro', ROUND(af, {R}) FROM sm
+UNION ALL SELECT 'precision', 'micro', ROUND(COALESCE(stp / NULLIF(stp + sfp, 0), 0), {R}) FROM sm
+UNION ALL SELECT 'recall', 'micro', ROUND(COALESCE(stp / NULLIF(stp + sfn, 0), 0), {R}) FROM sm
+UNION ALL SELECT 'f1', 'micro', ROUND(COALESCE(2 * stp / NULLIF(2 * stp + sfp + sfn, 0), 0), {R}) FROM sm
+"""
+
+
+def _labelset_stats() -> str:
+    return f"""WITH {_LABEL_SETS},
+k AS (SELECT len(list_distinct(labels)) AS k FROM ls)
+SELECT 'n_rows' AS stat, ROUND(CAST(COUNT(*) AS DOUBLE), {R}) AS value FROM k
+UNION ALL SELECT 'max_labels', ROUND(CAST(MAX(k) AS DOUBLE), {R}) FROM k
+UNION ALL SELECT 'mean_labels', ROUND(AVG(k), {R}) FROM k
+UNION ALL SELECT 'n_labels', ROUND(CAST(COUNT(DISTINCT l) AS DOUBLE), {R})
+          FROM (SELECT unnest(labels) AS l FROM ls)
+"""
+
+
+def _resolve_models() -> str:
+    from textlab.operators import project as pj
+    return f"""
+SELECT page_id,
+       replace(CASE WHEN contains(url, '{pj.FAMILY_TOKEN}') OR contains(url, '\\')
+                      THEN string_split(url, '\\')[-1]
+                    WHEN contains(url, '/') THEN string_split(url, '/')[-1]
+                    ELSE url END, '{pj.CONVERTED_SUFFIX}', '') AS model_name,
+       CASE WHEN contains(url, '{pj.FAMILY_TOKEN}') THEN '{pj.FAMILY_TOKENIZER}'
+            WHEN contains(url, '\\') THEN '{pj.LOCAL_PATH_TOKENIZER}'
+            ELSE url END AS tokenizer,
+       CASE WHEN contains(url, '{pj.OWN_MODEL_TOKEN}') THEN '{pj.OWN_MODEL_ROOT}'
+            ELSE '{pj.BENCHMARK_ROOT}' END AS output_root
+FROM pages
+"""
+
+
+def _nb_report() -> str:
+    from textlab.plans.queries import NB_ALPHAS, NB_CLASSES
+    W, _, _ = _qa_consts()
+    al = ", ".join(f"(CAST({a!r} AS DOUBLE))" for a in NB_ALPHAS)
+    cl = ", ".join(f"({c})" for c in NB_CLASSES)
+    return f"""
+WITH lab AS (SELECT d.doc_id, d.text, l.quality AS class_id
+             FROM documents d JOIN labels l USING (doc_id)),
+ps AS (SELECT *, ROW_NUMBER() OVER (ORDER BY doc_id) - 1 AS position, COUNT(*) OVER () AS n FROM lab),
+train AS (SELECT * FROM ps WHERE position < round_even(90 * n / 100.0, 0)),
+test AS (SELECT * FROM ps WHERE position >= n + round_even(-10 * n / 100.0, 0)),
+al(alpha) AS (VALUES {al}),
+cls(class_id) AS (VALUES {cl}),
+trw AS (SELECT doc_id, class_id, unnest(regexp_extract_all(lower(text), '[{W}]+')) AS word FROM train),
+nwc AS (SELECT word, class_id, COUNT(*) AS n_wc FROM trw GROUP BY word, class_id),
+nc AS (SELECT class_id, COUNT(*) AS n_c FROM trw GROUP BY class_id),
+voc AS (SELECT DISTINCT word FROM nwc),
+vs AS (SELECT CAST(COUNT(*) AS DOUBLE) AS v FROM voc),
+nd AS (SELECT CAST(COUNT(*) AS DOUBLE) AS nd FROM train),
+ll AS (SELECT al.alpha, voc.word, cls.class_id,
+              ln((COALESCE(nwc.n_wc, 0) + al.alpha) / (COALESCE(nc.n_c, 0) + al.alpha * vs.v)) AS lp
+       FROM voc CROSS JOIN cls CROSS JOIN al CROSS JOIN vs
+       LEFT JOIN nwc ON nwc.word = voc.word AND nwc.class_id = cls.class_id
+       LEFT JOIN nc ON nc.class_id = cls.class_id),
+prior AS (SELECT al.alpha, c.class_id, ln(c.d_c / nd.nd) AS prior
+          FROM (SELECT class_id, COUNT(*) AS d_c FROM train GROUP BY class_id) c
+          CROSS JOIN al CROSS JOIN nd),
+tw AS (SELECT doc_id, word, COUNT(*) AS cnt
+       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[{W}]+')) AS word FROM test)
+       GROUP BY doc_id, word),
+s AS (SELECT ll.alpha, tw.doc_id, ll.class_id, SUM(tw.cnt * ll.lp) AS ll
+      FROM tw JOIN ll USING (word) GROUP BY ll.alpha, tw.doc_id, ll.class_id),
+sc AS (SELECT al.alpha, t.doc_id, cls.class_id, t.class_id AS target,
+              COALESCE(pr.prior, 0.0) + COALESCE(s.ll, 0.0) AS score
+       FROM test t CROSS JOIN al CROSS JOIN cls
+       LEFT JOIN prior pr ON pr.alpha = al.alpha AND pr.class_id = cls.class_id
+       LEFT JOIN s ON s.alpha = al.alpha AND s.doc_id = t.doc_id AND s.class_id = cls.class_id),
+pred AS (SELECT alpha, doc_id, target, class_id AS prediction FROM (
+           SELECT *, ROW_NUMBER() OVER (PARTITION BY alpha, doc_id ORDER BY score DESC, class_id) AS rn
+           FROM sc) WHERE rn = 1),
+conf AS (SELECT alpha, target, prediction, COUNT(*) AS n FROM pred GROUP BY ALL),
+{report_ctes('conf', ['alpha'])}
+SELECT alpha, metric, class_name, ROUND(value, {R}) AS value FROM rep
+"""
+
+
+def _compare_models() -> str:
+    return f"""WITH {_qa_pred_ctes((0, 1))}
+SELECT ex.id AS example_id, ex.a_text AS answer_text,
+       MAX(CASE WHEN p.seed = 0 THEN p.prediction_text END) AS overlap_s0,
+       MAX(CASE WHEN p.seed = 1 THEN p.prediction_text END) AS overlap_s1
+FROM ex LEFT JOIN pred p ON p.example_id = ex.id
+GROUP BY ex.id, ex.a_text
+"""
+
 def all_sql() -> dict[str, str]:
     return {
         "clf_report": CLF_REPORT,
@@ -506,4 +692,13 @@ def all_sql() -> dict[str, str]:
         "qa_scores": _qa_scores(False),
         "qa_scores_lower": _qa_scores(True),
         "qa_summary": _qa_summary(),
+        "vocabulary": _vocabulary(),
+        "encode_docs": _encode_docs(),
+        "corpus_stats": _corpus_stats(),
+        "corpus_sources": _corpus_sources(),
+        "multilabel_report": _multilabel_report(),
+        "labelset_stats": _labelset_stats(),
+        "resolve_models": _resolve_models(),
+        "nb_report": _nb_report(),
+        "compare_models": _compare_models(),
     }

@@ -17,6 +17,9 @@ from textlab.operators import batching as bt
 from textlab.operators import experiments as ex
 from textlab.operators import labels as lb
 from textlab.operators import positions as pos
+from textlab.operators import corpus as cp
+from textlab.operators import models as md
+from textlab.operators import project as pj
 from textlab.operators import qa
 from textlab.operators import qa_metrics as qm
 from textlab.operators import textprep as tp
@@ -306,6 +309,132 @@ def qa_summary(spark: SparkSession, sf: str) -> DataFrame:
                       "n_seeds")
 
 
+
+# ------------------------------------------------------- D15, D4, D3, K, B
+# Vocabulary size and single-sequence length of the encoder.
+VOCAB_SIZE = 1000
+ENCODE_MAX_LENGTH = 512
+
+
+def _vocab(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", ["text"])
+    return tp.vocabulary(tp.token_frequencies(docs, "text", VOCAB_SIZE))
+
+
+def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """Special tokens + the top-1000 tokens of ``documents``."""
+    return _vocab(spark, sf).select("token_id", "token")
+
+
+def encode_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Single-sequence encoding of every document (512 ids, mask);
+    reported as per-document summaries of the id and mask arrays."""
+    docs = table(spark, sf, "documents", ["doc_id", "text"])
+    toks = docs.select("doc_id", tp.native_tokens("text").alias("toks"))
+    enc = tp.encode_single(toks, "toks", _vocab(spark, sf), "doc_id", ENCODE_MAX_LENGTH)
+    return enc.select(
+        "doc_id", "n_tokens", "truncated",
+        F.size(F.filter("input_ids", lambda x: x == 1)).alias("n_unk"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attention"),
+        F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
+        F.size("input_ids").alias("length"))
+
+
+def subword_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """D3: WordPiece split of every distinct word of ``documents`` against
+    a vocabulary of the top-1000 tokens plus the corpus alphabet."""
+    docs = table(spark, sf, "documents", ["text"])
+    freq = tp.token_frequencies(docs, "text", VOCAB_SIZE)
+    alphabet = docs.select(F.explode(F.split(F.regexp_replace(
+        "text", "[^\\p{L}\\p{N}_]", ""), "")).alias("ch")).where(F.col("ch") != "").distinct()
+    vocab = tp.wordpiece_vocabulary(freq, alphabet)
+    return tp.subword(docs, "text", vocab).select(
+        "word", F.size("pieces").alias("n_pieces"), F.array_join("pieces", " ").alias("pieces"))
+
+
+def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: documents, tokens and bytes per source and in total."""
+    docs = table(spark, sf, "documents", ["source", "text"])
+    return cp.corpus_stats(docs).select("source", "n_docs", "n_tokens", "n_bytes")
+
+
+def corpus_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 + K1: documents, conversation turns and benchmark passages as one
+    corpus, counted per source."""
+    c = cp.assemble_corpus([
+        (table(spark, sf, "documents", ["source", "text"]), "text", "source"),
+        (table(spark, sf, "conversations", ["text"]), "text", "conversations"),
+        (table(spark, sf, "benchmark", ["text"]), "text", "benchmark")])
+    return cp.corpus_stats(c).select("source", "n_docs", "n_tokens", "n_bytes")
+
+
+def _label_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-label sets of the labelled documents: true = {lang, quality?,
+    toxic?}; predicted by a length / punctuation rule."""
+    d = table(spark, sf, "documents", ["doc_id", "text", "lang", "n_chars"])
+    l = table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
+    j = d.join(l, "doc_id")
+    true = F.array_compact(F.array("lang", F.when(F.col("quality") == 1, F.lit("quality")),
+                                   F.when(F.col("toxic") == 1, F.lit("toxic"))))
+    pred = F.array_compact(F.array(
+        F.when(F.col("n_chars") >= 1000, F.col("lang")).otherwise(F.lit("en")),
+        F.when(F.col("n_chars") > 3000, F.lit("quality")),
+        F.when(F.col("text").contains("!"), F.lit("toxic"))))
+    return j.select("doc_id", true.alias("labels"), pred.alias("predicted"))
+
+
+def multilabel_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-label precision / recall / F1 per label, macro, micro."""
+    r = cm.multilabel_report(_label_sets(spark, sf), "doc_id", "labels", "predicted")
+    return r.select("metric", "class_name", _r())
+
+
+def labelset_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: size statistics of the true label sets."""
+    return cp.labelset_stats(_label_sets(spark, sf)).select("stat", _r())
+
+
+def resolve_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Model name, tokenizer and output root derived from a path
+    (the page URLs serve as paths)."""
+    pages = table(spark, sf, "pages", ["page_id", "url"])
+    return pj.resolve_models(pages, "url").select("page_id", "model_name", "tokenizer",
+                                                  "output_root")
+
+
+# Naive Bayes grid (smoothing) and classes of the quality flag.
+NB_ALPHAS = (0.5, 1.0)
+NB_CLASSES = (0, 1)
+
+
+def nb_report(spark: SparkSession, sf: str) -> DataFrame:
+    """F1(a): naive Bayes on the labelled documents' text, trained on the
+    first 90 % by doc_id (A2), validated on the last 10 % (A3), for every
+    smoothing value; then I1-I10 per alpha."""
+    d = table(spark, sf, "documents", ["doc_id", "text"])
+    l = table(spark, sf, "labels", ["doc_id", "quality"])
+    lab = d.join(l, "doc_id")
+    parts = pos.split_fraction(lab, "doc_id", 90.0)
+    train = parts.where(F.col("split") == "train")
+    test = parts.where(F.col("split") == "validation")
+    ll, prior = md.train_nb(train, "doc_id", "text", "quality", NB_CLASSES, NB_ALPHAS)
+    pred = md.predict_nb(test, "doc_id", "text", ll, prior, NB_CLASSES, NB_ALPHAS)
+    pred = pred.join(test.select("doc_id", F.col("quality").alias("target")), "doc_id")
+    rep = cm.classification_report(cm.confusion(pred, ["alpha"]), ["alpha"])
+    return rep.select("alpha", "metric", "class_name", _r())
+
+
+def compare_models(spark: SparkSession, sf: str) -> DataFrame:
+    """J11 (+ F6): QA predictions of two scorer variants side by side with
+    the gold answer."""
+    p = _qa_predictions(spark, sf, (0, 1)).select(
+        "example_id", F.concat(F.lit("overlap_s"), F.col("seed").cast("string")).alias("model"),
+        F.col("prediction_text").alias("prediction"))
+    truth = qa_examples_df(spark, sf).select(
+        F.col("id").alias("example_id"), F.get(F.col("answers.text"), 0).alias("answer_text"))
+    return ex.compare_models(p, truth, "example_id", ["overlap_s0", "overlap_s1"])
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -329,4 +458,14 @@ REGISTRY = {
     "qa_scores": qa_scores,
     "qa_scores_lower": qa_scores_lower,
     "qa_summary": qa_summary,
+    "vocabulary": vocabulary,
+    "encode_docs": encode_docs,
+    "subword_pieces": subword_pieces,
+    "corpus_stats": corpus_stats,
+    "corpus_sources": corpus_sources,
+    "multilabel_report": multilabel_report,
+    "labelset_stats": labelset_stats,
+    "resolve_models": resolve_models,
+    "nb_report": nb_report,
+    "compare_models": compare_models,
 }
