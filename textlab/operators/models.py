@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlab.functions.text import WORD_CLASS
+from textlab.session import cut_lineage
 
 
 def doc_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -42,8 +43,10 @@ def train_nb(train: DataFrame, id_col: str, text_col: str, label_col: str,
     """
     labelled = train.select(id_col, text_col, F.col(label_col).cast("int").alias("class_id"))
     wc = doc_words(labelled, id_col, text_col).join(labelled.select(id_col, "class_id"), id_col)
-    n_wc = wc.groupBy("word", "class_id").agg(F.sum("cnt").alias("n_wc"))
-    n_c = wc.groupBy("class_id").agg(F.sum("cnt").alias("n_c"))
+    # the fitted sufficient statistics are materialised once (reliable
+    # checkpoint): the scalars below and the likelihood table all read them
+    n_wc = cut_lineage(wc.groupBy("word", "class_id").agg(F.sum("cnt").alias("n_wc")))
+    n_c = n_wc.groupBy("class_id").agg(F.sum("n_wc").alias("n_c"))
     vocab = n_wc.select("word").distinct()
     v_size = vocab.count()
     n_docs = labelled.count()

@@ -24,6 +24,7 @@ from textlab.operators import qa
 from textlab.operators import qa_metrics as qm
 from textlab.operators import textprep as tp
 from textlab.functions.text import words
+from textlab.session import cut_lineage
 from textlab.sources.tables import table
 
 ROUND = 6
@@ -414,7 +415,9 @@ def nb_report(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents", ["doc_id", "text"])
     l = table(spark, sf, "labels", ["doc_id", "quality"])
     lab = d.join(l, "doc_id")
-    parts = pos.split_fraction(lab, "doc_id", 90.0)
+    # the split is read by training, scoring and the truth join: materialise
+    # it once instead of re-running the positional index per branch
+    parts = cut_lineage(pos.split_fraction(lab, "doc_id", 90.0))
     train = parts.where(F.col("split") == "train")
     test = parts.where(F.col("split") == "validation")
     ll, prior = md.train_nb(train, "doc_id", "text", "quality", NB_CLASSES, NB_ALPHAS)
