@@ -701,4 +701,7 @@ def all_sql() -> dict[str, str]:
         "resolve_models": _resolve_models(),
         "nb_report": _nb_report(),
         "compare_models": _compare_models(),
+        "stored_runs": RUN_METRICS.replace(
+            "FROM rep\n", "FROM rep WHERE lr = CAST(1e-05 AS DOUBLE) AND seed IN (0, 1)\n"),
+        "streamed_clf_report": CLF_REPORT,
     }

@@ -438,6 +438,37 @@ def compare_models(spark: SparkSession, sf: str) -> DataFrame:
     return ex.compare_models(p, truth, "example_id", ["overlap_s0", "overlap_s1"])
 
 
+
+# ------------------------------------------------------------- A6-A9, stream
+def stored_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 then A6/A7: the validation metric vectors of all runs are written
+    as a run table partitioned by run keys (in the shared checkpoint
+    folder), then read back for two seeds of the smallest learning rate --
+    only those partitions are listed and scanned."""
+    import uuid
+    from textlab.session import ensure_checkpoint_dir
+    from textlab.sources import runs
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runs/{uuid.uuid4().hex}"
+    runs.write_runs(_run_metrics(spark, sf, "validation"), root)
+    back = runs.read_runs(spark, root, lr=LRS[0], seed=[0, 1])
+    return back.select(*ex.RUN, "metric", "class_name", _r())
+
+
+def streamed_clf_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship report computed by a Structured Streaming query that
+    treats ``embeddings`` as arriving prediction files (running confusion
+    counts as state, metrics from the memory table)."""
+    from textlab.streaming.evaluator import stream_report
+    schema = table(spark, sf, "embeddings").schema
+
+    def score(df):
+        return df.select(F.col("label").alias("target"),
+                         argmax(as_double_array(F.slice("embedding", 1, 10))).alias("prediction"))
+
+    rep = stream_report(spark, sf, schema, score, file_glob="embeddings.parquet")
+    return rep.select("metric", "class_name", _r())
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -471,4 +502,6 @@ REGISTRY = {
     "resolve_models": resolve_models,
     "nb_report": nb_report,
     "compare_models": compare_models,
+    "stored_runs": stored_runs,
+    "streamed_clf_report": streamed_clf_report,
 }
