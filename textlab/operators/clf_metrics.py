@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlab.functions.arrays import argmax
@@ -49,31 +49,27 @@ def dense_confusion(conf: DataFrame, class_ids: Sequence[int],
 
 def _per_class(conf: DataFrame, keys: list[str],
                declared: Sequence[int] | None) -> DataFrame:
+    """``(keys..., class_id, true_n, pred_n, tp)``: each confusion cell adds
+    to its target class (true_n, tp) and to its predicted class (pred_n);
+    one aggregation instead of two plus a full outer join."""
     is_tp = F.col("target") == F.col("prediction")
-    true_side = (conf.groupBy(*keys, F.col("target").alias("class_id"))
-                 .agg(F.sum("n").alias("true_n"),
-                      F.sum(F.when(is_tp, F.col("n")).otherwise(0)).alias("tp")))
-    pred_side = (conf.groupBy(*keys, F.col("prediction").alias("class_id"))
-                 .agg(F.sum("n").alias("pred_n")))
-    pc = (true_side.join(pred_side, [*keys, "class_id"], "full_outer")
-          .select(*keys, "class_id",
-                  *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
-                    for c in ("true_n", "pred_n", "tp")]))
-    # N is the run total; a window over the per-class rows (runs x K rows).
-    w = Window.partitionBy(*keys)
-    pc = pc.withColumn("N", F.sum("true_n").over(w))
+    z = F.lit(0).cast("long")
+    roles = F.array(
+        F.struct(F.col("target").alias("class_id"), F.col("n").alias("true_n"),
+                 z.alias("pred_n"), F.when(is_tp, F.col("n")).otherwise(z).alias("tp")),
+        F.struct(F.col("prediction").alias("class_id"), z.alias("true_n"),
+                 F.col("n").alias("pred_n"), z.alias("tp")))
+    rows = conf.select(*keys, F.explode(roles).alias("r")).select(*keys, "r.*")
     if declared is not None:
-        # Declared classes (Q8): absent classes get zero counts, classes
-        # outside the list are dropped from the per-class rows.  The list is
-        # a literal, so the per-run expansion is a narrow explode.
-        ids = F.array(*[F.lit(int(c)) for c in declared])
-        runs = pc.select(*keys, "N").distinct()
-        grid = runs.withColumn("class_id", F.explode(ids))
-        pc = (grid.join(pc.drop("N"), [*keys, "class_id"], "left")
-              .select(*keys, "class_id", "N",
-                      *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
-                        for c in ("true_n", "pred_n", "tp")]))
-    return pc
+        # Declared classes (Q8): every declared class gets a zero row per
+        # run (a literal list, so a narrow explode), classes outside the
+        # list are dropped from the per-class rows.
+        ids = [int(c) for c in declared]
+        zero = conf.select(*keys, F.explode(F.array(*[F.lit(c) for c in ids])).alias("class_id"),
+                           z.alias("true_n"), z.alias("pred_n"), z.alias("tp"))
+        rows = rows.where(F.col("class_id").isin(*ids)).unionByName(zero)
+    return rows.groupBy(*keys, "class_id").agg(
+        *[F.sum(c).cast("long").alias(c) for c in ("true_n", "pred_n", "tp")])
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -98,6 +94,11 @@ def classification_report(conf: DataFrame, keys: Sequence[str] = (),
     ``labels='declared'``: the ``declared`` class-id list, absent classes
     included with zero counts.  ``classes`` (class_id, class_name) names the
     rows; unnamed ids are shown as their number.
+
+    Plan: the per-class table is gathered per run (K entries, the class
+    vocabulary -- not data rows) and all metrics are array arithmetic on
+    that one row, so after the confusion count there are two small
+    shuffles in total.
     """
     keys = list(keys)
     if labels not in ("observed", "declared"):
@@ -105,40 +106,45 @@ def classification_report(conf: DataFrame, keys: Sequence[str] = (),
     if labels == "declared" and declared is None:
         raise ValueError("labels='declared' needs the declared class ids")
     pc = _per_class(conf, keys, declared if labels == "declared" else None)
-    tp, tn_, pn, N = (F.col(c) for c in ("tp", "true_n", "pred_n", "N"))
-    pc = pc.select(
-        *keys, "class_id", "tp", "true_n", "pred_n", "N",
-        _ratio(N - tn_ - pn + 2 * tp, N).alias("accuracy"),
-        _ratio(tp, pn).alias("precision"),
-        _ratio(tp, tn_).alias("recall"),
-        _ratio(2 * tp, pn + tn_).alias("f1"))
     if classes is not None:
         pc = pc.join(classes.select("class_id", "class_name"), "class_id", "left")
         name = F.coalesce(F.col("class_name"), F.col("class_id").cast("string"))
     else:
         name = F.col("class_id").cast("string")
-
-    def stacked(df: DataFrame, label: Column, cols: dict[str, Column]) -> DataFrame:
-        arr = F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value"))
-                        for m, v in cols.items()])
-        return (df.select(*keys, label.alias("class_name"), F.explode(arr).alias("m"))
-                .select(*keys, F.col("m.metric").alias("metric"), "class_name",
-                        F.col("m.value").alias("value")))
-
-    per_class = stacked(pc, name, {m: F.col(m) for m in METRICS})
-    summary = pc.groupBy(*keys).agg(
-        *[F.avg(m).alias(f"macro_{m}") for m in METRICS],
-        F.sum("tp").alias("s_tp"), F.sum("pred_n").alias("s_pn"),
-        F.sum("true_n").alias("s_tn"), F.max("N").alias("s_N"))
-    macro = stacked(summary, F.lit("macro"),
-                    {m: F.col(f"macro_{m}") for m in METRICS})
-    s_tp, s_pn, s_tn, s_N = (F.col(c) for c in ("s_tp", "s_pn", "s_tn", "s_N"))
-    micro = stacked(summary, F.lit("micro"), {
-        "accuracy": _ratio(s_tp, s_N),
-        "precision": _ratio(s_tp, s_pn),
-        "recall": _ratio(s_tp, s_tn),
-        "f1": _ratio(2 * s_tp, s_pn + s_tn)})
-    return per_class.unionByName(macro).unionByName(micro)
+    pc = pc.select(*keys, F.struct(name.alias("name"), "true_n", "pred_n", "tp").alias("c"))
+    run = pc.groupBy(*keys).agg(F.collect_list("c").alias("cs"),
+                                F.sum("c.true_n").alias("N"), F.sum("c.pred_n").alias("PN"),
+                                F.sum("c.tp").alias("TP"))
+    N = F.col("N")
+
+    def metrics(c):
+        tp, tn_, pn = c["tp"], c["true_n"], c["pred_n"]
+        return F.struct(c["name"].alias("name"),
+                        _ratio(N - tn_ - pn + 2 * tp, N).alias("accuracy"),
+                        _ratio(tp, pn).alias("precision"),
+                        _ratio(tp, tn_).alias("recall"),
+                        _ratio(2 * tp, pn + tn_).alias("f1"))
+
+    run = run.select(*keys, "N", "PN", "TP", F.transform("cs", metrics).alias("m"))
+    k = F.size("m").cast("double")
+
+    def mean_of(field):
+        return F.aggregate("m", F.lit(0.0), lambda acc, x: acc + x[field]) / k
+
+    TP, PN = F.col("TP"), F.col("PN")
+    summary = {
+        "macro": {m: mean_of(m) for m in METRICS},
+        "micro": {"accuracy": _ratio(TP, N), "precision": _ratio(TP, PN),
+                  "recall": _ratio(TP, N), "f1": _ratio(2 * TP, PN + N)},
+    }
+    per_class = F.flatten(F.transform("m", lambda x: F.array(*[
+        F.struct(F.lit(m).alias("metric"), x["name"].alias("class_name"), x[m].alias("value"))
+        for m in METRICS])))
+    extra = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(cn).alias("class_name"),
+                               v.alias("value"))
+                      for cn, d in summary.items() for m, v in d.items()])
+    out = run.select(*keys, F.explode(F.concat(per_class, extra)).alias("r"))
+    return out.select(*keys, "r.metric", "r.class_name", "r.value")
 
 
 def multilabel_report(df: DataFrame, id_col: str, true_col: str, pred_col: str,
