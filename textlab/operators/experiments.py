@@ -95,6 +95,15 @@ def seed_summary(metrics: DataFrame, cfg: Sequence[str] = CFG,
                     capitalize("class_name").alias("class_name"), "mean", "std"))
 
 
+def seed_table(metrics: DataFrame, seeds: Sequence[int], cfg: Sequence[str] = CFG) -> DataFrame:
+    """Per-seed metric vectors aligned by (metric, class) into one wide
+    row per configuration x metric x class, one column per seed (for
+    display; the long table stays the working format).  The seed values
+    are given, so the pivot needs no extra pass to find them."""
+    return (metrics.groupBy(*cfg, "metric", "class_name")
+            .pivot("seed", list(seeds)).agg(F.first("value")))
+
+
 def qa_summary(scores: DataFrame, by: Sequence[str] = ("task", "model"),
                compat_contaminated: bool = False) -> DataFrame:
     """QA scores ``(by..., seed, metric, value)`` -> mean, median and

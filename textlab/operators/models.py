@@ -92,6 +92,46 @@ def predict_nb(test: DataFrame, id_col: str, text_col: str, ll: DataFrame,
                     F.col("b.score").alias("score")))
 
 
+def train_logreg(train: DataFrame, text_col: str, label_col: str,
+                 reg_params: Sequence[float] = (0.0, 0.01), max_iters: Sequence[int] = (20,),
+                 num_features: int = 1 << 18, seed: int = 0):
+    """F1(b): ``HashingTF -> IDF -> LogisticRegression`` (Spark ML) fitted
+    for every ``regParam`` x ``maxIter`` grid point.  Returns a list of
+    ``(params, fitted_pipeline)``; each fit is a distributed iterative job
+    (tree aggregation of gradients), features are hashed so no vocabulary
+    reaches the driver."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+
+    data = train.select(text_col, F.col(label_col).cast("double").alias("label"))
+    out = []
+    for rp in reg_params:
+        for mi in max_iters:
+            pipe = Pipeline(stages=[
+                RegexTokenizer(inputCol=text_col, outputCol="_w",
+                               pattern=f"[{WORD_CLASS}]+", gaps=False),
+                HashingTF(inputCol="_w", outputCol="_tf", numFeatures=num_features),
+                IDF(inputCol="_tf", outputCol="_x"),
+                LogisticRegression(featuresCol="_x", labelCol="label", regParam=rp,
+                                   maxIter=mi)])
+            out.append(({"reg_param": rp, "max_iter": mi}, pipe.fit(data)))
+    return out
+
+
+def predict_logreg(models, test: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """F1(b) scoring: ``(reg_param, max_iter, id, prediction)`` for every
+    fitted grid point (a union of narrow scoring passes)."""
+    out = None
+    for params, model in models:
+        p = (model.transform(test.select(id_col, text_col))
+             .select(F.lit(params["reg_param"]).alias("reg_param"),
+                     F.lit(params["max_iter"]).alias("max_iter"), id_col,
+                     F.col("prediction").cast("int").alias("prediction")))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 def score_with(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
                schema: str, columns: Sequence[str] | None = None) -> DataFrame:
     """F2 / L1: batch scoring with a user function over pandas batches

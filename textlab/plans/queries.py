@@ -469,6 +469,25 @@ def streamed_clf_report(spark: SparkSession, sf: str) -> DataFrame:
     return rep.select("metric", "class_name", _r())
 
 
+
+def logreg_report(spark: SparkSession, sf: str) -> DataFrame:
+    """F1(b): hashed TF-IDF + logistic regression over a regParam grid on
+    the labelled documents (train first 90 %, validate last 10 %), then
+    I1-I10 per grid point.  Iterative fit: no SQL oracle."""
+    d = table(spark, sf, "documents", ["doc_id", "text"])
+    l = table(spark, sf, "labels", ["doc_id", "quality"])
+    parts = cut_lineage(pos.split_fraction(d.join(l, "doc_id"), "doc_id", 90.0))
+    train = parts.where(F.col("split") == "train")
+    test = parts.where(F.col("split") == "validation")
+    models = md.train_logreg(train, "text", "quality", reg_params=(0.0, 0.1), max_iters=(10,),
+                             num_features=1 << 16)
+    pred = md.predict_logreg(models, test, "doc_id", "text").join(
+        test.select("doc_id", F.col("quality").alias("target")), "doc_id")
+    keys = ["reg_param", "max_iter"]
+    rep = cm.classification_report(cm.confusion(pred, keys), keys)
+    return rep.select(*keys, "metric", "class_name", _r())
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -503,5 +522,6 @@ REGISTRY = {
     "nb_report": nb_report,
     "compare_models": compare_models,
     "stored_runs": stored_runs,
+    "logreg_report": logreg_report,
     "streamed_clf_report": streamed_clf_report,
 }
