@@ -34,67 +34,79 @@ def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFram
         F.filter("q_tok.tok", lambda t: t.rlike(word_re)), lambda t: F.lower(t)))))
     w = w.withColumn("_m", F.transform(
         "ctx_tok", lambda t: F.when(F.array_contains(F.col("_qw"), F.lower(t)), 1).otherwise(0)))
-    w = w.withColumn("_wd", F.transform(
-        "ctx_tok", lambda t: F.when(t.rlike(word_re), 1).otherwise(0)))
-    if seeds is not None:
-        w = w.withColumn("seed", F.explode(F.array(*[F.lit(int(x)) for x in seeds])))
-        seed = F.col("seed")
-    else:
-        seed = F.lit(0)
+    w = evaluate_once(w.withColumn("_wd", F.transform(
+        "ctx_tok", lambda t: F.when(t.rlike(word_re), 1).otherwise(0))))
 
-    def logit(i, kind):
+    def base(i, kind):
         j = i - F.col("ctx_lo")
         m = F.get(F.col("_m"), j)
         wd = F.get(F.col("_wd"), j)
-        if kind == "start":
-            nb = F.coalesce(F.get(F.col("_m"), j + 1), F.lit(0))
-            jitter = ((j + seed) % 3) * 0.5
-        else:
-            nb = F.coalesce(F.get(F.col("_m"), j - 1), F.lit(0))
-            jitter = ((j + 2 * seed) % 3) * 0.5
-        ctx = (4 * m + 2 * nb + wd).cast("double") + jitter
+        nb = F.get(F.col("_m"), j + 1 if kind == "start" else j - 1)
+        ctx = (4 * m + 2 * F.coalesce(nb, F.lit(0)) + wd).cast("double")
         return (F.when((i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi")), ctx)
                 .when(i == 0, F.lit(0.0)).otherwise(F.lit(-1.0)))
 
     pos = F.sequence(F.lit(0), F.col("seq_len") - 1)
-    return (w.withColumn("start_logits", F.transform(pos, lambda i: logit(i, "start")))
-            .withColumn("end_logits", F.transform(pos, lambda i: logit(i, "end")))
-            .drop("_qw", "_m", "_wd"))
+    # seed-independent part, once per window (then a barrier so the seed
+    # step below references it instead of recomputing it per seed)
+    w = evaluate_once(w.withColumn("_bs", F.transform(pos, lambda i: base(i, "start")))
+                      .withColumn("_be", F.transform(pos, lambda i: base(i, "end")))
+                      .drop("_qw", "_m", "_wd"))
+    if seeds is not None:
+        w = w.withColumn("seed", F.explode(F.array(*[F.lit(int(x)) for x in seeds])))
+        seed = F.col("seed")
+    else:
+        seed = F.lit(0)
+
+    def jitter(b, i, mult):
+        j = i - F.col("ctx_lo")
+        inside = (i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi"))
+        return F.when(inside, b + ((j + mult * seed) % 3) * 0.5).otherwise(b)
+
+    return (w.withColumn("start_logits", F.transform("_bs", lambda b, i: jitter(b, i, 1)))
+            .withColumn("end_logits", F.transform("_be", lambda b, i: jitter(b, i, 2)))
+            .drop("_bs", "_be"))
 
 
 def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
                 cls_index: int = 0, keys: Sequence[str] = ()) -> DataFrame:
     """G2-G5 per window: top-``n_best`` starts and ends (lower index first
-    on equal logits), all start x end pairs, the validity filter (both
-    offsets in the context, ``end >= start``, at most ``max_answer_tokens``
-    tokens), and the best pair as ``cand = struct(score, -window_idx,
-    -start_rank, -end_rank, st, en)`` -- the struct order is the tie order
-    of a stable descending sort over (window, start rank, end rank).
-    Also G8's per-window null score (CLS start + CLS end logit)."""
+    on equal logits), the validity rules (both offsets in the context,
+    ``end >= start``, at most ``max_answer_tokens`` tokens) and the best
+    pair as ``cand = struct(score, -window_idx, -start_rank, -end_rank, st,
+    en)`` -- the struct order is the tie order of a stable descending sort
+    over (window, start rank, end rank).  Also G8's per-window null score.
+
+    Instead of materialising all ``n_best^2`` pairs: for a fixed start the
+    first qualifying end in rank order has the highest end logit and, among
+    equal ones, the lowest rank, so it is that start's best pair; the
+    window's best is the maximum over the (at most ``n_best``) starts.
+    """
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
-    # materialise the top-k lists and sizes once per row: lambdas below
-    # would otherwise re-evaluate them for every element
     w = evaluate_once(w.select(*keys, "example_id", "window_idx", "start_logits",
                                "end_logits", "offsets",
                                top_k_indices(sl, n_best).alias("_s_top"),
                                top_k_indices(el, n_best).alias("_e_top"),
                                F.size(off).alias("_n_off")))
-    s_top, e_top, n_off = F.col("_s_top"), F.col("_e_top"), F.col("_n_off")
-
-    def pair(s, si, e, ei):
-        return F.struct((F.get(sl, s) + F.get(el, e)).alias("score"),
-                        (-F.col("window_idx")).alias("nw"), (-si).alias("nsi"),
-                        (-ei).alias("nei"), s.alias("s"), e.alias("e"))
-
-    cands = F.flatten(F.transform(s_top, lambda s, si: F.transform(
-        e_top, lambda e, ei: pair(s, si, e, ei))))
-    valid = F.filter(cands, lambda c: (c["s"] < n_off) & (c["e"] < n_off)
-                     & F.get(off, c["s"]).isNotNull() & F.get(off, c["e"]).isNotNull()
-                     & (c["e"] >= c["s"]) & (c["e"] - c["s"] + 1 <= max_answer_tokens))
-    best = F.array_max(F.transform(valid, lambda c: F.struct(
-        c["score"].alias("score"), c["nw"].alias("nw"), c["nsi"].alias("nsi"),
-        c["nei"].alias("nei"), F.get(off, c["s"])["st"].alias("st"),
-        F.get(off, c["e"])["en"].alias("en"))))
+    n_off = F.col("_n_off")
+
+    def ranked_valid(col):
+        r = F.transform(col, lambda x, r: F.struct(x.alias("p"), r.alias("r")))
+        return F.filter(r, lambda x: (x["p"] < n_off) & F.get(off, x["p"]).isNotNull())
+
+    w = evaluate_once(w.withColumn("_vs", ranked_valid("_s_top"))
+                      .withColumn("_ve", ranked_valid("_e_top")))
+
+    def best_for(s):
+        e = F.get(F.filter("_ve", lambda y: (y["p"] >= s["p"])
+                           & (y["p"] - s["p"] + 1 <= max_answer_tokens)), 0)
+        return F.when(e.isNotNull(), F.struct(
+            (F.get(sl, s["p"]) + F.get(el, e["p"])).alias("score"),
+            (-F.col("window_idx")).alias("nw"), (-s["r"]).alias("nsi"),
+            (-e["r"]).alias("nei"), F.get(off, s["p"])["st"].alias("st"),
+            F.get(off, e["p"])["en"].alias("en")))
+
+    best = F.array_max(F.filter(F.transform("_vs", best_for), lambda c: c.isNotNull()))
     null_score = F.get(sl, cls_index) + F.get(el, cls_index)
     return w.select(*keys, "example_id", "window_idx", best.alias("cand"),
                     null_score.alias("null_score"))
