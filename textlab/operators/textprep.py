@@ -65,9 +65,13 @@ def tokenize(df: DataFrame, col: str, out: str = "tokens") -> DataFrame:
 
 
 def native_tokens(col) -> Column:
-    """D2 without offsets, fully native: the non-blank tokens of a text."""
-    return F.filter(raw_tokens(col),
-                    lambda t: ~t.rlike(f"^[{WS_CLASS}]+$"))
+    """D2 without offsets, fully native: the non-blank tokens of a text.
+
+    Matching only the word-run and single-symbol alternatives gives the
+    same list as tokenising fully and dropping the whitespace runs (a word
+    run is maximal either way), without a per-token regex test."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.regexp_extract_all(c, F.lit(f"[{WORD_CLASS}]+|[^{WORD_CLASS}{WS_CLASS}]"), 0)
 
 
 # ------------------------------------------------------------------ D15 / D3
