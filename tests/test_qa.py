@@ -124,3 +124,16 @@ def test_encode_single(spark):
     r = {x.id: x for x in tp.encode_single(toks, "toks", vocab, "id", max_length=4).collect()}
     assert r[1].input_ids == [2, 4, 5, 3] and r[1].truncated
     assert r[2].input_ids == [2, 3, 0, 0] and r[2].attention_mask == [1, 1, 0, 0]
+
+
+def test_locate_passages_complete_without_leading_token(spark):
+    docs = spark.createDataFrame([(1, "xxDie Marge stieg deutlich an."), (2, "Die Marge sank."),
+                                  (3, "Die Marge stieg deutlich an. Die Marge stieg deutlich an.")],
+                                 "doc_id int, text string")
+    pas = spark.createDataFrame([(7, "Die Marge stieg deutlich"), (8, "zu kurz")],
+                                "item_id int, text string")
+    got = {(r.item_id, r.doc_id): r.pos for r in
+           tp.locate_passages(docs, "doc_id", "text", pas, "item_id", "text").collect()}
+    # doc 1: the passage's first word is glued to "xx" and still found; doc 3:
+    # first occurrence; doc 2: no match; item 8 has no internal word
+    assert got == {(7, 1): 2, (7, 3): 0}

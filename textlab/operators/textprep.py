@@ -303,6 +303,39 @@ def label_spans(w: DataFrame, max_length: int = 384,
                     F.when(ok, end).otherwise(0).cast("int").alias("end_position"))
 
 
+def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
+                    passages: DataFrame, item_id: str, passage_text: str) -> DataFrame:
+    """Every (passage, document) pair where the passage occurs verbatim in
+    the document, with the first occurrence ``pos`` (0-based).
+
+    No nested loop: candidates come from an equi-join on the passage's
+    longest *internal* word (never its first or last word, which may be
+    glued to neighbouring letters in the document; an internal word is
+    always a whole token of a text containing the passage) against each
+    document's distinct words, and ``position`` verifies the exact match.
+    The join is complete, so no pair is lost.  Passages with fewer than
+    three words have no internal word and are returned in no pair.
+    """
+    wre = F.lit(f"[{WORD_CLASS}]+")
+    p = passages.select(F.col(item_id).alias("_item"), F.col(passage_text).alias("_ptext"),
+                        F.regexp_extract_all(F.col(passage_text), wre, 0).alias("_pw"))
+    p = p.where(F.size("_pw") >= 3).withColumn(
+        "_key", F.array_max(F.transform(F.slice("_pw", 2, F.size("_pw") - 2), lambda w, i: F.struct(
+            F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"])
+    p = evaluate_once(p)
+    dw = docs.select(F.col(doc_id).alias("_doc"),
+                     F.explode(F.array_distinct(F.regexp_extract_all(F.col(doc_text), wre, 0)))
+                     .alias("_key"))
+    cand = dw.join(p.select("_item", "_key", "_ptext", "_pw"), "_key")
+    cand = cand.join(docs.select(F.col(doc_id).alias("_doc"), F.col(doc_text).alias("_dtext")),
+                     "_doc")
+    at = F.position(F.col("_ptext"), F.col("_dtext"))
+    return cand.where(at > 0).select(
+        F.col("_item").alias(item_id), F.col("_doc").alias(doc_id),
+        (at - 1).cast("int").alias("pos"), F.col("_ptext").alias("passage"),
+        F.col("_pw").alias("passage_words"), F.col("_dtext").alias("context"))
+
+
 def validate_spans(examples: DataFrame) -> DataFrame:
     """Does ``context[start : start+len(text)]`` equal the first answer
     text?  Returns ``(id, stored_start, found_start, status)`` where

@@ -260,10 +260,26 @@ def _qa_consts():
     return WORD_CLASS, WS_CLASS, q
 
 
-def _qa_base() -> str:
+def _long_ex() -> str:
+    W, S, q = _qa_consts()
+    return f"""
+bw AS (SELECT item_id, text, regexp_extract_all(text, '[{W}]+') AS ws FROM benchmark),
+ex AS (SELECT CAST(b.item_id AS VARCHAR) || '-' || CAST(d.doc_id AS VARCHAR) AS id,
+              array_to_string(b.ws[1:{q.LQA_QUESTION_WORDS}], ' ') AS question, d.text AS context,
+              CAST(strpos(d.text, b.text) - 1 AS INTEGER) AS a_start, b.text AS a_text
+       FROM bw b JOIN documents d ON strpos(d.text, b.text) > 0
+       WHERE len(b.ws) >= 3)"""
+
+
+def _qa_base(source: str = "conversations") -> str:
     """CTEs: ex (id, question, context, a_start, a_text), tokens, windows."""
     W, S, q = _qa_consts()
     tok = f"[{W}]+|[{S}]+|[^{W}{S}]"
+    return (_conv_ex() if source == "conversations" else _long_ex()) + _qa_tokens_windows()
+
+
+def _conv_ex() -> str:
+    W, S, q = _qa_consts()
     return f"""
 u AS (SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'),
 a AS (SELECT conv_id, turn - 1 AS turn, text AS context FROM conversations
@@ -277,7 +293,13 @@ lw AS (SELECT id, w FROM (SELECT id, w, ROW_NUMBER() OVER
           (PARTITION BY id ORDER BY length(w) DESC, i) AS rn FROM ew) WHERE rn = 1),
 ex AS (SELECT ex0.id, ex0.question, ex0.context,
               CAST(strpos(ex0.context, lw.w) - 1 AS INTEGER) AS a_start, lw.w AS a_text
-       FROM ex0 LEFT JOIN lw USING (id)),
+       FROM ex0 LEFT JOIN lw USING (id))"""
+
+
+def _qa_tokens_windows() -> str:
+    W, S, q = _qa_consts()
+    tok = f"[{W}]+|[{S}]+|[^{W}{S}]"
+    return f""",
 rt AS (SELECT id, kind, unnest(ts) AS t, generate_subscripts(ts, 1) AS i
        FROM (SELECT id, 'q' AS kind, regexp_extract_all(question, '{tok}') AS ts FROM ex
              UNION ALL
@@ -371,10 +393,10 @@ FROM ex
 """
 
 
-def _qa_pred_ctes(seeds) -> str:
+def _qa_pred_ctes(seeds, source: str = "conversations") -> str:
     W, S, q = _qa_consts()
     sv = ", ".join(f"({s})" for s in seeds)
-    return f"""{_qa_base()},
+    return f"""{_qa_base(source)},
 seeds(seed) AS (VALUES {sv}),
 qw AS (SELECT id, list_distinct(list(lower(t))) AS qwords FROM tk
        WHERE kind = 'q' AND regexp_full_match(t, '[{W}]+') GROUP BY id),
@@ -444,11 +466,11 @@ def _toks(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '[{S}]+'), lambda z: z <> '')"
 
 
-def _qa_score_ctes(lowercase: bool) -> str:
+def _qa_score_ctes(lowercase: bool, source: str = "conversations", seeds=None) -> str:
     from textlab.plans import queries as q
     pt = "lower(prediction_text)" if lowercase else "prediction_text"
     gt = "lower(a_text)" if lowercase else "a_text"
-    return f"""{_qa_pred_ctes(q.QA_SEEDS)},
+    return f"""{_qa_pred_ctes(q.QA_SEEDS if seeds is None else seeds, source)},
 sc0 AS (SELECT p.seed, p.example_id, {_norm(pt)} AS pn,
                CASE WHEN ex.a_text IS NULL THEN NULL ELSE {_norm(gt)} END AS gn
         FROM pred p JOIN ex ON ex.id = p.example_id),
@@ -668,6 +690,38 @@ FROM ex LEFT JOIN pred p ON p.example_id = ex.id
 GROUP BY ex.id, ex.a_text
 """
 
+
+def _long_qa_examples() -> str:
+    return f"""WITH {_long_ex()}
+SELECT id, question, a_start AS answer_start, CAST(length(context) AS INTEGER) AS context_chars
+FROM ex
+"""
+
+
+def _long_qa_labels() -> str:
+    return f"""WITH {_qa_base('long')}
+SELECT example_id, window_idx, w_start, w_len,
+       CAST(CASE WHEN ok THEN ctx_lo + n_le - 1 ELSE 0 END AS INTEGER) AS start_position,
+       CAST(CASE WHEN ok THEN ctx_lo + n_lt ELSE 0 END AS INTEGER) AS end_position
+FROM (SELECT wf.*, wagg.n_le, wagg.n_lt,
+             COALESCE(a_text IS NOT NULL AND first_st <= a_start
+                      AND last_en >= a_start + length(a_text), FALSE) AS ok
+      FROM wf JOIN wagg USING (example_id, window_idx))
+"""
+
+
+def _long_qa_predictions() -> str:
+    return f"""WITH {_qa_pred_ctes((0,), 'long')}
+SELECT example_id, prediction_text, ROUND(score, {R}) AS score,
+       ROUND(null_score, {R}) AS null_score FROM pred
+"""
+
+
+def _long_qa_scores() -> str:
+    return f"""WITH {_qa_score_ctes(False, 'long', (0,))}
+SELECT seed, ROUND(exact_match, {R}) AS exact_match, ROUND(f1, {R}) AS f1, n FROM scores
+"""
+
 def all_sql() -> dict[str, str]:
     return {
         "clf_report": CLF_REPORT,
@@ -704,4 +758,8 @@ def all_sql() -> dict[str, str]:
         "stored_runs": RUN_METRICS.replace(
             "FROM rep\n", "FROM rep WHERE lr = CAST(1e-05 AS DOUBLE) AND seed IN (0, 1)\n"),
         "streamed_clf_report": CLF_REPORT,
+        "long_qa_examples": _long_qa_examples(),
+        "long_qa_labels": _long_qa_labels(),
+        "long_qa_predictions": _long_qa_predictions(),
+        "long_qa_scores": _long_qa_scores(),
     }

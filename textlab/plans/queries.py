@@ -228,8 +228,9 @@ def qa_examples_df(spark: SparkSession, sf: str) -> DataFrame:
                      "question", "context", answers.alias("answers"))
 
 
-def _qa_windows(spark: SparkSession, sf: str) -> DataFrame:
-    prep = tp.prepare_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH, QA_STRIDE)
+def _qa_windows(spark: SparkSession, sf: str, examples: DataFrame | None = None) -> DataFrame:
+    ex_df = qa_examples_df(spark, sf) if examples is None else examples
+    prep = tp.prepare_qa(ex_df, QA_MAX_LENGTH, QA_STRIDE)
     return tp.window_offsets(tp.windows(prep, QA_STRIDE))
 
 
@@ -269,9 +270,11 @@ def span_validation(spark: SparkSession, sf: str) -> DataFrame:
     return tp.validate_spans(qa_examples_df(spark, sf))
 
 
-def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS) -> DataFrame:
-    scored = qa.overlap_logits(_qa_windows(spark, sf), seeds)
-    return qa.best_answers(scored, qa_examples_df(spark, sf), QA_N_BEST, QA_MAX_ANSWER,
+def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS,
+                    examples: DataFrame | None = None) -> DataFrame:
+    ex_df = qa_examples_df(spark, sf) if examples is None else examples
+    scored = qa.overlap_logits(_qa_windows(spark, sf, ex_df), seeds)
+    return qa.best_answers(scored, ex_df, QA_N_BEST, QA_MAX_ANSWER,
                            key_values={"seed": list(seeds)})
 
 
@@ -488,6 +491,64 @@ def logreg_report(spark: SparkSession, sf: str) -> DataFrame:
     return rep.select(*keys, "metric", "class_name", _r())
 
 
+
+# ------------------------------------------- long contexts: benchmark in documents
+# Fixed value: the question of a long-context example is the passage's first
+# six words.
+LQA_QUESTION_WORDS = 6
+
+
+def long_qa_examples_df(spark: SparkSession, sf: str) -> DataFrame:
+    """Long-context QA examples: a ``benchmark`` passage found verbatim in a
+    ``documents`` text is the answer, the document the context, the
+    passage's first six words the question.
+
+    Candidates come from an equi-join on the passage's longest *internal*
+    word (not its first or last word, so it is a whole token of any text
+    that contains the passage) against each document's distinct words;
+    ``position`` then verifies the exact occurrence.  The document side is a
+    streamed explode, the passage side is small (AQE broadcasts it after
+    measuring it).  Passages with fewer than three words have no internal
+    word and are not matched."""
+    b = table(spark, sf, "benchmark", ["item_id", "text"])
+    d = table(spark, sf, "documents", ["doc_id", "text"])
+    hit = tp.locate_passages(d, "doc_id", "text", b, "item_id", "text")
+    return hit.select(
+        F.concat_ws("-", F.col("item_id").cast("string"), F.col("doc_id").cast("string")).alias("id"),
+        F.array_join(F.slice("passage_words", 1, LQA_QUESTION_WORDS), " ").alias("question"),
+        "context",
+        F.struct(F.array("pos").alias("answer_start"),
+                 F.array("passage").alias("text")).alias("answers"))
+
+
+def long_qa_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """The long-context examples found (id, question, answer offset)."""
+    return long_qa_examples_df(spark, sf).select(
+        "id", "question", F.get(F.col("answers.answer_start"), 0).alias("answer_start"),
+        F.length("context").alias("context_chars"))
+
+
+def long_qa_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """D6-D11 on long documents: many windows per example."""
+    w = tp.label_spans(_qa_windows(spark, sf, long_qa_examples_df(spark, sf)), QA_MAX_LENGTH)
+    return w.select("example_id", "window_idx", "w_start", "w_len", "start_position",
+                    "end_position")
+
+
+def long_qa_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 + G1-G10 over all windows of each long document (the best-answer
+    aggregate sees one example with dozens of windows)."""
+    p = _qa_predictions(spark, sf, (0,), long_qa_examples_df(spark, sf))
+    return p.select("example_id", "prediction_text", _r("score"), _r("null_score"))
+
+
+def long_qa_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """H1-H5 of the long-context predictions."""
+    ex_df = long_qa_examples_df(spark, sf)
+    p = _qa_predictions(spark, sf, (0,), ex_df)
+    return qm.squad_scores(p, ex_df, keys=["seed"]).select("seed", _r("exact_match"), _r("f1"), "n")
+
+
 REGISTRY = {
     "clf_report": clf_report,
     "confusion_matrix": confusion_matrix,
@@ -523,5 +584,9 @@ REGISTRY = {
     "compare_models": compare_models,
     "stored_runs": stored_runs,
     "logreg_report": logreg_report,
+    "long_qa_examples": long_qa_examples,
+    "long_qa_labels": long_qa_labels,
+    "long_qa_predictions": long_qa_predictions,
+    "long_qa_scores": long_qa_scores,
     "streamed_clf_report": streamed_clf_report,
 }
