@@ -82,10 +82,12 @@ def test_validate_spans(spark):
     assert tp.validate_spans(ex2).first().status == "ok"
 
 
-def _scored(spark, rows):
-    return spark.createDataFrame(rows, "example_id string, window_idx int, "
-                                       "offsets array<struct<st:int,en:int>>, "
-                                       "start_logits array<double>, end_logits array<double>")
+def _scored(spark, rows, context="a b c"):
+    return spark.createDataFrame([r + (context,) for r in rows],
+                                 "example_id string, window_idx int, "
+                                 "offsets array<struct<st:int,en:int>>, "
+                                 "start_logits array<double>, end_logits array<double>, "
+                                 "context string")
 
 
 def test_best_answer_no_valid_span(spark):

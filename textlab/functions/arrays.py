@@ -31,7 +31,9 @@ def top_k_indices(values, k: int) -> Column:
     v = _c(values)
     keyed = F.transform(v, lambda x, i: F.struct((-x.cast("double")).alias("k"),
                                                   i.alias("i")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["i"])
+    # sort_array uses a direct type ordering; array_sort without a comparator
+    # would call an interpreted lambda for every comparison
+    return F.transform(F.slice(F.sort_array(keyed), 1, k), lambda s: s["i"])
 
 
 def evaluate_once(df):

@@ -124,7 +124,7 @@ def qa_summary(scores: DataFrame, by: Sequence[str] = ("task", "model"),
     with_mean = F.concat("v", F.array("mean"))
 
     def med(a: Column) -> Column:
-        s = F.array_sort(a)
+        s = F.sort_array(a)
         n = F.size(s)
         lo = F.element_at(s, ((n + 1) / 2).cast("int"))
         hi = F.element_at(s, (n / 2 + 1).cast("int"))

@@ -35,7 +35,8 @@ def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFram
     w = w.withColumn("_m", F.transform(
         "ctx_tok", lambda t: F.when(F.array_contains(F.col("_qw"), F.lower(t)), 1).otherwise(0)))
     w = evaluate_once(w.withColumn("_wd", F.transform(
-        "ctx_tok", lambda t: F.when(t.rlike(word_re), 1).otherwise(0))))
+        "ctx_tok", lambda t: F.when(t.rlike(word_re), 1).otherwise(0)))
+        .drop("_qw"))
 
     def base(i, kind):
         j = i - F.col("ctx_lo")
@@ -83,8 +84,9 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     window's best is the maximum over the (at most ``n_best``) starts.
     """
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
+    ctx = ["context"] if "context" in w.columns else []
     w = evaluate_once(w.select(*keys, "example_id", "window_idx", "start_logits",
-                               "end_logits", "offsets",
+                               "end_logits", "offsets", *ctx,
                                top_k_indices(sl, n_best).alias("_s_top"),
                                top_k_indices(el, n_best).alias("_e_top"),
                                F.size(off).alias("_n_off")))
@@ -97,19 +99,34 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     w = evaluate_once(w.withColumn("_vs", ranked_valid("_s_top"))
                       .withColumn("_ve", ranked_valid("_e_top")))
 
-    def best_for(s):
-        e = F.get(F.filter("_ve", lambda y: (y["p"] >= s["p"])
-                           & (y["p"] - s["p"] + 1 <= max_answer_tokens)), 0)
-        return F.when(e.isNotNull(), F.struct(
+    # first qualifying end per valid start, computed once (lambda bodies get
+    # no common-subexpression elimination, so it is not referenced twice)
+    pairs = F.transform("_vs", lambda s: F.struct(s.alias("s"), F.get(F.filter(
+        "_ve", lambda y: (y["p"] >= s["p"]) & (y["p"] - s["p"] + 1 <= max_answer_tokens)),
+        0).alias("e")))
+
+    def cand(x):
+        s, e = x["s"], x["e"]
+        return F.struct(
             (F.get(sl, s["p"]) + F.get(el, e["p"])).alias("score"),
             (-F.col("window_idx")).alias("nw"), (-s["r"]).alias("nsi"),
             (-e["r"]).alias("nei"), F.get(off, s["p"])["st"].alias("st"),
-            F.get(off, e["p"])["en"].alias("en")))
+            F.get(off, e["p"])["en"].alias("en"))
 
-    best = F.array_max(F.filter(F.transform("_vs", best_for), lambda c: c.isNotNull()))
+    best = F.array_max(F.transform(F.filter(pairs, lambda x: x["e"].isNotNull()), cand))
     null_score = F.get(sl, cls_index) + F.get(el, cls_index)
-    return w.select(*keys, "example_id", "window_idx", best.alias("cand"),
-                    null_score.alias("null_score"))
+    out = w.select(*keys, "example_id", "window_idx", *ctx, best.alias("cand"),
+                   null_score.alias("null_score"))
+    if ctx:
+        # G5 inside the window pass: only the window's winning text (at most
+        # max_answer_tokens tokens) travels, never the context itself
+        c = F.col("cand")
+        out = out.withColumn("cand", F.when(c.isNotNull(), F.struct(
+            c["score"].alias("score"), c["nw"].alias("nw"), c["nsi"].alias("nsi"),
+            c["nei"].alias("nei"), c["st"].alias("st"), c["en"].alias("en"),
+            F.substring(F.col("context"), c["st"] + 1, c["en"] - c["st"]).alias("text"))))
+        out = out.drop("context")
+    return out
 
 
 def best_answers(scored_windows: DataFrame, examples: DataFrame,
@@ -119,18 +136,20 @@ def best_answers(scored_windows: DataFrame, examples: DataFrame,
     prediction_text, score, null_score)``.
 
     ``scored_windows`` carry ``example_id, window_idx, offsets,
-    start_logits, end_logits`` (plus the run keys named in ``key_values``,
-    e.g. ``{"seed": [0, 1, 2]}``); ``examples`` carry ``id`` and ``context``.
-    An example without a valid candidate -- or without windows -- gets the
-    empty text and score 0.0 (G7).  The answer text is cut only for the
-    winner (G5); ids are expected unique (G9).
+    start_logits, end_logits, context`` (plus the run keys named in
+    ``key_values``, e.g. ``{"seed": [0, 1, 2]}``); ``examples`` carry ``id``.
+    The answer text is cut in the window pass (G5), so the one shuffle
+    (``groupBy(example_id)``, partial ``max``) moves short answer strings
+    and the final left join from the examples (G7: no valid candidate or
+    no window -> empty text, score 0.0) moves ids only.  Ids are expected
+    unique (G9).
     """
     key_values = key_values or {}
     keys = list(key_values)
     wb = window_best(scored_windows, n_best, max_answer_tokens, keys=keys)
     per_ex = wb.groupBy(*keys, "example_id").agg(
         F.max("cand").alias("best"), F.max("null_score").alias("null_score"))
-    ex = examples.select(F.col("id").alias("example_id"), "context")
+    ex = examples.select(F.col("id").alias("example_id"))
     if keys:
         # run keys are a literal list: expand examples with a narrow explode
         import itertools
@@ -138,10 +157,9 @@ def best_answers(scored_windows: DataFrame, examples: DataFrame,
         arr = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(keys, c)])
                         for c in combos])
         ex = ex.select("*", F.explode(arr).alias("_k")).select(
-            *[F.col(f"_k.{k}").alias(k) for k in keys], "example_id", "context")
+            *[F.col(f"_k.{k}").alias(k) for k in keys], "example_id")
     j = ex.join(per_ex, [*keys, "example_id"], "left")
     b = F.col("best")
-    text = F.when(b.isNull(), F.lit("")).otherwise(
-        F.substring(F.col("context"), b["st"] + 1, b["en"] - b["st"]))
-    return j.select(*keys, "example_id", text.alias("prediction_text"),
+    return j.select(*keys, "example_id",
+                    F.coalesce(b["text"], F.lit("")).alias("prediction_text"),
                     F.coalesce(b["score"], F.lit(0.0)).alias("score"), "null_score")

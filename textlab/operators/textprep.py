@@ -304,7 +304,8 @@ def label_spans(w: DataFrame, max_length: int = 384,
 
 
 def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
-                    passages: DataFrame, item_id: str, passage_text: str) -> DataFrame:
+                    passages: DataFrame, item_id: str, passage_text: str,
+                    broadcast_limit: int = 200_000) -> DataFrame:
     """Every (passage, document) pair where the passage occurs verbatim in
     the document, with the first occurrence ``pos`` (0-based).
 
@@ -315,6 +316,13 @@ def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
     document's distinct words, and ``position`` verifies the exact match.
     The join is complete, so no pair is lost.  Passages with fewer than
     three words have no internal word and are returned in no pair.
+
+    Plan: the passage table is counted first.  Up to ``broadcast_limit``
+    passages it is broadcast and the documents stream through once (explode
+    of distinct words -> hash probe -> verify; a document's text is copied
+    only for matching rows, nothing is shuffled).  Beyond it, candidate
+    pairs are found without the texts and verified by a join back to the
+    documents.
     """
     wre = F.lit(f"[{WORD_CLASS}]+")
     p = passages.select(F.col(item_id).alias("_item"), F.col(passage_text).alias("_ptext"),
@@ -322,13 +330,16 @@ def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
     p = p.where(F.size("_pw") >= 3).withColumn(
         "_key", F.array_max(F.transform(F.slice("_pw", 2, F.size("_pw") - 2), lambda w, i: F.struct(
             F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"])
-    p = evaluate_once(p)
-    dw = docs.select(F.col(doc_id).alias("_doc"),
-                     F.explode(F.array_distinct(F.regexp_extract_all(F.col(doc_text), wre, 0)))
-                     .alias("_key"))
-    cand = dw.join(p.select("_item", "_key", "_ptext", "_pw"), "_key")
-    cand = cand.join(docs.select(F.col(doc_id).alias("_doc"), F.col(doc_text).alias("_dtext")),
-                     "_doc")
+    p = evaluate_once(p).select("_item", "_key", "_ptext", "_pw")
+    d = docs.select(F.col(doc_id).alias("_doc"), F.col(doc_text).alias("_dtext"))
+    if p.count() <= broadcast_limit:
+        cand = (d.select("_doc", "_dtext", F.explode(F.array_distinct(
+            F.regexp_extract_all(F.col("_dtext"), wre, 0))).alias("_key"))
+            .join(F.broadcast(p), "_key"))
+    else:
+        ids = d.select("_doc", F.explode(F.array_distinct(
+            F.regexp_extract_all(F.col("_dtext"), wre, 0))).alias("_key"))
+        cand = ids.join(p, "_key").join(d, "_doc")
     at = F.position(F.col("_ptext"), F.col("_dtext"))
     return cand.where(at > 0).select(
         F.col("_item").alias(item_id), F.col("_doc").alias(doc_id),

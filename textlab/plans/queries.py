@@ -273,7 +273,13 @@ def span_validation(spark: SparkSession, sf: str) -> DataFrame:
 def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS,
                     examples: DataFrame | None = None) -> DataFrame:
     ex_df = qa_examples_df(spark, sf) if examples is None else examples
-    scored = qa.overlap_logits(_qa_windows(spark, sf, ex_df), seeds)
+    # interpreted array functions materialise their input row: keep only
+    # what scoring and span selection read (not the example's full token
+    # arrays, question or answers)
+    w = _qa_windows(spark, sf, ex_df).select(
+        "example_id", "window_idx", "q_tok", "ctx_tok", "ctx_lo", "ctx_hi", "seq_len",
+        "offsets", "context")
+    scored = qa.overlap_logits(w, seeds)
     return qa.best_answers(scored, ex_df, QA_N_BEST, QA_MAX_ANSWER,
                            key_values={"seed": list(seeds)})
 
