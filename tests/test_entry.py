@@ -39,3 +39,20 @@ def test_all_queries_match_oracle(spark):
         if sorted(df.columns) != sorted(dcols) or digest(df.columns, rows)[0] != digest(dcols, drows)[0]:
             bad.append(name)
     assert bad == []
+
+
+NATIVE_ONLY = {"clf_report", "confusion_matrix", "run_metrics", "config_summary", "best_config",
+               "seed_summary", "leaderboard", "split_fraction", "split_tail", "label_classes",
+               "label_encode", "shuffled_batches", "eval_batches", "qa_examples",
+               "span_validation", "vocabulary", "encode_docs", "corpus_stats", "corpus_sources",
+               "multilabel_report", "labelset_stats", "resolve_models", "nb_report",
+               "long_qa_examples", "streamed_clf_report"}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test data")
+def test_plans_have_no_pair_joins_and_native_ops_stay_jvm(spark):
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        if name in NATIVE_ONLY:
+            assert "EvalPython" not in plan and "InPandas" not in plan, name

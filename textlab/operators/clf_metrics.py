@@ -168,27 +168,36 @@ def multilabel_report(df: DataFrame, id_col: str, true_col: str, pred_col: str,
         F.sum(it * ip).cast("long").alias("tp"),
         F.sum((1 - it) * ip).cast("long").alias("fp"),
         F.sum(it * (1 - ip)).cast("long").alias("fn"))
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    per = per.select(*keys, "label", "tp", "fp", "fn",
-                     _ratio(tp, tp + fp).alias("precision"),
-                     _ratio(tp, tp + fn).alias("recall"),
-                     _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    # per run: the label rows (one per distinct label) as one array, metrics
+    # as array arithmetic -- per-label, macro and micro rows come from the
+    # same row, so the per-label table is computed once
+    run = per.groupBy(*keys).agg(
+        F.collect_list(F.struct(F.col("label").cast("string").alias("name"), "tp", "fp", "fn"))
+        .alias("ls"),
+        F.sum("tp").alias("s_tp"), F.sum("fp").alias("s_fp"), F.sum("fn").alias("s_fn"))
     ms = ("precision", "recall", "f1")
 
-    def stacked(d: DataFrame, label: Column, cols: dict[str, Column]) -> DataFrame:
-        arr = F.array(*[F.struct(F.lit(m).alias("metric"), v.alias("value"))
-                        for m, v in cols.items()])
-        return (d.select(*keys, label.alias("class_name"), F.explode(arr).alias("m"))
-                .select(*keys, F.col("m.metric").alias("metric"), "class_name",
-                        F.col("m.value").alias("value")))
-
-    per_label = stacked(per, F.col("label").cast("string"), {m: F.col(m) for m in ms})
-    s = per.groupBy(*keys).agg(*[F.avg(m).alias(f"a_{m}") for m in ms],
-                               F.sum("tp").alias("s_tp"), F.sum("fp").alias("s_fp"),
-                               F.sum("fn").alias("s_fn"))
-    macro = stacked(s, F.lit("macro"), {m: F.col(f"a_{m}") for m in ms})
+    def metrics(x):
+        tp, fp, fn = x["tp"], x["fp"], x["fn"]
+        return F.struct(x["name"].alias("name"), _ratio(tp, tp + fp).alias("precision"),
+                        _ratio(tp, tp + fn).alias("recall"),
+                        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+    run = run.select(*keys, "s_tp", "s_fp", "s_fn", F.transform("ls", metrics).alias("m"))
+    k = F.size("m").cast("double")
     stp, sfp, sfn = F.col("s_tp"), F.col("s_fp"), F.col("s_fn")
-    micro = stacked(s, F.lit("micro"), {
-        "precision": _ratio(stp, stp + sfp), "recall": _ratio(stp, stp + sfn),
-        "f1": _ratio(2 * stp, 2 * stp + sfp + sfn)})
-    return per_label.unionByName(macro).unionByName(micro)
+    def mean_of(field):
+        return F.aggregate("m", F.lit(0.0), lambda acc, x: acc + x[field]) / k
+
+    summary = {
+        "macro": {m: mean_of(m) for m in ms},
+        "micro": {"precision": _ratio(stp, stp + sfp), "recall": _ratio(stp, stp + sfn),
+                  "f1": _ratio(2 * stp, 2 * stp + sfp + sfn)}}
+    per_label = F.flatten(F.transform("m", lambda x: F.array(*[
+        F.struct(F.lit(m).alias("metric"), x["name"].alias("class_name"), x[m].alias("value"))
+        for m in ms])))
+    extra = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(cn).alias("class_name"),
+                               v.alias("value"))
+                      for cn, d in summary.items() for m, v in d.items()])
+    out = run.select(*keys, F.explode(F.concat(per_label, extra)).alias("r"))
+    return out.select(*keys, "r.metric", "r.class_name", "r.value")
