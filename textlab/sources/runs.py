@@ -16,9 +16,17 @@ from pyspark.sql import functions as F
 RUN_KEYS = ("task", "model", "lr", "num_epochs", "seed")
 
 
-def write_runs(df: DataFrame, root: str, keys: Sequence[str] = RUN_KEYS) -> None:
+def write_runs(df: DataFrame, root: str, keys: Sequence[str] = RUN_KEYS,
+               cluster: bool = True) -> None:
     """Write (or replace) the runs present in ``df``; other runs under
-    ``root`` are kept (dynamic partition overwrite)."""
+    ``root`` are kept (dynamic partition overwrite).
+
+    ``cluster`` first hash-partitions by the run keys so each run directory
+    gets one file instead of one per task -- right for metric vectors
+    (bounded per run).  Pass ``False`` for data-sized prediction tables,
+    where one run's rows must stay spread over many tasks."""
+    if cluster:
+        df = df.repartition(*keys)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(root))
 
