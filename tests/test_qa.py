@@ -139,3 +139,10 @@ def test_locate_passages_complete_without_leading_token(spark):
     # doc 1: the passage's first word is glued to "xx" and still found; doc 3:
     # first occurrence; doc 2: no match; item 8 has no internal word
     assert got == {(7, 1): 2, (7, 3): 0}
+
+
+def test_keep_last_per_id(spark):
+    df = spark.createDataFrame([("a", 0, "x"), ("b", 1, "y"), ("a", 2, "z")],
+                               "id string, pos int, text string")
+    got = {r.id: r.text for r in qa.keep_last_per_id(df, "id", "pos").collect()}
+    assert got == {"a": "z", "b": "y"}

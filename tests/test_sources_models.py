@@ -95,3 +95,21 @@ def test_seed_table_pivot(spark):
                               "metric string, class_name string, value double")
     row = ex.seed_table(m, [0, 1, 2]).first()
     assert (row["0"], row["1"], row["2"]) == (0.0, 1.0, 2.0)
+
+
+def test_choose_label_attach_and_class_names(spark):
+    from textlab.operators import clf_metrics as cm
+    raw = spark.createDataFrame([("t1", "OFFENSE", "INSULT"), ("t2", "OTHER", "OTHER")],
+                                "text string, `coarse-grained` string, `fine-grained` string")
+    assert [r.label for r in pj.choose_label(raw, "coarse").collect()] == ["OFFENSE", "OTHER"]
+    assert [r.label for r in pj.choose_label(raw, "fine").collect()] == ["INSULT", "OTHER"]
+    classes = lb.declared_classes(spark, ["negative", "neutral", "positive"])
+    assert lb.n_classes(classes).first().n_classes == 3
+    preds = spark.createDataFrame([(1, 0, 0), (2, 2, 1)], "id int, target int, prediction int")
+    rep = cm.classification_report(cm.confusion(preds), classes=classes, labels="declared",
+                                   declared=[0, 1, 2])
+    names = {r.class_name for r in rep.collect()}
+    assert {"negative", "neutral", "positive", "macro", "micro"} == names
+    extra = spark.createDataFrame([(1, "a"), (2, "b")], "id int, note string")
+    got = {r.id: r.note for r in pj.attach_by_key(preds, extra, "id", ["note"]).collect()}
+    assert got == {1: "a", 2: "b"}

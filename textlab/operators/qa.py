@@ -163,3 +163,14 @@ def best_answers(scored_windows: DataFrame, examples: DataFrame,
     return j.select(*keys, "example_id",
                     F.coalesce(b["text"], F.lit("")).alias("prediction_text"),
                     F.coalesce(b["score"], F.lit(0.0)).alias("score"), "null_score")
+
+
+def keep_last_per_id(df: DataFrame, id_col: str, order_col: str) -> DataFrame:
+    """When an id occurs more than once, keep the last occurrence by
+    ``order_col`` (a later entry overwrites an earlier one).  A grouped
+    ``max_by`` with partial aggregation: a repeated id costs one row per
+    task in the shuffle, never a group gathered in one place."""
+    cols = [c for c in df.columns if c != id_col]
+    last = F.max_by(F.struct(*cols), F.col(order_col))
+    return df.groupBy(id_col).agg(last.alias("_r")).select(id_col, *[F.col(f"_r.{c}").alias(c)
+                                                                     for c in cols])
