@@ -115,35 +115,32 @@ def classification_report(conf: DataFrame, keys: Sequence[str] = (),
     run = pc.groupBy(*keys).agg(F.collect_list("c").alias("cs"),
                                 F.sum("c.true_n").alias("N"), F.sum("c.pred_n").alias("PN"),
                                 F.sum("c.tp").alias("TP"))
-    N = F.col("N")
-
-    def metrics(c):
-        tp, tn_, pn = c["tp"], c["true_n"], c["pred_n"]
-        return F.struct(c["name"].alias("name"),
-                        _ratio(N - tn_ - pn + 2 * tp, N).alias("accuracy"),
-                        _ratio(tp, pn).alias("precision"),
-                        _ratio(tp, tn_).alias("recall"),
-                        _ratio(2 * tp, pn + tn_).alias("f1"))
-
-    run = run.select(*keys, "N", "PN", "TP", F.transform("cs", metrics).alias("m"))
-    k = F.size("m").cast("double")
-
-    def mean_of(field):
-        return F.aggregate("m", F.lit(0.0), lambda acc, x: acc + x[field]) / k
-
-    TP, PN = F.col("TP"), F.col("PN")
-    summary = {
-        "macro": {m: mean_of(m) for m in METRICS},
-        "micro": {"accuracy": _ratio(TP, N), "precision": _ratio(TP, PN),
-                  "recall": _ratio(TP, N), "f1": _ratio(2 * TP, PN + N)},
-    }
-    per_class = F.flatten(F.transform("m", lambda x: F.array(*[
-        F.struct(F.lit(m).alias("metric"), x["name"].alias("class_name"), x[m].alias("value"))
-        for m in METRICS])))
-    extra = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(cn).alias("class_name"),
-                               v.alias("value"))
-                      for cn, d in summary.items() for m, v in d.items()])
-    out = run.select(*keys, F.explode(F.concat(per_class, extra)).alias("r"))
+    # The per-run metric math is written as SQL expressions: each is one
+    # call into the JVM instead of hundreds of column-builder round trips.
+    def ratio(num: str, den: str) -> str:
+        # zero division -> 0 (I9); try_divide keeps ANSI mode happy
+        return f"coalesce(try_divide(cast({num} AS double), cast({den} AS double)), 0D)"
+
+    per = {"accuracy": ratio("N - c.true_n - c.pred_n + 2 * c.tp", "N"),
+           "precision": ratio("c.tp", "c.pred_n"),
+           "recall": ratio("c.tp", "c.true_n"),
+           "f1": ratio("2 * c.tp", "c.pred_n + c.true_n")}
+    m_expr = ("transform(cs, c -> named_struct('name', c.name, "
+              + ", ".join(f"'{m}', {e}" for m, e in per.items()) + ")) AS m")
+    run = run.selectExpr(*keys, "N", "PN", "TP", m_expr)
+
+    def row(metric: str, name: str, value: str) -> str:
+        return f"named_struct('metric', '{metric}', 'class_name', {name}, 'value', {value})"
+
+    per_class = ("flatten(transform(m, x -> array("
+                 + ", ".join(row(m, "x.name", f"x.{m}") for m in METRICS) + ")))")
+    macro = [row(m, "'macro'", f"aggregate(m, 0D, (acc, x) -> acc + x.{m}) / cast(size(m) AS double)")
+             for m in METRICS]
+    micro = [row("accuracy", "'micro'", ratio("TP", "N")),
+             row("precision", "'micro'", ratio("TP", "PN")),
+             row("recall", "'micro'", ratio("TP", "N")),
+             row("f1", "'micro'", ratio("2 * TP", "PN + N"))]
+    out = run.selectExpr(*keys, f"explode(concat({per_class}, array({', '.join(macro + micro)}))) AS r")
     return out.select(*keys, "r.metric", "r.class_name", "r.value")
 
 
