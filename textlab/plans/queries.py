@@ -291,9 +291,9 @@ def qa_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _qa_scores(spark: SparkSession, sf: str, lowercase=False, first_gold_only=False):
-    p = _qa_predictions(spark, sf)
-    return qm.squad_scores(p, qa_examples_df(spark, sf), lowercase, first_gold_only,
-                           keys=["seed"])
+    ex_df = qa_examples_df(spark, sf)
+    p = _qa_predictions(spark, sf, QA_SEEDS, ex_df)
+    return qm.squad_scores(p, ex_df, lowercase, first_gold_only, keys=["seed"])
 
 
 def qa_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,10 +439,11 @@ def nb_report(spark: SparkSession, sf: str) -> DataFrame:
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
     """J11 (+ F6): QA predictions of two scorer variants side by side with
     the gold answer."""
-    p = _qa_predictions(spark, sf, (0, 1)).select(
+    ex_df = qa_examples_df(spark, sf)
+    p = _qa_predictions(spark, sf, (0, 1), ex_df).select(
         "example_id", F.concat(F.lit("overlap_s"), F.col("seed").cast("string")).alias("model"),
         F.col("prediction_text").alias("prediction"))
-    truth = qa_examples_df(spark, sf).select(
+    truth = ex_df.select(
         F.col("id").alias("example_id"), F.get(F.col("answers.text"), 0).alias("answer_text"))
     return ex.compare_models(p, truth, "example_id", ["overlap_s0", "overlap_s1"])
 
