@@ -20,8 +20,7 @@ from pyspark.sql.types import (ArrayType, IntegerType, StringType, StructField,
                                StructType)
 
 from textlab.functions.arrays import evaluate_once
-from textlab.functions.text import (WORD_CLASS, WS_CLASS, raw_tokens,
-                                    strip_left)
+from textlab.functions.text import WORD_CLASS, WS_CLASS, strip_left
 
 TOKENS_TYPE = StructType([
     StructField("tok", ArrayType(StringType())),
