@@ -46,3 +46,23 @@ def test_split_tail(spark):
     head, tail = pos.split_tail(df, "k", 500)
     assert tail.count() == 500 and head.count() == 700
     assert head.agg(F.max("k")).first()[0] == 699
+
+
+def test_shuffled_batches_permutation_and_export(spark):
+    import os
+    import tempfile
+    from textlab.operators import batching as bt
+    df = spark.range(50).withColumnRenamed("id", "doc_id")
+    b = bt.shuffled_batches(df, "doc_id", [0, 1], [0], batch_size=8)
+    rows = b.collect()
+    for s in (0, 1):
+        pos_ = sorted(r.position for r in rows if r.seed == s)
+        assert pos_ == list(range(50))
+        assert max(r.batch_id for r in rows if r.seed == s) == 6      # short last batch kept
+    order0 = [r.doc_id for r in sorted((r for r in rows if r.seed == 0), key=lambda r: r.position)]
+    order1 = [r.doc_id for r in sorted((r for r in rows if r.seed == 1), key=lambda r: r.position)]
+    assert order0 != order1 and sorted(order0) == list(range(50))
+    out = os.path.join(tempfile.mkdtemp(prefix="textlab-batches-", dir="/tmp"), "b")
+    bt.write_batches(b, out, shards_per_epoch=2)
+    back = spark.read.parquet(out)
+    assert back.count() == 100 and set(os.listdir(out)) >= {"seed=0", "seed=1"}

@@ -50,3 +50,13 @@ def eval_batches(df: DataFrame, id_col: str, batch_size: int = 8) -> DataFrame:
 def steps_per_epoch(n_rows: Column, batch_size: int) -> Column:
     """``ceil(n / batch_size)``."""
     return F.ceil(n_rows / F.lit(batch_size)).cast("long")
+
+
+def write_batches(batches: DataFrame, path: str, shards_per_epoch: int = 8) -> None:
+    """E2 export: one Parquet directory per (seed, epoch), rows range-
+    partitioned by position into ``shards_per_epoch`` files and sorted
+    inside each, so a loader can stream an epoch in batch order file by file
+    without any global sort on one task."""
+    (batches.repartitionByRange(shards_per_epoch, "seed", "epoch", "position")
+     .sortWithinPartitions("seed", "epoch", "position")
+     .write.mode("overwrite").partitionBy("seed", "epoch").parquet(path))
