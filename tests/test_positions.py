@@ -63,6 +63,6 @@ def test_shuffled_batches_permutation_and_export(spark):
     order1 = [r.doc_id for r in sorted((r for r in rows if r.seed == 1), key=lambda r: r.position)]
     assert order0 != order1 and sorted(order0) == list(range(50))
     out = os.path.join(tempfile.mkdtemp(prefix="textlab-batches-", dir="/tmp"), "b")
-    bt.write_batches(b, out, shards_per_epoch=2)
+    bt.write_batches(b, out, n_shards=2)
     back = spark.read.parquet(out)
     assert back.count() == 100 and set(os.listdir(out)) >= {"seed=0", "seed=1"}

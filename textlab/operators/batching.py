@@ -52,11 +52,12 @@ def steps_per_epoch(n_rows: Column, batch_size: int) -> Column:
     return F.ceil(n_rows / F.lit(batch_size)).cast("long")
 
 
-def write_batches(batches: DataFrame, path: str, shards_per_epoch: int = 8) -> None:
-    """E2 export: one Parquet directory per (seed, epoch), rows range-
-    partitioned by position into ``shards_per_epoch`` files and sorted
-    inside each, so a loader can stream an epoch in batch order file by file
-    without any global sort on one task."""
-    (batches.repartitionByRange(shards_per_epoch, "seed", "epoch", "position")
+def write_batches(batches: DataFrame, path: str, n_shards: int = 8) -> None:
+    """E2 export: one Parquet directory per (seed, epoch); rows are range-
+    partitioned on (seed, epoch, position) into ``n_shards`` tasks and
+    sorted inside each, so every file holds a contiguous run of positions
+    and a loader can stream an epoch in batch order file by file -- with no
+    global sort on one task."""
+    (batches.repartitionByRange(n_shards, "seed", "epoch", "position")
      .sortWithinPartitions("seed", "epoch", "position")
      .write.mode("overwrite").partitionBy("seed", "epoch").parquet(path))
