@@ -62,3 +62,10 @@ def test_multilabel(spark):
     assert r[("f1", "micro")] == pytest.approx(4 / 6)
     assert r[("recall", "b")] == pytest.approx(0.5)
     assert r[("precision", "c")] == 0.0
+
+
+def test_top_k_nan_first_null_last(spark):
+    from textlab.functions.arrays import top_k_indices
+    df = spark.createDataFrame([([1.0, float("nan"), None, 3.0, 3.0],)], "l array<double>")
+    assert df.select(top_k_indices("l", 5)).first()[0] == [1, 3, 4, 0, 2]
+    assert df.select(top_k_indices("l", 2)).first()[0] == [1, 3]

@@ -27,10 +27,13 @@ def as_double_array(c) -> Column:
 
 def top_k_indices(values, k: int) -> Column:
     """Indices of the k largest elements, largest first, lower index first
-    on ties.  One ``array_sort`` per row: no shuffle, no explode."""
+    on ties.  NaN counts as the largest value (as in an ascending argsort
+    read from the end), nulls rank last.  One sort per row: no shuffle, no
+    explode."""
     v = _c(values)
-    keyed = F.transform(v, lambda x, i: F.struct((-x.cast("double")).alias("k"),
-                                                  i.alias("i")))
+    keyed = F.transform(v, lambda x, i: F.struct(
+        x.isNull().alias("n"), (~F.isnan(x.cast("double"))).alias("nn"),
+        (-x.cast("double")).alias("k"), i.alias("i")))
     # sort_array uses a direct type ordering; array_sort without a comparator
     # would call an interpreted lambda for every comparison
     return F.transform(F.slice(F.sort_array(keyed), 1, k), lambda s: s["i"])
