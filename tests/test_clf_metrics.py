@@ -69,3 +69,16 @@ def test_top_k_nan_first_null_last(spark):
     df = spark.createDataFrame([([1.0, float("nan"), None, 3.0, 3.0],)], "l array<double>")
     assert df.select(top_k_indices("l", 5)).first()[0] == [1, 3, 4, 0, 2]
     assert df.select(top_k_indices("l", 2)).first()[0] == [1, 3]
+
+
+def test_with_top_k_equals_top_k_indices(spark):
+    import random
+    from textlab.functions.arrays import top_k_indices, with_top_k
+    rnd = random.Random(11)
+    rows = [([rnd.choice([float(rnd.randrange(4)), float("nan"), None, rnd.random()])
+              for _ in range(rnd.randrange(0, 40))],) for _ in range(500)]
+    df = spark.createDataFrame(rows, "l array<double>")
+    for k in (1, 5, 20):
+        a = [r[0] for r in df.select(top_k_indices("l", k).alias("a")).collect()]
+        b = [r.o for r in with_top_k(df, {"o": "l"}, k).select("o").collect()]
+        assert a == b

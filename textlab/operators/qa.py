@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlab.functions.arrays import evaluate_once, top_k_indices
+from textlab.functions.arrays import evaluate_once, with_top_k
 from textlab.functions.text import WORD_CLASS
 
 
@@ -85,11 +85,9 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     """
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
     ctx = ["context"] if "context" in w.columns else []
-    w = evaluate_once(w.select(*keys, "example_id", "window_idx", "start_logits",
-                               "end_logits", "offsets", *ctx,
-                               top_k_indices(sl, n_best).alias("_s_top"),
-                               top_k_indices(el, n_best).alias("_e_top"),
-                               F.size(off).alias("_n_off")))
+    w = w.select(*keys, "example_id", "window_idx", "start_logits", "end_logits", "offsets",
+                 *ctx, F.size(off).alias("_n_off"))
+    w = evaluate_once(with_top_k(w, {"_s_top": "start_logits", "_e_top": "end_logits"}, n_best))
     n_off = F.col("_n_off")
 
     def ranked_valid(col):
