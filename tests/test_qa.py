@@ -146,3 +146,15 @@ def test_keep_last_per_id(spark):
                                "id string, pos int, text string")
     got = {r.id: r.text for r in qa.keep_last_per_id(df, "id", "pos").collect()}
     assert got == {"a": "z", "b": "y"}
+
+
+def test_locate_passages_fallback_join_same_result(spark):
+    docs = spark.createDataFrame([(1, "xxDie Marge stieg deutlich an."), (2, "Die Marge sank."),
+                                  (3, "Die Marge stieg deutlich an. Die Marge stieg deutlich an.")],
+                                 "doc_id int, text string")
+    pas = spark.createDataFrame([(7, "Die Marge stieg deutlich"), (9, "Marge sank.")],
+                                "item_id int, text string")
+    fast = tp.locate_passages(docs, "doc_id", "text", pas, "item_id", "text")
+    slow = tp.locate_passages(docs, "doc_id", "text", pas, "item_id", "text", broadcast_limit=0)
+    key = lambda df: sorted((r.item_id, r.doc_id, r.pos) for r in df.collect())
+    assert key(fast) == key(slow) == [(7, 1, 2), (7, 3, 0)]
