@@ -135,7 +135,8 @@ def predict_logreg(models, test: DataFrame, id_col: str, text_col: str) -> DataF
 def score_with(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
                schema: str, columns: Sequence[str] | None = None) -> DataFrame:
     """F2 / L1: batch scoring with a user function over pandas batches
-    (``mapInPandas``).  Project the needed ``columns`` first: a Python step
+    (``mapInPandas``).  This is the only pandas interchange (A11): Arrow
+    batches inside tasks, never ``toPandas`` on the driver.  Project the needed ``columns`` first: a Python step
     is an optimizer barrier, so pruning must happen before it."""
     src = df.select(*columns) if columns else df
 

@@ -218,7 +218,8 @@ def quarantine_qa(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
 
 
 def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
-    """One row per (example, window).  ``step = budget - stride``;
+    """One row per (example, window) -- the 1 -> n expansion is a
+    ``posexplode``.  ``step = budget - stride``;
     window starts ``0, step, 2*step, ...`` until a window reaches the end of
     the context; each row carries its example id (``example_id``).
 
