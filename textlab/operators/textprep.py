@@ -310,12 +310,13 @@ def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
     the document, with the first occurrence ``pos`` (0-based).
 
     No nested loop: candidates come from an equi-join on the passage's
-    longest *internal* word (never its first or last word, which may be
-    glued to neighbouring letters in the document; an internal word is
-    always a whole token of a text containing the passage) against each
-    document's distinct words, and ``position`` verifies the exact match.
-    The join is complete, so no pair is lost.  Passages with fewer than
-    three words have no internal word and are returned in no pair.
+    longest *inner* word -- one with a non-word character on both sides
+    inside the passage, so it cannot be glued to letters of the surrounding
+    text and is always a whole token of any text containing the passage --
+    against each document's distinct words, and ``position`` verifies the
+    exact match.  The join is complete, so no pair is lost.  A passage
+    without an inner word (e.g. a single word, or words running into both
+    ends) cannot be keyed this way and is returned in no pair.
 
     Plan: the passage table is counted first.  Up to ``broadcast_limit``
     passages it is broadcast and the documents stream through once (explode
@@ -327,9 +328,13 @@ def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
     wre = F.lit(f"[{WORD_CLASS}]+")
     p = passages.select(F.col(item_id).alias("_item"), F.col(passage_text).alias("_ptext"),
                         F.regexp_extract_all(F.col(passage_text), wre, 0).alias("_pw"))
-    p = p.where(F.size("_pw") >= 3).withColumn(
-        "_key", F.array_max(F.transform(F.slice("_pw", 2, F.size("_pw") - 2), lambda w, i: F.struct(
-            F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"])
+    # inner words: a non-word character on both sides inside the passage,
+    # so they cannot be glued to letters of the surrounding text
+    inner = F.regexp_extract_all(F.col("_ptext"), F.lit(
+        f"(?<=[^{WORD_CLASS}])[{WORD_CLASS}]+(?=[^{WORD_CLASS}])"), 0)
+    p = p.withColumn("_inner", inner).where(F.size("_inner") >= 1).withColumn(
+        "_key", F.array_max(F.transform("_inner", lambda w, i: F.struct(
+            F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"]).drop("_inner")
     p = evaluate_once(p).select("_item", "_key", "_ptext", "_pw")
     d = docs.select(F.col(doc_id).alias("_doc"), F.col(doc_text).alias("_dtext"))
     if p.count() <= broadcast_limit:

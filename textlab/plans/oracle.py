@@ -268,7 +268,7 @@ ex AS (SELECT CAST(b.item_id AS VARCHAR) || '-' || CAST(d.doc_id AS VARCHAR) AS
               array_to_string(b.ws[1:{q.LQA_QUESTION_WORDS}], ' ') AS question, d.text AS context,
               CAST(strpos(d.text, b.text) - 1 AS INTEGER) AS a_start, b.text AS a_text
        FROM bw b JOIN documents d ON strpos(d.text, b.text) > 0
-       WHERE len(b.ws) >= 3)"""
+       WHERE regexp_matches(b.text, '[^{W}][{W}]+[^{W}]'))"""
 
 
 def _qa_base(source: str = "conversations") -> str:

@@ -510,13 +510,12 @@ def long_qa_examples_df(spark: SparkSession, sf: str) -> DataFrame:
     ``documents`` text is the answer, the document the context, the
     passage's first six words the question.
 
-    Candidates come from an equi-join on the passage's longest *internal*
-    word (not its first or last word, so it is a whole token of any text
-    that contains the passage) against each document's distinct words;
-    ``position`` then verifies the exact occurrence.  The document side is a
-    streamed explode, the passage side is small (AQE broadcasts it after
-    measuring it).  Passages with fewer than three words have no internal
-    word and are not matched."""
+    Matching is :func:`textlab.operators.textprep.locate_passages`: an
+    equi-join on the passage's longest inner word (a whole token of any text
+    containing the passage) against each document's distinct words, then an
+    exact ``position`` check; the passage table is broadcast after a size
+    check.  A passage without an inner word cannot be keyed and is not
+    matched."""
     b = table(spark, sf, "benchmark", ["item_id", "text"])
     d = table(spark, sf, "documents", ["doc_id", "text"])
     hit = tp.locate_passages(d, "doc_id", "text", b, "item_id", "text")
