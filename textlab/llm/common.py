@@ -42,20 +42,22 @@ def spread(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
-def ranked(df: DataFrame, by: list[str], order: list[str], out: str, cells: int = 64,
+def ranked(df: DataFrame, by: list[str], order: list[str], out: str, cells: int | None = None,
            total: str | None = None, weight: str | None = None) -> DataFrame:
     """Gapless 0-based rank ``out`` inside each group of ``by``, and the
     group's row count ``total`` if named, without one task per group.  With
     ``weight``, the sums of that column over the rows before and over all.
 
-    Rows are spread over ``cells`` hash cells per group; cell counts (at
-    most ``cells`` rows per group) give every cell its offset, and the rank
+    Rows are spread over ``cells`` hash cells per group (twice the session's
+    shuffle partitions, 64 at least); cell counts (at most ``cells`` rows per
+    group) give every cell its offset, and the rank
     inside a cell is a window over that cell alone.  A group with a third of
     all rows is thus ranked by ``cells`` tasks.  The order is: cell, then
     ``order``.
     """
     from pyspark.sql import Window as W
 
+    cells = cells or max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = df.withColumn("_cell", spread(F.struct(*order), cells))
     one = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     counts = keyed.groupBy(*by, "_cell").agg(F.sum(one).alias("_n"))

@@ -4,9 +4,9 @@ Each document's ids are cut into full sequences and a remainder.  The
 remainders' length histogram (at most one number per length) is a
 cutting-stock problem: a linear program over packing patterns whose columns
 are priced by knapsack dynamic programming.  Rounded-down patterns are filled
-with the documents of each length by rank; what rounding leaves over is less
-than one sequence per pattern, and is cut freely into full sequences, the
-last one into powers of two.
+with the documents of each length by rank; what is left over is laid end to
+end by a running sum and cut into full sequences, the last one into powers
+of two.
 
 Only the histogram reaches the driver.  Ranks are spread over hash cells, and
 the pattern table has at most one row per pattern and length.
@@ -55,67 +55,65 @@ def price(values: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
     return counts
 
 
-def starting_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A basis: one pattern per length.  The longest open length is joined by
-    the fullest fill from the open lengths, used until a demand runs out."""
-    left, open_ = demand.astype(np.float64).copy(), np.ones(lengths.size, bool)
-    columns, level = [], []
-    for _ in range(lengths.size):
-        top = int(np.flatnonzero(open_)[-1])
-        weight = np.where(open_ & (left > 0), lengths * (1.0 + 1e-9 * np.log1p(np.maximum(left, 0))), 0)
-        col = price(weight, lengths, int(size - lengths[top]))
-        col[top] += 1
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(col > 0, left / col, np.inf)
-        k = int(ratio.argmin())
-        x = max(0.0, float(ratio[k]))
-        left -= x * col
-        left[k], open_[k] = 0.0, False
-        columns.append(col), level.append(x)
-    return np.array(columns).T.astype(np.float64), np.array(level)
+def _pivot(inverse: np.ndarray, step: np.ndarray, k: int) -> None:
+    """Replaces basis column ``k`` by the column whose image is ``step``."""
+    inverse[k] /= step[k]
+    rows = np.flatnonzero(step)
+    rows = rows[rows != k]
+    inverse[rows] -= step[rows, None] * inverse[k]
 
 
-def cutting_stock(lengths: np.ndarray, demand: np.ndarray, size: int, max_pivots: int = 1500,
+def cutting_stock(lengths: np.ndarray, demand: np.ndarray, size: int, max_pivots: int = 400,
                   gap: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and their linear-program levels: the fewest sequences
-    of ``size`` that hold ``demand`` pieces of each length, by column
+    of ``size`` that hold exactly ``demand`` pieces of each length, by column
     generation (revised simplex; a dense inverse of at most ``size`` rows).
 
-    Stops when no column prices out, when the total is within ``gap`` of the
-    lower bound, or after ``max_pivots``; the basis is feasible at any time,
-    so stopping early costs padding-free leftovers, not rows.
+    The first basis is greedy: the longest open length is joined by the
+    fullest fill from the open lengths, and the length that runs out is
+    closed.  Then the pattern with the largest value under the present dual
+    prices enters, until none is worth more than a sequence, the total is
+    within ``gap`` of the lower bound, or after ``max_pivots``.  The basis is
+    feasible at any time, so stopping early only leaves more to free cuts.
     """
-    basis, _ = starting_patterns(lengths, demand, size)
-    inverse = np.linalg.inv(basis)
-    x = inverse @ demand
-    bound = float(lengths @ demand) / size
-    for n in range(max_pivots):
+    m = lengths.size
+    patterns, inverse, x = np.zeros((m, m), np.int64), np.eye(m), demand.astype(np.float64)
+    left, open_ = x.copy(), np.ones(m, bool)
+    for _ in range(m):
+        top = int(np.flatnonzero(open_)[-1])
+        weight = np.where(open_ & (left > 0), lengths * (1.0 + 1e-9 * np.log1p(left)), 0)
+        col = price(weight, lengths, int(size - lengths[top]))
+        col[top] += 1
+        ratio = np.where(col > 0, left / np.maximum(col, 1), np.inf)
+        k = int(ratio.argmin())
+        # closed lengths are not in `col`, so in this basis its image is itself
+        _pivot(inverse, col.astype(np.float64), k)
+        left = np.maximum(left - ratio[k] * col, 0)
+        patterns[k], x[k] = col, ratio[k]
+        left[k], open_[k] = 0.0, False
+    bound = float((lengths * demand).sum()) / size
+    for _ in range(max_pivots):
         if x.sum() <= bound * (1 + gap):
             break
         dual = inverse.sum(axis=0)  # every pattern costs one sequence
-        col = price(dual, lengths, size).astype(np.float64)
-        value = float(dual @ col)
+        col = price(dual, lengths, size)
+        value = float((dual * col).sum())
         if value <= 1 + 1e-9:
             break
-        bound = max(bound, float(dual @ demand) / value)
-        step = inverse @ col
+        bound = max(bound, float((dual * demand).sum()) / value)
+        used = np.flatnonzero(col)
+        step = (inverse[:, used] * col[used]).sum(axis=1)
+        step[np.abs(step) < 1e-12] = 0
         ok = step > 1e-9
         if not ok.any():
             break
         ratio = np.where(ok, np.maximum(x, 0) / np.where(ok, step, 1), np.inf)
         k = int(ratio.argmin())
-        basis[:, k] = col
-        if n % 100 == 99:
-            inverse = np.linalg.inv(basis)
-            x = inverse @ demand
-        else:
-            x = x - ratio[k] * step
-            x[k] = ratio[k]
-            inverse[k] /= step[k]
-            row = inverse[k].copy()
-            step[k] = 0
-            inverse -= np.outer(step, row)
-    return basis.T.astype(np.int64), np.maximum(np.linalg.solve(basis, demand), 0)
+        x = np.maximum(x - ratio[k] * step, 0)
+        x[k] = ratio[k]
+        patterns[k] = col
+        _pivot(inverse, step, k)
+    return patterns, x
 
 
 def slots(lengths: np.ndarray, demand: np.ndarray, size: int, **lp) -> tuple[pd.DataFrame, int]:
@@ -135,7 +133,7 @@ def slots(lengths: np.ndarray, demand: np.ndarray, size: int, **lp) -> tuple[pd.
         at = col > 0
         n = min([n, *((demand[at] - used[at]) // col[at])])
         if n <= 0 or int(col @ lengths) != size:
-            continue  # a pattern with a gap is left to the free cuts
+            continue  # what a pattern with a gap would hold is cut freely
         offset = 0
         for k in np.flatnonzero(at):
             rows.append((lengths[k], used[k], used[k] + n * col[k], col[k], base, offset))
@@ -205,33 +203,42 @@ def _place(table: pd.DataFrame, spread: int = 1 << 40):
 
 
 def _free_cuts(size: int, first: int):
-    """All left-over remainders in a row, cut into full sequences and a last
-    one cut into powers of two.  Patterns leave fewer than one sequence each,
-    so this group has fewer than ``size`` * ``size`` ids whatever the input."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_len", "_row"], ascending=[False, True])
-        total = int(pdf["_len"].sum())
-        ends = list(range(size, total + 1, size))
-        at = total // size * size
-        for bit in range(size.bit_length() - 1, -1, -1):
-            if (total - at) >> bit & 1:
-                ends.append((ends[-1] if ends else 0) + (1 << bit))
-        out, pos, seq, begin = [], 0, 0, 0
-        for r in pdf.itertuples(index=False):
-            ids = np.frombuffer(r[pdf.columns.get_loc("_rest")], "<u2" if r[pdf.columns.get_loc("_narrow")] else "<u4")
-            ids, cut = ids.astype("<u4"), 0
-            while cut < ids.size:
-                n = min(ids.size - cut, ends[seq] - pos)
-                out.append((r[pdf.columns.get_loc("_row")], r[pdf.columns.get_loc("_base")] + cut, n,
-                            zlib.crc32(ids[cut:cut + n].tobytes()), first + seq, pos - begin))
-                cut, pos = cut + n, pos + n
-                if pos == ends[seq]:
-                    seq, begin = seq + 1, pos
-        return pd.DataFrame(out, columns=["_row", "start", "length", "ids_crc32", "sequence_id", "offset"]).astype(
-            np.int64)
+    """Left-over remainders, each with its place in one long row of ids, cut
+    at full sequences; the ids behind the last full one are cut at powers of
+    two.  A remainder needs only its own place and the total."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.to_dict("records"):
+                pos, total = r["_pos"], r["_sum"]
+                whole = total // size
+                tail, at = [], whole * size  # (end, start) of the power-of-two sequences
+                for bit in range(size.bit_length() - 2, -1, -1):
+                    if (total - whole * size) >> bit & 1:
+                        tail.append((at + (1 << bit), at))
+                        at += 1 << bit
+                ids = np.frombuffer(r["_rest"], "<u2" if len(r["_rest"]) < 4 * r["_len"] else "<u4").astype("<u4")
+                cut = 0
+                while cut < ids.size:
+                    p = pos + cut
+                    if p < whole * size:
+                        seq, begin = p // size, p // size * size
+                        end = begin + size
+                    else:
+                        k = next(i for i, t in enumerate(tail) if p < t[0])
+                        seq, (end, begin) = whole + k, tail[k]
+                    n = min(ids.size - cut, end - p)
+                    out.append((r["_id"], r["_base"] + cut, n, zlib.crc32(ids[cut:cut + n].tobytes()), r["_n"],
+                                first + seq, p - begin))
+                    cut += n
+            yield pd.DataFrame(out, columns=PIECE)
     return run
 
 
+#: The columns of a piece.
+PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", size: int = 1024,
          end_id: int = 0, **lp) -> DataFrame:
     """Packs the token ids of every whole text, plus ``end_id``, into
@@ -276,15 +283,10 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
         F.col("_crc").alias("ids_crc32"), F.col("_n").alias("doc_tokens"),
         F.col("_seq").alias("sequence_id"), F.col("_off").alias("offset"))
 
-    open_ = place.where(F.col("_seq") < 0)
-    loose = cut.select("_row", "_rest").join(open_.select("_row", "_len", "_base"), "_row")
-    pieces = loose.withColumn("_narrow", F.length("_rest") < 4 * F.col("_len")).groupBy(
-        F.lit(0).alias("_all")).applyInPandas(
-        _free_cuts(size, made + full),
-        "_row long, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    pieces = pieces.join(open_.select("_row", "_id", "_n"), "_row").select(
-        F.col("_id").alias("doc_id"), "start", "length", "ids_crc32", F.col("_n").alias("doc_tokens"),
-        "sequence_id", "offset")
+    loose = ranked(place.where(F.col("_seq") < 0).select("_row", "_id", "_n", "_len", "_base"), [], ["_row"],
+                   "_pos", weight="_len", total="_sum")
+    pieces = loose.join(cut.select("_row", "_rest"), "_row").mapInPandas(
+        _free_cuts(size, made + full), f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in PIECE[1:]))
 
     # full sequences: numbered behind the patterns' by a spread-out running sum
     heavy = cut.where(F.size("_crcs") > 0).select("_row", "_id", "_n", "_crcs", F.size("_crcs").cast("long").alias("_k"))
