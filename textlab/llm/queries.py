@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlab.llm import bpe, chat, neardup, packing, pii, quality, sharding
+from textlab.llm import (
+    ann, bpe, chat, neardup, ngram_lm, packing, pii, quality, sharding, url_filter)
 
 #: The key of the registered queries; a deployment passes its own secret.
 PII_KEY = b"textlab registered queries"
@@ -28,6 +29,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: (verdict, host, path)
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
+
+
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """40 shards under the law `rows`; equal texts are linked."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -42,10 +52,20 @@ def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf, "documents"), vocabulary_path())
 
 
+def op4_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents"), width=3, pct=85)
 
 
+def op6_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Learns from the documents whose id's checksum is not divisible by 10."""
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10
+    return ngram_lm.score_texts(table(spark, sf, "documents"), fold != 0)
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), vocabulary_path())
 
@@ -77,6 +97,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (
-    op2_sharding, op3_bpe_round_trip, op5_near_duplicates, op7_packing, op8_chat_format, op9_quality, op10_pii)}
+    op1_url_filter, op2_sharding, op3_bpe_round_trip, op4_nearest, op5_near_duplicates, op6_lm_score, op7_packing,
+    op8_chat_format, op9_quality, op10_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
