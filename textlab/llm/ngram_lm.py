@@ -50,14 +50,12 @@ def grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]
     yet."""
     start = np.cumsum(sizes) - sizes
     out = [tokens]
-    place = np.arange(tokens.size) - np.repeat(start, sizes)
+    place = np.arange(tokens.size) - np.repeat(start, sizes)  # in its text
     with np.errstate(over="ignore"):
         for n in range(2, order + 1):
             history = np.concatenate([out[-1][:1], out[-1][:-1]])
             if n == 2:
                 history[start] = BEGIN
-            elif n == 3:
-                history[place == 1] = out[1][start]  # BEGIN and the first word
             g = mix(history * _LEFT + tokens * _RIGHT + np.uint64(n))
             g[place < n - 2] = 0
             out.append(g)
@@ -158,11 +156,12 @@ class Automaton:
         # states by n-gram: first position of every distinct n-gram of the block
         start = np.cumsum(sizes) - sizes
         order = len(gs)
-        state_of = np.where(c1 > 0, np.arange(1, words.size + 1), 0)  # order-1 contexts
+        context = (c1 > 0) & (words != END) & (order > 1)  # nothing follows an end
+        state_of = np.where(context, np.arange(1, words.size + 1), 0)
         self.begin = int(state_of[begin])
-        self.root_next = state_of.tolist() if order > 1 else [0] * words.size
+        self.root_next = state_of.tolist()
         back, fail, n_states = [0.0], [0], words.size + 1
-        back += np.log10(kappa / (c1 + kappa)).tolist()
+        back += np.log10(np.where(context, kappa / (c1 + kappa), 1)).tolist()
         fail += [0] * words.size
         arcs: dict[int, tuple[float, int]] = {}
         p_here, c_here, s_here = p[inv], c1[inv], state_of[inv]
@@ -173,9 +172,6 @@ class Automaton:
             before_c, before_s = np.concatenate([[0.0], c_here[:-1]]), np.concatenate([[0], s_here[:-1]])
             if n == 2:
                 before_c[start], before_s[start] = c_start, s_start
-            elif n == 3:
-                second = (start + 1)[sizes > 1]
-                before_c[second], before_s[second] = c_here[second - 1], s_here[second - 1]
             i = first[(c > 0) & (u != 0)]
             at = inv_n[i]
             p_n = (c[at] + kappa * p_here[i]) / (before_c[i] + kappa)
