@@ -40,13 +40,13 @@ def brute_components(rows, width, pct):
     return {(d, len(sets[i])): (least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)}
 
 
-def variants(seed=1, groups=12, copies=9):
+def variants(seed=1, groups=12, copies=9, sizes=(4, 7, 20, 90, 300)):
     """Groups of near copies of every similarity, short texts, exact copies."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(1, 6)))
     out = []
     for g in range(groups):
-        base = [word() for _ in range(rng.choice([4, 7, 20, 90, 300]))]
+        base = [word() for _ in range(rng.choice(sizes))]
         for c in range(copies):
             w = list(base)
             for _ in range(rng.randrange(0, max(2, len(w) // 25))):

@@ -13,8 +13,8 @@ copies costs one row.  No step emits all pairs of a band bucket:
    choose different centres in different bands), a linear number of pairs;
 2. true links are merged into components;
 3. only in buckets whose members are still in different components, the
-   remaining pairs *between* components are estimated in blocks of rows, and
-   those that pass are verified.
+   remaining pairs *between* components are estimated and verified inside
+   blocks of rows, which emit only links that merge components.
 
 Pairs inside a component need no test, as only components are asked for.
 """
@@ -173,21 +173,40 @@ def _similar(floor: float):
     return run
 
 
-def _between_components(floor: float):
-    """Pairs of one bucket block between components that pass the estimate."""
+def _between_components(pct: int, floor: float):
+    """The links of one bucket block between components, on full sets.
+
+    Only members outside the block's largest component are compared: with
+    all members of other components that pass the estimate, by an inverted
+    index of the block's shingles.  A link merges two components at once, so
+    at most one link less than there are members comes out."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, comp, block = (pdf[c].to_numpy() for c in ("_cid", "_comp", "_own"))
+        ids, comp = pdf["_cid"].to_numpy(), np.unique(pdf["_comp"].to_numpy(), return_inverse=True)[1]
         regs = np.frombuffer(b"".join(pdf["_regs"]), np.uint16).reshape(len(pdf), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["_set"]]
+        size = np.array([x.size for x in sets])
         lo, hi = pdf["_lo"].iloc[0], pdf["_hi"].iloc[0]
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        own, main = pdf["_own"].to_numpy(), np.bincount(comp).argmax()
+        every = np.concatenate(sets)
+        by = np.argsort(every, kind="stable")
+        holder, every = np.repeat(np.arange(len(sets)), size)[by], every[by]
         a, b = [], []
-        for i in left:
-            other = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) if lo == hi else True)]
-            if other.size:
-                other = other[jaccard_estimate(regs[i], regs[other]) >= floor]
-                a.extend([ids[i]] * other.size), b.extend(ids[other])
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        for i in np.flatnonzero(comp != main):
+            other = (comp != comp[i]) & (own == (hi if own[i] == lo else lo))
+            other = np.flatnonzero(other)
+            other = other[jaccard_estimate(regs[i], regs[other]) >= floor]
+            if not other.size:
+                continue
+            first, last = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
+            span = last - first
+            places = np.repeat(first - np.concatenate([[0], np.cumsum(span)[:-1]]), span) + np.arange(span.sum())
+            both = np.bincount(holder[places], minlength=len(sets))[other]
+            for j in other[100 * both >= pct * (size[i] + size[other] - both)]:
+                if comp[j] != comp[i]:
+                    a.append(min(ids[i], ids[j])), b.append(max(ids[i], ids[j]))
+                    gone, kept = (comp[i], comp[j]) if comp[j] == main else (comp[j], comp[i])
+                    comp[comp == gone] = kept
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
     return run
 
 
@@ -235,18 +254,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     star = (star.join(regs.toDF("a", "_ra"), "a").join(regs.toDF("b", "_rb"), "b")
             .mapInPandas(_similar(floor), "a long, b long"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        """The true links among ``pairs``; texts travel only for their classes."""
-        wanted = pairs.select(F.col("a").alias("_cid")).union(pairs.select("b")).distinct()
-        reps = wanted.join(classes, "_cid").select(F.col("_rep").alias("_id"))
-        # a null id has no order among ids: such classes are found by any row
-        texts = src.join(reps.distinct(), src["_id"].eqNullSafe(reps["_id"]), "left_semi")
-        sets = texts.mapInPandas(_sets(width), "_cid long, _set binary").dropDuplicates(["_cid"])
-        return written(pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
-                       .mapInPandas(_verified(pct), "a long, b long").distinct(), "links")
-
-    star = written(star, "candidates")
-    links = verify(star)
+    # full sets of the classes that share a bucket with another
+    reps = shared.select("_cid").distinct().join(classes, "_cid").select(F.col("_rep").alias("_id")).distinct()
+    texts = src.join(reps, src["_id"].eqNullSafe(reps["_id"]), "left_semi")  # null: any row without an id
+    sets = texts.mapInPandas(_sets(width), "_cid long, _set binary").dropDuplicates(["_cid"])
+    sets = written(sets, "sets")
+
+    links = written(star.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
+                    .mapInPandas(_verified(pct), "a long, b long"), "links")
     comp = connected_components(links)
 
     labelled = shared.where(F.col("_n") > 2).join(comp, F.col("_cid") == F.col("id"), "left").select(
@@ -255,13 +270,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.col("_x") != F.col("_y")).select("_key")
     blocks = F.ceil(F.col("_n") / block).cast("int")
     own = F.pmod(F.xxhash64("_cid"), blocks).cast("int")
-    rest = (labelled.join(mixed, "_key").join(regs, "_cid").withColumn("_own", own)
+    rest = (labelled.join(mixed, "_key").join(regs, "_cid").join(sets, "_cid").withColumn("_own", own)
             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumn("_lo", F.least("_own", "_other")).withColumn("_hi", F.greatest("_own", "_other")))
-    late = rest.groupBy("_key", "_lo", "_hi").applyInPandas(
-        _between_components(floor), "a long, b long").distinct()
-    late = written(late.join(star, ["a", "b"], "left_anti"), "late-candidates")
-    more = verify(late)
+    more = rest.groupBy("_key", "_lo", "_hi").applyInPandas(
+        _between_components(pct, floor), "a long, b long").distinct()
     root = connected_components(comp.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
 
     full = rows.select("_id", "_cid", "_size").join(
