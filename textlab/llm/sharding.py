@@ -36,14 +36,28 @@ def _round(occ: DataFrame, load: DataFrame, shards: int) -> DataFrame:
     has each shard's free places.  Returns the new occupancy with ``_moved``,
     the number of members that changed place into that row."""
     everyone = W.partitionBy("_g")
-    # the wish: the fullest place of the group among shards with room or with fewer members to give
-    o = occ.join(F.broadcast(load), "_s")  # at most one row per shard
-    open_ = F.when(F.col("_room") > 0, F.struct(F.col("_n").alias("n"), F.xxhash64("_g", "_s").alias("h"), "_s"))
-    fullest = F.struct(F.col("_n").alias("n"), F.xxhash64("_g", "_s").alias("h"), F.col("_s"))
-    o = o.withColumn("_best", F.coalesce(F.max(open_).over(everyone), F.max(fullest).over(everyone)))
-    me = F.struct(F.col("_n").alias("n"), F.xxhash64("_g", "_s").alias("h"), F.col("_s"))
-    ask = o.where((me < F.col("_best")) & (F.col("_best._s") != F.col("_s"))).select(
-        "_g", F.col("_s").alias("_from"), F.col("_best._s").alias("_to"), "_n")
+    h = F.xxhash64("_g", "_s")
+    o = occ.join(F.broadcast(load), "_s").withColumn("_h", h)  # at most one row per shard
+    key = F.struct(F.col("_n").alias("n"), F.col("_h").alias("h"), F.col("_s").alias("s"))
+    down = everyone.orderBy(F.col("_n").desc(), F.col("_h").desc()).rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(down), F.lit(0))
+    o = o.withColumn("_all", F.sum("_n").over(everyone)).withColumn("_key", key)
+    # the wish: the fullest place that can hold the whole group; else the fullest places that
+    # can hold it together, filled in that order; else (no room anywhere) the fullest, by swaps
+    o = o.select("*", F.max(F.when(F.col("_n") + F.col("_room") >= F.col("_all"), F.col("_key"))).over(everyone).alias("_one"),
+                 F.max("_key").over(everyone).alias("_fullest"),
+                 (before(F.col("_n") + F.col("_room")) < F.col("_all")).alias("_goal"))
+    o = o.withColumn("_space", F.when(F.col("_goal"), F.col("_room")).otherwise(0)).withColumn(
+        "_hi", before("_space") + F.col("_space"))
+    o = o.select("*", F.collect_list(F.when(F.col("_space") > 0, F.struct(F.col("_hi").alias("hi"), F.col("_s").alias("s"))))
+                 .over(everyone).alias("_goals"), before(F.when(F.col("_goal"), F.lit(0)).otherwise(F.col("_n"))).alias("_ahead"))
+    ahead = F.col("_ahead")
+    several = F.array_min(F.filter("_goals", lambda t: t["hi"] > ahead))["s"]
+    to = (F.when(F.col("_one").isNotNull(), F.col("_one.s"))
+          .when(F.size("_goals") > 0, F.when(~F.col("_goal"), several))
+          .otherwise(F.col("_fullest.s")))
+    ask = o.withColumn("_to", to).where(F.col("_to").isNotNull() & (F.col("_to") != F.col("_s"))).select(
+        "_g", F.col("_s").alias("_from"), "_to", "_n")
     ask = ask.withColumn("_cell", spread(F.col("_g"), CELLS))
 
     # quotas from sums per pair of shards and cell (at most shards * shards * CELLS rows)
@@ -56,10 +70,14 @@ def _round(occ: DataFrame, load: DataFrame, shards: int) -> DataFrame:
     both = both.withColumn("_extra", F.col("_all") - F.col("_swap"))
     one = F.row_number().over(W.partitionBy("_from", "_to").orderBy("_cell")) == 1
     both = both.withColumn("_first", one)
-    into = F.sum(F.when(F.col("_first"), F.col("_extra"))).over(W.partitionBy("_to"))
-    both = both.withColumn("_into", into).join(
+    extra = F.when(F.col("_first"), F.col("_extra")).otherwise(0)
+    up_to = W.partitionBy("_to").orderBy("_from", "_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+    both = both.withColumn("_into", F.sum(extra).over(W.partitionBy("_to"))).withColumn(
+        "_run", F.sum(extra).over(up_to)).join(
         F.broadcast(load.select(F.col("_s").alias("_to"), F.col("_room"))), "_to")
-    share = F.least(F.col("_extra"), F.floor(F.col("_room") * F.col("_extra") / F.greatest("_into", F.lit(1))))
+    # the free places in proportion to what is asked, whole numbers that add up
+    part_of = lambda c: F.floor(F.col("_room") * c / F.greatest("_into", F.lit(1)))
+    share = F.least(F.col("_extra"), part_of(F.col("_run")) - part_of(F.col("_run") - F.col("_extra")))
     both = both.withColumn("_quota", F.col("_swap") + share)
     run = W.partitionBy("_from", "_to").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     both = both.withColumn("_before", F.coalesce(F.sum("_asked").over(run), F.lit(0)))
