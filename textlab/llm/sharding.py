@@ -118,9 +118,9 @@ def balanced_shards(docs: DataFrame, shards: int, link: Column, size: Column, ca
     # a member's place in its group, and the group's size, without one task per group
     member = ranked(base.select("_row", "_g"), ["_g"], ["_row"], "_i", total="_members")
     member = written(member.withColumn("_linked", F.col("_g").isNotNull() & (F.col("_members") > 1)), "shard-members")
-    total = base.agg(F.count(F.lit(1)).alias("_total"))
-    targets = cut_lineage(base.sparkSession.range(shards).select(F.col("id").cast("int").alias("_s")).crossJoin(
-        F.broadcast(total)).select("_s", _target(shards, F.col("_total")).cast("long").alias("_target")))
+    total = base.agg(F.count(F.lit(1))).scalar()
+    targets = cut_lineage(base.sparkSession.range(shards).select(F.col("id").cast("int").alias("_s")).select(
+        "_s", _target(shards, total).cast("long").alias("_target")))
 
     # the start: group members dealt out evenly over all shards
     groups = member.where("_linked").groupBy("_g").agg(F.first("_members").alias("_members"))
@@ -153,7 +153,7 @@ def balanced_shards(docs: DataFrame, shards: int, link: Column, size: Column, ca
     free = room().withColumn("_hi", F.sum("_room").over(fill)).agg(F.sort_array(F.collect_list(
         F.struct(F.col("_hi").alias("hi"), F.col("_s").alias("s")))).alias("_cuts"))
     single = ranked(member.where(~F.col("_linked")).select("_row"), [], ["_row"], "_i")
-    single = single.crossJoin(F.broadcast(free)).select("_row", first(F.col("_cuts"), F.col("_i")).alias("shard"))
+    single = single.withColumn("_cuts", free.scalar()).select("_row", first(F.col("_cuts"), F.col("_i")).alias("shard"))
     placed = written(linked.unionByName(single), "shard-places")
     out = ranked(base.drop("_g").join(placed, "_row"), ["shard"], ["_row"], "slot")
     return out.drop("_row")

@@ -94,8 +94,8 @@ def segment(names: DataFrame, lexicon: DataFrame) -> DataFrame:
                                       lambda k: F.substring("name", F.col("_i"), k))))
     found = cut.select("name", "word").distinct().join(lexicon, "word").groupBy("name").agg(
         F.collect_list(F.struct("word", "n")).alias("found"))
-    total = lexicon.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))  # one row
-    return names.join(found, "name", "left").crossJoin(F.broadcast(total)).select("name", _segment(
+    total = lexicon.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    return names.join(found, "name", "left").withColumn("total", total).select("name", _segment(
         "name", F.coalesce("found", F.array().cast("array<struct<word:string,n:bigint>>")), "total").alias("words"))
 
 
@@ -139,20 +139,18 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
                                                F.first("words").alias("words"))
     features = counts.select("kind", F.explode("words").alias("word"), "b", "a").groupBy("kind", "word").agg(
         F.sum("b").alias("b"), F.sum("a").alias("a")).where(F.col("a") + F.col("b") > 0)
-    sums = features.agg(F.sum("b").alias("_nb"), F.sum("a").alias("_na"), F.count(F.lit(1)).alias("_v"))  # one row
-    model = features.crossJoin(F.broadcast(sums)).select(
-        "kind", "word", (F.log((F.col("b") + alpha) / (F.col("_nb") + alpha * F.col("_v")))
-                         - F.log((F.col("a") + alpha) / (F.col("_na") + alpha * F.col("_v")))).alias("llr"))
+    sums = features.agg(F.struct(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("v"))).scalar()
+    model = features.withColumn("_n", sums).select(
+        "kind", "word", (F.log((F.col("b") + alpha) / (F.col("_n.b") + alpha * F.col("_n.v")))
+                         - F.log((F.col("a") + alpha) / (F.col("_n.a") + alpha * F.col("_n.v")))).alias("llr"))
     prior = keys.agg(F.log((F.coalesce(F.sum("_block"), F.lit(0)) + alpha)
-                           / (F.coalesce(F.sum("_allow"), F.lit(0)) + alpha)).alias("_prior"))  # one row
+                           / (F.coalesce(F.sum("_allow"), F.lit(0)) + alpha))).scalar()
     by_name = counts.select("kind", "name", F.posexplode("words").alias("_i", "word")).join(
         model, ["kind", "word"], "left").groupBy("kind", "name").agg(F.sum(F.coalesce("llr", F.lit(0.0))).alias("s"))
     scored = tokens.select("_key", "kind", "name", F.array_join("words", " ").alias("_w")).join(
         by_name, ["kind", "name"]).groupBy("_key").agg(
         F.sum("s").alias("_s"), F.array_join(F.array_sort(F.collect_set("_w")), " ").alias("words"))
-    scored = scored.crossJoin(F.broadcast(prior)).select("_key", (F.col("_s") + F.col("_prior")).alias("_score"), "words")
-    out = p.join(scored, "_key", "left").crossJoin(F.broadcast(prior)).withColumn(
-        "score", F.coalesce("_score", "_prior"))
+    out = p.join(scored, "_key", "left").withColumn("score", F.coalesce("_s", F.lit(0.0)) + prior)
     learned = F.when(F.col("score") > 0, "block").otherwise("allow")
     return out.select("page_id", "host", "path", F.col("_r.rule").alias("rule"),
                       F.coalesce(F.col("_r.verdict"), learned).alias("verdict"), "score",
