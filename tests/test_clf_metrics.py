@@ -82,3 +82,12 @@ def test_with_top_k_equals_top_k_indices(spark):
         a = [r[0] for r in df.select(top_k_indices("l", k).alias("a")).collect()]
         b = [r.o for r in with_top_k(df, {"o": "l"}, k).select("o").collect()]
         assert a == b
+
+
+def test_undeclared_class_is_an_error(spark):
+    import pytest
+    conf = cm.confusion(spark.createDataFrame([(0, 0), (1, 0), (1, 1), (7, 1)], "target int, prediction int"))
+    with pytest.raises(Exception, match="not declared"):
+        cm.classification_report(conf, labels="declared", declared=[0, 1]).collect()
+    with pytest.raises(Exception, match="not declared"):
+        cm.dense_confusion(conf, [0, 1]).collect()

@@ -66,3 +66,19 @@ def test_shuffled_batches_permutation_and_export(spark):
     bt.write_batches(b, out, n_shards=2)
     back = spark.read.parquet(out)
     assert back.count() == 100 and set(os.listdir(out)) >= {"seed=0", "seed=1"}
+
+
+def test_null_keys_and_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, "a", 1), (3, "a", 2), (1, None, 3), (2, None, 4), (5, "a", 5)],
+                               "k long, g string, i int")
+    got = {r.i: r.idx for r in pos.positional_index(df, ["k"], ["g"], out="idx").collect()}
+    assert got == {1: 0, 2: 1, 5: 2, 3: 0, 4: 1}
+
+
+def test_split_tail_with_equal_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "d"), (3, "d")], "k long, v string")
+    for n in (0, 1, 2, 3, 5, 9):
+        head, tail = pos.split_tail(df, "k", n)
+        assert tail.count() == min(n, 5)
+        assert sorted(map(tuple, head.union(tail).collect())) == sorted(map(tuple, df.collect()))
+        assert head.columns == df.columns

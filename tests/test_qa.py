@@ -148,14 +148,56 @@ def test_keep_last_per_id(spark):
     assert got == {"a": "z", "b": "y"}
 
 
-def test_locate_passages_fallback_join_same_result(spark):
-    docs = spark.createDataFrame([(1, "xxDie Marge stieg deutlich an."), (2, "Die Marge sank."),
-                                  (3, "Die Marge stieg deutlich an. Die Marge stieg deutlich an.")],
-                                 "doc_id int, text string")
-    pas = spark.createDataFrame([(7, "Die Marge stieg deutlich"), (9, "Marge sank.")],
-                                "item_id int, text string")
-    fast = tp.locate_passages(docs, "doc_id", "text", pas, "item_id", "text")
-    slow = tp.locate_passages(docs, "doc_id", "text", pas, "item_id", "text", broadcast_limit=0)
-    key = lambda df: sorted((r.item_id, r.doc_id, r.pos) for r in df.collect())
-    # "Marge sank." keys on "sank" (a non-word character on both sides)
-    assert key(fast) == key(slow) == [(7, 1, 2), (7, 3, 0), (9, 2, 4)]
+def test_locate_passages_of_every_kind(spark):
+    """Single words, glued ends, short and long passages without inner words,
+    against a plain substring search."""
+    texts = ["xxDie Marge stieg deutlich an.", "Die Marge sank.", "Die Marge stieg deutlich an. Die Marge stieg deutlich an.",
+             "Unternehmensergebnis", "ab", "a", "", None, "x Marge", "Margen stiegen 🙂 sehr"]
+    pas = ["Die Marge stieg deutlich", "Marge sank.", "Marge", "a", "Unternehmensergebnis", "ergebnis", "Die Marge", "🙂",
+           ". Die", "", None, "nicht da", "fehlt", "Marge s"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    p = spark.createDataFrame(list(enumerate(pas)), "item_id int, text string")
+    got = {(r.item_id, r.doc_id): r.pos for r in tp.locate_passages(d, "doc_id", "text", p, "item_id", "text").collect()}
+    assert got == {(i, j): t.index(x) for i, x in enumerate(pas) if x for j, t in enumerate(texts) if t and x in t}
+
+
+def test_windows_and_quarantine_cover_every_id(spark):
+    rows = [("ok", "Wer ist", "a b c", ([], [])), ("nq", None, "a b", ([], [])), ("nc", "Wer", None, ([], [])),
+            ("ec", "Wer", "", ([], [])), ("wc", "Wer", " \n ", ([], [])), ("et", "Wer", "a b", ([0], [""])),
+            ("lq", "a b c d e f", "x", ([], [])), ("eq", "", "a", ([], []))]
+    prep, w = _windows(spark, rows, max_length=12, stride=4)
+    bad = {r.example_id: r.reason for r in tp.quarantine_qa(prep, 4).collect()}
+    assert bad == {"nq": "null question", "nc": "null context", "ec": "no context tokens", "wc": "no context tokens",
+                   "et": "empty answer text", "lq": "question too long"}
+    assert {r.example_id for r in w.collect()} == {"ok", "eq"}
+
+
+def test_four_special_tokens(spark):
+    ex = spark.createDataFrame([("1", "Wer ist", "a b c d", ([0], ["a"]))], EX_SCHEMA)
+    w = tp.window_offsets(tp.windows(tp.prepare_qa(ex, 384, 128, n_special=4)))
+    r = tp.label_spans(w).first()
+    assert (r.ctx_lo, r.seq_len, r.start_position) == (5, 10, 5)
+
+
+def test_tokens_are_the_same_with_and_without_offsets(spark):
+    texts = ["a\U0001DF00b", "x\u1c8ay", None, "", "a b  c\x1c", "Ä-1_2 ½ 🙂🙂"]
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = tp.tokenize(d, "t", "k").select("i", "k", tp.native_tokens("t").alias("n")).collect()
+    for r in got:
+        assert (r.k.tok if r.k else None) == r.n
+        if r.k:
+            assert [texts[r.i][s:e] for s, e in zip(r.k.st, r.k.en)] == r.k.tok
+
+
+def test_long_words_are_split(spark):
+    assert tp.wordpiece_split("ab" * 500, {"a", "b", "##a", "##b"}) == ["a"] + ["##b", "##a"] * 499 + ["##b"]
+
+
+def test_examples_without_prediction_count(spark):
+    from textlab.operators import qa_metrics as qm
+    ex = spark.createDataFrame([("1", "q", "c", ([0], ["x y"])), ("2", "q", "c", ([0], ["z"])), ("3", "q", "c", ([], []))],
+                               EX_SCHEMA)
+    pred = spark.createDataFrame([(0, "1", "x y"), (1, "1", "x"), (0, "9", "unknown"), (1, "2", "z")],
+                                 "seed int, example_id string, prediction_text string")
+    got = {r.seed: (round(r.exact_match, 6), round(r.f1, 6), r.n) for r in qm.squad_scores(pred, ex, keys=["seed"]).collect()}
+    assert got == {0: (round(100 / 3, 6), round(100 / 3, 6), 3), 1: (round(100 / 3, 6), round((2 / 3 + 1) * 100 / 3, 6), 3)}

@@ -49,17 +49,18 @@ def test_labels_fit_apply_unseen(spark):
 
 
 def test_resolve_models_rules(spark):
-    paths = [("..\\BaseModels\\german-fin-gbert-x-converted-hf",), ("deepset/gbert-base",),
-             ("uklfr/gottbert-base",), ("bert-base-german-cased",)]
-    df = pj.resolve_models(spark.createDataFrame(paths, "path string"), "path")
+    rules = pj.PathRules("fam", "fam-base", "local-base", "-converted", "own", "mine", "theirs")
+    paths = [("..\\models\\own-fam-x-converted",), ("org/fam-base",), ("org/other-base",), ("plain-base",),
+             ("..\\models\\own-y",)]
+    df = pj.resolve_models(spark.createDataFrame(paths, "path string"), rules)
     r = {x.path: x for x in df.collect()}
     a = r[paths[0][0]]
-    assert a.model_name == "german-fin-gbert-x" and a.tokenizer == pj.FAMILY_TOKENIZER
-    assert a.output_root == pj.OWN_MODEL_ROOT
-    assert r["deepset/gbert-base"].model_name == "deepset/gbert-base"   # gbert: split on '\\' only
-    assert r["uklfr/gottbert-base"].model_name == "gottbert-base"
-    assert r["uklfr/gottbert-base"].tokenizer == "uklfr/gottbert-base"
-    assert r["bert-base-german-cased"].output_root == pj.BENCHMARK_ROOT
+    assert a.model_name == "own-fam-x" and a.tokenizer == "fam-base" and a.output_root == "mine"
+    assert r["org/fam-base"].model_name == "org/fam-base"   # family: split on '\\' only
+    assert r["org/other-base"].model_name == "other-base"
+    assert r["org/other-base"].tokenizer == "org/other-base"
+    assert r["plain-base"].output_root == "theirs"
+    assert r[paths[4][0]].tokenizer == "local-base"
 
 
 def test_score_models_and_compare(spark):

@@ -35,10 +35,22 @@ def confusion(df: DataFrame, keys: Sequence[str] = (), target: str = "target",
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _only_declared(class_id: str, ids: list[int]) -> Column:
+    """The class id, or a runtime error if it is not in the declared list:
+    leaving such rows out would change every count."""
+    c = F.col(class_id)
+    return F.when(c.isin(*ids), c).otherwise(F.raise_error(F.concat(
+        F.lit("class id not declared: "), F.coalesce(c.cast("string"), F.lit("null"))))).cast("int")
+
+
 def dense_confusion(conf: DataFrame, class_ids: Sequence[int],
                     keys: Sequence[str] = ()) -> DataFrame:
     """I1 densified to K x K per run for a declared class list (a literal,
-    so the expansion is ``runs x K^2`` rows from a narrow explode)."""
+    so the expansion is ``runs x K^2`` rows from a narrow explode).  A class
+    id outside the list is an error."""
+    known = [int(c) for c in class_ids]
+    conf = conf.select(*keys, _only_declared("target", known).alias("target"),
+                       _only_declared("prediction", known).alias("prediction"), "n")
     ids = F.array(*[F.lit(int(c)) for c in class_ids])
     runs = conf.groupBy(*keys).count().select(*keys)
     grid = (runs.withColumn("target", F.explode(ids))
@@ -62,12 +74,12 @@ def _per_class(conf: DataFrame, keys: list[str],
     rows = conf.select(*keys, F.explode(roles).alias("r")).select(*keys, "r.*")
     if declared is not None:
         # Declared classes (Q8): every declared class gets a zero row per
-        # run (a literal list, so a narrow explode), classes outside the
-        # list are dropped from the per-class rows.
+        # run (a literal list, so a narrow explode); a class outside the list
+        # is an error.
         ids = [int(c) for c in declared]
         zero = conf.select(*keys, F.explode(F.array(*[F.lit(c) for c in ids])).alias("class_id"),
                            z.alias("true_n"), z.alias("pred_n"), z.alias("tp"))
-        rows = rows.where(F.col("class_id").isin(*ids)).unionByName(zero)
+        rows = rows.withColumn("class_id", _only_declared("class_id", ids)).unionByName(zero)
     return rows.groupBy(*keys, "class_id").agg(
         *[F.sum(c).cast("long").alias(c) for c in ("true_n", "pred_n", "tp")])
 
@@ -92,7 +104,7 @@ def classification_report(conf: DataFrame, keys: Sequence[str] = (),
 
     ``labels='observed'``: class set = union of true and predicted labels;
     ``labels='declared'``: the ``declared`` class-id list, absent classes
-    included with zero counts.  ``classes`` (class_id, class_name) names the
+    included with zero counts; an id outside the list is an error.  ``classes`` (class_id, class_name) names the
     rows; unnamed ids are shown as their number.
 
     Plan: the per-class table is gathered per run (K entries, the class

@@ -37,7 +37,8 @@ def positional_index(df: DataFrame, order_cols: Sequence[str],
                      accuracy: int = 100_000) -> DataFrame:
     """Add a dense 0-based position ``out`` in ``order_cols`` order within
     each group (``order_cols`` must make rows unique within a group; the
-    first one must be numeric).  ``total`` also adds the group size."""
+    first one must be numeric; nulls come first).  ``total`` also adds the
+    group size.  Null group values are groups of their own."""
     group_cols = list(group_cols)
     lead = order_cols[0]
     b = n_buckets or _default_buckets(df)
@@ -48,17 +49,21 @@ def positional_index(df: DataFrame, order_cols: Sequence[str],
     splits = [float("-inf")] + splits + [float("inf")]
     keyed = df.withColumn("_pk", F.col(lead).cast("double"))
     keyed = Bucketizer(splits=splits, inputCol="_pk", outputCol="_pb",
-                       handleInvalid="keep").transform(keyed).drop("_pk")
+                       handleInvalid="keep").transform(keyed)
+    keyed = keyed.withColumn("_pb", F.when(F.col("_pk").isNull(), F.lit(-1.0)).otherwise(F.col("_pb"))).drop("_pk")
     w = Window.partitionBy(*group_cols, "_pb").orderBy(*[F.col(c) for c in order_cols])
     ranked = keyed.withColumn("_rn", F.row_number().over(w))
-    sizes = ranked.groupBy(*group_cols, "_pb").agg(F.max("_rn").alias("_sz"))
+    sizes = keyed.groupBy(*group_cols, "_pb").agg(F.count(F.lit(1)).alias("_sz"))
     wc = Window.partitionBy(*group_cols).orderBy("_pb")
     offsets = sizes.select(
-        *group_cols, "_pb",
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_pb").alias("_ob"),
         (F.sum("_sz").over(wc.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
         *([F.sum("_sz").over(Window.partitionBy(*group_cols)).alias(total)]
           if total else []))
-    res = ranked.join(offsets, [*group_cols, "_pb"])
+    on = F.col("_pb") == F.col("_ob")
+    for i, c in enumerate(group_cols):
+        on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    res = ranked.join(offsets, on).drop("_ob", *[f"_g{i}" for i in range(len(group_cols))])
     res = res.withColumn(out, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1)
                          .cast("long"))
     return res.drop("_pb", "_rn", "_off")
@@ -98,9 +103,9 @@ def split_fraction(df: DataFrame, key: str, pct: float = 90.0,
 def split_tail(df: DataFrame, key: str, n: int = 500) -> tuple[DataFrame, DataFrame]:
     """A4: ``(head, tail)`` -- the last ``n`` rows by ``key`` and the rest.
 
-    The tail is a top-n (``TakeOrderedAndProject``: each task keeps n rows),
-    the head a left-anti join against those ``n`` keys (bounded, broadcast).
+    The cut is made at a position, so every row is in exactly one part; rows
+    with an equal key are ordered by a hash of all their columns.
     """
-    tail = df.orderBy(F.col(key).desc()).limit(n)
-    head = df.join(F.broadcast(tail.select(key)), key, "left_anti")
-    return head, tail
+    idx = positional_index(df.withColumn("_tie", F.xxhash64(*df.columns)), [key, "_tie"], out="_idx", total="_n")
+    in_tail = F.col("_idx") >= F.col("_n") - n
+    return tuple(idx.where(c).drop("_tie", "_idx", "_n") for c in (~in_tail, in_tail))

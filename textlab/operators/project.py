@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The model-path rules of the reference's run scripts.
-FAMILY_TOKEN = "gbert"              # tokenizer family test (one script uses "fin-gbert")
-FAMILY_TOKENIZER = "deepset/gbert-base"
-LOCAL_PATH_TOKENIZER = "bert-base-german-cased"
-CONVERTED_SUFFIX = "-converted-hf"
-OWN_MODEL_TOKEN = "german-fin"
-OWN_MODEL_ROOT = "GermanFinBERT"
-BENCHMARK_ROOT = "Benchmarks"
+
+@dataclass(frozen=True)
+class PathRules:
+    """What model paths mean in a deployment."""
+
+    family_token: str        # in paths of the family whose names keep their slashes
+    family_tokenizer: str    # ... and its tokenizer
+    local_tokenizer: str     # tokenizer of other models at a backslash path
+    converted_suffix: str    # removed from model names
+    own_token: str           # in paths of own models
+    own_root: str            # output root of own models
+    other_root: str          # ... and of all others
 
 
 def choose_label(df: DataFrame, granularity: str, coarse_col: str = "coarse-grained",
@@ -34,25 +39,25 @@ def _last_segment(path: Column, sep: str) -> Column:
     return F.element_at(F.split(path, sep.replace("\\", "\\\\"), -1), -1)
 
 
-def resolve_models(df: DataFrame, path_col: str = "path",
-                   family_token: str = FAMILY_TOKEN) -> DataFrame:
+def resolve_models(df: DataFrame, rules: PathRules, path_col: str = "path") -> DataFrame:
     """From a model path derive ``model_name`` (last segment after
     ``\\`` -- or after ``/`` when there is no backslash and the family token
-    is absent -- with ``-converted-hf`` removed), ``tokenizer`` (ordered
+    is absent -- with the converted suffix removed), ``tokenizer`` (ordered
     rule: family token, backslash path, slash path, else the path itself)
-    and ``output_root`` (own models vs benchmarks)."""
+    and ``output_root`` (own models vs others)."""
     p = F.col(path_col)
-    has_family = p.contains(family_token)
+    has_family = p.contains(rules.family_token)
     has_bs = p.contains("\\")
     has_fs = p.contains("/")
     name = (F.when(has_family | has_bs, _last_segment(p, "\\"))
             .when(has_fs, _last_segment(p, "/"))
             .otherwise(p))
-    name = F.replace(name, F.lit(CONVERTED_SUFFIX), F.lit(""))
-    tok = (F.when(has_family, F.lit(FAMILY_TOKENIZER))
-           .when(has_bs, F.lit(LOCAL_PATH_TOKENIZER))
+    name = F.replace(name, F.lit(rules.converted_suffix), F.lit(""))
+    tok = (F.when(has_family, F.lit(rules.family_tokenizer))
+           .when(has_bs, F.lit(rules.local_tokenizer))
            .otherwise(p))
-    root = F.when(p.contains(OWN_MODEL_TOKEN), F.lit(OWN_MODEL_ROOT)).otherwise(F.lit(BENCHMARK_ROOT))
+    root = F.when(p.contains(rules.own_token), F.lit(rules.own_root)).otherwise(
+        F.lit(rules.other_root))
     return df.select("*", name.alias("model_name"), tok.alias("tokenizer"),
                      root.alias("output_root"))
 

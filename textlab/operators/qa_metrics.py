@@ -24,14 +24,14 @@ def example_scores(pred: DataFrame, examples: DataFrame, lowercase: bool = False
 
     ``pred``: ``keys..., example_id, prediction_text``; ``examples``: ``id,
     answers``.  ``lowercase`` lower-cases prediction and gold first (D12);
-    ``first_gold_only`` keeps only the first gold text (H4).  Rows come from
-    ``pred`` left-joined to the examples' gold answers.
+    ``first_gold_only`` keeps only the first gold text (H4).  One row per
+    prediction of an example; predictions of unknown ids are not scored.
     """
     gold = F.col("answers.text")
     if first_gold_only:
         gold = F.slice(gold, 1, 1)
     ex = examples.select(F.col("id").alias("example_id"), gold.alias("_gold"))
-    j = pred.join(ex, "example_id", "left")
+    j = pred.join(ex, "example_id")
     p = F.col("prediction_text")
     if lowercase:
         p = F.lower(p)
@@ -49,10 +49,13 @@ def example_scores(pred: DataFrame, examples: DataFrame, lowercase: bool = False
 
 def squad_scores(pred: DataFrame, examples: DataFrame, lowercase: bool = False,
                  first_gold_only: bool = False, keys: Sequence[str] = ()) -> DataFrame:
-    """H5: ``(keys..., exact_match, f1, n)`` -- means over examples x 100.
-    Scored examples come from the prediction table; an example that has no
-    prediction (or no gold text) scores 0."""
+    """H5: ``(keys..., exact_match, f1, n)`` -- means over *all* examples x
+    100 for every run in ``pred``; ``n`` is the number of examples.  An
+    example that has no prediction (or no gold text) scores 0, so the sums
+    over the predictions are divided by the number of examples."""
     s = example_scores(pred, examples, lowercase, first_gold_only, keys)
-    return s.groupBy(*keys).agg((F.avg("exact_match") * 100).alias("exact_match"),
-                                (F.avg("f1") * 100).alias("f1"),
-                                F.count(F.lit(1)).alias("n"))
+    n = examples.agg(F.count(F.lit(1))).scalar()
+    g = s.groupBy(*keys).agg(F.sum("exact_match").alias("_em"), F.sum("f1").alias("_f1"))
+    return g.withColumn("n", n).select(
+        *keys, F.try_divide(F.col("_em") * 100, F.col("n")).alias("exact_match"),
+        F.try_divide(F.col("_f1") * 100, F.col("n")).alias("f1"), "n")

@@ -4,63 +4,52 @@ Token model: a text is cut into word runs, whitespace runs and single other
 characters (``TOKEN_PATTERN``); whitespace runs are then dropped.  Tokens keep
 0-based, end-exclusive character offsets ``(st, en)`` into the text.
 
-Offsets are the one step without a linear-time native expression (a prefix
-sum over an array is quadratic with ``aggregate``), so :func:`tokenize`
-computes them in an Arrow-batched pandas UDF -- a per-row helper of a few
-lines with no shuffle.  Everything else (windows, spans, masks, labels) is
-native array arithmetic on those columns.
+Tokens are cut by the JVM.  Offsets are the one step without a linear-time
+native expression (a prefix sum over an array is quadratic with
+``aggregate``), so the token *lengths* go through an Arrow-batched pandas UDF
+that takes one cumulative sum over the whole batch.  Everything else (windows,
+spans, masks, labels) is native array arithmetic on those columns.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, IntegerType
 
 from textlab.functions.arrays import evaluate_once
-from textlab.functions.text import WORD_CLASS, WS_CLASS, strip_left
-
-TOKENS_TYPE = StructType([
-    StructField("tok", ArrayType(StringType())),
-    StructField("st", ArrayType(IntegerType())),
-    StructField("en", ArrayType(IntegerType())),
-])
+from textlab.functions.text import WORD_CLASS, WS_CLASS, raw_tokens, strip_left
 
 # Special tokens of a BERT-style encoder.
 CLS, SEP, PAD, UNK = "[CLS]", "[SEP]", "[PAD]", "[UNK]"
 
 
-def _py_token_regex():
-    import regex
-    # Same classes as the JVM pattern, in the syntax of the `regex` module.
-    ws = WS_CLASS
-    return regex.compile(f"[{WORD_CLASS}]+|[{ws}]+|[^{WORD_CLASS}{ws}]"), \
-        regex.compile(f"[{ws}]+")
-
-
-@F.pandas_udf(TOKENS_TYPE)
-def _tokenize_udf(texts: pd.Series) -> pd.DataFrame:
-    tok_re, ws_re = _py_token_regex()
-    toks, sts, ens = [], [], []
-    for t in texts:
-        if t is None:
-            toks.append(None), sts.append(None), ens.append(None)
-            continue
-        a, b, c = [], [], []
-        for m in tok_re.finditer(t):
-            s = m.group(0)
-            if ws_re.fullmatch(s):
-                continue
-            a.append(s), b.append(m.start()), c.append(m.end())
-        toks.append(a), sts.append(b), ens.append(c)
-    return pd.DataFrame({"tok": toks, "st": sts, "en": ens})
+@F.pandas_udf(ArrayType(IntegerType()))
+def _running_ends(lengths: pd.Series) -> pd.Series:
+    """Running sums of each row's array (null stays null)."""
+    sizes = np.array([0 if x is None else len(x) for x in lengths], np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *[x for x in lengths if x is not None]])
+    total = np.concatenate([[0], np.cumsum(flat)]).astype(np.int64)
+    stop = np.cumsum(sizes)
+    return pd.Series([None if x is None else total[e - n + 1:e + 1] - total[e - n]
+                      for x, n, e in zip(lengths, sizes, stop)], dtype=object)
 
 
 def tokenize(df: DataFrame, col: str, out: str = "tokens") -> DataFrame:
-    """``out`` = struct of parallel arrays ``tok``, ``st``, ``en``."""
-    return df.withColumn(out, _tokenize_udf(F.col(col)))
+    """``out`` = struct of parallel arrays ``tok``, ``st``, ``en``; null
+    for a null text.  The same tokens as :func:`native_tokens`."""
+    d = evaluate_once(df.withColumn("_raw", raw_tokens(col)))
+    d = evaluate_once(d.withColumn("_end", _running_ends(F.transform("_raw", lambda t: F.length(t)))))
+    kept = F.filter(F.transform("_raw", lambda t, i: F.struct(
+        t.alias("t"), (F.get("_end", i) - F.length(t)).alias("s"), F.get("_end", i).alias("e"))),
+        lambda x: ~x["t"].rlike(f"^[{WS_CLASS}]"))
+    d = evaluate_once(d.withColumn("_kept", kept))
+    field = lambda f: F.transform("_kept", lambda x: x[f])
+    value = F.when(F.col("_kept").isNotNull(), F.struct(
+        field("t").alias("tok"), field("s").alias("st"), field("e").alias("en")))
+    return d.withColumn(out, value).drop("_raw", "_end", "_kept")
 
 
 def native_tokens(col) -> Column:
@@ -108,14 +97,15 @@ def wordpiece_vocabulary(freq: DataFrame, alphabet: DataFrame) -> DataFrame:
     return freq.select("token").unionByName(chars).unionByName(cont).distinct()
 
 
-def wordpiece_split(word: str, vocab: set, max_chars: int = 100) -> list[str]:
-    """Greedy longest-match-first sub-word split of one word (the published
-    WordPiece algorithm); ``[UNK]`` when some rest cannot be matched."""
-    if len(word) > max_chars:
-        return [UNK]
+def wordpiece_split(word: str, vocab: set, longest: int | None = None) -> list[str]:
+    """Greedy longest-match-first sub-word split of one word of any length
+    (the published WordPiece algorithm); ``[UNK]`` when some rest cannot be
+    matched.  ``longest`` is the length of the longest vocabulary entry (no
+    longer match can exist), to keep very long words linear."""
+    longest = longest or max(map(len, vocab), default=0)
     out, start = [], 0
     while start < len(word):
-        end, piece = len(word), None
+        end, piece = min(len(word), start + longest), None
         while start < end:
             sub = word[start:end] if start == 0 else "##" + word[start:end]
             if sub in vocab:
@@ -133,10 +123,10 @@ def subword(df: DataFrame, col: str, vocab: DataFrame, out: str = "pieces") -> D
     """D3: sub-word pieces for each distinct word of ``col``.
 
     Words are exploded and de-duplicated first (a corpus has far fewer
-    distinct words than words), the split runs on the distinct words in
-    ``mapInPandas`` with the vocabulary shipped once per task (it is a
-    top-V table plus an alphabet, bounded), and the result is joined back by
-    word.  Returns ``(word, pieces)``; join it to any word column.
+    distinct words than words), and the split runs on the distinct words in
+    ``mapInPandas`` with the vocabulary shipped once per task (a top-V table
+    plus an alphabet, at most V plus twice the Unicode letters).  Returns
+    ``(word, pieces)``; join it to any word column.
     """
     words = (df.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(f"[{WORD_CLASS}]+"), 0))
                        .alias("word")).distinct())
@@ -145,9 +135,10 @@ def subword(df: DataFrame, col: str, vocab: DataFrame, out: str = "pieces") -> D
 
     def split_batches(it):
         v = vocab_b.value
+        longest = max(map(len, v), default=0)
         for pdf in it:
             yield pd.DataFrame({"word": pdf["word"],
-                                out: [wordpiece_split(w, v) for w in pdf["word"]]})
+                                out: [wordpiece_split(w, v, longest) for w in pdf["word"]]})
 
     return words.mapInPandas(split_batches, f"word string, {out} array<string>")
 
@@ -204,16 +195,24 @@ def prepare_qa(examples: DataFrame, max_length: int = 384, doc_stride: int = 128
     n_c = F.size("c_tok.tok")
     budget = F.lit(max_length) - n_q - F.lit(n_special)
     return x.select("*", n_q.alias("n_q"), n_c.alias("n_ctx"),
-                    budget.alias("budget"), F.lit(pad_on_right).alias("pad_on_right"))
+                    budget.alias("budget"), F.lit(pad_on_right).alias("pad_on_right"),
+                    F.lit(n_special).alias("n_special"))
+
+
+def _unusable(doc_stride: int) -> Column:
+    """Why a prepared example has no windows; null if it has some."""
+    return (F.when(F.col("question").isNull(), F.lit("null question"))
+            .when(F.col("context").isNull(), F.lit("null context"))
+            .when(F.col("budget") <= doc_stride, F.lit("question too long"))
+            .when((F.size("answers.answer_start") > 0)
+                  & (F.length(F.get(F.col("answers.text"), 0)) == 0), F.lit("empty answer text"))
+            .when(F.col("n_ctx") <= 0, F.lit("no context tokens")))
 
 
 def quarantine_qa(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
-    """Q2 / Q3: examples that cannot be featurised, with the reason."""
-    reason = (F.when(F.col("budget") <= doc_stride, F.lit("question too long"))
-              .when((F.size("answers.answer_start") > 0)
-                    & (F.length(F.get(F.col("answers.text"), 0)) == 0),
-                    F.lit("empty answer text")))
-    return prepared.select(F.col("id").alias("example_id"), reason.alias("reason")) \
+    """Q2 / Q3: examples that cannot be featurised, with the reason.  Every
+    example is either here or has windows."""
+    return prepared.select(F.col("id").alias("example_id"), _unusable(doc_stride).alias("reason")) \
         .where(F.col("reason").isNotNull())
 
 
@@ -230,9 +229,7 @@ def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
     # rows that cannot be featurised (see quarantine_qa) get no windows; the
     # test sits inside the explode rather than in a Filter, so it is not
     # pushed below the tokenizer and evaluated twice
-    ok = (F.col("budget") > doc_stride) & ~(
-        (F.size("answers.answer_start") > 0)
-        & (F.length(F.get(F.col("answers.text"), 0)) == 0))
+    ok = _unusable(doc_stride).isNull()
     step = F.col("budget") - F.lit(doc_stride)
     last = F.ceil(F.greatest(F.lit(0), F.col("n_ctx") - F.col("budget")) / step) * step
     starts = F.when(ok, F.sequence(F.lit(0), last.cast("int"), step)).otherwise(
@@ -240,11 +237,11 @@ def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
     w = prepared.select("*", F.posexplode(starts).alias("window_idx", "w_start"))
     w_len = F.least(F.col("budget"), F.col("n_ctx") - F.col("w_start"))
     w = w.withColumn("w_len", w_len)
-    # pad_on_right: [CLS] q [SEP] c [SEP]; otherwise [CLS] c [SEP] q [SEP]
-    ctx_lo = F.when(F.col("pad_on_right"), F.col("n_q") + 2).otherwise(F.lit(1))
+    # pad_on_right: [CLS] q [SEP].. c [SEP]; otherwise [CLS] c [SEP].. q [SEP]
+    ctx_lo = F.when(F.col("pad_on_right"), F.col("n_q") + F.col("n_special") - 1).otherwise(F.lit(1))
     w = w.withColumn("ctx_lo", ctx_lo)
     w = w.withColumn("ctx_hi", F.col("ctx_lo") + F.col("w_len") - 1)
-    w = w.withColumn("seq_len", F.col("n_q") + F.col("w_len") + 3)
+    w = w.withColumn("seq_len", F.col("n_q") + F.col("w_len") + F.col("n_special"))
     return w.withColumnRenamed("id", "example_id")
 
 
@@ -303,53 +300,64 @@ def label_spans(w: DataFrame, max_length: int = 384,
                     F.when(ok, end).otherwise(0).cast("int").alias("end_position"))
 
 
+GRAM = 8
+
+
 def locate_passages(docs: DataFrame, doc_id: str, doc_text: str,
-                    passages: DataFrame, item_id: str, passage_text: str,
-                    broadcast_limit: int = 200_000) -> DataFrame:
+                    passages: DataFrame, item_id: str, passage_text: str) -> DataFrame:
     """Every (passage, document) pair where the passage occurs verbatim in
-    the document, with the first occurrence ``pos`` (0-based).
-
-    No nested loop: candidates come from an equi-join on the passage's
-    longest *inner* word -- one with a non-word character on both sides
-    inside the passage, so it cannot be glued to letters of the surrounding
-    text and is always a whole token of any text containing the passage --
-    against each document's distinct words, and ``position`` verifies the
-    exact match.  The join is complete, so no pair is lost.  A passage
-    without an inner word (e.g. a single word, or words running into both
-    ends) cannot be keyed this way and is returned in no pair.
-
-    Plan: the passage table is counted first.  Up to ``broadcast_limit``
-    passages it is broadcast and the documents stream through once (explode
-    of distinct words -> hash probe -> verify; a document's text is copied
-    only for matching rows, nothing is shuffled).  Beyond it, candidate
-    pairs are found without the texts and verified by a join back to the
-    documents.
+    the document, with the first occurrence ``pos`` (0-based).  Null and
+    empty passages and null documents are in no pair.
+
+    No nested loop: candidate pairs come from equi-joins on keys that every
+    document with the passage must have, and ``position`` verifies them.
+
+    * A passage with *inner* words (a non-word character on both sides inside
+      the passage, so they are whole words of any text that contains it) is
+      keyed by the inner word that the fewest documents have.
+    * Other passages (single words, words running into both ends) are keyed
+      by their first ``GRAM`` characters, or all if fewer; documents emit
+      their distinct character grams of the lengths that occur, none if all
+      passages have inner words.
+
+    Only ids travel until a pair is a candidate; Spark chooses the join
+    strategies by the sizes it measures.
     """
     wre = F.lit(f"[{WORD_CLASS}]+")
-    p = passages.select(F.col(item_id).alias("_item"), F.col(passage_text).alias("_ptext"),
-                        F.regexp_extract_all(F.col(passage_text), wre, 0).alias("_pw"))
-    # inner words: a non-word character on both sides inside the passage,
-    # so they cannot be glued to letters of the surrounding text
     inner = F.regexp_extract_all(F.col("_ptext"), F.lit(
         f"(?<=[^{WORD_CLASS}])[{WORD_CLASS}]+(?=[^{WORD_CLASS}])"), 0)
-    p = p.withColumn("_inner", inner).where(F.size("_inner") >= 1).withColumn(
-        "_key", F.array_max(F.transform("_inner", lambda w, i: F.struct(
-            F.length(w).alias("l"), (-i).alias("ni"), w.alias("w"))))["w"]).drop("_inner")
-    p = evaluate_once(p).select("_item", "_key", "_ptext", "_pw")
+    p = passages.select(F.col(item_id).alias("_item"), F.col(passage_text).alias("_ptext")).where(
+        F.length("_ptext") > 0)
+    p = evaluate_once(p.select("*", F.regexp_extract_all(F.col("_ptext"), wre, 0).alias("_pw"),
+                               F.array_distinct(inner).alias("_inner")))
     d = docs.select(F.col(doc_id).alias("_doc"), F.col(doc_text).alias("_dtext"))
-    if p.count() <= broadcast_limit:
-        cand = (d.select("_doc", "_dtext", F.explode(F.array_distinct(
-            F.regexp_extract_all(F.col("_dtext"), wre, 0))).alias("_key"))
-            .join(F.broadcast(p), "_key"))
-    else:
-        ids = d.select("_doc", F.explode(F.array_distinct(
-            F.regexp_extract_all(F.col("_dtext"), wre, 0))).alias("_key"))
-        cand = ids.join(p, "_key").join(d, "_doc")
+
+    owned = p.select("_item", "_ptext", F.explode("_inner").alias("_key"))
+    words = d.select("_doc", F.explode(F.array_distinct(
+        F.regexp_extract_all(F.col("_dtext"), wre, 0))).alias("_key"))
+    words = words.join(owned.select("_key").distinct(), "_key", "left_semi")
+    held = words.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = owned.join(held, "_key", "left").groupBy("_item", "_ptext").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_key"))["_key"].alias("_key"))
+    by_word = words.join(rarest, "_key").select("_item", "_ptext", "_doc")
+
+    short = p.where(F.size("_inner") == 0).select(
+        "_item", "_ptext", F.least(F.length("_ptext"), F.lit(GRAM)).alias("_k"))
+    lengths = short.agg(F.collect_set("_k")).scalar()  # at most GRAM numbers
+    grams = evaluate_once(d.select("_doc", lengths.alias("_ks"), F.when(
+        F.size(lengths) > 0, F.split("_dtext", "")).alias("_chars")))
+    upto = lambda k: F.sequence(F.lit(1), F.size("_chars") - k + 1)
+    grams = grams.select("_doc", F.explode(F.array_distinct(F.flatten(F.transform(
+        F.filter("_ks", lambda k: k <= F.size("_chars")),
+        lambda k: F.transform(upto(k), lambda i: F.array_join(F.slice("_chars", i, k), "")))))).alias("_key"))
+    by_gram = grams.join(short.select("_item", "_ptext", F.substring(F.col("_ptext"), F.lit(1), F.col("_k")).alias("_key")),
+                         "_key").select("_item", "_ptext", "_doc")
+
     at = F.position(F.col("_ptext"), F.col("_dtext"))
-    return cand.where(at > 0).select(
+    return by_word.unionByName(by_gram).join(d, "_doc").where(at > 0).select(
         F.col("_item").alias(item_id), F.col("_doc").alias(doc_id),
         (at - 1).cast("int").alias("pos"), F.col("_ptext").alias("passage"),
-        F.col("_pw").alias("passage_words"), F.col("_dtext").alias("context"))
+        F.regexp_extract_all(F.col("_ptext"), wre, 0).alias("passage_words"), F.col("_dtext").alias("context"))
 
 
 def validate_spans(examples: DataFrame) -> DataFrame:

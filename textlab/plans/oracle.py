@@ -265,10 +265,10 @@ def _long_ex() -> str:
     return f"""
 bw AS (SELECT item_id, text, regexp_extract_all(text, '[{W}]+') AS ws FROM benchmark),
 ex AS (SELECT CAST(b.item_id AS VARCHAR) || '-' || CAST(d.doc_id AS VARCHAR) AS id,
-              array_to_string(b.ws[1:{q.LQA_QUESTION_WORDS}], ' ') AS question, d.text AS context,
+              array_to_string(b.ws, ' ') AS question, d.text AS context,
               CAST(strpos(d.text, b.text) - 1 AS INTEGER) AS a_start, b.text AS a_text
        FROM bw b JOIN documents d ON strpos(d.text, b.text) > 0
-       WHERE regexp_matches(b.text, '[^{W}][{W}]+[^{W}]'))"""
+       WHERE b.text <> '')"""
 
 
 def _qa_base(source: str = "conversations") -> str:
@@ -318,11 +318,13 @@ nc AS (SELECT ex.id, CAST(COUNT(tk.t) AS INTEGER) AS n_ctx FROM ex
 prep AS (SELECT ex.*, n_q, n_ctx, {q.QA_MAX_LENGTH} - n_q - 3 AS budget
          FROM ex JOIN nq USING (id) JOIN nc USING (id)),
 quar AS (SELECT id AS example_id,
-                CASE WHEN budget <= {q.QA_STRIDE} THEN 'question too long'
+                CASE WHEN question IS NULL THEN 'null question'
+                     WHEN context IS NULL THEN 'null context'
+                     WHEN budget <= {q.QA_STRIDE} THEN 'question too long'
                      WHEN a_text IS NOT NULL AND length(a_text) = 0 THEN 'empty answer text'
+                     WHEN n_ctx = 0 THEN 'no context tokens'
                 END AS reason FROM prep),
-okp AS (SELECT * FROM prep WHERE budget > {q.QA_STRIDE}
-        AND NOT (a_text IS NOT NULL AND length(a_text) = 0)),
+okp AS (SELECT prep.* FROM prep JOIN quar ON quar.example_id = prep.id WHERE quar.reason IS NULL),
 win0 AS (SELECT okp.*, budget - {q.QA_STRIDE} AS step,
                 CAST(ceil(greatest(0, n_ctx - budget) / (budget - {q.QA_STRIDE}))
                      * (budget - {q.QA_STRIDE}) AS INTEGER) AS last_start FROM okp),
@@ -446,8 +448,9 @@ pred AS (SELECT s.seed, ex.id AS example_id,
 
 
 def _qa_predictions() -> str:
-    return f"""WITH {_qa_pred_ctes((0,))}
-SELECT example_id, prediction_text, ROUND(score, {R}) AS score,
+    from textlab.plans.queries import QA_SEEDS
+    return f"""WITH {_qa_pred_ctes(QA_SEEDS)}
+SELECT seed, example_id, prediction_text, ROUND(score, {R}) AS score,
        ROUND(null_score, {R}) AS null_score FROM pred
 """
 
@@ -466,14 +469,14 @@ def _toks(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '[{S}]+'), lambda z: z <> '')"
 
 
-def _qa_score_ctes(lowercase: bool, source: str = "conversations", seeds=None) -> str:
+def _qa_score_ctes(lowercase: bool, source: str = "conversations", only: str = "TRUE") -> str:
     from textlab.plans import queries as q
     pt = "lower(prediction_text)" if lowercase else "prediction_text"
     gt = "lower(a_text)" if lowercase else "a_text"
-    return f"""{_qa_pred_ctes(q.QA_SEEDS if seeds is None else seeds, source)},
+    return f"""{_qa_pred_ctes(q.QA_SEEDS, source)},
 sc0 AS (SELECT p.seed, p.example_id, {_norm(pt)} AS pn,
                CASE WHEN ex.a_text IS NULL THEN NULL ELSE {_norm(gt)} END AS gn
-        FROM pred p JOIN ex ON ex.id = p.example_id),
+        FROM pred p JOIN ex ON ex.id = p.example_id WHERE {only}),
 sc1 AS (SELECT *, {_toks('pn')} AS pt, {_toks('gn')} AS gtk FROM sc0),
 sc2 AS (SELECT *, COALESCE(list_sum(list_transform(list_distinct(pt), lambda t:
                     least(len(list_filter(pt, lambda x: x = t)),
@@ -484,8 +487,9 @@ sc AS (SELECT seed, example_id,
                    ELSE (2 * (common / len(pt)) * (common / len(gtk)))
                         / ((common / len(pt)) + (common / len(gtk))) END AS f1
        FROM sc2),
-scores AS (SELECT seed, AVG(em) * 100 AS exact_match, AVG(f1) * 100 AS f1,
-                  CAST(COUNT(*) AS BIGINT) AS n FROM sc GROUP BY seed)"""
+scores AS (SELECT seed, SUM(em) * 100 / (SELECT COUNT(*) FROM ex) AS exact_match,
+                  SUM(f1) * 100 / (SELECT COUNT(*) FROM ex) AS f1,
+                  CAST((SELECT COUNT(*) FROM ex) AS BIGINT) AS n FROM sc GROUP BY seed)"""
 
 
 def _qa_scores(lowercase: bool) -> str:
@@ -494,6 +498,12 @@ SELECT seed, ROUND(exact_match, {R}) AS exact_match, ROUND(f1, {R}) AS f1, n FRO
 """
 
 
+def _qa_scores_partial() -> str:
+    return f"""WITH {_qa_score_ctes(False, only="p.example_id NOT LIKE '%2'")}
+SELECT seed, ROUND(exact_match, {R}) AS exact_match, ROUND(f1, {R}) AS f1, n FROM scores
+"""
+
+
 def _qa_summary() -> str:
     return f"""WITH {_qa_score_ctes(False)},
 lng AS (SELECT seed, 'exact_match' AS metric, exact_match AS value FROM scores
@@ -536,14 +546,16 @@ def _encode_docs() -> str:
     from textlab.plans.queries import ENCODE_MAX_LENGTH as L
     return f"""WITH {_vocab_ctes()},
 dt AS (SELECT doc_id, {_tokens_sql('text')} AS toks FROM documents),
-kept AS (SELECT doc_id, unnest(toks[1:{L - 2}]) AS token FROM dt),
-kid AS (SELECT k.doc_id, COALESCE(v.token_id, 1) AS id FROM kept k LEFT JOIN vocab v USING (token)),
-agg AS (SELECT doc_id, COUNT(*) AS nk, SUM(id) AS s, COUNT(*) FILTER (WHERE id = 1) AS nu
+kept AS (SELECT doc_id, unnest(toks[1:{L - 2}]) AS token,
+                generate_subscripts(toks[1:{L - 2}], 1) AS i FROM dt),
+kid AS (SELECT k.doc_id, i, COALESCE(v.token_id, 1) AS id FROM kept k LEFT JOIN vocab v USING (token)),
+agg AS (SELECT doc_id, COUNT(*) AS nk, list(id ORDER BY i) AS ids, COUNT(*) FILTER (WHERE id = 1) AS nu
         FROM kid GROUP BY doc_id)
 SELECT dt.doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, len(toks) > {L - 2} AS truncated,
        CAST(COALESCE(nu, 0) AS INTEGER) AS n_unk,
        CAST(COALESCE(nk, 0) + 2 AS INTEGER) AS n_attention,
-       CAST(COALESCE(s, 0) + 2 + 3 AS BIGINT) AS ids_sum, {L} AS length
+       array_to_string([2] || COALESCE(ids, []) || [3], ' ')
+         || repeat(' 0', CAST({L} - 2 - COALESCE(nk, 0) AS INTEGER)) AS ids, {L} AS length
 FROM dt LEFT JOIN agg USING (doc_id)
 """
 
@@ -619,19 +631,21 @@ UNION ALL SELECT 'n_labels', ROUND(CAST(COUNT(DISTINCT l) AS DOUBLE), {R})
 
 
 def _resolve_models() -> str:
-    from textlab.operators import project as pj
+    from textlab.plans.queries import MODEL_RULES as r
     return f"""
-SELECT page_id,
-       replace(CASE WHEN contains(url, '{pj.FAMILY_TOKEN}') OR contains(url, '\\')
-                      THEN string_split(url, '\\')[-1]
-                    WHEN contains(url, '/') THEN string_split(url, '/')[-1]
-                    ELSE url END, '{pj.CONVERTED_SUFFIX}', '') AS model_name,
-       CASE WHEN contains(url, '{pj.FAMILY_TOKEN}') THEN '{pj.FAMILY_TOKENIZER}'
-            WHEN contains(url, '\\') THEN '{pj.LOCAL_PATH_TOKENIZER}'
-            ELSE url END AS tokenizer,
-       CASE WHEN contains(url, '{pj.OWN_MODEL_TOKEN}') THEN '{pj.OWN_MODEL_ROOT}'
-            ELSE '{pj.BENCHMARK_ROOT}' END AS output_root
-FROM pages
+WITH p AS (SELECT page_id, 'slash' AS style, url AS path FROM pages
+           UNION ALL SELECT page_id, 'backslash', replace(url, '/', '\\') FROM pages)
+SELECT page_id, style,
+       replace(CASE WHEN contains(path, '{r.family_token}') OR contains(path, '\\')
+                      THEN string_split(path, '\\')[-1]
+                    WHEN contains(path, '/') THEN string_split(path, '/')[-1]
+                    ELSE path END, '{r.converted_suffix}', '') AS model_name,
+       CASE WHEN contains(path, '{r.family_token}') THEN '{r.family_tokenizer}'
+            WHEN contains(path, '\\') THEN '{r.local_tokenizer}'
+            ELSE path END AS tokenizer,
+       CASE WHEN contains(path, '{r.own_token}') THEN '{r.own_root}'
+            ELSE '{r.other_root}' END AS output_root
+FROM p
 """
 
 
@@ -711,14 +725,15 @@ FROM (SELECT wf.*, wagg.n_le, wagg.n_lt,
 
 
 def _long_qa_predictions() -> str:
-    return f"""WITH {_qa_pred_ctes((0,), 'long')}
-SELECT example_id, prediction_text, ROUND(score, {R}) AS score,
+    from textlab.plans.queries import QA_SEEDS
+    return f"""WITH {_qa_pred_ctes(QA_SEEDS, 'long')}
+SELECT seed, example_id, prediction_text, ROUND(score, {R}) AS score,
        ROUND(null_score, {R}) AS null_score FROM pred
 """
 
 
 def _long_qa_scores() -> str:
-    return f"""WITH {_qa_score_ctes(False, 'long', (0,))}
+    return f"""WITH {_qa_score_ctes(False, 'long')}
 SELECT seed, ROUND(exact_match, {R}) AS exact_match, ROUND(f1, {R}) AS f1, n FROM scores
 """
 
@@ -745,6 +760,7 @@ def all_sql() -> dict[str, str]:
         "qa_predictions": _qa_predictions(),
         "qa_scores": _qa_scores(False),
         "qa_scores_lower": _qa_scores(True),
+        "qa_scores_partial": _qa_scores_partial(),
         "qa_summary": _qa_summary(),
         "vocabulary": _vocabulary(),
         "encode_docs": _encode_docs(),
