@@ -275,7 +275,23 @@ def _qa_base(source: str = "conversations") -> str:
     """CTEs: ex (id, question, context, a_start, a_text), tokens, windows."""
     W, S, q = _qa_consts()
     tok = f"[{W}]+|[{S}]+|[^{W}{S}]"
-    return (_conv_ex() if source == "conversations" else _long_ex()) + _qa_tokens_windows()
+    return {"conversations": _conv_ex, "long": _long_ex, "variants": _variant_ex}[source]() + _qa_tokens_windows()
+
+
+def _variant_ex() -> str:
+    """The conversation examples, varied by conversation number."""
+    W, S, _ = _qa_consts()
+    base = _conv_ex().replace("\nex AS (", "\nex1 AS (")
+    return base + f""",
+ex2 AS (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) % 8 AS v,
+               regexp_extract_all(context, '[{W}]+')[1] AS w1 FROM ex1),
+ex AS (SELECT id, CASE v WHEN 0 THEN a_text WHEN 3 THEN w1 WHEN 4 THEN repeat(question || ' ', 80)
+                         WHEN 5 THEN NULL ELSE question END AS question,
+              CASE WHEN v <> 6 THEN context END AS context,
+              CAST(CASE WHEN v IN (2, 6) THEN NULL WHEN v = 1 THEN a_start + 3 ELSE a_start END AS INTEGER) AS a_start,
+              CASE WHEN v IN (2, 6) THEN NULL WHEN v = 7 THEN a_text || '!x' ELSE a_text END AS a_text,
+              CASE WHEN v = 3 THEN w1 END AS a_text2
+       FROM ex2)"""
 
 
 def _conv_ex() -> str:
@@ -358,8 +374,8 @@ FROM wf JOIN wagg USING (example_id, window_idx)
 """
 
 
-def _qa_labels() -> str:
-    return f"""WITH {_qa_base()}
+def _qa_labels(source: str = "conversations") -> str:
+    return f"""WITH {_qa_base(source)}
 SELECT example_id, window_idx,
        CAST(CASE WHEN ok THEN ctx_lo + n_le - 1 ELSE 0 END AS INTEGER) AS start_position,
        CAST(CASE WHEN ok THEN ctx_lo + n_lt ELSE 0 END AS INTEGER) AS end_position
@@ -370,8 +386,8 @@ FROM (SELECT wf.*, wagg.n_le, wagg.n_lt,
 """
 
 
-def _qa_quarantine() -> str:
-    return f"""WITH {_qa_base()}
+def _qa_quarantine(source: str = "conversations") -> str:
+    return f"""WITH {_qa_base(source)}
 SELECT example_id, reason FROM quar WHERE reason IS NOT NULL
 """
 
@@ -382,8 +398,8 @@ SELECT id, question, a_start AS answer_start, a_text AS answer_text FROM ex
 """
 
 
-def _span_validation() -> str:
-    return f"""WITH {_qa_base()}
+def _span_validation(source: str = "conversations") -> str:
+    return f"""WITH {_qa_base(source)}
 SELECT id, a_start AS stored_start,
        CASE WHEN strpos(context, a_text) > 0 THEN CAST(strpos(context, a_text) - 1 AS INTEGER)
        END AS found_start,
@@ -469,24 +485,27 @@ def _toks(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '[{S}]+'), lambda z: z <> '')"
 
 
-def _qa_score_ctes(lowercase: bool, source: str = "conversations", only: str = "TRUE") -> str:
+def _qa_score_ctes(lowercase: bool, source: str = "conversations", only: str = "TRUE",
+                   second_gold: bool = False) -> str:
     from textlab.plans import queries as q
     pt = "lower(prediction_text)" if lowercase else "prediction_text"
-    gt = "lower(a_text)" if lowercase else "a_text"
+    gt = "lower(gold.g)" if lowercase else "gold.g"
+    more = " UNION ALL SELECT id, a_text2 FROM ex WHERE a_text2 IS NOT NULL" if second_gold else ""
     return f"""{_qa_pred_ctes(q.QA_SEEDS, source)},
+gold AS (SELECT id, a_text AS g FROM ex{more}),
 sc0 AS (SELECT p.seed, p.example_id, {_norm(pt)} AS pn,
-               CASE WHEN ex.a_text IS NULL THEN NULL ELSE {_norm(gt)} END AS gn
-        FROM pred p JOIN ex ON ex.id = p.example_id WHERE {only}),
+               CASE WHEN gold.g IS NULL THEN NULL ELSE {_norm(gt)} END AS gn
+        FROM pred p JOIN gold ON gold.id = p.example_id WHERE {only}),
 sc1 AS (SELECT *, {_toks('pn')} AS pt, {_toks('gn')} AS gtk FROM sc0),
 sc2 AS (SELECT *, COALESCE(list_sum(list_transform(list_distinct(pt), lambda t:
                     least(len(list_filter(pt, lambda x: x = t)),
                           len(list_filter(gtk, lambda x: x = t))))), 0) AS common FROM sc1),
 sc AS (SELECT seed, example_id,
-              CASE WHEN gn IS NULL THEN 0.0 WHEN pn = gn THEN 1.0 ELSE 0.0 END AS em,
-              CASE WHEN gn IS NULL OR common = 0 THEN 0.0
+              MAX(CASE WHEN gn IS NULL THEN 0.0 WHEN pn = gn THEN 1.0 ELSE 0.0 END) AS em,
+              MAX(CASE WHEN gn IS NULL OR common = 0 THEN 0.0
                    ELSE (2 * (common / len(pt)) * (common / len(gtk)))
-                        / ((common / len(pt)) + (common / len(gtk))) END AS f1
-       FROM sc2),
+                        / ((common / len(pt)) + (common / len(gtk))) END) AS f1
+       FROM sc2 GROUP BY seed, example_id),
 scores AS (SELECT seed, SUM(em) * 100 / (SELECT COUNT(*) FROM ex) AS exact_match,
                   SUM(f1) * 100 / (SELECT COUNT(*) FROM ex) AS f1,
                   CAST((SELECT COUNT(*) FROM ex) AS BIGINT) AS n FROM sc GROUP BY seed)"""
