@@ -114,3 +114,28 @@ def test_choose_label_attach_and_class_names(spark):
     extra = spark.createDataFrame([(1, "a"), (2, "b")], "id int, note string")
     got = {r.id: r.note for r in pj.attach_by_key(preds, extra, "id", ["note"]).collect()}
     assert got == {1: "a", 2: "b"}
+
+
+def test_a_session_started_elsewhere_finds_the_package(tmp_path):
+    """Python workers import the package although the working folder is not
+    the repository and PYTHONPATH is unset."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from textlab.session import get_spark\nfrom textlab.operators import textprep as tp\n"
+            "s = get_spark('local[1]')\n"
+            "d = tp.tokenize(s.createDataFrame([('a b',)], 't string'), 't', 'k')\n"
+            "print('TOKENS', d.first().k.tok)")
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT")}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "TOKENS ['a', 'b']" in out.stdout, out.stderr[-2000:]
+
+
+def test_checkpoint_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+    from textlab.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(
+        master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)

@@ -17,6 +17,11 @@ def get_spark(master: str | None = None, app: str = "textlab",
               event_log_dir: str | None = None) -> SparkSession:
     """Session tuned for the engine: AQE on (runtime broadcast of small
     sides, skew-join splitting, partition coalescing), UI off, UTC."""
+    # Python workers import this package: they find it wherever the driver did
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     master = master or os.environ.get("TEXTLAB_MASTER", "local[8]")
     cores = 8
     if master.startswith("local[") and master[6:-1].isdigit():
@@ -43,14 +48,17 @@ def get_spark(master: str | None = None, app: str = "textlab",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the deployment and we only read it.  Only
-    when it is unset (local tests) do we create a scratch folder.
+    On a cluster this is set by the deployment and we only read it; if it is
+    unset there, that is an error, since executors can't share a folder of
+    the driver.  Only a local session (tests) gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="textlab-ckpt-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="textlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
