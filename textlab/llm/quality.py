@@ -30,6 +30,7 @@ SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
 FEATURES = 4
+SALTS = 32
 
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -157,11 +158,15 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
     """
     null_safe = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in group]
     x = [F.col(f"_x{i}") for i in range(FEATURES)]
-    df = df.withColumn("_g", F.concat_ws("\x01", *null_safe))
+    # group tables are joined by group and salt, so a large group spreads over tasks
+    df = df.withColumn("_g", F.concat_ws("\x01", *null_safe)).withColumn(
+        "_salt", F.pmod(F.xxhash64(*x), F.lit(SALTS)).cast("int"))
+    on = ["_g", "_salt"]
+    salted = lambda d: d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     mid = df.groupBy("_g").agg(
         F.count(F.lit(1)).alias("_size"),
         F.array(*[F.percentile_approx(c, 0.5) for c in x]).alias("_m")).where(F.col("_size") >= min_rows)
-    dev = df.join(mid, "_g").groupBy("_g").agg(
+    dev = df.join(salted(mid), on).groupBy("_g").agg(
         F.first("_m").alias("_m"),
         *[F.percentile_approx(F.abs(c - F.get("_m", F.lit(i))), 0.5).alias(f"_d{i}")
           for i, c in enumerate(x)])
@@ -169,9 +174,9 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
     est = cut_lineage(dev.select("_g", "_m", F.array(*[
         diag[i] if i == j else F.lit(0.0) for i in range(FEATURES) for j in range(i + 1)]).alias("_c")))
     for _ in range(steps):
-        near = df.join(est, "_g").select("_g", "_m", *x, _dist2().alias("_d2"))
+        near = df.join(salted(est), on).select("_g", "_salt", "_m", *x, _dist2().alias("_d2"))
         cut = near.groupBy("_g").agg(F.percentile_approx("_d2", coverage).alias("_cut"))
-        inside = near.join(cut, "_g").where(F.col("_d2") <= F.col("_cut"))
+        inside = near.join(salted(cut), on).where(F.col("_d2") <= F.col("_cut"))
         y = [c - F.get("_m", F.lit(i)) for i, c in enumerate(x)]
         est = cut_lineage(_cholesky(inside.groupBy("_g").agg(
             F.first("_m").alias("_o"), F.count(F.lit(1)).alias("_n"),
@@ -180,8 +185,8 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
             floor))
     q = chi2_quantile(coverage, FEATURES)
     consistency = coverage / chi2_cdf(q, FEATURES + 2)
-    return df.join(est, "_g", "left").withColumn("mcd_d2", _dist2() / F.lit(consistency)).drop(
-        "_g", "_m", "_c", *[f"_x{i}" for i in range(FEATURES)])
+    return df.join(salted(est), on, "left").withColumn("mcd_d2", _dist2() / F.lit(consistency)).drop(
+        "_g", "_salt", "_m", "_c", *[f"_x{i}" for i in range(FEATURES)])
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
