@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlab.functions.text import WORD_CLASS
@@ -92,6 +92,67 @@ def predict_nb(test: DataFrame, id_col: str, text_col: str, ll: DataFrame,
                     F.col("b.score").alias("score")))
 
 
+def hash_number(*parts) -> Column:
+    """A non-negative number from an MD5 of the parts joined by ':' (the same
+    in every engine): folds and bootstrap weights that need no state."""
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def nb_grid(data: DataFrame, id_col: str, text_col: str, label_col: str, fold_col: str, classes: Sequence[int],
+            alphas: Sequence[float], min_dfs: Sequence[int], seeds: Sequence[int]) -> DataFrame:
+    """F1(a) over a whole grid: naive Bayes for every smoothing value, minimum
+    document frequency and seed, trained on the rows of fold ``train`` and
+    applied to all others.  Returns ``(fold, alpha, min_df, seed, id, target,
+    prediction)``.
+
+    A seed draws a bootstrap: it counts each training row 0, 1 or 2 times, by
+    a hash of seed and id.  Texts are read once and become (id, word, count)
+    rows that carry class and fold.  Training statistics are one row per word
+    with an array over seeds, so scoring joins each text word once and adds up
+    all grid points in one aggregation.  Ties go to the smaller class.
+    """
+    w = data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"), F.explode(
+        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"[{WORD_CLASS}]+"), 0)).alias("word"))
+    w = cut_lineage(w.groupBy(id_col, "_y", "_f", "word").agg(F.count(F.lit(1)).alias("cnt")))
+    each = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
+    drawn = lambda d: d.where(F.col("_f") == "train").select("*", each).withColumn(
+        "_w", hash_number(F.col("seed"), F.col(id_col)) % 3).where(F.col("_w") > 0)
+    n = [F.sum(F.when(F.col("_y") == c, F.col("cnt") * F.col("_w")).otherwise(0)).alias(f"n{c}") for c in classes]
+    stats = cut_lineage(drawn(w).groupBy("seed", "word").agg(*n, F.count(F.lit(1)).alias("df")))
+    points = [(a, m) for a in alphas for m in min_dfs]
+    known = lambda m: F.col("df") >= m
+    sums = stats.groupBy("seed").agg(
+        *[F.sum(F.when(known(m), F.col(f"n{c}")).otherwise(0)).alias(f"_N{c}_{m}") for c in classes for m in min_dfs],
+        *[F.count(F.when(known(m), 1)).alias(f"_V_{m}") for m in min_dfs])
+    lp = [F.when(known(m), F.ln((F.col(f"n{c}") + a) / (F.col(f"_N{c}_{m}") + a * F.col(f"_V_{m}")))).alias(f"p{k}_{c}")
+          for k, (a, m) in enumerate(points) for c in classes]
+    table = stats.join(sums, "seed").select("word", F.struct("seed", *lp).alias("s")).groupBy("word").agg(
+        F.collect_list("s").alias("_s"))  # one entry per seed
+    texts = w.where(F.col("_f") != "train")
+    score = texts.join(table, "word").select(id_col, "cnt", F.explode("_s").alias("_p")).groupBy(
+        id_col, F.col("_p.seed").alias("seed")).agg(*[
+            F.sum(F.col("cnt") * F.coalesce(F.col(f"_p.p{k}_{c}"), F.lit(0.0))).alias(f"p{k}_{c}")
+            for k in range(len(points)) for c in classes])
+    docs = drawn(data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f")))
+    prior = docs.groupBy("seed").agg(*[F.ln(F.try_divide(
+        F.sum(F.when(F.col("_y") == c, F.col("_w")).otherwise(0)), F.sum("_w"))).alias(f"_prior{c}") for c in classes])
+    rows = data.where(F.col(fold_col) != "train").select(
+        id_col, F.col(label_col).cast("int").alias("target"), F.col(fold_col).alias("fold"), each)
+    rows = rows.join(score, [id_col, "seed"], "left").join(prior, "seed", "left")
+
+    def best(k: int) -> Column:
+        options = F.array(*[F.struct(
+            (F.coalesce(F.col(f"_prior{c}"), F.lit(0.0)) + F.coalesce(F.col(f"p{k}_{c}"), F.lit(0.0))).alias("s"),
+            F.lit(-c).alias("c")) for c in classes])
+        return (-F.array_max(options)["c"]).cast("int")
+
+    grid = F.explode(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(int(m)).alias("min_df"),
+                                        best(k).alias("prediction")) for k, (a, m) in enumerate(points)]))
+    return rows.select("fold", "seed", id_col, "target", grid.alias("g")).select(
+        "fold", "g.alpha", "g.min_df", "seed", id_col, "target", "g.prediction")
+
+
 def train_logreg(train: DataFrame, text_col: str, label_col: str,
                  reg_params: Sequence[float] = (0.0, 0.01), max_iters: Sequence[int] = (20,),
                  num_features: int = 1 << 18, seed: int = 0):

@@ -191,10 +191,81 @@ def score_models(spark: SparkSession, sf: str) -> DataFrame:
     return ex.compare_models(p, docs.select("doc_id", "source"), "doc_id", ["by_length", "by_source"])
 
 
+# ------------------------------------------------------------------ F1 to J
+#: The grid of the experiment.
+NB_ALPHAS, NB_MIN_DF, NB_SEEDS, NB_CLASSES = (0.1, 1.0), (1, 2), (0, 1, 2, 3, 4), (0, 1)
+
+
+def nb_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    """F1 -> J1-J4 end to end on real predictions: naive Bayes over smoothing,
+    minimum document frequency and seed (bootstrap), three folds by a hash of
+    the id; the configuration is chosen on validation and summarised on test."""
+    d = table(spark, sf, "documents", ["doc_id", "text"]).join(
+        table(spark, sf, "labels", ["doc_id", "quality"]), "doc_id")
+    h = md.hash_number(F.col("doc_id")) % 10
+    d = d.withColumn("fold", F.when(h == 8, "validation").when(h == 9, "test").otherwise("train"))
+    p = md.nb_grid(d, "doc_id", "text", "quality", "fold", NB_CLASSES, NB_ALPHAS, NB_MIN_DF, NB_SEEDS)
+    p = p.select("fold", F.lit("quality").alias("task"), F.lit("bayes").alias("model"), F.col("alpha").alias("lr"),
+                 F.col("min_df").alias("num_epochs"), "seed", "target", "prediction")
+    rep = cm.classification_report(cm.confusion(p, ["fold", *ex.RUN]), ["fold", *ex.RUN])
+    best = ex.best_config(ex.config_summary(rep.where(F.col("fold") == "validation")))
+    s = ex.seed_summary(ex.restrict_to(rep.where(F.col("fold") == "test").drop("fold"), best))
+    return s.select("task", "model", F.col("lr").alias("alpha"), F.col("num_epochs").alias("min_df"), "n_seeds", "metric",
+                    "class_name", q._r("mean"), q._r("std"))
+
+
+def _nb_experiment_sql() -> str:
+    from textlab.functions.text import WORD_CLASS as W
+    r, run = o.R, ["fold", *o.RUN.split(", ")]
+    number = lambda x: f"('0x' || substr(md5({x}), 1, 15))::BIGINT"
+    values = lambda xs: ", ".join(f"({x})" for x in xs)
+    return f"""
+WITH d AS (SELECT doc_id, text, quality AS y,
+                  CASE {number("CAST(doc_id AS VARCHAR)")} % 10 WHEN 8 THEN 'validation' WHEN 9 THEN 'test'
+                       ELSE 'train' END AS fold FROM documents JOIN labels USING (doc_id)),
+seeds(seed) AS (VALUES {values(NB_SEEDS)}), cls(c) AS (VALUES {values(NB_CLASSES)}),
+grid AS (SELECT CAST(a AS DOUBLE) AS lr, m AS num_epochs FROM (VALUES {values(NB_ALPHAS)}) x(a), (VALUES {values(NB_MIN_DF)}) z(m)),
+w AS (SELECT doc_id, y, fold, word, COUNT(*) AS cnt
+      FROM (SELECT doc_id, y, fold, unnest(regexp_extract_all(lower(text), '[{W}]+')) AS word FROM d) GROUP BY ALL),
+b AS (SELECT seed, doc_id, y, {number("CAST(seed AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)")} % 3 AS k
+      FROM d, seeds WHERE fold = 'train'),
+st AS (SELECT b.seed, w.word, b.y AS c, SUM(w.cnt * b.k) AS n FROM w JOIN b USING (doc_id) WHERE b.k > 0 GROUP BY ALL),
+df AS (SELECT b.seed, w.word, COUNT(*) AS df FROM w JOIN b USING (doc_id) WHERE b.k > 0 GROUP BY ALL),
+voc AS (SELECT g.*, df.seed, df.word FROM df JOIN grid g ON df.df >= g.num_epochs),
+vs AS (SELECT lr, num_epochs, seed, COUNT(*) AS v FROM voc GROUP BY ALL),
+nc AS (SELECT voc.lr, voc.num_epochs, voc.seed, st.c, SUM(st.n) AS n FROM voc JOIN st USING (seed, word) GROUP BY ALL),
+ll AS (SELECT voc.lr, voc.num_epochs, voc.seed, voc.word, cls.c,
+              ln((COALESCE(st.n, 0) + voc.lr) / (COALESCE(nc.n, 0) + voc.lr * vs.v)) AS lp
+       FROM voc CROSS JOIN cls JOIN vs USING (lr, num_epochs, seed)
+       LEFT JOIN st ON st.seed = voc.seed AND st.word = voc.word AND st.c = cls.c
+       LEFT JOIN nc ON nc.lr = voc.lr AND nc.num_epochs = voc.num_epochs AND nc.seed = voc.seed AND nc.c = cls.c),
+pr AS (SELECT seed, c, ln(SUM(CASE WHEN y = c THEN k ELSE 0 END) / SUM(k)) AS prior FROM b CROSS JOIN cls GROUP BY seed, c),
+s AS (SELECT ll.lr, ll.num_epochs, ll.seed, w.doc_id, ll.c, SUM(w.cnt * ll.lp) AS s
+      FROM w JOIN ll USING (word) WHERE w.fold <> 'train' GROUP BY ALL),
+sc AS (SELECT d.doc_id, d.fold, d.y AS target, g.lr, g.num_epochs, seeds.seed, cls.c,
+              COALESCE(pr.prior, 0) + COALESCE(s.s, 0) AS s
+       FROM d CROSS JOIN grid g CROSS JOIN seeds CROSS JOIN cls LEFT JOIN pr ON pr.seed = seeds.seed AND pr.c = cls.c
+       LEFT JOIN s ON s.lr = g.lr AND s.num_epochs = g.num_epochs AND s.seed = seeds.seed AND s.doc_id = d.doc_id
+                  AND s.c = cls.c WHERE d.fold <> 'train'),
+pred AS (SELECT fold, 'quality' AS task, 'bayes' AS model, lr, num_epochs, seed, target, c AS prediction
+         FROM sc QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, lr, num_epochs, seed ORDER BY s DESC, c) = 1),
+conf AS (SELECT {', '.join(run)}, target, prediction, COUNT(*) AS n FROM pred GROUP BY ALL),
+{o.report_ctes('conf', run).replace('rep AS (', 'every AS (')},
+rep AS (SELECT * FROM every WHERE fold = 'validation'),
+{o._CFG_SUMMARY},
+chosen AS (SELECT e.* FROM every e SEMI JOIN best b USING ({o.CFG}) WHERE e.fold = 'test' AND e.metric IN ('accuracy', 'f1'))
+SELECT task, model, lr AS alpha, num_epochs AS min_df, CAST(COUNT(DISTINCT seed) AS BIGINT) AS n_seeds,
+       CASE WHEN metric = 'f1' THEN 'F1' ELSE 'Accuracy' END AS metric,
+       upper(substr(class_name, 1, 1)) || lower(substr(class_name, 2)) AS class_name,
+       ROUND(AVG(value), {r}) AS mean, ROUND(STDDEV_SAMP(value), {r}) AS std
+FROM chosen GROUP BY task, model, lr, num_epochs, chosen.metric, chosen.class_name
+"""
+
+
 REGISTRY = {f.__name__: f for f in (
     variant_labels, variant_quarantine, variant_spans, variant_scores, variant_scores_first, declared_report,
     label_granularity, attached_labels, seed_metrics, last_turns, exported_summary, split_scan, language_names,
-    score_models)}
+    score_models, nb_experiment)}
 
 
 def all_sql() -> dict[str, str]:
@@ -235,6 +306,7 @@ FROM (UNPIVOT a ON accuracy, precision, recall, f1 INTO NAME metric VALUE value)
         "attached_labels": "SELECT l.doc_id, l.quality, d.lang, d.n_chars FROM labels l LEFT JOIN documents d USING (doc_id)",
         "seed_metrics": f"{o._val_rep()} SELECT {o.CFG}, metric, class_name, {seeds} FROM rep "
                         f"GROUP BY {o.CFG}, metric, class_name",
+        "nb_experiment": _nb_experiment_sql(),
         "last_turns": "SELECT conv_id, turn, role, text FROM conversations "
                       "QUALIFY ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1",
         "exported_summary": o.CONFIG_SUMMARY,
