@@ -98,7 +98,7 @@ class Merger:
 
 class Encoder:
     """Encodes whole texts.  ``entry(ids)`` is what is kept of a word's ids,
-    ``combine(entries)`` what is kept of several.
+    ``combine(entries)`` what is kept of several (of none: what adds nothing).
 
     A text is cut before every space that follows a non-space character;
     pre-tokens never cross such a cut, so each piece is encoded by itself.
@@ -119,9 +119,9 @@ class Encoder:
 
         spec = json.loads(spec_json)
         self.bpe = bpe or Merger(spec)
-        self.merge = merge or self.bpe.merge
+        self.merge = merge or (lambda word: self.bpe.merge(word.encode()))
         self.pretokens = Tokenizer.from_str(spec_json).pre_tokenizer.pre_tokenize_str
-        self.entry, self.combine = entry, combine
+        self.entry, self.combine, self.nothing = entry, combine, combine([])
         self.size, self.word_size = piece_cache, word_cache
         self.young, self.old, self.words, self.old_words = {}, {}, {}, {}
         named = sorted(self.bpe.special, key=len, reverse=True)
@@ -132,7 +132,7 @@ class Encoder:
         if e is None:
             e = self.old_words.get(word)
             if e is None:
-                e = self.entry(self.merge(word.encode()))
+                e = self.entry(self.merge(word))
             if len(word) <= 32:
                 if len(self.words) >= self.word_size:
                     self.old_words, self.words = self.words, {}
@@ -141,10 +141,11 @@ class Encoder:
 
     def _piece(self, piece: str):
         core = piece[1:] if piece[:1] == " " else piece
-        if core.isalpha() and max(core) < self.LATIN:
-            return self._word(piece)
-        if core[-1:] in (".", ",") and core[:-1].isalpha() and max(core) < self.LATIN:
-            return self.combine((self._word(piece[:-1]), self._word(core[-1])))
+        if core.isascii() or max(core) < self.LATIN:
+            if core.isalpha():
+                return self._word(piece)
+            if core[-1:] in (".", ",") and core[:-1].isalpha():
+                return self.combine((self._word(piece[:-1]), self._word(core[-1])))
         to_byte = self.bpe.to_byte
         return self.combine([self._word(bytes([to_byte[c] for c in token]).decode())
                              for token, _ in self.pretokens(piece)])
@@ -157,28 +158,27 @@ class Encoder:
     def _plain(self, text: str) -> list:
         """Entries of a text without special tokens."""
         pieces = text.split(" ")
-        out, n, i = [], len(pieces), 0
-        young, old = self.young.get, self.old.get
-        while i < n:
+        out = list(map(self.young.get, pieces))  # most pieces are known
+        out[0], n, i = None, len(pieces), 0  # the first has no space before it
+        while True:
+            try:
+                i = out.index(None, i)
+            except ValueError:
+                return out
             p = pieces[i]
-            e = young(p) if i else None
-            if e is None:
-                e = old(p) if i else None
-                if e is not None:
+            e = (self.young.get(p) or self.old.get(p)) if i else None
+            if e is not None:
+                self._keep(p, e)
+            else:
+                j = i + 1  # white space at a piece's end belongs with what follows
+                while j < n and (not pieces[j - 1] or pieces[j - 1][-1].isspace()):
+                    out[j] = self.nothing
+                    j += 1
+                s = p if j == i + 1 else " ".join(pieces[i:j])
+                e = self._piece(" " + s if i else s)
+                if i and j == i + 1 and p and len(p) <= 40 and not p[-1].isspace():
                     self._keep(p, e)
-                else:
-                    j = i + 1
-                    while j < n and (not pieces[j - 1] or pieces[j - 1][-1].isspace()):
-                        j += 1
-                    s = p if j == i + 1 else " ".join(pieces[i:j])
-                    e = self._piece(" " + s if i else s)
-                    if i and j == i + 1 and p and len(p) <= 40 and not p[-1].isspace():
-                        self._keep(p, e)
-                    i = j - 1
-                young, old = self.young.get, self.old.get
-            out.append(e)
-            i += 1
-        return out
+            out[i] = e
 
     def entries(self, text: str) -> list:
         if self.split is None or not any(s in text for s in self.bpe.special):

@@ -15,6 +15,7 @@ the pattern table has at most one row per pattern and length.
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -166,6 +167,11 @@ def _cut_documents(spec, size: int, end_id: int):
     return run
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def fast_encoder(spec_json: str) -> Encoder:
     """The byte-level BPE encoder with 4-byte little-endian ids.  Pre-tokens
     are merged by the tiktoken library, which ranks a pair by the id of its
@@ -177,9 +183,9 @@ def fast_encoder(spec_json: str) -> Encoder:
     if max(bpe.single) < bpe.merged[0] and all(a < b for a, b in zip(bpe.merged, bpe.merged[1:])):
         ranks = {bpe.strings[i]: i for i in (*bpe.single, *bpe.merged)}
         plain = tiktoken.Encoding("pack", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-        merge = lambda token: plain.encode_ordinary(token.decode())
-    return Encoder(spec_json, lambda ids: np.array(ids, "<u4").tobytes(), b"".join,
-                   piece_cache=120_000, word_cache=400_000, bpe=bpe, merge=merge)
+        merge = plain.encode_ordinary
+    return Encoder(spec_json, pack_ids, b"".join,
+                   piece_cache=500_000, word_cache=250_000, bpe=bpe, merge=merge)
 
 
 def _place(table: pd.DataFrame, spread: int = 1 << 40):
