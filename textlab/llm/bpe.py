@@ -263,7 +263,8 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text:
             bpe = Merger(json.loads(spec.value))
             return Encoder(spec.value, lambda i: (len(i), ",".join(map(str, i)), bpe.decode(i)),
                            lambda e: (sum([x[0] for x in e]), ",".join([x[1] for x in e]),
-                                      b"".join([x[2] for x in e])), bpe=bpe)
+                                      b"".join([x[2] for x in e])),
+                           piece_cache=150_000, word_cache=400_000, bpe=bpe)
 
         enc = encoder("digests", spec.value, make)
         for batch in texts:
