@@ -232,7 +232,7 @@ def _score(order: int, kappa: float):
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text: str = "text", order: int = 2,
-                kappa: float = KAPPA, block_bytes: int = 8 << 20, ranges: int | None = None) -> DataFrame:
+                kappa: float = KAPPA, block_bytes: int = 5 << 20, ranges: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``,
     ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
