@@ -94,7 +94,7 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Whole pseudonymised texts and the count of each kind."""
     d = pii.pseudonymize(table(spark, sf, "documents"), PII_KEY, counts="pii")
-    return d.select("doc_id", "text", *[d["pii"][k].alias(f"n_{k}") for k in pii.KINDS])
+    return d.select("doc_id", "text", *[F.coalesce(d["pii"][k], F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
 
 
 REGISTRY = {f.__name__: f for f in (
