@@ -202,6 +202,24 @@ def test_quality_verdicts(mixed):
     assert quality.quality_verdicts(mixed.limit(0)).collect() == []
 
 
+def test_small_groups_are_judged_by_a_pool(spark):
+    """Junk in a group of five goes: by the language's estimate, by the whole
+    table's, and in a table of five rows."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("etaoinshr", k=rng.randrange(2, 9)))
+    clean = lambda: " ".join(word() for _ in range(rng.choice([60, 200, 900])))
+    junk = lambda: " ".join(word() + "#$%&***" for _ in range(100))
+    five = lambda at, lang, source: [(at + i, clean() if i else junk(), lang, source) for i in range(5)]
+    rows = [(i, clean(), "en", "a") for i in range(100)]
+    rows += five(1000, "en", "b") + five(2000, "fr", "c") + five(3000, None, None)
+    schema = "doc_id long, text string, lang string, source string"
+    for some, bad in ((rows, {1000, 2000, 3000}), (five(1, "en", "x"), {1})):
+        got = quality.quality_verdicts(spark.createDataFrame(some, schema)).collect()
+        assert len(got) == len(some) and {r["doc_id"] for r in got if not r["kept"]} == bad
+        for r in got:
+            assert (r["mcd_d2"] is None) == (r["pooled_d2"] is not None) == (r["source"] != "a")
+
+
 def test_quality_plan_is_native(mixed):
     plan = quality.quality_verdicts(mixed)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan

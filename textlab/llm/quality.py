@@ -7,7 +7,8 @@ multivariate outliers.  DataFrame functions only.
 3. The rest are judged per language and source: their transformed statistic
    vector is compared with a minimum-covariance-determinant (MCD) estimate
    of the group's centre and scatter, and rows beyond a chi-square quantile
-   of the Mahalanobis distance are rejected.
+   of the Mahalanobis distance are rejected.  A group too small for an
+   estimate is judged by that of its language, else of the whole table.
 
 The MCD estimate is reached by concentration steps.  Each step is two
 grouped aggregations over the narrow statistics table (a distance quantile,
@@ -31,6 +32,7 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
 FEATURES = 4
 SALTS = 32
+POOL_SALTS = 512
 
 
 def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -143,12 +145,23 @@ def _cholesky(df: DataFrame, floor: tuple[float, ...]) -> DataFrame:
                                            for j in range(i + 1)]).alias("_c"))
 
 
+def _pools(group: list[str]) -> list[Column]:
+    """Group keys from the finest to the whole table: all group columns, then
+    all but the last, ..., then none.  Null values form a group of their own."""
+    safe = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in group]
+    return [F.concat_ws("\x01", F.lit(str(n)), *safe[:n]) for n in range(len(group), -1, -1)]
+
+
 def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, steps: int = 4,
                     floor: tuple[float, ...] = (0.05, 0.05, 0.1, 0.1),
                     min_rows: int = 50) -> DataFrame:
-    """Adds ``mcd_d2``, the squared Mahalanobis distance of ``_x0.._x3`` from
-    its group's MCD centre and scatter, or null in groups of fewer than
-    ``min_rows`` rows (too few to estimate a scatter from).
+    """Adds two squared Mahalanobis distances of ``_x0.._x3`` from an MCD
+    centre and scatter.  ``mcd_d2`` is that from the row's own group, or null
+    in groups of fewer than ``min_rows`` rows (too few to estimate a scatter
+    from).  There ``pooled_d2`` is the distance from the estimate of all rows
+    of the smallest pool with ``min_rows`` rows (the group columns without
+    the last, and so on) or else of the whole table, however small; it is
+    null where ``mcd_d2`` is not.
 
     Start: medians and median absolute deviations.  Each of ``steps``
     concentration steps keeps the ``coverage`` share of rows nearest to the
@@ -156,17 +169,23 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
     scatter is scaled to be consistent for normal data.  Null group values
     form a group of their own.
     """
-    null_safe = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in group]
     x = [F.col(f"_x{i}") for i in range(FEATURES)]
-    # group tables are joined by group and salt, so a large group spreads over tasks
-    df = df.withColumn("_g", F.concat_ws("\x01", *null_safe)).withColumn(
-        "_salt", F.pmod(F.xxhash64(*x), F.lit(SALTS)).cast("int"))
+    pools = _pools(group)
+    # group tables are joined by group and salt, so a large group spreads over
+    # tasks; pools are few and large, and get more salts
+    salts = [SALTS] + [POOL_SALTS] * (len(pools) - 1)
+    keys = [F.struct(g.alias("_g"), F.pmod(F.xxhash64(*x), F.lit(n)).cast("int").alias("_salt"))
+            for g, n in zip(pools, salts)]
     on = ["_g", "_salt"]
-    salted = lambda d: d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    mid = df.groupBy("_g").agg(
+    own = F.col("_g").startswith(str(len(group)) + "\x01" if group else "0")
+    salted = lambda d: d.withColumn("_salt", F.explode(F.sequence(
+        F.lit(0), F.when(own, SALTS - 1).otherwise(POOL_SALTS - 1))))
+    rows = df.select(*x, F.explode(F.array(*keys)).alias("_k")).select("_k.*", *x)
+    mid = rows.groupBy("_g").agg(
         F.count(F.lit(1)).alias("_size"),
-        F.array(*[F.percentile_approx(c, 0.5) for c in x]).alias("_m")).where(F.col("_size") >= min_rows)
-    dev = df.join(salted(mid), on).groupBy("_g").agg(
+        F.array(*[F.percentile_approx(c, 0.5) for c in x]).alias("_m")).where(
+            (F.col("_size") >= min_rows) | (F.col("_g") == "0"))
+    dev = rows.join(salted(mid), on).groupBy("_g").agg(
         F.first("_m").alias("_m"),
         *[F.percentile_approx(F.abs(c - F.get("_m", F.lit(i))), 0.5).alias(f"_d{i}")
           for i, c in enumerate(x)])
@@ -174,7 +193,7 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
     est = cut_lineage(dev.select("_g", "_m", F.array(*[
         diag[i] if i == j else F.lit(0.0) for i in range(FEATURES) for j in range(i + 1)]).alias("_c")))
     for _ in range(steps):
-        near = df.join(salted(est), on).select("_g", "_salt", "_m", *x, _dist2().alias("_d2"))
+        near = rows.join(salted(est), on).select("_g", "_salt", "_m", *x, _dist2().alias("_d2"))
         cut = near.groupBy("_g").agg(F.percentile_approx("_d2", coverage).alias("_cut"))
         inside = near.join(salted(cut), on).where(F.col("_d2") <= F.col("_cut"))
         y = [c - F.get("_m", F.lit(i)) for i, c in enumerate(x)]
@@ -185,15 +204,22 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
             floor))
     q = chi2_quantile(coverage, FEATURES)
     consistency = coverage / chi2_cdf(q, FEATURES + 2)
-    return df.join(salted(est), on, "left").withColumn("mcd_d2", _dist2() / F.lit(consistency)).drop(
-        "_g", "_salt", "_m", "_c", *[f"_x{i}" for i in range(FEATURES)])
+    near_by = salted(est)
+    for n, key in enumerate(keys):
+        df = df.withColumn("_k", key).select("*", "_k.*").drop("_k").join(near_by, on, "left").withColumn(
+            f"_d2_{n}", _dist2() / F.lit(consistency)).drop("_g", "_salt", "_m", "_c")
+    pooled = [F.col(f"_d2_{n}") for n in range(1, len(keys))]
+    fallback = F.coalesce(*pooled) if pooled else F.lit(None).cast("double")
+    return df.withColumn("mcd_d2", F.col("_d2_0")).withColumn(
+        "pooled_d2", F.when(F.col("mcd_d2").isNull(), fallback)).drop(
+        *[f"_d2_{n}" for n in range(len(keys))], *[f"_x{i}" for i in range(FEATURES)])
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                      group: tuple[str, ...] = ("lang", "source"),
                      quantile: float = 1 - 1e-12, **mcd) -> DataFrame:
     """One row per row of ``docs``: the id, the group columns, the statistics,
-    ``base_failed``, ``mcd_d2`` and ``kept``.
+    ``base_failed``, ``mcd_d2``, ``pooled_d2`` and ``kept``.
 
     ``kept`` is false if the base rules fail; else it is false only where the
     robust distance exceeds the ``quantile`` of the chi-square distribution
@@ -202,17 +228,19 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     Distances of short texts are damped by n / (n + 50) words, because their
     shares vary more.  Null or empty texts fail the base rules (no words).
     Null ids, repeated rows and null group values are judged like any other
-    row.  Rows of a group too small for an estimate are kept.  An empty table
+    row.  Rows of a group too small for an estimate have no ``mcd_d2`` and are
+    judged by ``pooled_d2`` (see :func:`robust_distance`).  An empty table
     gives an empty result.  Other columns of ``docs`` are not carried.
     """
     stats = text_statistics(docs.select(id_col, *group, text), text).drop(text)
     stats = cut_lineage(stats.withColumn("base_failed", base_failed()))
     good = stats.where(~F.col("base_failed")).select(
         "*", *[f.alias(f"_x{i}") for i, f in enumerate(features())])
-    judged = robust_distance(good, list(group), **mcd).withColumn(
-        "mcd_d2", F.col("mcd_d2") * F.col("n_words") / (F.col("n_words") + 50))
+    damping = F.col("n_words") / (F.col("n_words") + 50)
+    judged = robust_distance(good, list(group), **mcd).withColumns(
+        {c: F.col(c) * damping for c in ("mcd_d2", "pooled_d2")})
     limit = chi2_quantile(quantile, FEATURES)
-    judged = judged.withColumn("kept", F.coalesce(F.col("mcd_d2") <= limit, F.lit(True)))
-    failed = stats.where("base_failed").withColumn("mcd_d2", F.lit(None).cast("double")).withColumn(
-        "kept", F.lit(False))
+    judged = judged.withColumn("kept", F.coalesce("mcd_d2", "pooled_d2") <= limit)
+    null = F.lit(None).cast("double")
+    failed = stats.where("base_failed").withColumns({"mcd_d2": null, "pooled_d2": null, "kept": F.lit(False)})
     return judged.unionByName(failed)

@@ -87,8 +87,9 @@ def op8_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """``mcd_d2`` is the distance that decided: the group's own, else the pooled one."""
     return quality.quality_verdicts(table(spark, sf, "documents")).select(
-        "doc_id", *quality.STATS, "base_failed", "kept", "mcd_d2")
+        "doc_id", *quality.STATS, "base_failed", "kept", F.coalesce("mcd_d2", "pooled_d2").alias("mcd_d2"))
 
 
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
