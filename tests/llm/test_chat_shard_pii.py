@@ -211,6 +211,34 @@ def test_random_values_round_trip():
         assert pii.replace_all(new, KEY, inverse=True)[0] == text
 
 
+@pytest.mark.parametrize("kind", pii.KINDS)
+@pytest.mark.parametrize("tail", [" BIC COBADEFFXXX", " B 7", " 42", " 2024 A", " 12 345 6789", " OK", "\n12"])
+def test_values_in_front_of_capitals_and_digits(kind, tail):
+    more = {"phone": ["+33 1 23 45 67 89", "+33123456789", "+44 (0)20 7946 0958", "+351 21 234 5678"],
+            "iban": ["DE89 3704 0044 0532 0130 00", "FR1420041010050500013M02606", "NO93 8601 1117 947"]}
+    for v in VALUES[kind] + more.get(kind, []):
+        new, counts = pii.replace_all(f"x {v}{tail} y", KEY)
+        alone = pii.replace_all(f"x {v} y", KEY)[0]
+        assert counts == {kind: 1} and new == alone[:-2] + tail + " y" and v not in new, (v, new)
+        assert pii.replace_all(new, KEY, inverse=True)[0] == f"x {v}{tail} y"
+
+
+def test_values_next_to_each_other():
+    text = "DE89 3704 0044 0532 0130 00 12.03.2024 +1 (974) 555-3436 190.137.223.204 +33 1 23 45 67 89 +4930123456"
+    new, counts = pii.replace_all(text, KEY)
+    assert counts == {"iban": 1, "date": 1, "phone": 3, "ipv4": 1}
+    assert pii.replace_all(new, KEY, inverse=True) == (text, counts)
+
+
+def test_timestamps():
+    day = pii.replace_all("on 2024-01-05 at", KEY)[0][3:13]
+    for time in ("T10:00", "T10:00:59.123+02:00", "T10Z", "T1000", "T10", " 10:00"):
+        new, counts = pii.replace_all(f"at 2024-01-05{time}.", KEY)
+        assert (new, counts) == (f"at {day}{time}.", {"date": 1})
+        assert pii.replace_all(new, KEY, inverse=True)[0] == f"at 2024-01-05{time}."
+    assert pii.replace_all("2024-01-05Tee 2024-01-05T99", KEY)[1] == {}
+
+
 def test_pseudonymize_table(spark):
     rows = [(1, "mail a.b@c.org or 4111111111111111", "t", 1), (2, None, "t", 2), (3, "", "t", 3), (None, "none", "t", 4),
             (1, "mail a.b@c.org or 4111111111111111", "t", 1), (5, "z" * 100000 + " 8.8.8.8", "t", 5)]

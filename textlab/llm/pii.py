@@ -25,15 +25,17 @@ from pyspark.sql import types as T
 ROUNDS = 10
 KINDS = ("email", "iban", "ipv4", "date", "ssn", "phone", "card")
 
-#: One alternative for each kind, tried in this order at each position.
+#: One alternative for each kind, tried in this order at each position.  IBANs
+#: and phone numbers take all groups that may belong; :func:`_end` cuts them.
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.%+-])[\w%+-][\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))"
     r"|(?P<ipv4>(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[A-Za-z0-9]))"
     r"|(?P<date>(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-    r"|[0-9]{1,2}(?P<date_sep>[./-])[0-9]{1,2}(?P=date_sep)[0-9]{4})(?![./-]?[A-Za-z0-9]))"
+    r"|[0-9]{1,2}(?P<date_sep>[./-])[0-9]{1,2}(?P=date_sep)[0-9]{4})"
+    r"(?:(?=T[0-2][0-9](?:Z|:?[0-5][0-9]|(?![A-Za-z0-9])))|(?![./-]?[A-Za-z0-9])))"
     r"|(?P<ssn>(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[A-Za-z0-9]))"
-    r"|(?P<phone>(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,4}"
+    r"|(?P<phone>(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]){4,24}"
     r"|\([0-9]{3}\)[ .-]?[0-9]{3}[.-][0-9]{4}"
     r"|[0-9]{3}(?P<phone_sep>[.-])[0-9]{3}(?P=phone_sep)[0-9]{4})(?!-?[A-Za-z0-9]))"
     r"|(?P<card>(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
@@ -42,6 +44,23 @@ PATTERN = re.compile(
 HINT = "[0-9@]"
 
 
+#: Characters of an IBAN by country (the SWIFT registry).
+IBAN_LENGTH = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}.items() for c in codes.split()}
+#: Digits behind the country code: least and most.
+PHONE_DIGITS = {c: n for n, codes in {
+    (8, 8): "45 47 65 216 386", (9, 9): "27 31 33 34 40 41 48 56 61 212 351 380 420 421",
+    (10, 10): "1 7 30 52 57 63 90 91 92", (8, 9): "32 36 51 66 213 385 971 972", (9, 10): "44 81 84",
+    (10, 11): "54 55 86", (8, 10): "20 64 82", (7, 9): "46 353", (7, 11): "49", (8, 11): "39",
+    (6, 10): "358", (8, 12): "62"}.items() for c in codes.split()}
+_TWO_DIGIT_CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 "
+                       "66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def feistel(value: int, size: int, key: bytes, tweak: str, inverse: bool = False) -> int:
     """A keyed permutation of 0..size-1; ``tweak`` (the format) selects it.
 
@@ -123,9 +142,40 @@ def _card(s: str, permute: Permute) -> str | None:
     return _fill(s, body + luhn_digit(body))
 
 
+def _phone_head(s: str) -> str:
+    """``+`` and the country code, or nothing."""
+    if s[0] != "+":
+        return ""
+    run = re.match("[0-9]+", s[1:]).group()
+    return "+" + run[:1 if run[0] in "17" else 2 if run[:2] in _TWO_DIGIT_CODES else 3]
+
+
+def _phone_end(s: str) -> int:
+    """Where a number with a country code ends, by its code and the lengths of
+    its groups alone, so a pseudonym ends there too.  Of the group ends with
+    as many digits as the country has, it is the first behind a group of six
+    digits or more, or else the last; without such an end, the last that
+    leaves at most 15 digits.  One digit in brackets, ``(0)``, doesn't count."""
+    head = _phone_head(s)
+    low, high = PHONE_DIGITS.get(head[1:], (15, 0))
+    n, fit, other = 0, [], [0]
+    for g in re.finditer("[0-9]+", s[len(head):]):
+        end = len(head) + g.end()
+        if s[end:end + 1] == ")":
+            n += len(g.group()) if len(g.group()) > 1 else 0
+            continue
+        n += len(g.group())
+        if re.match("-[0-9]", s[end:]):  # goes on
+            continue
+        if low <= n <= high:
+            fit.append((len(g.group()) < 6, -end))
+        if len(re.sub("[^0-9]", "", s[:end])) <= 15:
+            other.append(end)
+    return -min((f for f in fit if not f[0]), key=lambda f: -f[1], default=min(fit, default=(0, -other[-1])))[1]
+
+
 def _phone(s: str, permute: Permute) -> str | None:
-    prefix = re.match(r"\+[0-9]{1,3}(?=[ .(-])|\+[0-9]{2}", s)
-    head = prefix.group() if prefix else ""
+    head = _phone_head(s)
     d = re.sub(r"[^0-9]", "", s[len(head):])
     if not 7 <= len(d) + len(head.lstrip("+")) <= 15:
         return None
@@ -148,14 +198,30 @@ def _iban_ok(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _iban_end(s: str) -> int:
+    """The first end of a valid IBAN, at a space or at the end of ``s``; 0
+    without one.  Ends before the country's length are left out if ``s``
+    reaches that length."""
+    ends = [m.start() for m in re.finditer(" |$", s)]
+    size = {e: e - s.count(" ", 0, e) for e in ends}
+    least = IBAN_LENGTH.get(s[:2], 15)
+    least = least if size[ends[-1]] >= least else 15
+    return next((e for e in ends if least <= size[e] <= 34 and _iban_ok(s[:e].replace(" ", ""))), 0)
+
+
 def _iban(s: str, permute: Permute) -> str | None:
-    d = s.replace(" ", "")
-    if not 15 <= len(d) <= 34 or not _iban_ok(d):
+    if _iban_end(s) != len(s):
         return None
-    body = _classes(d[4:], "iban" + d[:2] + re.sub("[A-Z]", "A", re.sub("[0-9]", "0", d[4:])), permute)
-    check = 98 - int("".join(str(int(c, 36)) for c in body + d[:2] + "00")) % 97
-    it = iter(f"{d[:2]}{check:02d}{body}")
-    return "".join(c if c == " " else next(it) for c in s)
+    d = s.replace(" ", "")
+    tweak = "iban" + d[:2] + re.sub("[A-Z]", "A", re.sub("[0-9]", "0", d[4:]))
+    body = d[4:]
+    while True:  # walk on to the next one that doesn't end earlier
+        body = _classes(body, tweak, permute)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + d[:2] + "00")) % 97
+        it = iter(f"{d[:2]}{check:02d}{body}")
+        new = "".join(c if c == " " else next(it) for c in s)
+        if _iban_end(new) == len(new):
+            return new
 
 
 def _ssn(s: str, permute: Permute) -> str | None:
@@ -216,19 +282,29 @@ def pseudonym(kind: str, value: str, key: bytes, inverse: bool = False) -> str |
     return _BY_KIND[kind](value, lambda v, n, tweak: feistel(v, n, key, tweak, inverse))
 
 
+def _end(kind: str, s: str) -> int:
+    """How much of a match is the value: groups behind it may be other words
+    or numbers."""
+    if kind == "iban":
+        return _iban_end(s)
+    return _phone_end(s) if kind == "phone" and s[0] == "+" else len(s)
+
+
 def replace_all(text: str, key: bytes, inverse: bool = False) -> tuple[str, dict[str, int]]:
     """The text with every valid value replaced, and the count of each kind.
     A match that is not valid is left, and the search goes on behind its
-    first character, so a value inside it is still found."""
+    first character, so a value inside it is still found; behind a value it
+    goes on at the value's end, not at the match's."""
     out, counts, at, copied = [], {}, 0, 0
     while m := PATTERN.search(text, at):
-        new = pseudonym(m.lastgroup or "", m.group(), key, inverse) if m.lastgroup else None
+        value = m.group()[:_end(m.lastgroup, m.group())]
+        new = pseudonym(m.lastgroup, value, key, inverse) if value else None
         if new is None:
             at = m.start() + 1
             continue
         out += [text[copied:m.start()], new]
         counts[m.lastgroup] = counts.get(m.lastgroup, 0) + 1
-        at = copied = m.end()
+        at = copied = m.start() + len(value)
     return "".join(out) + text[copied:], counts
 
 
