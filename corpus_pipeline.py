@@ -19,22 +19,33 @@ from textlab.llm.queries import PII_KEY, vocabulary_path
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id has a kept verdict (null-safe; an id with
-    several rows stays if one of them is kept)."""
-    ids = verdicts.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+def _keyed(docs: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, written, as ids may repeat or be null
+    and a key made on the fly may change; and the key column's name."""
+    key = "_row" + "_" * max(map(len, docs.columns), default=0)
+    return written(docs.withColumn(key, F.monotonically_increasing_id()), f"rows-{tag}"), key
+
+
+def _only(keyed: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is in ``kept``, without the key."""
+    return keyed.join(kept, key, "left_semi").drop(key)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: rejected documents go."""
-    return _only(docs, quality.quality_verdicts(docs))
+    """Operator 9: rejected documents go, row by row."""
+    keyed, key = _keyed(docs, "quality")
+    return _only(keyed, key, quality.quality_verdicts(keyed, id_col=key).where("kept").select(key))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5 on five-word shingles at 0.8: one document of each group
-    stays, the one with the smallest id."""
-    return _only(docs, neardup.near_duplicates(docs, width=5, pct=80))
+    """Operator 5 on five-word shingles at 0.8: one row of each group stays,
+    one with the smallest id (null ids come last)."""
+    keyed, key = _keyed(docs, "near_dedup")
+    found = neardup.near_duplicates(keyed, id_col=key, width=5, pct=80).select(
+        F.col("doc_id").alias(key), "component_id")
+    first = found.join(keyed.select(key, "doc_id"), key).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("_first"))
+    return _only(keyed, key, first.select(F.col("_first")[key].alias(key)))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

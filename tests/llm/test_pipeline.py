@@ -62,6 +62,18 @@ def test_null_ids_and_empty_input(spark):
         assert empty.collect() == []
 
 
+def test_repeated_and_null_ids_are_decided_by_row(spark):
+    clean = [f"the {w} text of more than ten words with {w} that nobody {w} copied from any {w} place" for w in ("red", "blue", "green")]
+    rows = [(None, clean[0]), (None, "too short"), (None, None), (7, clean[1]), (7, "short too"), (None, clean[2])]
+    got = cp.quality_stage(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(0, clean[0]), (7, clean[1]), (0, clean[2])])
+    rows = [(None, clean[0]), (None, clean[0]), (9, clean[0]), (3, clean[0]), (None, clean[1]), (7, clean[2]), (7, clean[2]),
+            (None, "alone here"), (None, "twice without an id"), (None, "twice without an id"), (7, "seven again")]
+    got = cp.near_dedup_stage(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([
+        (3, clean[0]), (0, clean[1]), (7, clean[2]), (0, "alone here"), (0, "twice without an id"), (7, "seven again")])
+
+
 def test_run(spark):
     pieces = cp.run(spark, SF).collect()
     assert pieces and len({p["doc_id"] for p in pieces}) < spark.read.parquet(f"{SF}/documents.parquet").count()
