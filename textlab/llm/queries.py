@@ -1,4 +1,4 @@
-"""The ten operators bound to the driver's tables, one query each."""
+"""The operators bound to the driver's tables, one query each."""
 
 from __future__ import annotations
 
@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlab.llm import (
-    ann, bpe, chat, neardup, ngram_lm, packing, pii, quality, sharding, url_filter)
+    ann, bpe, chat, neardup, ngram_lm, packing, pii, prefix_trie, quality, sharding, token_count, url_filter, whitening)
 
 #: The key of the registered queries; a deployment passes its own secret.
 PII_KEY = b"textlab registered queries"
 
 
-def vocabulary_path() -> str:
-    """The byte-level BPE vocabulary file, from the installed package of
-    public tokenizers unless ``TEXTLAB_BPE_VOCAB`` names another."""
-    own = os.environ.get("TEXTLAB_BPE_VOCAB")
+def vocabulary_path(name: str = "byte_bpe_50k.json", setting: str = "TEXTLAB_BPE_VOCAB") -> str:
+    """A vocabulary file of the installed package of public tokenizers,
+    unless the environment variable ``setting`` names another file."""
+    own = os.environ.get(setting)
     if own:
         return own
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -98,8 +98,56 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", "text", *[F.coalesce(d["pii"][k], F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation c borrows the first crc32(c) mod 6 turns of c - c mod 100."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"), lambda c: c - c % 100,
+                                   lambda c: F.crc32(c.cast("string")) % 6, 5).drop("turn_conv", "turn_pos")
+
+
+def op12_token_count(spark: SparkSession, sf: str) -> DataFrame:
+    return token_count.token_report(table(spark, sf, "documents"),
+                                    vocabulary_path("word_bpe_49k.json", "TEXTLAB_WORD_BPE_VOCAB"), limit=2048)
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"), k=16)
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_url_filter, op2_sharding, op3_bpe_round_trip, op4_nearest, op5_near_duplicates, op6_lm_score, op7_packing,
-    op8_chat_format, op9_quality, op10_pii)}
-
-ORACLE_SQL: dict[str, str] = {}
+    op8_chat_format, op9_quality, op10_pii, op11_prefix_trie, op12_token_count, op13_whitening)}
+
+#: CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split({0}::VARCHAR, ''), ch -> [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    (a, b) -> CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_prefix_trie": f"""
+WITH turns AS (
+    SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS m,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(m ORDER BY p) AS s FROM turns GROUP BY c),
+heads AS (SELECT c, s, c - c % 100 AS b, {_CRC32.format("c")} % 6 AS h FROM own),
+rebuilt AS (
+    SELECT heads.c, list_concat(coalesce(own.s[1:h], []), heads.s[h + 1:]) AS s
+    FROM heads LEFT JOIN own ON own.c = heads.b),
+prefixes AS (SELECT c, len(s) AS n, d, s[1:d] AS q FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT q, d, min(c) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CASE WHEN n = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+    FROM prefixes GROUP BY q, d),
+kids AS (SELECT q[1:d - 1] AS q, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+weighed AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children, parent.conv_id AS parent_conv_id,
+           CASE WHEN nodes.d > 0 THEN (nodes.n_convs - 1) * length(nodes.q[nodes.d].t) ELSE 0 END AS w
+    FROM nodes LEFT JOIN kids ON kids.d = nodes.d AND kids.q = nodes.q
+    LEFT JOIN nodes AS parent ON parent.d = nodes.d - 1 AND parent.q = nodes.q[1:nodes.d - 1]),
+above AS (SELECT q[1:a] AS q, a AS d, w, n_children FROM (SELECT q, w, n_children, unnest(range(0, d + 1)) AS a FROM weighed)),
+sums AS (SELECT q, d, sum(w) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM above GROUP BY q, d)
+SELECT conv_id, weighed.d AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM weighed JOIN sums ON sums.d = weighed.d AND sums.q = weighed.q
+""",
+}
