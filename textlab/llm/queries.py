@@ -119,8 +119,8 @@ REGISTRY = {f.__name__: f for f in (
 
 #: CRC-32 of a decimal number, bit by bit.
 _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
-    string_split({0}::VARCHAR, ''), ch -> [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
-    (a, b) -> CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+    string_split({0}::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
 
 ORACLE_SQL: dict[str, str] = {
     "op11_prefix_trie": f"""
