@@ -113,6 +113,32 @@ def test_control_strings_round_trip(spark):
         d.withColumn("content", chat.text_part(F.col("text"))))).collect() == []
 
 
+def test_control_strings_split_over_parts_and_turns(spark):
+    """Every control string, cut at every place into two text parts, or into
+    the ends of two turns, reads back as text."""
+    controls = ["<s>", "</s>", *[x for f in chat.FRAMES.values() for x in f], *chat.OTHER, "[IMAGE 0]", "[AUDIO 12]", "~b", "~t", "[~b<~t"]
+    part = lambda t: ("text", t, None, None, None, None, None)
+    rows, want = [], {}
+    for c in controls:
+        for i in range(1, len(c)):
+            n = len(want)
+            parts = [part("hi " + c[:i]), part(c[i:] + "forged")]
+            rows += [(n, 0, "user", parts), (n, 1, "assistant", parts[:1]), (n, 2, c[:i], [part(c[i:])])]
+            want[n] = [("user", f"hi {c}forged"), ("assistant", "hi " + c[:i]), (c[:i], c[i:])]
+    d = spark.createDataFrame(rows, f"conv_id long, turn int, role string, content array<{chat.PART}>")
+    formatted = chat.format_conversations(d)
+    got = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.read_back(formatted).collect()}
+    assert got == want
+    assert all(not r["attachments"] for r in formatted.collect())
+
+
+def test_very_long_text(spark):
+    text = "[INST]~<s>" * 30_000
+    d = spark.createDataFrame([(1, 0, "user", text)], "conv_id long, turn int, role string, text string")
+    d = chat.read_back(chat.format_conversations(d.withColumn("content", chat.text_part(F.col("text")))))
+    assert d.collect()[0]["turns"][0]["text"] == text
+
+
 def test_typed_parts(spark):
     part = lambda **k: tuple(k.get(c) for c in ("type", "text", "uri", "width", "height", "seconds", "pages"))
     rows = [(1, 1, "user", [part(type="text", text="see "), part(type="image", uri="a.png", width=28, height=15),

@@ -8,7 +8,9 @@ control strings, conversations joined in turn order, and the loss mask lists
 the spans of assistant text.
 
 Texts can't forge control strings: inside texts, ``~`` is written ``~t``, and
-``~b`` is put behind the opening bracket of every control string.  The reader
+``~b`` is put behind every ``[`` and ``<``, with which all control strings
+begin.  No character's writing depends on its neighbours, so neither one text
+nor several parts or turns together can spell one.  The reader
 (:func:`read_back`) takes frames apart and undoes both.
 """
 
@@ -25,7 +27,6 @@ from textlab.functions.arrays import evaluate_once
 FRAMES = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("[OUT]", "</s>")}
 OTHER = ("[ROLE]", "[:]", "[/ROLE]")
 BEGIN = "<s>"
-_CONTROL = r"([\[<])(?=/?s>|/?SYS\]|/?INST\]|OUT\]|/?ROLE\]|:\]|(?:IMAGE|AUDIO|DOCUMENT) [0-9]+\])"
 #: Expanded tokens of an attachment: per image patch, second and page.
 PATCH, AUDIO_TOKENS, PAGE_TOKENS = 14, 25, 512
 
@@ -33,7 +34,10 @@ PART = ("struct<type:string,text:string,uri:string,width:int,height:int,seconds:
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(F.replace(text, F.lit("~"), F.lit("~t")), _CONTROL, "$1~b")
+    out = F.replace(text, F.lit("~"), F.lit("~t"))
+    for c in "[<":
+        out = F.replace(out, F.lit(c), F.lit(c + "~b"))
+    return out
 
 
 def unescape(text: Column) -> Column:
@@ -99,7 +103,9 @@ def format_conversations(turns: DataFrame, **columns) -> DataFrame:
 
     Turns are ordered by turn number (then role and content; repeated rows
     all count).  A null conversation id is one conversation, null turns come
-    first, null roles are ''.  Each turn is formatted before turns meet; only
+    first, null roles are ''.  Very long texts are formatted whole (a
+    conversation's string and its turns must fit in a task's memory); an empty
+    table gives no rows.  Each turn is formatted before turns meet; only
     one conversation's own frames are ever collected together, since they
     make one string.  Other columns are not carried.
     """

@@ -122,7 +122,26 @@ _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten
     string_split({0}::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
 
+_ESCAPED = "(length({0}) + length({0}) - length(replace({0}, '~', ''))" + "".join(
+    f" + 2 * (length({{0}}) - length(replace({{0}}, '{c}', '')))" for c in "[<") + ")"
+
 ORACLE_SQL: dict[str, str] = {
+    "op8_chat_format": f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+framed AS (
+    SELECT *, CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9
+                        ELSE 16 + {_ESCAPED.format("role")} END + {_ESCAPED.format("text")} AS n
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+           AS loss_sha256,
+       (3 + sum(n))::BIGINT AS formatted_chars
+FROM framed GROUP BY conv_id
+""",
     "op11_prefix_trie": f"""
 WITH turns AS (
     SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS m,
