@@ -46,7 +46,9 @@ NATIVE_ONLY = {"clf_report", "confusion_matrix", "run_metrics", "config_summary"
                "label_encode", "shuffled_batches", "eval_batches", "qa_examples",
                "span_validation", "vocabulary", "encode_docs", "corpus_stats", "corpus_sources",
                "multilabel_report", "labelset_stats", "resolve_models", "nb_report",
-               "long_qa_examples", "streamed_clf_report"}
+               "long_qa_examples", "streamed_clf_report", "qa_features", "qa_labels", "qa_quarantine",
+               "qa_predictions", "qa_scores", "qa_scores_lower", "qa_scores_partial", "qa_summary", "variant_labels",
+               "variant_quarantine", "variant_scores", "long_qa_labels", "long_qa_predictions", "long_qa_scores"}
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="no test data")

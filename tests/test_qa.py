@@ -201,3 +201,70 @@ def test_examples_without_prediction_count(spark):
                                  "seed int, example_id string, prediction_text string")
     got = {r.seed: (round(r.exact_match, 6), round(r.f1, 6), r.n) for r in qm.squad_scores(pred, ex, keys=["seed"]).collect()}
     assert got == {0: (round(100 / 3, 6), round(100 / 3, 6), 3), 1: (round(100 / 3, 6), round((2 / 3 + 1) * 100 / 3, 6), 3)}
+
+
+def test_trie_equals_the_greedy_split():
+    import random
+    rnd = random.Random(11)
+    for _ in range(300):
+        letters = "abc"[:rnd.randrange(1, 4)]
+        word = lambda n: "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, n)))
+        vocab = {rnd.choice(["", "##"]) + word(6) for _ in range(rnd.randrange(1, 12))}
+        trie = tp.PieceTrie(vocab)
+        for _ in range(30):
+            w = word(14)
+            assert trie.split(w) == tp.wordpiece_split(w, vocab), (w, vocab)
+    assert tp.PieceTrie({"a", "##a", "##aa"}).split("a" * 20_001) == ["a"] + ["##aa"] * 10_000
+
+
+def test_vocabulary_that_is_too_large_is_not_shipped(spark):
+    v = spark.range(11).select(F.col("id").cast("string").alias("token"))
+    with pytest.raises(ValueError):
+        tp.subword(spark.createDataFrame([("a",)], "text string"), "text", v, most=10)
+
+
+def test_pair_encoding_on_both_sides(spark):
+    ids = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3), ("wer", 4), ("ab", 5), ("##c", 6),
+                                 ("d", 7), ("?", 8)], "token string, token_id int")
+    rows = [("1", "  wer?", "abc xy d abc", ([9], ["abc"])), ("2", "wer", "d", ([], [])), ("3", None, "d", ([], []))]
+    ex = spark.createDataFrame(rows, EX_SCHEMA)
+    out = {}
+    for right in (True, False):
+        w = tp.windows(tp.prepare_qa(ex, 11, 2, pad_on_right=right, ids=ids), 2)
+        for r in tp.pair_encoding(tp.label_spans(w, 11), 11).collect():
+            out[r.example_id, right, r.window_idx] = r
+    spans = [(0, 2), (2, 3), (4, 6), (7, 8), (9, 11), (11, 12)]  # ab ##c [UNK] d ab ##c
+    n = None
+    r = out["1", True, 0]
+    assert r.input_ids == [2, 4, 8, 3, 5, 6, 1, 7, 5, 6, 3] and r.attention_mask == [1] * 11
+    assert r.sequence_ids == [n, 0, 0, n, 1, 1, 1, 1, 1, 1, n]
+    assert [tuple(o) if o else None for o in r.offsets] == [n] * 4 + spans + [n]
+    assert (r.cls_index, r.start_position, r.end_position) == (0, 8, 9)
+    r = out["2", True, 0]
+    assert r.input_ids == [2, 4, 3, 7, 3] + [0] * 6 and r.attention_mask == [1] * 5 + [0] * 6
+    assert (r.cls_index, r.start_position, r.end_position) == (0, 0, 0)
+    r = out["1", False, 0]
+    assert r.input_ids == [2, 5, 6, 1, 7, 5, 6, 3, 4, 8, 3]
+    assert r.sequence_ids == [n, 0, 0, 0, 0, 0, 0, n, 1, 1, n]
+    assert (r.cls_index, r.start_position, r.end_position) == (0, 5, 6)
+    r = out["2", False, 0]
+    assert r.input_ids == [0] * 6 + [2, 7, 3, 4, 3] and r.sequence_ids == [n] * 7 + [0, n, 1, n]
+    assert [tuple(o) if o else None for o in r.offsets] == [n] * 7 + [(0, 1)] + [n] * 3
+    assert (r.cls_index, r.start_position, r.end_position) == (6, 6, 6)
+    assert {k[0] for k in out} == {"1", "2"}
+
+
+def test_windows_carry_their_own_slice_only(spark):
+    rows = [("1", "Wer ist", "\U0001F642 " + " ".join(f"w{i}" for i in range(40)), ([], []))]
+    _, w = _windows(spark, rows, max_length=20, stride=4)
+    assert "context" not in w.columns and "c_tok" not in w.columns
+    for r in w.collect():
+        assert len(r.ctx_tok) == r.w_len <= 15 and r.ctx_at == r.ctx_st[0]
+        assert r.ctx_text == rows[0][2][r.ctx_st[0]:r.ctx_en[-1]]
+
+
+def test_qa_plans_have_no_python(spark):
+    from textlab.plans import queries as q
+    for name in ("qa_features", "qa_labels", "qa_quarantine", "qa_predictions", "long_qa_labels"):
+        plan = q.REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan, name

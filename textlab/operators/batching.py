@@ -47,11 +47,6 @@ def eval_batches(df: DataFrame, id_col: str, batch_size: int = 8) -> DataFrame:
     return x.withColumn("batch_id", (F.col("position") / batch_size).cast("long"))
 
 
-def steps_per_epoch(n_rows: Column, batch_size: int) -> Column:
-    """``ceil(n / batch_size)``."""
-    return F.ceil(n_rows / F.lit(batch_size)).cast("long")
-
-
 def write_batches(batches: DataFrame, path: str, n_shards: int = 8) -> None:
     """E2 export: one Parquet directory per (seed, epoch); rows are range-
     partitioned on (seed, epoch, position) into ``n_shards`` tasks and

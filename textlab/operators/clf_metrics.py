@@ -20,12 +20,6 @@ from textlab.functions.arrays import argmax
 METRICS = ("accuracy", "precision", "recall", "f1")
 
 
-def argmax_class(df: DataFrame, logits: str = "logits",
-                 out: str = "prediction") -> DataFrame:
-    """arg-max class of a logits vector (first index wins ties)."""
-    return df.withColumn(out, argmax(logits))
-
-
 def confusion(df: DataFrame, keys: Sequence[str] = (), target: str = "target",
               prediction: str = "prediction") -> DataFrame:
     """Long confusion table ``(keys..., target, prediction, n)``; only

@@ -30,11 +30,6 @@ def choose_label(df: DataFrame, granularity: str, coarse_col: str = "coarse-grai
     return df.select(F.col(text_col).alias("sentence"), F.col(chosen).alias("label"))
 
 
-def first_answer(answers: str = "answers") -> Column:
-    """First answer text, null (not an error) when there is none."""
-    return F.get(F.col(f"{answers}.text"), 0)
-
-
 def _last_segment(path: Column, sep: str) -> Column:
     return F.element_at(F.split(path, sep.replace("\\", "\\\\"), -1), -1)
 

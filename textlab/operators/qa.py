@@ -84,7 +84,8 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     window's best is the maximum over the (at most ``n_best``) starts.
     """
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
-    ctx = ["context"] if "context" in w.columns else []
+    # the window's own slice of the text, or the whole context
+    ctx = ["ctx_text", "ctx_at"] if "ctx_text" in w.columns else ["context"] if "context" in w.columns else []
     w = w.select(*keys, "example_id", "window_idx", "start_logits", "end_logits", "offsets",
                  *ctx, F.size(off).alias("_n_off"))
     w = evaluate_once(with_top_k(w, {"_s_top": "start_logits", "_e_top": "end_logits"}, n_best))
@@ -122,8 +123,9 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
         out = out.withColumn("cand", F.when(c.isNotNull(), F.struct(
             c["score"].alias("score"), c["nw"].alias("nw"), c["nsi"].alias("nsi"),
             c["nei"].alias("nei"), c["st"].alias("st"), c["en"].alias("en"),
-            F.substring(F.col("context"), c["st"] + 1, c["en"] - c["st"]).alias("text"))))
-        out = out.drop("context")
+            F.substring(F.col(ctx[0]), c["st"] - (F.col("ctx_at") if len(ctx) > 1 else F.lit(0)) + 1,
+                        c["en"] - c["st"]).alias("text"))))
+        out = out.drop(*ctx)
     return out
 
 

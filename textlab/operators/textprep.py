@@ -4,52 +4,49 @@ Token model: a text is cut into word runs, whitespace runs and single other
 characters (``TOKEN_PATTERN``); whitespace runs are then dropped.  Tokens keep
 0-based, end-exclusive character offsets ``(st, en)`` into the text.
 
-Tokens are cut by the JVM.  Offsets are the one step without a linear-time
-native expression (a prefix sum over an array is quadratic with
-``aggregate``), so the token *lengths* go through an Arrow-batched pandas UDF
-that takes one cumulative sum over the whole batch.  Everything else (windows,
-spans, masks, labels) is native array arithmetic on those columns.
+All of it is native.  Offsets need no running sum: a regex marks the first
+and last character of every token in a string of character classes, and the
+marks' positions are the offsets.  Windows are cut by one pass that gives
+each window its own slice of tokens, offsets and text, so no window row
+carries the whole text.  Sub-word pieces (D3) are looked up by a trie with
+failure links, one scan a word, in Arrow batches.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 from textlab.functions.arrays import evaluate_once
-from textlab.functions.text import WORD_CLASS, WS_CLASS, raw_tokens, strip_left
+from textlab.functions.text import WORD_CLASS, WS_CLASS, strip_left
 
 # Special tokens of a BERT-style encoder.
 CLS, SEP, PAD, UNK = "[CLS]", "[SEP]", "[PAD]", "[UNK]"
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def _running_ends(lengths: pd.Series) -> pd.Series:
-    """Running sums of each row's array (null stays null)."""
-    sizes = np.array([0 if x is None else len(x) for x in lengths], np.int64)
-    flat = np.concatenate([np.zeros(0, np.int64), *[x for x in lengths if x is not None]])
-    total = np.concatenate([[0], np.cumsum(flat)]).astype(np.int64)
-    stop = np.cumsum(sizes)
-    return pd.Series([None if x is None else total[e - n + 1:e + 1] - total[e - n]
-                      for x, n, e in zip(lengths, sizes, stop)], dtype=object)
-
-
 def tokenize(df: DataFrame, col: str, out: str = "tokens") -> DataFrame:
     """``out`` = struct of parallel arrays ``tok``, ``st``, ``en``; null
-    for a null text.  The same tokens as :func:`native_tokens`."""
-    d = evaluate_once(df.withColumn("_raw", raw_tokens(col)))
-    d = evaluate_once(d.withColumn("_end", _running_ends(F.transform("_raw", lambda t: F.length(t)))))
-    kept = F.filter(F.transform("_raw", lambda t, i: F.struct(
-        t.alias("t"), (F.get("_end", i) - F.length(t)).alias("s"), F.get("_end", i).alias("e"))),
-        lambda x: ~x["t"].rlike(f"^[{WS_CLASS}]"))
-    d = evaluate_once(d.withColumn("_kept", kept))
-    field = lambda f: F.transform("_kept", lambda x: x[f])
-    value = F.when(F.col("_kept").isNotNull(), F.struct(
-        field("t").alias("tok"), field("s").alias("st"), field("e").alias("en")))
-    return d.withColumn(out, value).drop("_raw", "_end", "_kept")
+    for a null text.  The same tokens as :func:`native_tokens`.
+
+    The text becomes a string of the same length with ``w`` for word
+    characters, ``s`` for symbols and a blank for whitespace; in it the first
+    (last) character of every word run is marked, and the indices of marks and
+    symbols are the starts (last characters).  Work grows with the length."""
+    kinds = F.regexp_replace(F.col(col), f"[{WORD_CLASS}]", "w")
+    kinds = F.regexp_replace(F.regexp_replace(kinds, f"[^w{WS_CLASS}]", "s"), f"[{WS_CLASS}]", " ")
+    d = evaluate_once(df.withColumn("_kinds", kinds))
+    d = evaluate_once(d.withColumns({
+        "_first": F.split(F.regexp_replace("_kinds", "(?<!w)w", "A"), ""),
+        "_last": F.split(F.regexp_replace("_kinds", "w(?!w)", "A"), "")}))
+
+    def at(marks: str, shift: int) -> Column:
+        place = F.transform(marks, lambda c, i: F.when(c.isin("A", "s"), i + shift))
+        return F.filter(place, lambda i: i.isNotNull())
+
+    value = F.when(F.col("_kinds").isNotNull(), F.struct(
+        native_tokens(col).alias("tok"), at("_first", 0).alias("st"), at("_last", 1).alias("en")))
+    return d.withColumn(out, value).drop("_kinds", "_first", "_last")
 
 
 def native_tokens(col) -> Column:
@@ -119,30 +116,160 @@ def wordpiece_split(word: str, vocab: set, longest: int | None = None) -> list[s
     return out
 
 
-def subword(df: DataFrame, col: str, vocab: DataFrame, out: str = "pieces") -> DataFrame:
+class PieceTrie:
+    """WordPiece in one scan of a word (linear, whatever the vocabulary).
+
+    The trie holds the word starts from its root and the ``##`` entries from a
+    second root.  Where no child fits, a node's failure link gives the node
+    that the rest of the match continues from, and its pieces are those that
+    the greedy longest match would have emitted by then."""
+
+    def __init__(self, vocabulary):
+        self.child: list[dict[str, int]] = [{}, {}]
+        depth, token = [0, 0], [None, None]
+        for t in vocabulary:
+            node, rest = (1, t[2:]) if t.startswith("##") and len(t) > 2 else (0, t)
+            for c in rest:
+                nxt = self.child[node].get(c)
+                if nxt is None:
+                    nxt = self.child[node][c] = len(self.child)
+                    self.child.append({}), depth.append(depth[node] + 1), token.append(None)
+                node = nxt
+            if rest:
+                token[node] = t
+        self.fail: list[int | None] = [None] * len(self.child)
+        self.pops: list[tuple[str, ...]] = [()] * len(self.child)
+        todo = [0, 1]
+        for u in todo:  # breadth first
+            for c, v in self.child[u].items():
+                todo.append(v)
+                if token[v] is not None:
+                    self.fail[v], self.pops[v] = 1, (token[v],)
+                    continue
+                z, popped = self.fail[u], self.pops[u]
+                while z is not None and c not in self.child[z]:
+                    popped, z = popped + self.pops[z], self.fail[z]
+                if z is not None:
+                    self.fail[v], self.pops[v] = self.child[z][c], popped
+
+    def split(self, word: str) -> list[str]:
+        """The greedy longest-match pieces, or ``[UNK]``."""
+        node, out, child, fail, pops = 0, [], self.child, self.fail, self.pops
+        for c in word:
+            while (nxt := child[node].get(c)) is None:
+                if fail[node] is None:
+                    return [UNK]
+                out += pops[node]
+                node = fail[node]
+            node = nxt
+        while node > 1:
+            if fail[node] is None:
+                return [UNK]
+            out += pops[node]
+            node = fail[node]
+        return out
+
+
+_TRIES: dict[int, PieceTrie] = {}
+
+
+def _trie(shipped, key) -> PieceTrie:
+    """One trie per worker process and vocabulary."""
+    if key not in _TRIES:
+        _TRIES.clear()
+        _TRIES[key] = PieceTrie(shipped.value)
+    return _TRIES[key]
+
+
+def _shipped(vocab: DataFrame, columns: list[str], most: int):
+    """The vocabulary's rows as a broadcast, if they are at most ``most``."""
+    rows = vocab.select(*columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a vocabulary of more than {most} entries is not shipped to tasks")
+    data = frozenset(r[0] for r in rows) if len(columns) == 1 else dict(map(tuple, rows))
+    return vocab.sparkSession.sparkContext.broadcast(data)
+
+
+def subword(df: DataFrame, col: str, vocab: DataFrame, out: str = "pieces", most: int = 1_000_000) -> DataFrame:
     """D3: sub-word pieces for each distinct word of ``col``.
 
     Words are exploded and de-duplicated first (a corpus has far fewer
     distinct words than words), and the split runs on the distinct words in
-    ``mapInPandas`` with the vocabulary shipped once per task (a top-V table
-    plus an alphabet, at most V plus twice the Unicode letters).  Returns
-    ``(word, pieces)``; join it to any word column.
+    ``mapInPandas`` with the vocabulary shipped once per task (``most``
+    entries at most, else an error).  Returns ``(word, pieces)``; join it to
+    any word column.
     """
     words = (df.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(f"[{WORD_CLASS}]+"), 0))
                        .alias("word")).distinct())
-    sc = df.sparkSession.sparkContext
-    vocab_b = sc.broadcast(frozenset(r["token"] for r in vocab.select("token").toLocalIterator()))
+    shipped = _shipped(vocab, ["token"], most)
+    key = shipped._jbroadcast.id()
 
     def split_batches(it):
-        v = vocab_b.value
-        longest = max(map(len, v), default=0)
+        trie = _trie(shipped, key)
         for pdf in it:
-            yield pd.DataFrame({"word": pdf["word"],
-                                out: [wordpiece_split(w, v, longest) for w in pdf["word"]]})
+            yield pd.DataFrame({"word": pdf["word"], out: [trie.split(w) for w in pdf["word"]]})
 
     return words.mapInPandas(split_batches, f"word string, {out} array<string>")
 
 
+def corpus_alphabet(df: DataFrame, col: str) -> DataFrame:
+    """The distinct word characters ``ch`` of a text column."""
+    return df.select(F.explode(F.split(F.regexp_replace(col, f"[^{WORD_CLASS}]", ""), "")).alias("ch")).where(
+        F.col("ch") != "").distinct()
+
+
+def piece_ids(vocab: DataFrame, specials=(PAD, UNK, CLS, SEP)) -> DataFrame:
+    """``(token, token_id)``: the special tokens, then a sub-word vocabulary
+    in token order (a bounded table, numbered by one window)."""
+    from pyspark.sql import Window
+    n = len(specials)
+    body = vocab.select("token", (F.row_number().over(Window.orderBy("token")) - 1 + n).cast("int").alias("token_id"))
+    return vocab.sparkSession.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, token_id int").unionByName(body)
+
+
+def piece_tokens(df: DataFrame, tokens: list[str], ids: DataFrame, most: int = 1_000_000, unk_id: int = 1) -> DataFrame:
+    """D3 with offsets: replaces each token struct of ``tokens`` by one of
+    sub-word pieces: ``tok`` (their ids), ``st`` and ``en`` (characters of the
+    text).  A word that can't be split is one unknown piece.
+
+    Row by row, with the vocabulary and a bounded cache of words per worker:
+    no shuffle, so a very frequent word meets nowhere."""
+    shipped = _shipped(ids, ["token", "token_id"], most)
+    key = shipped._jbroadcast.id()
+
+    @F.pandas_udf("struct<tok:array<int>,st:array<int>,en:array<int>>")
+    def pieces(tok: pd.Series, st: pd.Series, en: pd.Series) -> pd.DataFrame:
+        trie, number, known = _trie(shipped, key), shipped.value, {}
+
+        def cut(word: str) -> list[tuple[int, int]]:
+            """(id, length) of a word's pieces; the whole word if unknown."""
+            if word not in known:
+                if len(known) > 100_000:
+                    known.clear()
+                parts = trie.split(word)
+                known[word] = [(unk_id, len(word))] if parts == [UNK] else [
+                    (number[p], len(p) - 2 * (i > 0)) for i, p in enumerate(parts)]
+            return known[word]
+
+        rows = []
+        for words, starts, ends in zip(tok, st, en):
+            if words is None:
+                rows.append((None, None, None))
+                continue
+            ids, first, last = [], [], []
+            for w, a in zip(words, starts):
+                for i, n in cut(w):
+                    ids.append(i), first.append(a), last.append(a + n)
+                    a += n
+            rows.append((ids, first, last))
+        return pd.DataFrame(rows, columns=["tok", "st", "en"])
+
+    for t in tokens:
+        p = evaluate_once(df.withColumn("_p", pieces(F.col(t)["tok"], F.col(t)["st"], F.col(t)["en"])))
+        df = p.withColumn(t, F.when(F.col(t).isNotNull(), F.col("_p"))).drop("_p")
+    return df
+
+
 # ----------------------------------------------------------------------- D4
 def encode_single(df: DataFrame, tokens_col: str, vocab: DataFrame, id_col: str,
                   max_length: int = 512, pad_id: int = 0, unk_id: int = 1,
@@ -177,19 +304,31 @@ def encode_single(df: DataFrame, tokens_col: str, vocab: DataFrame, id_col: str,
 
 
 # ------------------------------------------------------------------ D5-D14
+def count_qa(examples: DataFrame, max_length: int = 384, n_special: int = 3) -> DataFrame:
+    """The example with its question's left blanks gone (D1), token counts
+    ``n_q`` and ``n_ctx`` and the context budget of a window; no tokens."""
+    x = evaluate_once(examples.withColumn("question", strip_left("question")))
+    token = F.lit(f"[{WORD_CLASS}]+|[^{WORD_CLASS}{WS_CLASS}]")
+    x = x.select("*", F.regexp_count("question", token).alias("n_q"), F.regexp_count("context", token).alias("n_ctx"))
+    return x.withColumn("budget", F.lit(max_length) - F.col("n_q") - F.lit(n_special))
+
+
 def prepare_qa(examples: DataFrame, max_length: int = 384, doc_stride: int = 128,
-               n_special: int = 3, pad_on_right: bool = True) -> DataFrame:
+               n_special: int = 3, pad_on_right: bool = True, ids: DataFrame | None = None) -> DataFrame:
     """Strip the question's left whitespace, tokenise question
     and context, compute the context budget per window.
 
     ``examples``: ``id, question, context, answers`` (answers =
     ``struct<answer_start: array<int>, text: array<string>>``).
-    With ``pad_on_right=False`` the context comes first in the pair; the
-    window arithmetic is the same, only the context's token range moves.
+    With ``ids`` (see :func:`piece_ids`) the tokens are sub-word pieces.
+    With ``pad_on_right=False`` the context comes first in the pair and the
+    padding in front; the window arithmetic is the same.
     """
     x = examples.withColumn("question", strip_left("question"))
     x = tokenize(x, "question", "q_tok")
     x = tokenize(x, "context", "c_tok")
+    if ids is not None:
+        x = piece_tokens(x, ["q_tok", "c_tok"], ids)
     x = evaluate_once(x)
     n_q = F.size("q_tok.tok")
     n_c = F.size("c_tok.tok")
@@ -217,14 +356,17 @@ def quarantine_qa(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
 
 
 def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
-    """One row per (example, window) -- the 1 -> n expansion is a
-    ``posexplode``.  ``step = budget - stride``;
+    """One row per (example, window).  ``step = budget - stride``;
     window starts ``0, step, 2*step, ...`` until a window reaches the end of
     the context; each row carries its example id (``example_id``).
 
-    Columns added: ``window_idx``, ``w_start`` (first context token), ``w_len``
-    (context tokens in the window), ``ctx_lo`` / ``ctx_hi`` (sequence
-    positions of the first / last context token) and ``seq_len``.
+    The windows are cut inside the example's row and exploded as slices: a
+    window row has its own tokens (``ctx_tok``, ``ctx_st``, ``ctx_en``) and
+    text (``ctx_text``, from character ``ctx_at`` on), never the example's
+    whole context or token arrays.  Also added: ``window_idx``, ``w_start``
+    (first context token), ``w_len`` (context tokens in the window),
+    ``ctx_lo`` / ``ctx_hi`` (sequence positions of the first / last context
+    token) and ``seq_len``.
     """
     # rows that cannot be featurised (see quarantine_qa) get no windows; the
     # test sits inside the explode rather than in a Filter, so it is not
@@ -234,9 +376,18 @@ def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
     last = F.ceil(F.greatest(F.lit(0), F.col("n_ctx") - F.col("budget")) / step) * step
     starts = F.when(ok, F.sequence(F.lit(0), last.cast("int"), step)).otherwise(
         F.array().cast("array<int>"))
-    w = prepared.select("*", F.posexplode(starts).alias("window_idx", "w_start"))
-    w_len = F.least(F.col("budget"), F.col("n_ctx") - F.col("w_start"))
-    w = w.withColumn("w_len", w_len)
+    p = evaluate_once(prepared.select("*", starts.alias("_starts"), F.split("context", "").alias("_chars")))
+
+    def cut(s: Column) -> Column:
+        n = F.least(F.col("budget"), F.col("n_ctx") - s)
+        first, end = F.get("c_tok.st", s), F.get("c_tok.en", s + n - 1)
+        part = lambda f: F.slice(F.col("c_tok")[f], s + 1, n).alias(f"ctx_{f}")
+        return F.struct(s.alias("w_start"), n.alias("w_len"), part("tok"), part("st"), part("en"), first.alias("ctx_at"),
+                        F.array_join(F.slice("_chars", first + 1, end - first), "").alias("ctx_text"))
+
+    w = p.select(*[c for c in p.columns if c not in ("c_tok", "context", "_starts", "_chars")],
+                 F.posexplode(F.transform("_starts", cut)).alias("window_idx", "_w"))
+    w = evaluate_once(w).select("*", "_w.*").drop("_w")
     # pad_on_right: [CLS] q [SEP].. c [SEP]; otherwise [CLS] c [SEP].. q [SEP]
     ctx_lo = F.when(F.col("pad_on_right"), F.col("n_q") + F.col("n_special") - 1).otherwise(F.lit(1))
     w = w.withColumn("ctx_lo", ctx_lo)
@@ -246,14 +397,8 @@ def windows(prepared: DataFrame, doc_stride: int = 128) -> DataFrame:
 
 
 def window_offsets(w: DataFrame) -> DataFrame:
-    """Per window the context tokens and their offsets (sliced
-    from the example's arrays), plus the full sequence's masked offsets
-    (null outside the context) as ``offsets``."""
-    s = F.col("w_start") + 1
-    ctx_tok = F.slice("c_tok.tok", s, F.col("w_len"))
-    ctx_st = F.slice("c_tok.st", s, F.col("w_len"))
-    ctx_en = F.slice("c_tok.en", s, F.col("w_len"))
-    w = w.select("*", ctx_tok.alias("ctx_tok"), ctx_st.alias("ctx_st"), ctx_en.alias("ctx_en"))
+    """The full sequence's masked offsets (null outside the
+    context) as ``offsets``."""
     null_off = F.lit(None).cast("struct<st:int,en:int>")
     offs = F.transform(
         F.sequence(F.lit(0), F.col("seq_len") - 1),
@@ -264,13 +409,38 @@ def window_offsets(w: DataFrame) -> DataFrame:
     return w.withColumn("offsets", offs)
 
 
-def sequence_tokens(w: DataFrame) -> Column:
-    """The token strings of a window's full sequence (no padding)."""
-    q = F.col("q_tok.tok")
-    c = F.col("ctx_tok")
-    right = F.concat(F.array(F.lit(CLS)), q, F.array(F.lit(SEP)), c, F.array(F.lit(SEP)))
-    left = F.concat(F.array(F.lit(CLS)), c, F.array(F.lit(SEP)), q, F.array(F.lit(SEP)))
-    return F.when(F.col("pad_on_right"), right).otherwise(left)
+def pair_encoding(w: DataFrame, max_length: int = 384, pad_id: int = 0, cls_id: int = 2,
+                  sep_id: int = 3) -> DataFrame:
+    """Windows of sub-word pieces as padded pairs of ``max_length``.
+
+    Adds ``input_ids``, ``attention_mask``, ``sequence_ids`` (0 for the pair's
+    first part, 1 for its second, null for special and padding tokens),
+    ``offsets`` (null outside the context) and ``cls_index``.  With
+    ``pad_on_right`` the pair is question and context with the padding
+    behind; otherwise context and question with the padding in front, which
+    moves all positions: ``start_position`` and ``end_position`` of
+    :func:`label_spans`, if there, are moved along (no answer: the CLS token).
+    """
+    right, pad = F.col("pad_on_right"), F.lit(max_length) - F.col("seq_len")
+    n_sep = F.col("n_special") - 2  # between the parts
+    q, c = F.col("q_tok.tok"), F.col("ctx_tok")
+    times = lambda x, n: F.array_repeat(F.lit(x).cast("int"), n)
+    padded = lambda seq, x: F.when(right, F.concat(seq, times(x, pad))).otherwise(F.concat(times(x, pad), seq))
+    first, second = F.when(right, q).otherwise(c), F.when(right, c).otherwise(q)
+    w = evaluate_once(w.select("*", first.alias("_a"), second.alias("_b")))
+    ids = F.concat(times(cls_id, 1), F.col("_a"), times(sep_id, n_sep), F.col("_b"), times(sep_id, 1))
+    parts = F.concat(times(None, 1), times(0, F.size("_a")), times(None, n_sep), times(1, F.size("_b")), times(None, 1))
+    cls = F.when(right, F.lit(0)).otherwise(pad)
+    spans = F.arrays_zip(F.col("ctx_st").alias("st"), F.col("ctx_en").alias("en"))
+    none = lambda n: F.array_repeat(F.lit(None).cast("struct<st:int,en:int>"), n)
+    before = cls + F.col("ctx_lo")
+    moved = [(F.col(p) + cls).cast("int").alias(p) for p in ("start_position", "end_position") if p in w.columns]
+    keep = [x for x in w.columns if x not in ("_a", "_b", "offsets", "start_position", "end_position")]
+    return w.select(
+        *keep, padded(ids, pad_id).alias("input_ids"), padded(times(1, F.col("seq_len")), 0).alias("attention_mask"),
+        padded(parts, None).alias("sequence_ids"),
+        F.concat(none(before), spans, none(F.lit(max_length) - before - F.col("w_len"))).alias("offsets"),
+        cls.cast("int").alias("cls_index"), *moved)
 
 
 def label_spans(w: DataFrame, max_length: int = 384,

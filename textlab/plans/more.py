@@ -65,7 +65,7 @@ def variant_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def variant_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Q2 / Q3: null and overlong questions, null contexts."""
-    return tp.quarantine_qa(tp.prepare_qa(qa_variants_df(spark, sf), q.QA_MAX_LENGTH, q.QA_STRIDE), q.QA_STRIDE)
+    return tp.quarantine_qa(tp.count_qa(qa_variants_df(spark, sf), q.QA_MAX_LENGTH), q.QA_STRIDE)
 
 
 def variant_spans(spark: SparkSession, sf: str) -> DataFrame:

@@ -555,6 +555,89 @@ vocab AS (SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 1), ('[CLS]', 2), ('[SEP
           FROM freq)"""
 
 
+def _piece_ctes(table: str, size: int, words: str) -> str:
+    """CTEs: pv (sub-word vocabulary of a table's texts, with ids) and pieces
+    (word, i, piece, pos, len) of the words of a CTE ``words(word)``: the
+    longest entry at each place, place after place; ``[UNK]`` for the whole
+    word where no entry fits.  Needs WITH RECURSIVE."""
+    W, _, _ = _qa_consts()
+    return f"""
+pt AS (SELECT unnest({_tokens_sql('text')}) AS token FROM {table}),
+pfreq AS (SELECT token FROM pt GROUP BY token ORDER BY COUNT(*) DESC, token LIMIT {size}),
+pch AS (SELECT DISTINCT unnest(string_split(regexp_replace(text, '[^{W}]', '', 'g'), '')) AS ch FROM {table}),
+pv AS (SELECT token, CAST(ROW_NUMBER() OVER (ORDER BY token) + 3 AS INTEGER) AS id
+       FROM (SELECT token FROM pfreq UNION SELECT ch FROM pch WHERE ch <> '' UNION SELECT '##' || ch FROM pch WHERE ch <> '')),
+longest AS (SELECT MAX(length(token)) AS n FROM pv),
+pw AS (SELECT DISTINCT word FROM {words}),
+walk(word, i, piece, pos, len) AS (
+  SELECT word, 0, NULL::VARCHAR, 1::BIGINT, 0::BIGINT FROM pw
+  UNION ALL
+  SELECT word, i, piece, pos, len FROM (
+    SELECT c.word, c.i, v.token AS piece, c.pos, c.n AS len,
+           ROW_NUMBER() OVER (PARTITION BY c.word ORDER BY c.n DESC) AS rn
+    FROM (SELECT word, i + 1 AS i, pos + len AS pos,
+                 unnest(range(1, least(length(word) - (pos + len) + 1, (SELECT n FROM longest)) + 1)) AS n
+          FROM walk WHERE pos + len <= length(word)) c
+    JOIN pv v ON v.token = CASE WHEN c.pos = 1 THEN '' ELSE '##' END || substr(c.word, c.pos, c.n)) WHERE rn = 1),
+whole AS (SELECT word, MAX(pos + len) > length(word) AS ok FROM walk GROUP BY word),
+pieces AS (SELECT word, i, piece, pos, len FROM walk JOIN whole USING (word) WHERE ok AND i > 0
+           UNION ALL SELECT word, 1, '[UNK]', 1, length(word) FROM whole WHERE NOT ok)"""
+
+
+def _subword_pieces() -> str:
+    from textlab.plans.queries import VOCAB_SIZE
+    W, _, _ = _qa_consts()
+    return f"""WITH RECURSIVE
+dw AS (SELECT unnest(regexp_extract_all(text, '[{W}]+')) AS word FROM documents),
+{_piece_ctes('documents', VOCAB_SIZE, 'dw')}
+SELECT word, CAST(COUNT(*) AS INTEGER) AS n_pieces, string_agg(piece, ' ' ORDER BY i) AS pieces FROM pieces GROUP BY word
+"""
+
+
+def _qa_pair_encoding() -> str:
+    from textlab.plans.queries import QA_PIECES
+    _, _, q = _qa_consts()
+    L = q.QA_MAX_LENGTH
+    base = _qa_base().replace("\ntk AS (", "\ntk0 AS (", 1)
+    cut = base.index("\nnq AS (")
+    rep = lambda x, n: f"repeat('{x}', CAST({n} AS INTEGER))"
+    pad = f"({L} - seq_len)"
+    return f"""WITH RECURSIVE {base[:cut]}
+qw AS (SELECT t AS word FROM tk0),
+{_piece_ctes('conversations', QA_PIECES, 'qw')},
+tk AS (SELECT tk0.id, tk0.kind, p.piece AS t, COALESCE(pv.id, 1) AS pid, CAST(tk0.st + p.pos - 1 AS INTEGER) AS st,
+              CAST(tk0.st + p.pos - 1 + p.len AS INTEGER) AS en,
+              ROW_NUMBER() OVER (PARTITION BY tk0.id, tk0.kind ORDER BY tk0.k, p.i) - 1 AS k
+       FROM tk0 JOIN pieces p ON p.word = tk0.t LEFT JOIN pv ON pv.token = p.piece),
+{base[cut:]},
+qs AS (SELECT id AS example_id, string_agg(pid || ' ', '' ORDER BY k) AS q_ids FROM tk WHERE kind = 'q' GROUP BY id),
+cs AS (SELECT wf.example_id, wf.window_idx, string_agg(tk.pid || ' ', '' ORDER BY tk.k) AS c_ids,
+              string_agg(tk.st || ':' || tk.en, ' ' ORDER BY tk.k) AS offsets
+       FROM wf JOIN tk ON tk.id = wf.example_id AND tk.kind = 'c' AND tk.k >= wf.w_start AND tk.k < wf.w_start + wf.w_len
+       GROUP BY wf.example_id, wf.window_idx),
+al AS (SELECT wf.*, wagg.n_le, wagg.n_lt, COALESCE(q_ids, '') AS q_ids, c_ids, offsets,
+              COALESCE(a_text IS NOT NULL AND first_st <= a_start AND last_en >= a_start + length(a_text), FALSE) AS ok
+       FROM wf JOIN wagg USING (example_id, window_idx) LEFT JOIN qs USING (example_id) JOIN cs USING (example_id, window_idx))
+SELECT example_id, TRUE AS pad_on_right, window_idx, w_start, w_len,
+       '2 ' || q_ids || '3 ' || c_ids || '3' || {rep(' 0', pad)} AS input_ids,
+       {rep('1 ', 'seq_len - 1')} || '1' || {rep(' 0', pad)} AS attention_mask,
+       '- ' || {rep('0 ', 'n_q')} || '- ' || {rep('1 ', 'w_len')} || '-' || {rep(' -', pad)} AS sequence_ids,
+       offsets, CAST(n_q + 2 AS INTEGER) AS first_offset, {L} AS length, 0 AS cls_index,
+       CAST(CASE WHEN ok THEN n_q + 2 + n_le - 1 ELSE 0 END AS INTEGER) AS start_position,
+       CAST(CASE WHEN ok THEN n_q + 2 + n_lt ELSE 0 END AS INTEGER) AS end_position
+FROM al
+UNION ALL
+SELECT example_id, FALSE, window_idx, w_start, w_len,
+       {rep('0 ', pad)} || '2 ' || c_ids || '3 ' || q_ids || '3',
+       {rep('0 ', pad)} || {rep('1 ', 'seq_len - 1')} || '1',
+       {rep('- ', pad)} || '- ' || {rep('0 ', 'w_len')} || '- ' || {rep('1 ', 'n_q')} || '-',
+       offsets, CAST({pad} + 1 AS INTEGER), {L}, CAST({pad} AS INTEGER),
+       CAST({pad} + CASE WHEN ok THEN n_le ELSE 0 END AS INTEGER),
+       CAST({pad} + CASE WHEN ok THEN 1 + n_lt ELSE 0 END AS INTEGER)
+FROM al
+"""
+
+
 def _vocabulary() -> str:
     return f"""WITH {_vocab_ctes()}
 SELECT CAST(token_id AS INTEGER) AS token_id, token FROM vocab
@@ -783,6 +866,8 @@ def all_sql() -> dict[str, str]:
         "qa_summary": _qa_summary(),
         "vocabulary": _vocabulary(),
         "encode_docs": _encode_docs(),
+        "subword_pieces": _subword_pieces(),
+        "qa_pair_encoding": _qa_pair_encoding(),
         "corpus_stats": _corpus_stats(),
         "corpus_sources": _corpus_sources(),
         "multilabel_report": _multilabel_report(),

@@ -261,8 +261,7 @@ def qa_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def qa_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Q2 / Q3: examples that cannot be featurised."""
-    prep = tp.prepare_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH, QA_STRIDE)
-    return tp.quarantine_qa(prep, QA_STRIDE)
+    return tp.quarantine_qa(tp.count_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH), QA_STRIDE)
 
 
 def span_validation(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,7 +277,7 @@ def _qa_predictions(spark: SparkSession, sf: str, seeds=QA_SEEDS,
     # arrays, question or answers)
     w = _qa_windows(spark, sf, ex_df).select(
         "example_id", "window_idx", "q_tok", "ctx_tok", "ctx_lo", "ctx_hi", "seq_len",
-        "offsets", "context")
+        "offsets", "ctx_text", "ctx_at")
     scored = qa.overlap_logits(w, seeds)
     return qa.best_answers(scored, ex_df, QA_N_BEST, QA_MAX_ANSWER,
                            key_values={"seed": list(seeds)})
@@ -364,13 +363,34 @@ def subword_pieces(spark: SparkSession, sf: str) -> DataFrame:
     a vocabulary of the ``VOCAB_SIZE`` most frequent tokens plus the corpus alphabet."""
     docs = table(spark, sf, "documents", ["text"])
     freq = tp.token_frequencies(docs, "text", VOCAB_SIZE)
-    alphabet = docs.select(F.explode(F.split(F.regexp_replace(
-        "text", "[^\\p{L}\\p{N}_]", ""), "")).alias("ch")).where(F.col("ch") != "").distinct()
-    vocab = tp.wordpiece_vocabulary(freq, alphabet)
+    vocab = tp.wordpiece_vocabulary(freq, tp.corpus_alphabet(docs, "text"))
     return tp.subword(docs, "text", vocab).select(
         "word", F.size("pieces").alias("n_pieces"), F.array_join("pieces", " ").alias("pieces"))
 
 
+# Fixed value: size of the small sub-word vocabulary of the pair encodings.
+QA_PIECES = 1000
+
+
+def qa_pair_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversation examples as padded pairs of 384 sub-word
+    ids with mask, part ids, offsets and labels, padded on the right (question
+    first) and on the left (context first).  The vocabulary is drawn from the
+    conversations: the most frequent tokens and the alphabet."""
+    text = table(spark, sf, "conversations", ["text"])
+    ids = tp.piece_ids(tp.wordpiece_vocabulary(tp.token_frequencies(text, "text", QA_PIECES), tp.corpus_alphabet(text, "text")))
+    prep = tp.prepare_qa(qa_examples_df(spark, sf), QA_MAX_LENGTH, QA_STRIDE, ids=ids)
+    sides = prep.withColumn("pad_on_right", F.explode(F.array(F.lit(True), F.lit(False))))
+    w = tp.pair_encoding(tp.label_spans(tp.windows(sides, QA_STRIDE), QA_MAX_LENGTH), QA_MAX_LENGTH)
+    joined = lambda c, null="-": F.array_join(F.col(c).cast("array<string>"), " ", null)
+    spans = F.transform(F.filter("offsets", lambda o: o.isNotNull()), lambda o: F.concat_ws(":", o["st"], o["en"]))
+    first = F.array_position(F.transform("offsets", lambda o: o.isNotNull()), True) - 1
+    return w.select("example_id", "pad_on_right", "window_idx", "w_start", "w_len", joined("input_ids").alias("input_ids"),
+                    joined("attention_mask").alias("attention_mask"), joined("sequence_ids").alias("sequence_ids"),
+                    F.array_join(spans, " ").alias("offsets"), first.cast("int").alias("first_offset"),
+                    F.size("offsets").alias("length"), "cls_index", "start_position", "end_position")
+
+
 def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
     """K1: documents, tokens and bytes per source and in total."""
     docs = table(spark, sf, "documents", ["source", "text"])
@@ -585,6 +605,7 @@ REGISTRY = {
     "vocabulary": vocabulary,
     "encode_docs": encode_docs,
     "subword_pieces": subword_pieces,
+    "qa_pair_encoding": qa_pair_encoding,
     "corpus_stats": corpus_stats,
     "corpus_sources": corpus_sources,
     "multilabel_report": multilabel_report,
