@@ -139,3 +139,40 @@ def test_checkpoint_folder_must_be_set_on_a_cluster():
         master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(cluster)
+
+
+def test_logreg_grid_against_numpy(spark):
+    import numpy as np
+    import random
+    from textlab.operators import models as md
+    rnd, words = random.Random(4), ["good", "bad", "the", "a", "plot", "fine", "poor"]
+    rows = []
+    for i in range(120):
+        y = i % 2
+        w = [rnd.choice(words) for _ in range(rnd.randrange(0, 12))] + (["good", "fine"] if y else ["bad"]) * rnd.randrange(3)
+        rows.append((i, " ".join(w), y, i < 90))
+    df = spark.createDataFrame(rows, "id long, text string, y int, fit boolean")
+    x = md.hashed_tfidf(df, "id", "text", F.col("fit"), 256).cache()
+    feats = {r.id: r for r in x.collect()}
+    assert all(r.idx[-1] == 256 and r.val[-1] == 1.0 and len(r.idx) == len(r.val) for r in feats.values())
+    assert all(abs(sum(v * v for v in r.val[:-1]) - 1) < 1e-9 for r in feats.values() if any(r.val[:-1]))
+    models = md.train_logreg(x.where("fit"), "y", (0.0, 0.1), (5, 15), 256)
+    dense, y = np.zeros((90, 257)), np.array([i % 2 for i in range(90)])
+    for i in range(90):
+        dense[i, feats[i].idx] = feats[i].val
+    for reg in (0.0, 0.1):
+        decay = np.r_[np.full(256, reg), 0.0]
+        w = v = np.zeros(257)
+        for t in range(15):
+            g = dense.T @ (1 / (1 + np.exp(-dense @ v)) - y) / 90 + decay * v
+            new = v - g / (0.5 + reg)
+            v, w = new + t / (t + 3) * (new - w), new
+            if t + 1 in (5, 15):
+                assert np.abs(models[reg, t + 1] - w).max() < 1e-9
+    pred = md.predict_logreg(models, x.where("not fit"), "id").collect()
+    assert len(pred) == 4 * 30
+    for r in pred:
+        margin = sum(models[r.reg_param, r.max_iter][i] * v for i, v in zip(feats[r.id].idx, feats[r.id].val))
+        assert r.prediction == (margin > 0)
+    assert sum(r.prediction == r.id % 2 for r in pred if (r.reg_param, r.max_iter) == (0.0, 15)) > 20
+    assert all((w == 0).all() for w in md.train_logreg(x.limit(0), "y", (0.0,), (3,), 256).values())

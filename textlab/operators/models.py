@@ -2,7 +2,8 @@
 
 F1(a) is a multinomial naive Bayes classifier written as joins and grouped
 counts, so every grid point (smoothing alpha) trains and predicts in one
-job and the result is checkable with plain SQL.  F2 / F6 score a table with
+job and the result is checkable with plain SQL.  F1(b) is logistic regression
+on hashed features, all grid points in the same gradient sums.  F2 / F6 score a table with
 user-supplied models in Arrow batches (``mapInPandas``): the model is
 loaded once per Python worker, never per row.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ def train_nb(train: DataFrame, id_col: str, text_col: str, label_col: str,
       literal lists);
     * ``log_prior(alpha, class_id, prior)`` = ln(docs_c / docs).
 
-    Two scalars (vocabulary size V, document count) are computed first;
-    nothing else reaches the driver.
+    The vocabulary size V and the document count are scalar subqueries:
+    nothing reaches the driver.
     """
     labelled = train.select(id_col, text_col, F.col(label_col).cast("int").alias("class_id"))
     wc = doc_words(labelled, id_col, text_col).join(labelled.select(id_col, "class_id"), id_col)
@@ -48,8 +50,8 @@ def train_nb(train: DataFrame, id_col: str, text_col: str, label_col: str,
     n_wc = cut_lineage(wc.groupBy("word", "class_id").agg(F.sum("cnt").alias("n_wc")))
     n_c = n_wc.groupBy("class_id").agg(F.sum("n_wc").alias("n_c"))
     vocab = n_wc.select("word").distinct()
-    v_size = vocab.count()
-    n_docs = labelled.count()
+    v_size = vocab.agg(F.count(F.lit(1)).cast("double")).scalar()
+    n_docs = labelled.agg(F.count(F.lit(1)).cast("double")).scalar()
     cls = F.array(*[F.lit(int(c)) for c in classes])
     al = F.array(*[F.lit(float(x)) for x in alphas])
     dense = (vocab.select("word", F.explode(cls).alias("class_id"))
@@ -60,10 +62,10 @@ def train_nb(train: DataFrame, id_col: str, text_col: str, label_col: str,
                      F.explode(al).alias("alpha")))
     ll = dense.select("alpha", "word", "class_id", F.ln(
         (F.col("n_wc") + F.col("alpha"))
-        / (F.col("n_c") + F.col("alpha") * F.lit(float(v_size)))).alias("lp"))
+        / (F.col("n_c") + F.col("alpha") * v_size)).alias("lp"))
     per_c = labelled.groupBy("class_id").agg(F.count(F.lit(1)).alias("d_c"))
     prior = (per_c.select(F.explode(al).alias("alpha"), "class_id",
-                          F.ln(F.col("d_c") / F.lit(float(n_docs))).alias("prior")))
+                          F.ln(F.col("d_c") / n_docs).alias("prior")))
     return ll, prior
 
 
@@ -153,44 +155,109 @@ def nb_grid(data: DataFrame, id_col: str, text_col: str, label_col: str, fold_co
         "fold", "g.alpha", "g.min_df", "seed", id_col, "target", "g.prediction")
 
 
-def train_logreg(train: DataFrame, text_col: str, label_col: str,
-                 reg_params: Sequence[float] = (0.0, 0.01), max_iters: Sequence[int] = (20,),
-                 num_features: int = 1 << 18, seed: int = 0):
-    """F1(b): ``HashingTF -> IDF -> LogisticRegression`` (Spark ML) fitted
-    for every ``regParam`` x ``maxIter`` grid point.  Returns a list of
-    ``(params, fitted_pipeline)``; each fit is a distributed iterative job
-    (tree aggregation of gradients), features are hashed so no vocabulary
-    reaches the driver."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-
-    data = train.select(text_col, F.col(label_col).cast("double").alias("label"))
-    out = []
-    for rp in reg_params:
-        for mi in max_iters:
-            pipe = Pipeline(stages=[
-                RegexTokenizer(inputCol=text_col, outputCol="_w",
-                               pattern=f"[{WORD_CLASS}]+", gaps=False),
-                HashingTF(inputCol="_w", outputCol="_tf", numFeatures=num_features),
-                IDF(inputCol="_tf", outputCol="_x"),
-                LogisticRegression(featuresCol="_x", labelCol="label", regParam=rp,
-                                   maxIter=mi)])
-            out.append(({"reg_param": rp, "max_iter": mi}, pipe.fit(data)))
-    return out
+def hashed_tfidf(df: DataFrame, id_col: str, text_col: str, fitted_on: Column, num_features: int = 1 << 16) -> DataFrame:
+    """Adds ``idx`` and ``val``: each text's hashed word features (ascending)
+    and their unit-length TF-IDF values, with the intercept as feature
+    ``num_features`` of value 1 behind them.  Document frequencies, ln((n + 1)
+    / (df + 1)), come from the rows where ``fitted_on`` holds.  Features are
+    hashed, so no vocabulary reaches the driver and the frequency table has at
+    most ``num_features`` rows.  Ids must be unique; a text without words has
+    the intercept alone."""
+    words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"[{WORD_CLASS}]+"), 0)).alias("_word")
+    tf = df.select(id_col, fitted_on.alias("_fit"), words).withColumn(
+        "_f", (hash_number(F.col("_word")) % num_features).cast("int"))
+    tf = cut_lineage(tf.groupBy(id_col, "_fit", "_f").agg(F.count(F.lit(1)).alias("_tf")))
+    n = df.where(fitted_on).agg(F.count(F.lit(1))).scalar()
+    seen = tf.groupBy("_f").agg(F.count_if("_fit").alias("_df"))
+    x = tf.join(seen.select("_f", F.ln((n + 1) / (F.col("_df") + 1)).alias("_idf")), "_f")
+    x = x.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct(  # one text's distinct features
+        "_f", (F.col("_tf") * F.col("_idf")).alias("x")))).alias("_x"))
+    x = x.withColumn("_norm", F.sqrt(F.aggregate("_x", F.lit(0.0), lambda a, e: a + e["x"] * e["x"])))
+    unit = F.transform("_x", lambda e: F.when(F.col("_norm") > 0, e["x"] / F.col("_norm")).otherwise(0.0))
+    x = x.select(id_col, F.transform("_x", lambda e: e["_f"]).alias("_i"), unit.alias("_v"))
+    none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>"))
+    return df.join(x, id_col, "left").withColumns({
+        "idx": F.concat(none("_i", "int"), F.array(F.lit(num_features))),
+        "val": F.concat(none("_v", "double"), F.array(F.lit(1.0)))}).drop("_i", "_v")
 
 
-def predict_logreg(models, test: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """F1(b) scoring: ``(reg_param, max_iter, id, prediction)`` for every
-    fitted grid point (a union of narrow scoring passes)."""
-    out = None
-    for params, model in models:
-        p = (model.transform(test.select(id_col, text_col))
-             .select(F.lit(params["reg_param"]).alias("reg_param"),
-                     F.lit(params["max_iter"]).alias("max_iter"), id_col,
-                     F.col("prediction").cast("int").alias("prediction")))
-        out = p if out is None else out.unionByName(p)
-    return out
+def _margins(pdf: pd.DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat (row, feature, value) of a batch and its margins, rows by grid."""
+    sizes = pdf["idx"].map(len).to_numpy()
+    row, idx, val = np.repeat(np.arange(len(pdf)), sizes), np.concatenate(pdf["idx"].to_list()), np.concatenate(pdf["val"].to_list())
+    starts = np.cumsum(sizes) - sizes  # every row has the intercept
+    return row, idx, val, np.add.reduceat(weights[idx] * val[:, None], starts, axis=0)
+
+
+def _gradient(weights):
+    """Batches of (idx, val, label) to one row per feature seen by the task:
+    its gradient sums of all grid points."""
+    def run(batches):
+        w, total = weights.value, None
+        for pdf in batches:
+            if len(pdf):
+                row, idx, val, m = _margins(pdf, w)
+                r = 1.0 / (1.0 + np.exp(-m)) - pdf["label"].to_numpy(np.float64)[:, None]
+                total = np.zeros_like(w) if total is None else total
+                for k in range(w.shape[1]):
+                    total[:, k] += np.bincount(idx, val * r[row, k], w.shape[0])
+        if total is not None:
+            seen = np.flatnonzero(total.any(axis=1))
+            yield pd.DataFrame({"feature": seen.astype(np.int32), **{f"g{k}": total[seen, k] for k in range(total.shape[1])}})
+    return run
+
+
+def train_logreg(train: DataFrame, label_col: str, reg_params: Sequence[float] = (0.0, 0.01),
+                 max_iters: Sequence[int] = (20,), num_features: int = 1 << 16) -> dict[tuple[float, int], np.ndarray]:
+    """F1(b): logistic regression for every ``reg_param`` (L2, intercept
+    free) and ``max_iter``, all grid points in the same jobs: weights by
+    (reg_param, max_iter).
+
+    A step is one job: each task adds up the gradients of all grid points
+    over its rows, Spark adds up the tasks' sums by feature, and the weights
+    (``num_features`` x reg_params numbers, however many rows there are) go
+    out again.  Accelerated gradient steps of fixed size 1 / (0.5 + reg_param):
+    rows have unit length besides the intercept, so 0.5 bounds the curvature.
+    ``max_iters`` are snapshots of one path.
+    """
+    x = cut_lineage(train.select("idx", "val", F.col(label_col).cast("int").alias("label")))
+    n, sc = x.count(), train.sparkSession.sparkContext
+    reg = np.array(reg_params, np.float64)
+    decay = np.repeat(reg[None, :], num_features + 1, axis=0)
+    decay[num_features] = 0.0
+    w = v = np.zeros((num_features + 1, reg.size))
+    sums, out = [F.sum(f"g{k}").alias(f"g{k}") for k in range(reg.size)], {}
+    schema = "feature int, " + ", ".join(f"g{k} double" for k in range(reg.size))
+    for t in range(max(max_iters) if n else 0):
+        shipped = sc.broadcast(v)
+        rows = x.mapInPandas(_gradient(shipped), schema).groupBy("feature").agg(*sums).toPandas()
+        g = np.zeros_like(v)
+        g[rows["feature"].to_numpy()] = rows[[f"g{k}" for k in range(reg.size)]].to_numpy()
+        new = v - (g / n + decay * v) / (0.5 + reg)
+        v, w = new + t / (t + 3.0) * (new - w), new
+        shipped.unpersist()
+        if t + 1 in max_iters:
+            out.update({(float(r), t + 1): w[:, k] for k, r in enumerate(reg_params)})
+    return out or {(float(r), m): w[:, k] for k, r in enumerate(reg_params) for m in max_iters}
+
+
+def predict_logreg(models: dict[tuple[float, int], np.ndarray], test: DataFrame, id_col: str) -> DataFrame:
+    """F1(b) scoring: ``(reg_param, max_iter, id, prediction)`` of every grid
+    point, in one pass (1 where the margin is positive)."""
+    grid = list(models)
+    shipped = test.sparkSession.sparkContext.broadcast(np.stack([models[g] for g in grid], axis=1))
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                m = _margins(pdf, shipped.value)[3]
+                yield pd.DataFrame({
+                    "reg_param": np.tile([g[0] for g in grid], len(pdf)), "max_iter": np.tile([g[1] for g in grid], len(pdf)),
+                    id_col: pdf[id_col].repeat(len(grid)).to_numpy(), "prediction": (m > 0).astype(np.int32).ravel()})
+
+    kind = dict(test.dtypes)[id_col]
+    return test.select(id_col, "idx", "val").mapInPandas(
+        run, f"reg_param double, max_iter int, {id_col} {kind}, prediction int")
 
 
 def score_with(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],

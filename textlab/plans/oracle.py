@@ -797,6 +797,45 @@ SELECT alpha, metric, class_name, ROUND(value, {R}) AS value FROM rep
 """
 
 
+def _logreg_report() -> str:
+    from textlab.plans.queries import LOGREG_FEATURES as D, LOGREG_ITERS, LOGREG_REGS
+    W, _, _ = _qa_consts()
+    regs = ", ".join(f"({k}, CAST({r!r} AS DOUBLE))" for k, r in enumerate(LOGREG_REGS))
+    steps, snap = [], []
+    for t in range(max(LOGREG_ITERS)):
+        steps.append(f"""
+m{t} AS MATERIALIZED (SELECT tx.doc_id, wv.k, 1 / (1 + exp(-SUM(tx.x * wv.v))) - MAX(tx.y) AS r
+  FROM tx JOIN wv{t} wv USING (f) GROUP BY tx.doc_id, wv.k),
+wv{t + 1} AS MATERIALIZED (SELECT f, k, neww AS w, neww + {t} / {t + 3}.0 * (neww - w) AS v FROM (
+  SELECT wv.f, wv.k, wv.w, wv.v - (g.s / (SELECT n FROM nt) + CASE WHEN wv.f = {D} THEN 0 ELSE reg END * wv.v) / (0.5 + reg) AS neww
+  FROM wv{t} wv JOIN regs USING (k)
+  JOIN (SELECT tx.f, m.k, SUM(tx.x * m.r) AS s FROM tx JOIN m{t} m USING (doc_id) GROUP BY tx.f, m.k) g USING (f, k)))""")
+        if t + 1 in LOGREG_ITERS:
+            snap.append(f"SELECT {t + 1} AS max_iter, f, k, w FROM wv{t + 1}")
+    return f"""
+WITH lab AS (SELECT d.doc_id, d.text, l.quality AS y FROM documents d JOIN labels l USING (doc_id)),
+ps AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY doc_id) - 1) < round_even(90 * COUNT(*) OVER () / 100.0, 0) AS fit FROM lab),
+nt AS MATERIALIZED (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM ps WHERE fit),
+tf AS MATERIALIZED (SELECT doc_id, fit, y, ('0x' || substr(md5(word), 1, 15))::BIGINT % {D} AS f, COUNT(*) AS tf
+  FROM (SELECT doc_id, fit, y, unnest(regexp_extract_all(lower(text), '[{W}]+')) AS word FROM ps) GROUP BY ALL),
+idf AS (SELECT f, ln(((SELECT n FROM nt) + 1) / (COUNT(*) FILTER (WHERE fit) + 1)) AS idf FROM tf GROUP BY f),
+ti AS (SELECT doc_id, f, tf * idf AS x FROM tf JOIN idf USING (f)),
+nm AS (SELECT doc_id, sqrt(SUM(x * x)) AS norm FROM ti GROUP BY doc_id),
+xs AS MATERIALIZED (SELECT doc_id, f, CASE WHEN norm > 0 THEN x / norm ELSE 0 END AS x FROM ti JOIN nm USING (doc_id)
+  UNION ALL SELECT doc_id, {D}, 1.0 FROM ps),
+tx AS MATERIALIZED (SELECT xs.*, ps.y FROM xs JOIN ps USING (doc_id) WHERE ps.fit),
+regs(k, reg) AS (VALUES {regs}),
+wv0 AS MATERIALIZED (SELECT f, k, CAST(0 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS v FROM (SELECT DISTINCT f FROM tx), regs),
+{",".join(steps)},
+fitted AS ({" UNION ALL ".join(snap)}),
+pred AS (SELECT reg AS reg_param, max_iter, ps.doc_id, MAX(ps.y) AS target, CASE WHEN SUM(xs.x * fitted.w) > 0 THEN 1 ELSE 0 END AS prediction
+  FROM ps JOIN xs USING (doc_id) JOIN fitted USING (f) JOIN regs USING (k) WHERE NOT ps.fit GROUP BY reg, max_iter, ps.doc_id),
+conf AS (SELECT reg_param, max_iter, target, prediction, COUNT(*) AS n FROM pred GROUP BY ALL),
+{report_ctes('conf', ['reg_param', 'max_iter'])}
+SELECT reg_param, max_iter, metric, class_name, ROUND(value, {R}) AS value FROM rep
+"""
+
+
 def _compare_models() -> str:
     return f"""WITH {_qa_pred_ctes((0, 1))}
 SELECT ex.id AS example_id, ex.a_text AS answer_text,
@@ -874,6 +913,7 @@ def all_sql() -> dict[str, str]:
         "labelset_stats": _labelset_stats(),
         "resolve_models": _resolve_models(),
         "nb_report": _nb_report(),
+        "logreg_report": _logreg_report(),
         "compare_models": _compare_models(),
         "stored_runs": RUN_METRICS.replace(
             "FROM rep\n", "FROM rep WHERE lr = CAST(1e-05 AS DOUBLE) AND seed IN (0, 1)\n"),
