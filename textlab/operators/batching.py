@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlab.operators.positions import positional_index
@@ -47,12 +47,38 @@ def eval_batches(df: DataFrame, id_col: str, batch_size: int = 8) -> DataFrame:
     return x.withColumn("batch_id", (F.col("position") / batch_size).cast("long"))
 
 
-def write_batches(batches: DataFrame, path: str, n_shards: int = 8) -> None:
-    """E2 export: one Parquet directory per (seed, epoch); rows are range-
-    partitioned on (seed, epoch, position) into ``n_shards`` tasks and
-    sorted inside each, so every file holds a contiguous run of positions
-    and a loader can stream an epoch in batch order file by file -- with no
-    global sort on one task."""
-    (batches.repartitionByRange(n_shards, "seed", "epoch", "position")
-     .sortWithinPartitions("seed", "epoch", "position")
-     .write.mode("overwrite").partitionBy("seed", "epoch").parquet(path))
+def write_batches(batches: DataFrame, path: str, n_shards: int = 8) -> DataFrame:
+    """E2 export: every (seed, epoch) as at most ``n_shards`` Parquet shards
+    of consecutive positions, one sorted file each, so that a loader streams
+    an epoch in batch order file by file.  A row's shard follows from its
+    position alone; nothing is sorted as a whole.
+
+    Then the shards are read back: returns the manifest ``(seed, epoch, shard,
+    file, n_rows, first_position, last_position)``, also stored at
+    ``path`` + ``_manifest``.
+    """
+    spark = batches.sparkSession
+    rows = batches.agg(F.ceil((F.max("position") + 1) / n_shards)).scalar()
+    b = batches.withColumn("shard", F.floor(F.col("position") / F.coalesce(rows, F.lit(1))).cast("int"))
+    (b.repartition("seed", "epoch", "shard").sortWithinPartitions("seed", "epoch", "shard", "position")
+     .write.mode("overwrite").partitionBy("seed", "epoch", "shard").parquet(path))
+    back = read_batches(spark, path, b).select("seed", "epoch", "shard", "position", F.col("_metadata.file_path").alias("file"))
+    back.groupBy("seed", "epoch", "shard", "file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("position").alias("first_position"),
+        F.max("position").alias("last_position")).write.mode("overwrite").parquet(f"{path.rstrip('/')}_manifest")
+    return spark.read.parquet(f"{path.rstrip('/')}_manifest")
+
+
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rows of a written epoch table, with the columns of ``like``."""
+    return spark.read.schema(like.schema).parquet(path)
+
+
+def manifest_gaps(manifest: DataFrame) -> DataFrame:
+    """Shards of a manifest that don't hold just the positions behind the
+    shard before (a repeated, missing or extra row, or several files)."""
+    w = Window.partitionBy("seed", "epoch").orderBy("shard", "first_position")
+    m = manifest.withColumn("_next", F.coalesce(F.lag("last_position").over(w) + 1, F.lit(0)))
+    whole = (F.col("first_position") == F.col("_next")) & (
+        F.col("last_position") - F.col("first_position") + 1 == F.col("n_rows"))
+    return m.where(~whole).drop("_next")

@@ -284,3 +284,35 @@ def score_models(df: DataFrame, scorers: dict[str, Callable[[pd.DataFrame], pd.D
         part = score_with(df, fn, schema, columns).withColumn("model", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def batched_map(df: DataFrame, fn: Callable[..., dict], schema: str, fn_kwargs: dict | None = None,
+                columns: Sequence[str] | None = None, remove_columns: Sequence[str] | None = None) -> DataFrame:
+    """L1 / L2: ``fn(batch, **fn_kwargs)`` over Arrow batches.  A batch is a
+    dict of column lists, and so is what comes back; it may have any number of
+    rows.  ``schema`` are the new columns.  With ``remove_columns`` None all
+    source columns go (the number of rows may change); otherwise those named
+    go, the others stay beside the new ones, and the number must not change.
+    ``columns`` are the source columns that ``fn`` reads (all by default)."""
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    kwargs, src = dict(fn_kwargs or {}), df.select(*columns) if columns and remove_columns is None else df
+    keep = [] if remove_columns is None else [c for c in df.columns if c not in set(remove_columns)]
+    new = StructType.fromDDL(schema)
+    out = StructType([*[df.schema[c] for c in keep if c not in new.names], *new.fields])
+    keep, names = [c for c in keep if c not in new.names], new.names
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(out)
+        for b in batches:
+            got = fn(b.to_pydict(), **kwargs)
+            arrays = [b.column(b.schema.get_field_index(c)) for c in keep]
+            arrays += [pa.array(got[c], target.field(c).type) for c in names]
+            if len({len(a) for a in arrays}) > 1:
+                raise ValueError("the columns of a mapped batch differ in length")
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    return src.mapInArrow(run, out)

@@ -70,13 +70,15 @@ def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFram
 
 
 def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
-                cls_index: int = 0, keys: Sequence[str] = ()) -> DataFrame:
+                cls_index: int = 0, keys: Sequence[str] = (), order_col: str | None = None) -> DataFrame:
     """G2-G5 per window: top-``n_best`` starts and ends (lower index first
     on equal logits), the validity rules (both offsets in the context,
     ``end >= start``, at most ``max_answer_tokens`` tokens) and the best
-    pair as ``cand = struct(score, -window_idx, -start_rank, -end_rank, st,
-    en)`` -- the struct order is the tie order of a stable descending sort
-    over (window, start rank, end rank).  Also G8's per-window null score.
+    pair as ``cand = struct(score, -order, -window_idx, -start_rank,
+    -end_rank, st, en)`` -- the struct order is the tie order of a stable
+    descending sort over (example order, window, start rank, end rank);
+    ``order_col`` numbers the examples of a repeated id.  Also G8's per-window
+    null score.
 
     Instead of materialising all ``n_best^2`` pairs: for a fixed start the
     first qualifying end in rank order has the highest end logit and, among
@@ -86,8 +88,9 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     sl, el, off = F.col("start_logits"), F.col("end_logits"), F.col("offsets")
     # the window's own slice of the text, or the whole context
     ctx = ["ctx_text", "ctx_at"] if "ctx_text" in w.columns else ["context"] if "context" in w.columns else []
+    nth = F.col(order_col).cast("long") if order_col else F.lit(0).cast("long")
     w = w.select(*keys, "example_id", "window_idx", "start_logits", "end_logits", "offsets",
-                 *ctx, F.size(off).alias("_n_off"))
+                 *ctx, F.size(off).alias("_n_off"), (-nth).alias("_no"))
     w = evaluate_once(with_top_k(w, {"_s_top": "start_logits", "_e_top": "end_logits"}, n_best))
     n_off = F.col("_n_off")
 
@@ -107,8 +110,7 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
     def cand(x):
         s, e = x["s"], x["e"]
         return F.struct(
-            (F.get(sl, s["p"]) + F.get(el, e["p"])).alias("score"),
-            (-F.col("window_idx")).alias("nw"), (-s["r"]).alias("nsi"),
+            (F.get(sl, s["p"]) + F.get(el, e["p"])).alias("score"), F.col("_no").alias("no"), (-F.col("window_idx")).alias("nw"), (-s["r"]).alias("nsi"),
             (-e["r"]).alias("nei"), F.get(off, s["p"])["st"].alias("st"),
             F.get(off, e["p"])["en"].alias("en"))
 
@@ -121,7 +123,7 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
         # max_answer_tokens tokens) travels, never the context itself
         c = F.col("cand")
         out = out.withColumn("cand", F.when(c.isNotNull(), F.struct(
-            c["score"].alias("score"), c["nw"].alias("nw"), c["nsi"].alias("nsi"),
+            c["score"].alias("score"), c["no"].alias("no"), c["nw"].alias("nw"), c["nsi"].alias("nsi"),
             c["nei"].alias("nei"), c["st"].alias("st"), c["en"].alias("en"),
             F.substring(F.col(ctx[0]), c["st"] - (F.col("ctx_at") if len(ctx) > 1 else F.lit(0)) + 1,
                         c["en"] - c["st"]).alias("text"))))
@@ -131,23 +133,44 @@ def window_best(w: DataFrame, n_best: int = 20, max_answer_tokens: int = 30,
 
 def best_answers(scored_windows: DataFrame, examples: DataFrame,
                  n_best: int = 20, max_answer_tokens: int = 30,
-                 key_values: dict[str, Sequence] | None = None) -> DataFrame:
+                 key_values: dict[str, Sequence] | None = None, order_col: str | None = None) -> DataFrame:
     """One prediction per example ``(keys..., example_id,
     prediction_text, score, null_score)``.
 
     ``scored_windows`` carry ``example_id, window_idx, offsets,
-    start_logits, end_logits, context`` (plus the run keys named in
-    ``key_values``, e.g. ``{"seed": [0, 1, 2]}``); ``examples`` carry ``id``.
+    start_logits, end_logits`` and the window's text (``ctx_text`` and
+    ``ctx_at``, or the whole ``context``), plus the run keys named in
+    ``key_values``, e.g. ``{"seed": [0, 1, 2]}``; ``examples`` carry ``id``.
     The answer text is cut in the window pass (G5), so the one shuffle
     (``groupBy(example_id)``, partial ``max``) moves short answer strings
     and the final left join from the examples (G7: no valid candidate or
-    no window -> empty text, score 0.0) moves ids only.  Ids are expected
-    unique (G9).
+    no window -> empty text, score 0.0) moves ids only.
+
+    Ids are unique, or ``order_col`` (in both tables) numbers the examples of
+    an id (G9): the windows of all of them compete, the earlier one on ties,
+    and the last example's context gives the text at the best span's place.
     """
+    keys = list(key_values or {})
+    wb = window_best(scored_windows, n_best, max_answer_tokens, keys=keys, order_col=order_col)
+    if order_col is None:
+        return collect_answers(wb, examples, key_values)
+    last = keep_last_per_id(examples.select("id", F.col(order_col).cast("long").alias("_order"), "context"), "id", "_order")
+    found = collect_answers(wb, last, key_values, whole=True)
+    b = F.col("best")
+    j = found.join(last.withColumnRenamed("id", "example_id"), "example_id")
+    own = F.when(b["no"] == -F.col("_order"), b["text"]).otherwise(
+        F.substring(F.col("context"), b["st"] + 1, b["en"] - b["st"]))
+    return j.select(*keys, "example_id", F.coalesce(own, F.lit("")).alias("prediction_text"),
+                    F.coalesce(b["score"], F.lit(0.0)).alias("score"), "null_score")
+
+
+def collect_answers(window_bests: DataFrame, examples: DataFrame, key_values: dict[str, Sequence] | None = None,
+                    whole: bool = False) -> DataFrame:
+    """Each example's prediction from the best candidates of its
+    windows (:func:`window_best`); with ``whole``, the candidate itself."""
     key_values = key_values or {}
     keys = list(key_values)
-    wb = window_best(scored_windows, n_best, max_answer_tokens, keys=keys)
-    per_ex = wb.groupBy(*keys, "example_id").agg(
+    per_ex = window_bests.groupBy(*keys, "example_id").agg(
         F.max("cand").alias("best"), F.max("null_score").alias("null_score"))
     ex = examples.select(F.col("id").alias("example_id"))
     if keys:
@@ -160,6 +183,8 @@ def best_answers(scored_windows: DataFrame, examples: DataFrame,
             *[F.col(f"_k.{k}").alias(k) for k in keys], "example_id")
     j = ex.join(per_ex, [*keys, "example_id"], "left")
     b = F.col("best")
+    if whole:
+        return j
     return j.select(*keys, "example_id",
                     F.coalesce(b["text"], F.lit("")).alias("prediction_text"),
                     F.coalesce(b["score"], F.lit(0.0)).alias("score"), "null_score")
