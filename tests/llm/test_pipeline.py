@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline as cp
 from textlab.llm import pii, quality
-from textlab.llm.queries import PII_KEY, vocabulary_path
+from textlab.llm.queries import pii_key, vocabulary_path
 
 from .test_neardup_quality import brute_components, variants
 
@@ -38,7 +38,7 @@ def test_stages_against_brute_force(spark):
     assert {r["doc_id"] for r in two.collect()} == set(brute_components(rows, 5, 80).values())
     three = cp.pii_stage(spark, two, SF)
     for r in three.collect():
-        assert r["text"] == pii.replace_all(texts[r["doc_id"]], PII_KEY)[0]
+        assert r["text"] == pii.replace_all(texts[r["doc_id"]], pii_key(spark))[0]
     text = {r["doc_id"]: r["text"] for r in three.collect()}
     t = tokenizers.Tokenizer.from_file(vocabulary_path())
     covered = {}
@@ -77,3 +77,17 @@ def test_repeated_and_null_ids_are_decided_by_row(spark):
 def test_run(spark):
     pieces = cp.run(spark, SF).collect()
     assert pieces and len({p["doc_id"] for p in pieces}) < spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_pseudonym_key_comes_from_the_session(spark, monkeypatch):
+    from textlab.llm.queries import pii_key
+
+    spark.conf.unset("spark.textlab.pii.secret")
+    drawn = pii_key(spark)
+    assert len(drawn) == 64 and pii_key(spark) == drawn  # kept for the session
+    spark.conf.unset("spark.textlab.pii.secret")
+    monkeypatch.setenv("TEXTLAB_PII_KEY", "from the environment")
+    assert pii_key(spark) == b"from the environment"
+    spark.conf.set("spark.textlab.pii.secret", "from the session")
+    assert pii_key(spark) == b"from the session"
+    spark.conf.unset("spark.textlab.pii.secret")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import secrets
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,18 @@ from textlab.llm import (
 PII_KEY = b"textlab registered queries"
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret of the pseudonyms: the session's ``spark.textlab.pii.secret``,
+    else the environment's ``TEXTLAB_PII_KEY``.  Without either, a random key
+    is drawn and kept in the session, so values stay linked within it and
+    nobody can invert them; set one to link values across sessions."""
+    own = spark.conf.get("spark.textlab.pii.secret", None) or os.environ.get("TEXTLAB_PII_KEY")
+    if not own:
+        own = secrets.token_hex(32)
+        spark.conf.set("spark.textlab.pii.secret", own)
+    return own.encode()
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json", setting: str = "TEXTLAB_BPE_VOCAB") -> str:
     """A vocabulary file of the installed package of public tokenizers,
     unless the environment variable ``setting`` names another file."""
@@ -94,7 +107,7 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Whole pseudonymised texts and the count of each kind."""
-    d = pii.pseudonymize(table(spark, sf, "documents"), PII_KEY, counts="pii")
+    d = pii.pseudonymize(table(spark, sf, "documents"), pii_key(spark), counts="pii")
     return d.select("doc_id", "text", *[F.coalesce(d["pii"][k], F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
 
 
