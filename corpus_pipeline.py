@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textlab.llm import neardup, packing, pii, quality
 from textlab.llm.common import written
-from textlab.llm.queries import PII_KEY, vocabulary_path
+from textlab.llm.queries import pii_key, vocabulary_path
 
 #: The stages fit a robust model, find components and permute with a keyed
 #: hash: SQL can't express them (see tests/llm/test_pipeline.py).
@@ -50,7 +50,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: personal numbers and dates become pseudonyms."""
-    return pii.pseudonymize(docs, PII_KEY).select(docs.columns)
+    return pii.pseudonymize(docs, pii_key(spark)).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
