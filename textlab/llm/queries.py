@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from textlab.llm import (
     ann, bpe, chat, neardup, ngram_lm, packing, pii, prefix_trie, quality, sharding, token_count, url_filter, whitening)
 
-#: The key of the registered queries; a deployment passes its own secret.
-PII_KEY = b"textlab registered queries"
-
-
 def pii_key(spark: SparkSession) -> bytes:
     """The secret of the pseudonyms: the session's ``spark.textlab.pii.secret``,
     else the environment's ``TEXTLAB_PII_KEY``.  Without either, a random key
