@@ -20,10 +20,21 @@ ORACLE_SQL = None
 
 
 def _keyed(docs: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """``docs`` with a key of each row, written, as ids may repeat or be null
-    and a key made on the fly may change; and the key column's name."""
+    """``docs`` with a key of each row, as ids may repeat or be null; and the
+    key column's name.  Rows read from files have one already: the file's
+    number (a broadcast table with a row per file) and the place in the file.
+    Other rows are numbered and written, as a number made on the fly may
+    change."""
     key = "_row" + "_" * max(map(len, docs.columns), default=0)
-    return written(docs.withColumn(key, F.monotonically_increasing_id()), f"rows-{tag}"), key
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or "_metadata" in docs.columns:
+        return written(docs.withColumn(key, F.monotonically_increasing_id()), f"rows-{tag}"), key
+    place, number = f"{key}p", f"{key}n"
+    names = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())  # one per file
+    files = docs.sparkSession.createDataFrame(list(zip(names, range(len(names)))), f"{place} string, {number} long")
+    rows = docs.select("*", F.col("_metadata.file_path").alias(place), F.col("_metadata.row_index").alias(key))
+    rows = rows.join(F.broadcast(files), place)
+    # 2^33 rows a file, 2^30 files
+    return rows.withColumn(key, F.shiftleft(number, 33).bitwiseOR(F.col(key))).drop(place, number), key
 
 
 def _only(keyed: DataFrame, key: str, kept: DataFrame) -> DataFrame:
