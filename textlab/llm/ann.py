@@ -109,7 +109,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     part as query or candidate.  Vectors of different lengths are not
     compared.  Repeated rows count once; one id with two vectors is two
     candidates and, as a query, searched with each (a neighbour counts at its
-    best score).  An empty table gives an empty result.
+    best score).  An empty table gives an empty result;
+    texts, however long, are not read.
     """
     v = F.transform(F.col(vector), lambda c: c.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("_id"), v.alias("_v"),

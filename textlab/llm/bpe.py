@@ -214,7 +214,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     """Adds ``out``, the token ids (array<int>) of the whole text, equal to
     the tokenizers library's without added special tokens.
 
-    Special-token strings inside a text become their id.  Null and empty
+    Special-token strings inside a text become their id.  Very long texts are
+    encoded whole (one text and its ids must fit in a task).  Null and empty
     texts have no ids.  Rows, order and the other columns stay as they are;
     an existing column ``out`` is replaced.
     """
@@ -250,7 +251,8 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text:
     ``doc_id``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas)
     and ``decoded_sha256`` (decoded text, UTF-8), as lower-case hex.
 
-    Null texts count as empty.  Null ids and repeated rows are kept as they
+    Null texts count as empty; very long texts are encoded whole (a text and
+    its ids must fit in a task).  Null ids and repeated rows are kept as they
     are; an empty table gives an empty result; other columns are not carried.
     """
     spec = tokenizer_file(docs.sparkSession, path)

@@ -225,7 +225,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     others; its component is the smallest non-null id reachable (null if
     none), and it is kept only where that is null.  Repeated rows are judged
     alike, so copies under one id are all kept or all dropped.  Equal sets
-    with different texts are one class.  An empty table gives an empty
+    with different texts are one class.  A very long text gives all its
+    shingles (one text's set must fit in a task).  An empty table gives an empty
     result.  Other columns are not carried.
 
     The chance that bands miss a true link is at most (1 - 0.85**5)**32 <

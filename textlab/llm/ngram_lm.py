@@ -238,7 +238,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text: st
 
     The model learns from the rows where ``train`` is true (null: held out).
     Tokens are the words (A-Z lower-cased) and one end per text; null and
-    empty texts have the end alone.  Null ids and repeated rows are rows like
+    empty texts have the end alone; very long texts are scored whole, in one
+    block of their own if need be.  Null ids and repeated rows are rows like
     any other.  Without training rows every token has probability 1.  An
     empty table gives an empty result.  Other columns are not carried.
 

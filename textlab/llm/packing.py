@@ -441,7 +441,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
     ``offset`` in the sequence.  Every id lies in exactly one piece, and every
     sequence is full or has a power of two of ids, so none needs padding.
 
-    Null and empty texts have the end id alone.  Null ids and repeated rows
+    Null and empty texts have the end id alone; very long texts are encoded
+    whole (one text and its ids must fit in a task).  Null ids and repeated rows
     are packed as rows of their own.  An empty table gives an empty result.
     Other columns are not carried.
     """

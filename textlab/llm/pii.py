@@ -314,7 +314,8 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", counts: str |
     security numbers, phone and card numbers in ``text`` replaced; with
     ``counts``, a map column of that name says how many of each kind.
 
-    The key is the deployment's secret (1 to 64 bytes).  Null texts stay
+    The key is the deployment's secret (1 to 64 bytes).  Very long texts are
+    searched whole.  Null texts stay
     null, empty ones empty, and texts without digits and ``@`` are not sent
     to Python.  Lengths stay the same.  Rows, order and all other columns
     (repeated rows, null ids, any names) stay as they are.

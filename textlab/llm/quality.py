@@ -226,7 +226,8 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     (a distance of about 8; shares of clean text have heavier tails than a
     normal distribution, and clean text is to stay).
     Distances of short texts are damped by n / (n + 50) words, because their
-    shares vary more.  Null or empty texts fail the base rules (no words).
+    shares vary more.  Null or empty texts fail the base rules (no words);
+    very long texts are counted whole, JVM-side.
     Null ids, repeated rows and null group values are judged like any other
     row.  Rows of a group too small for an estimate have no ``mcd_d2`` and are
     judged by ``pooled_d2`` (see :func:`robust_distance`).  An empty table

@@ -106,7 +106,8 @@ def balanced_shards(docs: DataFrame, shards: int, link: Column, size: Column, ca
 
     Row counts of the shards are at most one apart.  Rows with an equal
     ``link`` value are neighbours; null links have none.  Null ids, repeated
-    rows and ties are rows like any other.  An empty table gives an empty
+    rows and ties are rows like any other; of very long texts only the link
+    value and the size travel.  An empty table gives an empty
     result.  Columns of ``docs`` not named here are not carried.
 
     Propagation ends when no member moves, or after ``max_rounds``; the

@@ -110,7 +110,10 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     decides; without any, or with one class only, its score follows the class
     prior alone.  Null urls and urls without ``://`` have empty host and path
     and the words of none.  Null ids, repeated rows and ties are judged alike;
-    null html adds no words.  An empty table gives an empty result.  Other
+    null html adds no words.  Very long pages and urls are read whole; each
+    token of a url carries the url's key, so work and memory grow with the
+    square of one url's length (tested at 8,000 characters; one of 200,000
+    does not fit in a task).  An empty table gives an empty result.  Other
     columns are not carried.
     """
     host, path = url_parts(F.col(url))
