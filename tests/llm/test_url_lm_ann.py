@@ -230,14 +230,15 @@ def test_small_index_is_exact_with_ties_and_odd_rows(spark):
     assert ann.nearest(d.limit(0), F.lit(True)).collect() == []
 
 
-def test_recall_and_partial_scan(spark):
-    """Recall against brute force on the given vectors, and on clustered ones
-    (where far fewer candidates do)."""
-    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+@pytest.mark.parametrize("sf,block_rows", [("sf0.001", 8192), ("sf0.01", 8192), ("sf0.01", 150), ("sf0.1", 8192),
+                                           ("sf0.1", 600)])
+def test_recall(spark, sf, block_rows):
+    """Recall against brute force on the given vectors, in one block and in several."""
+    e = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
     x = {r["vec_id"]: np.array(r["embedding"], np.float64) for r in e.collect()}
     ids, m = np.array(list(x)), np.stack(list(x.values()))
     got = defaultdict(set)
-    for r in ann.nearest(e, F.col("vec_id") % 20 == 0).collect():
+    for r in ann.nearest(e, F.col("vec_id") % 20 == 0, block_rows=block_rows).collect():
         got[r["query_id"]].add(r["vec_id"])
         assert abs(r["score"] - float(x[r["query_id"]] @ x[r["vec_id"]])) < 1e-12
     hit = total = 0
@@ -247,6 +248,17 @@ def test_recall_and_partial_scan(spark):
         best = set(ids[np.argsort(-s)[:20]].tolist())
         hit, total = hit + len(best & got[q]), total + 20
     assert hit / total >= 0.9
+
+
+def test_strings_are_sign_bits_in_order():
+    x = np.random.default_rng(3).standard_normal((700, 6))
+    bits = (x @ ann._planes(5) > 0).reshape(700, ann.TREES, ann.BITS)
+    want = [[int("".join("01"[int(b)] for b in bits[r, t]), 2) for r in range(0, 700, 50)] for t in range(ann.TREES)]
+    assert ann.bit_strings(x)[:, ::50].tolist() == want
+
+
+def test_partial_scan():
+    """On clustered vectors far fewer candidates do."""
     rng = np.random.default_rng(1)
     c = rng.standard_normal((40, 32))
     y = c[rng.integers(0, 40, 3000)] + 0.2 * rng.standard_normal((3000, 32))

@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-TREES, BITS = 32, 32
+TREES, BITS = 128, 32
 #: Share of a block's entries to gather before the ascent stops: the price of
 #: recall on vectors without clusters (see README for measured recall).
 SHARE = 0.5
 BLOCK_ROWS, QUERY_ROWS = 8192, 4096
+#: Rows hashed and queries walked at a time, to bound the arrays in between.
+STEP = 512
 
 
 def _planes(dim: int) -> np.ndarray:
@@ -34,8 +36,11 @@ def _planes(dim: int) -> np.ndarray:
 
 def bit_strings(x: np.ndarray) -> np.ndarray:
     """(TREES, rows) bit strings as 32-bit numbers, first bit highest."""
-    bits = (x @ _planes(x.shape[1] - 1) > 0).reshape(len(x), TREES, BITS)
-    return (bits @ (np.uint64(1) << np.arange(BITS - 1, -1, -1, dtype=np.uint64))).T.copy()
+    planes, out = _planes(x.shape[1] - 1), np.empty((TREES, len(x)), np.uint64)
+    for at in range(0, len(x), STEP):
+        bits = np.packbits(x[at:at + STEP] @ planes > 0, axis=1)
+        out[:, at:at + STEP] = bits.view(">u4").T
+    return out
 
 
 class Forest:
@@ -46,35 +51,44 @@ class Forest:
         self.top = float(np.sqrt(norm2.max()))
         lift = np.sqrt(np.maximum(0, 1 - norm2 / self.top ** 2))
         strings = bit_strings(np.column_stack([vectors / self.top, lift]))
-        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.order = np.argsort(strings, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order, axis=1)
         self.size = len(vectors)
 
+    def _levels(self, q: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ranges (level, tree, query) of each prefix length, from 0 down to
+        where no query has ``enough`` entries in all trees together, and those
+        sums.  Longer prefixes can't hold more."""
+        lo, hi = [], []
+        for x in range(BITS + 1):
+            shift = np.uint64(BITS - x)
+            first = (q >> shift) << shift
+            lo.append(np.stack([np.searchsorted(s, f, side="left") for s, f in zip(self.sorted, first)]))
+            hi.append(np.stack([np.searchsorted(s, f, side="left")
+                                for s, f in zip(self.sorted, first + (np.uint64(1) << shift))]))
+            if ((hi[-1] - lo[-1]).sum(axis=0) < enough).all():
+                break
+        lo, hi = np.stack(lo), np.stack(hi)
+        return lo, hi, (hi - lo).sum(axis=1)
+
     def candidates(self, queries: np.ndarray, enough: int):
         """For each query the entries that share its prefix of the common
         length, in any tree, as soon as there are ``enough``."""
-        q = bit_strings(np.column_stack([queries / np.linalg.norm(queries, axis=1, keepdims=True),
-                                         np.zeros(len(queries))]))
-        lo = np.zeros((BITS + 1, TREES, len(queries)), np.int32)
-        hi = np.zeros_like(lo)
-        for x in range(BITS + 1):  # the range of each prefix length in each tree
-            shift = np.uint64(BITS - x)
-            first = (q >> shift) << shift
-            for t in range(TREES):
-                lo[x, t] = np.searchsorted(self.sorted[t], first[t], side="left")
-                hi[x, t] = np.searchsorted(self.sorted[t], first[t] + (np.uint64(1) << shift), side="left")
-        reach = (hi - lo).sum(axis=1)
-        for i in range(len(queries)):
-            x = int(np.flatnonzero(reach[:, i] >= min(enough, self.size)).max(initial=0))
-            while True:
-                seen = np.zeros(self.size, bool)
-                for t in range(TREES):
-                    seen[self.order[t, lo[x, t, i]:hi[x, t, i]]] = True
-                found = np.flatnonzero(seen)
-                if found.size >= enough or x == 0:
-                    break
-                x -= 1  # all trees ascend together
-            yield found
+        enough = min(enough, self.size)
+        strings = bit_strings(np.column_stack([queries / np.linalg.norm(queries, axis=1, keepdims=True),
+                                               np.zeros(len(queries))]))
+        for at in range(0, len(queries), STEP):
+            lo, hi, reach = self._levels(strings[:, at:at + STEP], enough)
+            for i in range(reach.shape[1]):
+                x = int(np.flatnonzero(reach[:, i] >= enough).max(initial=0))
+                while True:
+                    seen = np.zeros(self.size, bool)
+                    seen[np.concatenate([o[a:b] for o, a, b in zip(self.order, lo[x, :, i], hi[x, :, i])])] = True
+                    found = np.flatnonzero(seen)
+                    if found.size >= enough or x == 0:
+                        break
+                    x -= 1  # all trees ascend together
+                yield found
 
 
 def _search(k: int, share: float):
@@ -99,7 +113,7 @@ def _search(k: int, share: float):
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector: str = "embedding",
-            share: float = SHARE) -> DataFrame:
+            share: float = SHARE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (inner
     product in double precision): for each row where ``is_query`` is true, its
     ``k`` nearest other rows that the forest finds, all if there are fewer.
@@ -123,7 +137,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         F.col("_k") <= k + 1).groupBy("_v").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))
     queries = rows.where("_q").select("_id", "_v").distinct()
 
-    n_blocks = max(1, -(-entries.count() // BLOCK_ROWS))
+    n_blocks = max(1, -(-entries.count() // block_rows))
     n_query = max(1, -(-queries.count() // QUERY_ROWS))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
