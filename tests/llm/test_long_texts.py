@@ -14,6 +14,25 @@ def test_long_urls_and_pages(spark):
     assert got[2]["rule"] == "net/es/" and got[3]["host"] == "a" * 400 + ".com"
 
 
+def test_very_long_urls(spark):
+    """Many tokens in one url, and one name of many letters."""
+    html = "<p>" + "shop name " * 50 + "</p>"
+    rows = [(1, "http://other.org/" + "shop-name/" * 20_000, html), (2, "http://other.org/" + "shopname" * 25_000, None)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.filter_urls(d, queries.URL_RULES).collect()}
+    assert got[1]["path"] == "/" + "shop-name/" * 20_000 and set(got[1]["words"].split()) >= {"shop", "name"}
+    assert " ".join(["shop", "name"] * 25_000) in got[2]["words"]
+
+
+def test_long_names_split_alike_across_pieces(spark):
+    lexicon = {"shop": 5, "name": 4, "the": 9, "shopkeeper": 2, "a" * 24: 3}
+    names = ["theshopkeeper" * 90, "x" + "a" * 1100, "shopname" * 64, "shopname" * 64 + "t", "ab"]
+    got = {r["name"]: r["words"] for r in url_filter.segment(
+        spark.createDataFrame([(n,) for n in names], "name string"),
+        spark.createDataFrame(list(lexicon.items()), "word string, n long")).collect()}
+    assert got == {n: url_filter.viterbi(n, lexicon, sum(lexicon.values())) for n in names}
+
+
 def test_long_texts_in_shards(spark):
     long = "word " * 200_000
     d = spark.createDataFrame([(i, long if i < 4 else f"t{i}") for i in range(40)], "doc_id long, text string")

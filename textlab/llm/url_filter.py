@@ -24,6 +24,9 @@ from textlab.llm.common import lower_az, written
 
 #: Longest lexicon word; longer runs of letters are split.
 MAX_WORD = 24
+#: Long names are cut into pieces of this many letters (and MAX_WORD - 1 more)
+#: before their substrings are taken, as a substring costs its position.
+PIECE = 512
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -83,19 +86,28 @@ def _segment(names: pd.Series, found: pd.Series, totals: pd.Series) -> pd.Series
                       for n, fs, t in zip(names, found, totals)])
 
 
+def _digest(c: str) -> Column:
+    """32 bytes that stand for a string of any length in rows made from it."""
+    return F.unhex(F.sha2(F.col(c), 256))
+
+
 def segment(names: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Distinct ``names (name)`` of a-z letters to ``(name, words)``.
 
     Each name's substrings are joined with the lexicon, so a task only sees
     the words its own names can contain."""
+    names = names.withColumn("_id", _digest("name"))
     n = F.length("name")
-    cut = names.withColumn("_i", F.explode(F.sequence(F.lit(1), n))).withColumn(
-        "word", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), n - F.col("_i") + 1)),
-                                      lambda k: F.substring("name", F.col("_i"), k))))
-    found = cut.select("name", "word").distinct().join(lexicon, "word").groupBy("name").agg(
+    pieces = names.select("_id", F.explode(F.transform(F.sequence(F.lit(1), n, F.lit(PIECE)), lambda at: F.struct(
+        F.substring("name", at, F.lit(PIECE + MAX_WORD - 1)).alias("s"),
+        F.least(F.lit(PIECE), n - at + 1).alias("begins")))).alias("_p")).select("_id", "_p.*")
+    cut = pieces.select("_id", "s", F.explode(F.sequence(F.lit(1), F.col("begins"))).alias("_i")).select(
+        "_id", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("s") - F.col("_i") + 1)),
+                                     lambda k: F.substring("s", F.col("_i"), k))).alias("word"))
+    found = cut.distinct().join(lexicon, "word").groupBy("_id").agg(
         F.collect_list(F.struct("word", "n")).alias("found"))
     total = lexicon.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    return names.join(found, "name", "left").withColumn("total", total).select("name", _segment(
+    return names.join(found, "_id", "left").withColumn("total", total).select("name", _segment(
         "name", F.coalesce("found", F.array().cast("array<struct<word:string,n:bigint>>")), "total").alias("words"))
 
 
@@ -110,28 +122,28 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     decides; without any, or with one class only, its score follows the class
     prior alone.  Null urls and urls without ``://`` have empty host and path
     and the words of none.  Null ids, repeated rows and ties are judged alike;
-    null html adds no words.  Very long pages and urls are read whole; each
-    token of a url carries the url's key, so work and memory grow with the
-    square of one url's length (tested at 8,000 characters; one of 200,000
-    does not fit in a task).  An empty table gives an empty result.  Other
-    columns are not carried.
+    null html adds no words.  Very long pages and urls are read whole; a
+    url's tokens and a name's substrings carry a digest of fixed size, so
+    memory grows with one url's length (tested at 200,000 characters).  An
+    empty table gives an empty result.  Other columns are not carried.
     """
     host, path = url_parts(F.col(url))
     p = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     p = p.withColumn("_r", rule_for(F.col("host"), F.col("path"), rules))
     mask = lambda c: F.regexp_replace(F.lower(c), "[0-9]+", "0")
-    p = p.withColumn("_key", F.concat(mask(F.col("host")), F.lit(" "), mask(F.col("path"))))
+    p = p.withColumn("_mask", F.concat(mask(F.col("host")), F.lit(" "), mask(F.col("path"))))
 
-    keys = written(p.groupBy("_key").agg(
+    keys = written(p.groupBy("_mask").agg(
         F.sum((F.col("_r.verdict") == "block").cast("long")).alias("_block"),
-        F.sum((F.col("_r.verdict") == "allow").cast("long")).alias("_allow")), "url-keys")
+        F.sum((F.col("_r.verdict") == "allow").cast("long")).alias("_allow")).withColumn(
+        "_key", _digest("_mask")), "url-keys")
     part = lambda c, kind: F.transform(
         F.filter(F.split(c, "[^\\p{L}0-9]+"), lambda x: x != ""),
         lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("name")))
-    at = F.instr("_key", " ")
-    tokens = keys.select("*", F.explode(F.concat(
-        part(F.substring(F.col("_key"), F.lit(1), at - 1), "host"),
-        part(F.substring(F.col("_key"), at + 1, F.length("_key")), "path"))).alias("_t")).select(
+    at = F.instr("_mask", " ")
+    tokens = keys.select("_key", "_block", "_allow", F.explode(F.concat(
+        part(F.substring(F.col("_mask"), F.lit(1), at - 1), "host"),
+        part(F.substring(F.col("_mask"), at + 1, F.length("_mask")), "path"))).alias("_t")).select(
         "_key", "_block", "_allow", "_t.kind", "_t.name")
     names = tokens.where(F.col("name").rlike("^[a-z]{2,}$")).select("name").distinct()
     split = written(segment(names, word_counts(pages, html)), "url-names")
@@ -153,7 +165,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     scored = tokens.select("_key", "kind", "name", F.array_join("words", " ").alias("_w")).join(
         by_name, ["kind", "name"]).groupBy("_key").agg(
         F.sum("s").alias("_s"), F.array_join(F.array_sort(F.collect_set("_w")), " ").alias("words"))
-    out = p.join(scored, "_key", "left").withColumn("score", F.coalesce("_s", F.lit(0.0)) + prior)
+    out = p.withColumn("_key", _digest("_mask")).join(scored, "_key", "left").withColumn("score", F.coalesce("_s", F.lit(0.0)) + prior)
     learned = F.when(F.col("score") > 0, "block").otherwise("allow")
     return out.select("page_id", "host", "path", F.col("_r.rule").alias("rule"),
                       F.coalesce(F.col("_r.verdict"), learned).alias("verdict"), "score",
