@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textlab.llm import neardup, quality
 from textlab.llm.common import ranked, word_hashes
@@ -159,18 +160,58 @@ def test_robust_distance_against_numpy(spark):
     got = {r["i"]: r["mcd_d2"] for r in quality.robust_distance(d, ["lang", "source"]).collect()}
     floor = np.array([0.05, 0.05, 0.1, 0.1])
     at = lambda v, q: np.sort(v)[int(np.ceil(q * len(v))) - 1]
-    m = np.array([at(c, .5) for c in x.T])
-    s = np.diag((1.4826 * np.array([at(np.abs(c - k), .5) for c, k in zip(x.T, m)])) ** 2 + floor ** 2)
-    for _ in range(4):
+    med = np.array([at(c, .5) for c in x.T])
+    sd = np.sqrt((1.4826 * np.array([at(np.abs(c - k), .5) for c, k in zip(x.T, med)])) ** 2 + floor ** 2)
+    z = (x - med) / sd
+    t, u = np.tanh(z), z / np.linalg.norm(z, axis=1, keepdims=True)
+
+    def step(m, s):
         d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
         near = x[d2 <= at(d2, .75)]
-        m, s = near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(floor ** 2)
+        return near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(floor ** 2)
+
+    found = []
+    for c in (np.eye(4), np.cov(t.T, bias=True), u.T @ u / len(u)):
+        v = np.sqrt(np.diag(c) + 1e-6)
+        r = np.where(np.eye(4) == 1, 1, c / np.outer(v, v))
+        found.append(step(*step(med, r * np.outer(sd, sd) + np.diag(floor ** 2))))
+    root = lambda e: np.sqrt(np.linalg.det(e[1]))
+    m, s = best = min(found, key=root)
+    while True:
+        new = step(*best)
+        moved = root(new) < .99 * root(best)
+        m, s = best = min(best, new, key=root)
+        if not moved:
+            break
     q = quality.chi2_quantile(.75, 4)
     d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m) * quality.chi2_cdf(q, 6) / .75
     assert np.allclose([got[i] for i in range(400)], d2, rtol=1e-6)
     assert min(got[i] for i in range(60)) > max(got[i] for i in range(60, 400))
 
 
+def test_copies_spread_over_salts_and_keep_their_estimate(spark):
+    """A third of all rows are copies, also with null ids."""
+    rng = np.random.default_rng(4)
+    x = rng.normal([1, .2, .3, .1], .1, (400, 4)).tolist() + [[1.0, .2, .3, .1]] * 200
+    rows = [(None if i >= 500 else i, "en", "s", *r) for i, r in enumerate(x)]
+    d = spark.createDataFrame(rows, "i long, lang string, source string, _x0 double, _x1 double, _x2 double, _x3 double"
+                              ).withColumn("_at", F.monotonically_increasing_id())
+    own = quality._keys(d, ["lang", "source"])[0]
+    share = d.where("_x0 = 1.0").groupBy(own["_salt"]).count().agg({"count": "max"}).first()[0]
+    assert share < 30
+    got = quality.robust_distance(d, ["lang", "source"]).select("_at", "mcd_d2", "pooled_d2").collect()
+    assert len(got) == 600 and all(r["mcd_d2"] is not None and r["pooled_d2"] is None for r in got)
+
+
+def test_constant_features_and_tiny_tables(spark):
+    schema = "i long, lang string, _x0 double, _x1 double, _x2 double, _x3 double"
+    same = spark.createDataFrame([(i, "en", 1.0, 0.0, 0.0, 0.0) for i in range(60)], schema)
+    assert {r["mcd_d2"] for r in quality.robust_distance(same, ["lang"]).collect()} == {0.0}
+    one = quality.robust_distance(same.limit(1), ["lang"]).collect()
+    assert [(r["mcd_d2"], r["pooled_d2"]) for r in one] == [(None, 0.0)]
+    assert quality.robust_distance(same.limit(0), ["lang"]).collect() == []
+
+
 def test_chi2():
     assert abs(quality.chi2_quantile(0.95, 4) - 9.4877) < 1e-3
     assert abs(quality.chi2_cdf(5.3853, 4) - 0.75) < 1e-4

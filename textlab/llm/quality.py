@@ -10,10 +10,11 @@ multivariate outliers.  DataFrame functions only.
    of the Mahalanobis distance are rejected.  A group too small for an
    estimate is judged by that of its language, else of the whole table.
 
-The MCD estimate is reached by concentration steps.  Each step is two
-grouped aggregations over the narrow statistics table (a distance quantile,
-then moments of the rows below it), so a source with a third of all rows
-costs each task one row per group.
+The MCD estimate is reached by concentration steps from several starts; the
+one of least determinant is followed until that stops falling.  Each step is
+two grouped aggregations over the narrow statistics table (a distance
+quantile, then moments of the rows below it), so a source with a third of all
+rows costs each task one row per group.
 """
 
 from __future__ import annotations
@@ -125,12 +126,13 @@ def _dist2(center: str = "_m", chol: str = "_c") -> Column:
 
 
 def _cholesky(df: DataFrame, floor: tuple[float, ...]) -> DataFrame:
-    """Moments (``_n``, ``_s{i}``, ``_q{i}{j}`` about ``_o``) to ``_m`` and
-    ``_c``.  Each feature's variance gets ``floor`` squared added, so a
-    constant feature leaves the scatter regular."""
+    """Moments (``_n``, ``_s{i}``, ``_q{i}{j}`` about ``_o``) to ``_m``,
+    ``_c`` and ``_det``, the root of the scatter's determinant.  Each
+    feature's variance gets ``floor`` squared added, so a constant feature
+    leaves the scatter regular."""
     mean = [F.col(f"_s{i}") / F.col("_n") for i in range(FEATURES)]
-    df = df.select("_g", "_n", F.array(*[F.get(F.col("_o"), F.lit(i)) + mean[i]
-                                         for i in range(FEATURES)]).alias("_m"),
+    df = df.select("_g", "_start", F.array(*[F.get(F.col("_o"), F.lit(i)) + mean[i]
+                                             for i in range(FEATURES)]).alias("_m"),
                    *[(F.col(f"_q{i}{j}") / F.col("_n") - mean[i] * mean[j]
                       + (floor[i] ** 2 if i == j else 0.0)).alias(f"_v{i}{j}")
                      for i in range(FEATURES) for j in range(i + 1)])
@@ -141,8 +143,66 @@ def _cholesky(df: DataFrame, floor: tuple[float, ...]) -> DataFrame:
                 v = v - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
             v = F.sqrt(F.greatest(v, F.lit(floor[i] ** 2))) if i == j else v / F.col(f"_l{j}{j}")
             df = df.withColumn(f"_l{i}{j}", v)
-    return df.select("_g", "_m", F.array(*[F.col(f"_l{i}{j}") for i in range(FEATURES)
-                                           for j in range(i + 1)]).alias("_c"))
+    det = F.lit(1.0)
+    for i in range(FEATURES):
+        det = det * F.col(f"_l{i}{i}")
+    return df.select("_g", "_start", "_m", F.array(*[F.col(f"_l{i}{j}") for i in range(FEATURES)
+                                                     for j in range(i + 1)]).alias("_c"), det.alias("_det"))
+
+
+def _starts(rows: DataFrame, scale: DataFrame, on: list[str], salted, floor: tuple[float, ...]) -> DataFrame:
+    """Three starts for each group from its medians ``_m`` and scales ``_s``,
+    in one pass over its rows: no correlation, that of the tanh of the scaled
+    features, and that of their spatial signs.  Both damp far rows."""
+    z = [(F.col(f"_x{i}") - F.get("_m", F.lit(i))) / F.get("_s", F.lit(i)) for i in range(FEATURES)]
+    norm = F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0]))
+    r = rows.join(salted(scale), on).select(
+        "_g", "_m", "_s", *[F.tanh(v).alias(f"_t{i}") for i, v in enumerate(z)],
+        *[F.when(norm > 0, v / norm).otherwise(0.0).alias(f"_u{i}") for i, v in enumerate(z)])
+    pairs = [(i, j) for i in range(FEATURES) for j in range(i + 1)]
+    shape = r.groupBy("_g").agg(
+        F.first("_m").alias("_o"), F.first("_s").alias("_s"), *[F.avg(f"_t{i}").alias(f"_a{i}") for i in range(FEATURES)],
+        *[F.avg(F.col(f"_{c}{i}") * F.col(f"_{c}{j}")).alias(f"_{c}{i}{j}") for c in "tu" for i, j in pairs])
+    cov = {"t": lambda i, j: F.col(f"_t{i}{j}") - F.col(f"_a{i}") * F.col(f"_a{j}"),
+           "u": lambda i, j: F.col(f"_u{i}{j}")}
+    tiny = 1e-6  # a constant feature is correlated with none
+
+    def correlation(c: str | None, i: int, j: int) -> Column:
+        if i == j or c is None:
+            return F.lit(float(i == j))
+        return cov[c](i, j) / F.sqrt((cov[c](i, i) + tiny) * (cov[c](j, j) + tiny))
+
+    start = F.explode(F.array(*[F.struct(F.lit(n).alias("_start"), *[
+        (F.get("_s", F.lit(i)) * F.get("_s", F.lit(j)) * correlation(c, i, j)).alias(f"_q{i}{j}")
+        for i, j in pairs]) for n, c in enumerate((None, "t", "u"))]))
+    return _cholesky(shape.select("_g", "_o", start.alias("_e")).select(
+        "_g", "_o", "_e.*", F.lit(1.0).alias("_n"), *[F.lit(0.0).alias(f"_s{i}") for i in range(FEATURES)]),
+        floor)
+
+
+def _concentrate(rows: DataFrame, est: DataFrame, on: list[str], salted, coverage: float,
+                 floor: tuple[float, ...]) -> DataFrame:
+    """One concentration step: mean and scatter of the ``coverage`` share of
+    rows nearest to each estimate."""
+    by = ["_g", "_start"]
+    x = [F.col(f"_x{i}") for i in range(FEATURES)]
+    near = rows.join(salted(est), on).select(*by, "_salt", "_m", *x, _dist2().alias("_d2"))
+    cut = near.groupBy(*by).agg(F.percentile_approx("_d2", coverage).alias("_cut"))
+    inside = near.join(salted(cut), [*on, "_start"]).where(F.col("_d2") <= F.col("_cut"))
+    y = [c - F.get("_m", F.lit(i)) for i, c in enumerate(x)]
+    return _cholesky(inside.groupBy(*by).agg(
+        F.first("_m").alias("_o"), F.count(F.lit(1)).alias("_n"),
+        *[F.sum(y[i]).alias(f"_s{i}") for i in range(FEATURES)],
+        *[F.sum(y[i] * y[j]).alias(f"_q{i}{j}") for i in range(FEATURES) for j in range(i + 1)]), floor)
+
+
+def _keys(df: DataFrame, group: list[str]) -> list[Column]:
+    """A group key and a salt of the whole row for each pool.  Group tables
+    are joined by both, so a large group, also one of copies, spreads over
+    tasks; pools are few and large, and get more salts."""
+    pools = _pools(group)
+    return [F.struct(g.alias("_g"), F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int").alias("_salt"))
+            for g, n in zip(pools, [SALTS] + [POOL_SALTS] * (len(pools) - 1))]
 
 
 def _pools(group: list[str]) -> list[Column]:
@@ -152,7 +212,7 @@ def _pools(group: list[str]) -> list[Column]:
     return [F.concat_ws("\x01", F.lit(str(n)), *safe[:n]) for n in range(len(group), -1, -1)]
 
 
-def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, steps: int = 4,
+def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, fall: float = 0.01,
                     floor: tuple[float, ...] = (0.05, 0.05, 0.1, 0.1),
                     min_rows: int = 50) -> DataFrame:
     """Adds two squared Mahalanobis distances of ``_x0.._x3`` from an MCD
@@ -163,19 +223,18 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
     the last, and so on) or else of the whole table, however small; it is
     null where ``mcd_d2`` is not.
 
-    Start: medians and median absolute deviations.  Each of ``steps``
-    concentration steps keeps the ``coverage`` share of rows nearest to the
-    present estimate and re-estimates mean and covariance from those.  The
-    scatter is scaled to be consistent for normal data.  Null group values
-    form a group of their own.
+    Three deterministic starts (:func:`_starts`) about the medians, two
+    concentration steps from each, then steps from the one of least
+    determinant.  A step keeps the ``coverage`` share of rows nearest to the
+    present estimate and re-estimates mean and covariance from those.  A group
+    takes further steps while they lower its determinant's root by more than
+    the share ``fall``; as the floors bound it from below, all groups end.
+    The scatter is scaled to be consistent for normal data.  Null group
+    values form a group of their own.  ``df`` must give the same rows each
+    time it is read.
     """
     x = [F.col(f"_x{i}") for i in range(FEATURES)]
-    pools = _pools(group)
-    # group tables are joined by group and salt, so a large group spreads over
-    # tasks; pools are few and large, and get more salts
-    salts = [SALTS] + [POOL_SALTS] * (len(pools) - 1)
-    keys = [F.struct(g.alias("_g"), F.pmod(F.xxhash64(*x), F.lit(n)).cast("int").alias("_salt"))
-            for g, n in zip(pools, salts)]
+    keys = _keys(df, group)
     on = ["_g", "_salt"]
     own = F.col("_g").startswith(str(len(group)) + "\x01" if group else "0")
     salted = lambda d: d.withColumn("_salt", F.explode(F.sequence(
@@ -189,19 +248,24 @@ def robust_distance(df: DataFrame, group: list[str], coverage: float = 0.75, ste
         F.first("_m").alias("_m"),
         *[F.percentile_approx(F.abs(c - F.get("_m", F.lit(i))), 0.5).alias(f"_d{i}")
           for i, c in enumerate(x)])
-    diag = [F.sqrt(F.pow(1.4826 * F.col(f"_d{i}"), 2) + floor[i] ** 2) for i in range(FEATURES)]
-    est = cut_lineage(dev.select("_g", "_m", F.array(*[
-        diag[i] if i == j else F.lit(0.0) for i in range(FEATURES) for j in range(i + 1)]).alias("_c")))
-    for _ in range(steps):
-        near = rows.join(salted(est), on).select("_g", "_salt", "_m", *x, _dist2().alias("_d2"))
-        cut = near.groupBy("_g").agg(F.percentile_approx("_d2", coverage).alias("_cut"))
-        inside = near.join(salted(cut), on).where(F.col("_d2") <= F.col("_cut"))
-        y = [c - F.get("_m", F.lit(i)) for i, c in enumerate(x)]
-        est = cut_lineage(_cholesky(inside.groupBy("_g").agg(
-            F.first("_m").alias("_o"), F.count(F.lit(1)).alias("_n"),
-            *[F.sum(y[i]).alias(f"_s{i}") for i in range(FEATURES)],
-            *[F.sum(y[i] * y[j]).alias(f"_q{i}{j}") for i in range(FEATURES) for j in range(i + 1)]),
-            floor))
+    scale = cut_lineage(dev.select("_g", "_m", F.array(*[
+        F.sqrt(F.pow(1.4826 * F.col(f"_d{i}"), 2) + floor[i] ** 2) for i in range(FEATURES)]).alias("_s")))
+    est = cut_lineage(_starts(rows, scale, on, salted, floor))
+    for _ in range(2):
+        est = cut_lineage(_concentrate(rows, est, on, salted, coverage, floor))
+    columns = F.struct("_start", "_m", "_c", "_det")
+    est = cut_lineage(est.groupBy("_g").agg(F.min_by(columns, F.struct("_det", "_start")).alias("_e")).select(
+        "_g", "_e.*", F.lit(True).alias("_moved")))
+    while not est.where("_moved").isEmpty():
+        moving = est.where("_moved")
+        nearer = _concentrate(rows, moving.drop("_moved"), on, salted, coverage, floor)
+        both = est.withColumn("_new", F.lit(False)).unionByName(
+            nearer.withColumns({"_moved": F.lit(False), "_new": F.lit(True)}))
+        old, new = F.max(F.when(~F.col("_new"), F.col("_det"))), F.max(F.when(F.col("_new"), F.col("_det")))
+        est = cut_lineage(both.groupBy("_g").agg(
+            F.min_by(columns, F.struct("_det", "_new")).alias("_e"),
+            F.coalesce(new < (1 - fall) * old, F.lit(False)).alias("_moved")).select("_g", "_e.*", "_moved"))
+    est = est.select("_g", "_m", "_c")
     q = chi2_quantile(coverage, FEATURES)
     consistency = coverage / chi2_cdf(q, FEATURES + 2)
     near_by = salted(est)
@@ -234,7 +298,9 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     gives an empty result.  Other columns of ``docs`` are not carried.
     """
     stats = text_statistics(docs.select(id_col, *group, text), text).drop(text)
-    stats = cut_lineage(stats.withColumn("base_failed", base_failed()))
+    # a number for each row, so that copies under one id get different salts
+    stats = cut_lineage(stats.withColumn("base_failed", base_failed()).withColumn(
+        "_at", F.monotonically_increasing_id()))
     good = stats.where(~F.col("base_failed")).select(
         "*", *[f.alias(f"_x{i}") for i, f in enumerate(features())])
     damping = F.col("n_words") / (F.col("n_words") + 50)
@@ -244,4 +310,4 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     judged = judged.withColumn("kept", F.coalesce("mcd_d2", "pooled_d2") <= limit)
     null = F.lit(None).cast("double")
     failed = stats.where("base_failed").withColumns({"mcd_d2": null, "pooled_d2": null, "kept": F.lit(False)})
-    return judged.unionByName(failed)
+    return judged.unionByName(failed).drop("_at")
