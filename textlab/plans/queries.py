@@ -511,7 +511,7 @@ def streamed_clf_report(spark: SparkSession, sf: str) -> DataFrame:
         return df.select(F.col("label").alias("target"),
                          argmax(as_double_array(F.slice("embedding", 1, 10))).alias("prediction"))
 
-    rep = stream_report(spark, sf, schema, score, file_glob="embeddings.parquet")
+    rep = stream_report(spark, f"{sf.rstrip('/')}/embeddings.parquet", schema, score)
     return rep.select("metric", "class_name", _r())
 
 
