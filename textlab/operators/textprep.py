@@ -14,7 +14,10 @@ failure links, one scan a word, in Arrow batches.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -232,42 +235,43 @@ def piece_tokens(df: DataFrame, tokens: list[str], ids: DataFrame, most: int = 1
     sub-word pieces: ``tok`` (their ids), ``st`` and ``en`` (characters of the
     text).  A word that can't be split is one unknown piece.
 
-    Row by row, with the vocabulary and a bounded cache of words per worker:
-    no shuffle, so a very frequent word meets nowhere."""
+    Row by row, with the vocabulary shipped once: no shuffle, so a very
+    frequent word meets nowhere.  A batch stays in flat Arrow and numpy arrays
+    (a few numbers a token, no Python object but for its distinct words), so a
+    worker's memory is a small multiple of the batch's own."""
     shipped = _shipped(ids, ["token", "token_id"], most)
     key = shipped._jbroadcast.id()
 
-    @F.pandas_udf("struct<tok:array<int>,st:array<int>,en:array<int>>")
-    def pieces(tok: pd.Series, st: pd.Series, en: pd.Series) -> pd.DataFrame:
-        trie, number, known = _trie(shipped, key), shipped.value, {}
-
-        def cut(word: str) -> list[tuple[int, int]]:
-            """(id, length) of a word's pieces; the whole word if unknown."""
-            if word not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                parts = trie.split(word)
-                known[word] = [(unk_id, len(word))] if parts == [UNK] else [
-                    (number[p], len(p) - 2 * (i > 0)) for i, p in enumerate(parts)]
-            return known[word]
-
-        rows = []
-        for words, starts, ends in zip(tok, st, en):
-            if words is None:
-                rows.append((None, None, None))
-                continue
-            ids, first, last = [], [], []
-            for w, a in zip(words, starts):
-                for i, n in cut(w):
-                    ids.append(i), first.append(a), last.append(a + n)
-                    a += n
-            rows.append((ids, first, last))
-        return pd.DataFrame(rows, columns=["tok", "st", "en"])
-
-    for t in tokens:
-        p = evaluate_once(df.withColumn("_p", pieces(F.col(t)["tok"], F.col(t)["st"], F.col(t)["en"])))
-        df = p.withColumn(t, F.when(F.col(t).isNotNull(), F.col("_p"))).drop("_p")
-    return df
+    @F.arrow_udf("struct<tok:array<int>,st:array<int>,en:array<int>>")
+    def pieces(tok: pa.Array, st: pa.Array, en: pa.Array) -> pa.Array:
+        trie, number = _trie(shipped, key), shipped.value
+        words = tok.flatten().dictionary_encode()
+        cut = []  # each distinct word's (ids, lengths); the whole word if unknown
+        for w in words.dictionary:
+            w = w.as_py()
+            parts = trie.split(w)
+            cut.append(([unk_id], [len(w)]) if parts == [UNK] else (
+                [number[p] for p in parts], [len(p) - 2 * (i > 0) for i, p in enumerate(parts)]))
+        flat = lambda k: np.fromiter((x for c in cut for x in c[k]), np.int32)
+        piece_id, length = flat(0), flat(1)
+        count = np.fromiter((len(c[0]) for c in cut), np.int32, len(cut))
+        first = np.cumsum(count, dtype=np.int64) - count  # a distinct word's first piece
+        before = np.cumsum(length, dtype=np.int32) - length  # characters up to a piece, of all distinct words
+        word = words.indices.to_numpy()
+        n = count[word]
+        ends = np.cumsum(n, dtype=np.int64)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[word] - (ends - n), n)
+        start = np.repeat(st.flatten().to_numpy() - (before[first[word]] if len(cut) else 0), n) + before[at]
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(tok), 0))
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])].astype(np.int32)
+        none = tok.is_null()
+        lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32, copy=False)), mask=none)
+                 for x in (piece_id[at], start, start + length[at])]
+        return pa.StructArray.from_arrays(lists, ["tok", "st", "en"])
+
+    # side by side: one Python worker a task for all columns
+    p = evaluate_once(df.withColumns({f"_p_{t}": pieces(F.col(t)["tok"], F.col(t)["st"], F.col(t)["en"]) for t in tokens}))
+    return p.withColumns({t: F.when(F.col(t).isNotNull(), F.col(f"_p_{t}")) for t in tokens}).drop(*[f"_p_{t}" for t in tokens])
 
 
 # ----------------------------------------------------------------------- D4
