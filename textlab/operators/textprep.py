@@ -281,28 +281,28 @@ def encode_single(df: DataFrame, tokens_col: str, vocab: DataFrame, id_col: str,
     """``[CLS] tokens[:max_length-2] [SEP]`` padded to ``max_length``,
     with ``attention_mask``, ``n_tokens`` and ``truncated``.
 
-    Only the kept tokens are exploded (at most ``max_length`` rows per
-    text), joined to the vocabulary (bounded: AQE broadcasts it) and put
-    back in position order; unknown tokens become ``[UNK]``.  The special
-    ids default to the first rows of :func:`vocabulary`.
+    Only the kept tokens are exploded (at most ``max_length`` rows per text,
+    one of them for the text itself), joined to the vocabulary, which is
+    bounded and therefore broadcast, whatever size Spark measures, and put
+    back in position order in one shuffle by id; unknown tokens become
+    ``[UNK]``.  Rows of a repeated id have the tokens of all of them, in
+    position order; a null id has none.  The special ids default to the first
+    rows of :func:`vocabulary`.
     """
     keep = max_length - 2
-    base = df.select(id_col, F.size(tokens_col).alias("n_tokens"),
-                     F.slice(tokens_col, 1, keep).alias("_kept"))
-    ex = base.select(id_col, F.posexplode("_kept").alias("_pos", "token"))
-    v = vocab.select("token", "token_id")
-    ids = (ex.join(v, "token", "left")
-           .groupBy(id_col)
-           .agg(F.sort_array(F.collect_list(F.struct("_pos", "token_id"))).alias("_s")))
-    empty = F.array().cast("array<struct<_pos:int,token_id:int>>")
-    body = F.transform(F.coalesce("_s", empty),
-                       lambda x: F.coalesce(x["token_id"], F.lit(unk_id)))
-    seq = F.concat(F.array(F.lit(cls_id)), body, F.array(F.lit(sep_id)))
-    n = F.size(seq)
+    kept = F.when(F.col(id_col).isNotNull(), F.slice(tokens_col, 1, keep))
+    entries = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(kept, F.array().cast("array<string>")))
+    ex = df.select(id_col, F.size(tokens_col).alias("n_tokens"), F.posexplode(entries).alias("_pos", "token"))
+    ids = ex.join(F.broadcast(vocab.select("token", "token_id")), "token", "left").groupBy(id_col).agg(
+        F.collect_list(F.when(F.col("_pos") == 0, F.struct("n_tokens"))).alias("_rows"),
+        F.sort_array(F.collect_list(F.when(F.col("_pos") > 0, F.struct("_pos", "token_id")))).alias("_s"))
+    body = F.transform("_s", lambda x: F.coalesce(x["token_id"], F.lit(unk_id)))
+    ids = evaluate_once(ids.select(id_col, "_rows", F.concat(F.array(F.lit(cls_id)), body, F.array(F.lit(sep_id))).alias("_seq")))
+    n = F.size("_seq")
     pad = F.lit(max_length) - n
-    return (base.join(ids, id_col, "left")
+    return (ids.select(id_col, "_seq", F.explode("_rows.n_tokens").alias("n_tokens"))
             .select(id_col, "n_tokens", (F.col("n_tokens") > keep).alias("truncated"),
-                    F.concat(seq, F.array_repeat(F.lit(pad_id), pad)).alias("input_ids"),
+                    F.concat("_seq", F.array_repeat(F.lit(pad_id), pad)).alias("input_ids"),
                     F.concat(F.array_repeat(F.lit(1), n),
                              F.array_repeat(F.lit(0), pad)).alias("attention_mask")))
 
