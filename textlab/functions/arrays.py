@@ -57,25 +57,31 @@ def with_top_k(df, specs: dict, k: int):
     the same indices as :func:`top_k_indices` (largest first, lower index on
     ties, NaN largest, nulls last), computed without sorting structs:
 
-    1. the k-th largest value ``t`` from a primitive descending sort,
-    2. the indices with a value above ``t`` (fewer than k; only these get a
+    1. the k-th largest value ``t`` from a primitive ascending sort,
+    2. the indices with a value of at least ``t``, the one pass over all
+       values (all indices, if fewer than k values are not null),
+    3. of these, the indices above ``t`` (fewer than k; only these get a
        small struct sort),
-    3. then the indices equal to ``t`` in index order, cut at k.
+    4. then the indices equal to ``t`` in index order, cut at k.
 
-    ``t`` and the index range sit behind a plan barrier so the filter
-    lambdas reference them instead of re-sorting per element.
+    ``t``, the index range and the candidates sit behind plan barriers so the
+    filter lambdas reference them instead of re-sorting per element.
     """
-    pre = []
+    pre, few = [], []
     for out, col in specs.items():
         v = _c(col)
         n = F.size(v)
-        pre += [F.get(F.sort_array(v, asc=False), k - 1).alias(f"_t_{out}"),
+        # nulls first: the place of the k-th largest, before the array if it is shorter
+        pre += [F.get(F.sort_array(v), n - k).alias(f"_t_{out}"),
                 F.when(n > 0, F.sequence(F.lit(0), n - 1))
                 .otherwise(F.array().cast("array<int>")).alias(f"_i_{out}")]
+        t, idx = F.col(f"_t_{out}"), F.col(f"_i_{out}")
+        few.append(F.when(t.isNull(), idx).otherwise(F.filter(idx, lambda i: F.get(v, i) >= t)).alias(f"_c_{out}"))
     df = evaluate_once(df.select("*", *pre))
+    df = evaluate_once(df.select("*", *few))
     outs = []
     for out, col in specs.items():
-        v, t, idx = _c(col), F.col(f"_t_{out}"), F.col(f"_i_{out}")
+        v, t, idx = _c(col), F.col(f"_t_{out}"), F.col(f"_c_{out}")
         above = F.when(t.isNull(), F.filter(idx, lambda i: F.get(v, i).isNotNull())).otherwise(
             F.filter(idx, lambda i: F.get(v, i) > t))
         ties = F.when(t.isNull(), F.filter(idx, lambda i: F.get(v, i).isNull())).otherwise(
@@ -84,5 +90,5 @@ def with_top_k(df, specs: dict, k: int):
             (~F.isnan(F.get(v, i).cast("double"))).alias("nn"),
             (-F.get(v, i).cast("double")).alias("k"), i.alias("i")))), lambda s: s["i"])
         outs.append(F.slice(F.concat(ordered, ties), 1, k).alias(out))
-    drop = [c for out in specs for c in (f"_t_{out}", f"_i_{out}")]
+    drop = [c for out in specs for c in (f"_t_{out}", f"_i_{out}", f"_c_{out}")]
     return df.select("*", *outs).drop(*drop)

@@ -44,8 +44,9 @@ def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFram
         wd = F.get(F.col("_wd"), j)
         nb = F.get(F.col("_m"), j + 1 if kind == "start" else j - 1)
         ctx = (4 * m + 2 * F.coalesce(nb, F.lit(0)) + wd).cast("double")
-        return (F.when((i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi")), ctx)
-                .when(i == 0, F.lit(0.0)).otherwise(F.lit(-1.0)))
+        # never null: arrays without nulls are sorted as plain numbers
+        return F.coalesce(F.when((i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi")), ctx)
+                          .when(i == 0, F.lit(0.0)).otherwise(F.lit(-1.0)), F.lit(-1.0))
 
     pos = F.sequence(F.lit(0), F.col("seq_len") - 1)
     # seed-independent part, once per window (then a barrier so the seed
@@ -59,13 +60,24 @@ def overlap_logits(w: DataFrame, seeds: Sequence[int] | None = None) -> DataFram
     else:
         seed = F.lit(0)
 
-    def jitter(b, i, mult):
-        j = i - F.col("ctx_lo")
-        inside = (i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi"))
-        return F.when(inside, b + ((j + mult * seed) % 3) * 0.5).otherwise(b)
-
-    return (w.withColumn("start_logits", F.transform("_bs", lambda b, i: jitter(b, i, 1)))
-            .withColumn("end_logits", F.transform("_be", lambda b, i: jitter(b, i, 2)))
+    def jitter(b, mult):
+        """``b`` plus 0.5 ((j + mult seed) mod 3) on the context: the three
+        values in turn from the seed's place on, nothing outside."""
+        lo, n = F.col("ctx_lo"), F.col("ctx_hi") - F.col("ctx_lo") + 1
+        turns = F.flatten(F.array_repeat(F.array(F.lit(0.0), F.lit(0.5), F.lit(1.0)), (F.col("seq_len") / 3 + 2).cast("int")))
+        at = F.slice(turns, (F.lit(mult) * (seed % 3)) % 3 + 1, n)
+        none = lambda k: F.array_repeat(F.lit(0.0), k)
+        return F.zip_with(b, F.concat(none(lo), at, none(F.col("seq_len") - lo - n)), lambda x, y: F.coalesce(x + y, F.lit(0.0)))
+
+    def direct(b, mult):
+        """The same for a negative seed, whose remainders have its sign."""
+        j = lambda i: i - F.col("ctx_lo")
+        inside = lambda i: (i >= F.col("ctx_lo")) & (i <= F.col("ctx_hi"))
+        return F.transform(b, lambda x, i: F.when(inside(i), x + ((j(i) + mult * seed) % 3) * 0.5).otherwise(x))
+
+    step = direct if any(x < 0 for x in seeds or ()) else jitter
+    return (w.withColumn("start_logits", step("_bs", 1))
+            .withColumn("end_logits", step("_be", 2))
             .drop("_bs", "_be"))
 
 

@@ -327,19 +327,27 @@ def prepare_qa(examples: DataFrame, max_length: int = 384, doc_stride: int = 128
     With ``ids`` (see :func:`piece_ids`) the tokens are sub-word pieces.
     With ``pad_on_right=False`` the context comes first in the pair and the
     padding in front; the window arithmetic is the same.
+
+    The question's tokens are counted first.  Where they leave no budget, no
+    window can exist: the tokens are null and only the counts are there.
+    Without ``ids`` a question's tokens have no offsets, which nothing reads.
     """
-    x = examples.withColumn("question", strip_left("question"))
-    x = tokenize(x, "question", "q_tok")
-    x = tokenize(x, "context", "c_tok")
+    token = F.lit(f"[{WORD_CLASS}]+|[^{WORD_CLASS}{WS_CLASS}]")
+    x = evaluate_once(examples.withColumn("question", strip_left("question")))
+    x = evaluate_once(x.withColumn("_nq", F.regexp_count("question", token)))
+    fits = F.col("_nq") + F.lit(n_special) < F.lit(max_length)
+    x = x.withColumns({"_q": F.when(fits, F.col("question")), "_c": F.when(fits, F.col("context"))})
     if ids is not None:
-        x = piece_tokens(x, ["q_tok", "c_tok"], ids)
+        x = piece_tokens(tokenize(tokenize(x, "_q", "q_tok"), "_c", "c_tok"), ["q_tok", "c_tok"], ids)
+    else:
+        x = tokenize(x.withColumn("q_tok", F.when(fits, F.struct(native_tokens("_q").alias("tok")))), "_c", "c_tok")
     x = evaluate_once(x)
-    n_q = F.size("q_tok.tok")
-    n_c = F.size("c_tok.tok")
+    n_q = F.when(F.col("_q").isNotNull(), F.size("q_tok.tok")).otherwise(F.col("_nq"))
+    n_c = F.when(F.col("_c").isNotNull(), F.size("c_tok.tok")).otherwise(F.regexp_count("context", token))
     budget = F.lit(max_length) - n_q - F.lit(n_special)
     return x.select("*", n_q.alias("n_q"), n_c.alias("n_ctx"),
                     budget.alias("budget"), F.lit(pad_on_right).alias("pad_on_right"),
-                    F.lit(n_special).alias("n_special"))
+                    F.lit(n_special).alias("n_special")).drop("_nq", "_q", "_c")
 
 
 def _unusable(doc_stride: int) -> Column:
