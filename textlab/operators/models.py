@@ -11,12 +11,14 @@ loaded once per Python worker, never per row.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlab.functions.arrays import evaluate_once
 from textlab.functions.text import WORD_CLASS
 from textlab.session import cut_lineage
 
@@ -109,50 +111,56 @@ def nb_grid(data: DataFrame, id_col: str, text_col: str, label_col: str, fold_co
     prediction)``.
 
     A seed draws a bootstrap: it counts each training row 0, 1 or 2 times, by
-    a hash of seed and id.  Texts are read once and become (id, word, count)
-    rows that carry class and fold.  Training statistics are one row per word
-    with an array over seeds, so scoring joins each text word once and adds up
-    all grid points in one aggregation.  Ties go to the smaller class.
+    a hash of seed and id, drawn once a row.  Texts are read once and become
+    (id, word, count) rows that carry class, fold and draws.  Training
+    statistics are one row per word with columns for the seeds, so the words
+    are counted, joined and added up once for all grid points, never once a
+    seed.  Ties go to the smaller class.
     """
-    w = data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"), F.explode(
+    each = range(len(seeds))
+    # two bits a seed, 31 seeds a column: plain numbers are cheap to group by
+    packed = [f"_draws{j}" for j in range(-(-len(seeds) // 31))]
+    draw = lambda s: F.shiftleft(hash_number(F.lit(int(seeds[s])), F.col(id_col)) % 3, 2 * (s % 31))
+    draws = [F.when(F.col(fold_col) == "train", reduce(Column.__add__, [draw(s) for s in each if s // 31 == j])).alias(x)
+             for j, x in enumerate(packed)]
+    drawn = lambda s: F.shiftright(packed[s // 31], 2 * (s % 31)).bitwiseAND(F.lit(3))
+    rows = data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"), *draws)
+    # the barrier keeps the hashes below the explode: once a text, not once a word
+    w = evaluate_once(data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"), *draws, text_col))
+    w = w.select(id_col, "_y", "_f", *packed, F.explode(
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"[{WORD_CLASS}]+"), 0)).alias("word"))
-    w = cut_lineage(w.groupBy(id_col, "_y", "_f", "word").agg(F.count(F.lit(1)).alias("cnt")))
-    each = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
-    drawn = lambda d: d.where(F.col("_f") == "train").select("*", each).withColumn(
-        "_w", hash_number(F.col("seed"), F.col(id_col)) % 3).where(F.col("_w") > 0)
-    n = [F.sum(F.when(F.col("_y") == c, F.col("cnt") * F.col("_w")).otherwise(0)).alias(f"n{c}") for c in classes]
-    stats = cut_lineage(drawn(w).groupBy("seed", "word").agg(*n, F.count(F.lit(1)).alias("df")))
+    w = cut_lineage(w.groupBy(id_col, "_y", "_f", *packed, "word").agg(F.count(F.lit(1)).alias("cnt")))
+    stats = cut_lineage(w.where(F.col("_f") == "train").groupBy("word").agg(
+        *[F.sum(F.when(F.col("_y") == c, F.col("cnt") * drawn(s)).otherwise(0)).alias(f"n{s}_{c}") for s in each for c in classes],
+        *[F.count(F.when(drawn(s) > 0, 1)).alias(f"df{s}") for s in each]))
     points = [(a, m) for a in alphas for m in min_dfs]
-    known = lambda m: F.col("df") >= m
-    sums = stats.groupBy("seed").agg(
-        *[F.sum(F.when(known(m), F.col(f"n{c}")).otherwise(0)).alias(f"_N{c}_{m}") for c in classes for m in min_dfs],
-        *[F.count(F.when(known(m), 1)).alias(f"_V_{m}") for m in min_dfs])
-    lp = [F.when(known(m), F.ln((F.col(f"n{c}") + a) / (F.col(f"_N{c}_{m}") + a * F.col(f"_V_{m}")))).alias(f"p{k}_{c}")
-          for k, (a, m) in enumerate(points) for c in classes]
-    table = stats.join(sums, "seed").select("word", F.struct("seed", *lp).alias("s")).groupBy("word").agg(
-        F.collect_list("s").alias("_s"))  # one entry per seed
-    texts = w.where(F.col("_f") != "train")
-    score = texts.join(table, "word").select(id_col, "cnt", F.explode("_s").alias("_p")).groupBy(
-        id_col, F.col("_p.seed").alias("seed")).agg(*[
-            F.sum(F.col("cnt") * F.coalesce(F.col(f"_p.p{k}_{c}"), F.lit(0.0))).alias(f"p{k}_{c}")
-            for k in range(len(points)) for c in classes])
-    docs = drawn(data.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f")))
-    prior = docs.groupBy("seed").agg(*[F.ln(F.try_divide(
-        F.sum(F.when(F.col("_y") == c, F.col("_w")).otherwise(0)), F.sum("_w"))).alias(f"_prior{c}") for c in classes])
-    rows = data.where(F.col(fold_col) != "train").select(
-        id_col, F.col(label_col).cast("int").alias("target"), F.col(fold_col).alias("fold"), each)
-    rows = rows.join(score, [id_col, "seed"], "left").join(prior, "seed", "left")
-
-    def best(k: int) -> Column:
+    known = lambda s, m: F.col(f"df{s}") >= max(m, 1)
+    sums = stats.agg(F.struct(
+        *[F.sum(F.when(known(s, m), F.col(f"n{s}_{c}")).otherwise(0)).alias(f"N{s}_{c}_{m}") for s in each for c in classes for m in min_dfs],
+        *[F.count(F.when(known(s, m), 1)).alias(f"V{s}_{m}") for s in each for m in min_dfs])).scalar()
+    total = lambda x: F.col(f"_sums.{x}")
+    table = evaluate_once(stats.select("*", sums.alias("_sums"))).select("word", *[F.coalesce(F.when(known(s, m), F.ln(
+        (F.col(f"n{s}_{c}") + a) / (total(f"N{s}_{c}_{m}") + a * total(f"V{s}_{m}")))), F.lit(0.0)).alias(f"p{s}_{k}_{c}")
+        for s in each for k, (a, m) in enumerate(points) for c in classes])
+    texts = w.where(F.col("_f") != "train").select(id_col, "word", "cnt")
+    score = texts.join(table, "word").groupBy(id_col).agg(*[
+        F.sum(F.col("cnt") * F.col(x)).alias(x) for x in table.columns if x != "word"])
+    prior = rows.where(F.col("_f") == "train").agg(F.struct(*[F.ln(F.try_divide(
+        F.sum(F.when(F.col("_y") == c, drawn(s)).otherwise(0)), F.sum(drawn(s)))).alias(f"prior{s}_{c}")
+        for s in each for c in classes])).scalar()
+    others = rows.where(F.col("_f") != "train").select(id_col, F.col("_y").alias("target"), F.col("_f").alias("fold"))
+
+    def best(s: int, k: int) -> Column:
         options = F.array(*[F.struct(
-            (F.coalesce(F.col(f"_prior{c}"), F.lit(0.0)) + F.coalesce(F.col(f"p{k}_{c}"), F.lit(0.0))).alias("s"),
+            (F.coalesce(F.col(f"_prior.prior{s}_{c}"), F.lit(0.0)) + F.coalesce(F.col(f"p{s}_{k}_{c}"), F.lit(0.0))).alias("s"),
             F.lit(-c).alias("c")) for c in classes])
         return (-F.array_max(options)["c"]).cast("int")
 
-    grid = F.explode(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(int(m)).alias("min_df"),
-                                        best(k).alias("prediction")) for k, (a, m) in enumerate(points)]))
-    return rows.select("fold", "seed", id_col, "target", grid.alias("g")).select(
-        "fold", "g.alpha", "g.min_df", "seed", id_col, "target", "g.prediction")
+    grid = F.explode(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(int(m)).alias("min_df"), F.lit(int(seed)).alias("seed"),
+                                        best(s, k).alias("prediction")) for s, seed in enumerate(seeds) for k, (a, m) in enumerate(points)]))
+    scored = evaluate_once(others.join(score, id_col, "left").select("*", prior.alias("_prior")))
+    return scored.select("fold", id_col, "target", grid.alias("g")).select(
+        "fold", "g.alpha", "g.min_df", "g.seed", id_col, "target", "g.prediction")
 
 
 def hashed_tfidf(df: DataFrame, id_col: str, text_col: str, fitted_on: Column, num_features: int = 1 << 16) -> DataFrame:
