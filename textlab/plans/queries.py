@@ -511,7 +511,8 @@ def streamed_clf_report(spark: SparkSession, sf: str) -> DataFrame:
         return df.select(F.col("label").alias("target"),
                          argmax(as_double_array(F.slice("embedding", 1, 10))).alias("prediction"))
 
-    rep = stream_report(spark, f"{sf.rstrip('/')}/embeddings.parquet", schema, score)
+    # a pattern of the one name: a stream takes a single file only by a pattern
+    rep = stream_report(spark, f"{sf.rstrip('/')}/embeddings[.]parquet", schema, score)
     return rep.select("metric", "class_name", _r())
 
 
